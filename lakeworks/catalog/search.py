@@ -1 +1,113 @@
-"""Registered queries."""
+"""Embedding and retrieval queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import retrieval
+from ..session import new_folder
+from .cleaning import TEXT_COLUMNS, readings
+from .registry import query, table
+
+K, DIM, WORDS = 10, 384, 200
+
+COSINE = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
+
+
+def query_vector(spark, sf):
+    """The embedding of vector 0 as a one-row frame."""
+    return table(spark, sf, "embeddings").where("vec_id = 0").select("embedding")
+
+
+@query(f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+           q AS (SELECT v AS q FROM e WHERE vec_id = 0)
+           SELECT vec_id, label, ROUND({COSINE.format(a='v', b='q')}, 6) AS similarity FROM e, q
+           ORDER BY 3 DESC, 1 LIMIT {K}""")
+def topk_cosine(spark, sf):
+    return retrieval.topk_cosine(table(spark, sf, "embeddings"), query_vector(spark, sf), K, ["vec_id"], ["label"])
+
+
+@query(f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+           q AS (SELECT v AS q FROM e WHERE vec_id = 0)
+           SELECT vec_id, ROUND({COSINE.format(a='v', b='q')}, 6) AS similarity FROM e, q""")
+def cosine_to_query(spark, sf):
+    scored = retrieval.with_similarity(table(spark, sf, "embeddings"), query_vector(spark, sf))
+    return scored.select("vec_id", "similarity")
+
+
+def centroids(spark, sf):
+    """Mean vector of each label: one query per class."""
+    cells = table(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("p", "x"))
+    means = cells.groupBy("label", "p").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    ordered = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("p", "x"))).alias("c"))
+    return ordered.select("label", F.col("c.x").alias("embedding"))
+
+
+@query(f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+           c AS (SELECT label, p, AVG(x) AS x FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM e) u GROUP BY 1, 2),
+           q AS (SELECT label, list(x ORDER BY p) AS q FROM c GROUP BY 1),
+           s AS (SELECT q.label, e.vec_id, ROUND({COSINE.format(a='e.v', b='q.q')}, 6) AS similarity FROM e CROSS JOIN q),
+           r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS rank FROM s)
+           SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, similarity FROM r WHERE rank <= {K}""")
+def topk_cosine_batch(spark, sf):
+    return retrieval.topk_cosine_batch(table(spark, sf, "embeddings").drop("label"), centroids(spark, sf), K,
+                                       ["vec_id"], "label")
+
+
+@query()
+def topk_ann(spark, sf):
+    embeddings = table(spark, sf, "embeddings")
+    vector = embeddings.where("vec_id = 0").first()["embedding"]
+    return retrieval.topk_ann(embeddings, vector, K, "vec_id")
+
+
+CHUNKS = f"""
+words AS (SELECT doc_id, list_filter(string_split_regex(text, '[ \\t\\r\\n]+'), lambda w: w <> '') AS w FROM documents),
+chunks AS (
+  SELECT doc_id, CAST(i AS INTEGER) AS chunk_no, array_to_string(list_slice(w, i * {WORDS} + 1, (i + 1) * {WORDS}), ' ') AS chunk
+  FROM (SELECT doc_id, w, unnest(range(CAST(ceil(len(w) / {WORDS}.0) AS BIGINT))) AS i FROM words WHERE len(w) > 0) x)"""
+
+
+@query(f"WITH {CHUNKS} SELECT * FROM chunks")
+def chunk_documents(spark, sf):
+    return retrieval.chunk_documents(table(spark, sf, "documents"), "doc_id", "text", WORDS)
+
+
+def _cells(source: str, keys: str, text: str) -> str:
+    return f"""SELECT {keys}, CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {DIM} AS cell, COUNT(*) AS n
+               FROM (SELECT {keys}, unnest(string_split_regex({text}, '[ \\t\\r\\n]+')) AS w FROM {source}) u
+               WHERE w <> '' GROUP BY ALL"""
+
+
+@query(f"""WITH {CHUNKS},
+  a AS ({_cells("chunks", "doc_id, chunk_no", "chunk")}), b AS ({_cells("benchmark", "item_id", "text")}),
+  an AS (SELECT doc_id, chunk_no, sqrt(CAST(SUM(n * n) AS DOUBLE)) AS size FROM a GROUP BY 1, 2),
+  bn AS (SELECT item_id, sqrt(CAST(SUM(n * n) AS DOUBLE)) AS size FROM b GROUP BY 1),
+  dots AS (SELECT item_id, doc_id, chunk_no, CAST(SUM(a.n * b.n) AS DOUBLE) AS dot FROM a JOIN b USING (cell) GROUP BY 1, 2, 3),
+  s AS (SELECT bn.item_id, an.doc_id, an.chunk_no, ROUND(COALESCE(dot, 0.0) / (an.size * bn.size), 6) AS similarity
+        FROM an CROSS JOIN bn LEFT JOIN dots USING (item_id, doc_id, chunk_no)),
+  r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, doc_id, chunk_no) AS rank FROM s)
+  SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, similarity FROM r WHERE rank <= {K}""")
+def retrieve_chunks(spark, sf):
+    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM,
+                                      path=new_folder(spark, "doc_index"))
+    return retrieval.retrieve(index, table(spark, sf, "benchmark"), "item_id", "text", K, "doc_id", dim=DIM)
+
+
+@query(f"""WITH {CHUNKS}, a AS ({_cells("chunks", "doc_id, chunk_no", "chunk")})
+           SELECT doc_id, chunk_no, CAST({DIM} AS INTEGER) AS width, CAST(SUM(n) AS DOUBLE) AS total,
+                  CAST(MAX(n) AS DOUBLE) AS largest FROM a GROUP BY 1, 2""")
+def embed_chunks(spark, sf):
+    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM)
+    vector = F.transform("embedding", lambda x: x.cast("double"))
+    return index.select("doc_id", "chunk_no", F.size("embedding").alias("width"),
+                        F.aggregate(vector, F.lit(0.0), lambda a, x: a + x).alias("total"),
+                        F.array_max(vector).alias("largest"))
+
+
+@query()
+def sensor_log_index(spark, sf):
+    columns = TEXT_COLUMNS | {"status": "status"}
+    index = retrieval.sensor_log_index(readings(spark, sf), 500, ["l_orderkey", "l_linenumber", "l_partkey"], columns)
+    return index.select("l_orderkey", "l_linenumber", "l_partkey", "status", "searchable_text",
+                        F.size("embedding").alias("width"))

@@ -1 +1,70 @@
-"""Registered queries."""
+"""Streaming jobs: each drains the event files once and the result is read back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.marts import daily_conditional
+from ..session import new_folder
+from ..streaming import jobs
+from .checks import CASES_SQL, EVENTS
+from .registry import query, table
+from .reports import CONDITIONAL_SQL
+
+
+def stream(spark, sf):
+    return jobs.file_stream(spark, sf, table(spark, sf, "events").schema, pattern="events.parquet")
+
+
+def raw_stream(spark, sf):
+    return stream(spark, sf).select("event_id", "user_id", "event_type", F.col("ts").cast("string").alias("timestamp"),
+                                    F.col("value").alias("amount"))
+
+
+@query("""SELECT event_id, user_id, event_type, ts AS event_ts, value AS amount FROM events
+          WHERE user_id IS NOT NULL AND event_type IN ('click', 'view', 'purchase')""")
+def stream_stage(spark, sf):
+    root = new_folder(spark, "stream_stage")
+    jobs.incremental_stage(raw_stream(spark, sf), f"{root}/staged", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/staged").drop("timestamp")
+
+
+@query(f"""SELECT date, total_events, purchases, revenue FROM ({CONDITIONAL_SQL}) d
+           WHERE date + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM events)""")
+def stream_daily_metrics(spark, sf):
+    root = new_folder(spark, "stream_daily")
+    jobs.incremental_daily_metrics(stream(spark, sf), f"{root}/daily", f"{root}/checkpoint", ts="ts", amount="value")
+    # Users are a sketch here and therefore not compared.
+    return spark.read.parquet(f"{root}/daily").drop("daily_active_users")
+
+
+@query(CONDITIONAL_SQL)
+def stream_recompute_days(spark, sf):
+    root = new_folder(spark, "stream_days")
+    jobs.recompute_days(stream(spark, sf), f"{root}/staged", f"{root}/daily", f"{root}/checkpoint",
+                        lambda df: daily_conditional(df, "ts", "user_id", "event_type", "value"), ts="ts")
+    return spark.read.parquet(f"{root}/daily").drop("day")
+
+
+@query("""WITH g AS (SELECT *, LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events),
+          n AS (SELECT *, SUM(CASE WHEN p IS NULL OR ts > p + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                          OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM g),
+          x AS (SELECT user_id, s, MIN(ts) AS session_start, MAX(ts) AS session_last, COUNT(*) AS events FROM n GROUP BY 1, 2)
+          SELECT user_id, session_start, session_last, events FROM x
+          WHERE session_last + INTERVAL 30 MINUTE <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)""")
+def stream_sessions(spark, sf):
+    root = new_folder(spark, "stream_sessions")
+    jobs.stream_sessions(stream(spark, sf), f"{root}/sessions", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/sessions")
+
+
+@query(f"""SELECT CASE WHEN event_id IN (SELECT event_id FROM ({CASES_SQL}) x) THEN 'rejected' ELSE 'valid' END AS part,
+           COUNT(*) AS rows FROM events GROUP BY 1""")
+def stream_quality_gate(spark, sf):
+    root = new_folder(spark, "stream_gate")
+    checked = stream(spark, sf).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("minute"),
+                                       "event_type", "value", "props")
+    jobs.stream_quality_gate(checked, EVENTS, f"{root}/valid", f"{root}/rejected", f"{root}/checkpoint")
+    parts = [spark.read.parquet(f"{root}/{p}").agg(F.lit(p).alias("part"), F.count("*").alias("rows"))
+             for p in ("valid", "rejected")]
+    return parts[0].unionByName(parts[1])

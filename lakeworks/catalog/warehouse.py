@@ -20,7 +20,7 @@ def warehouse_views(spark, sf):
     register_views(spark, f"{sf}/lineitem.parquet", columns=trip_columns(), distance_max=45, amount_max=100_000)
     return spark.sql("""
         SELECT pickup_zone, count(*) AS trips, (SELECT count(*) FROM trips) AS all_trips,
-               floor(CAST(sum(CAST(rint(clean_amount * 100) AS BIGINT)) AS DOUBLE) / 100.0 * 100 + 0.5) / 100.0 AS revenue
+               floor(CAST(sum(CAST(rint(clean_amount * 100) AS BIGINT)) AS DOUBLE) + 0.5D) / 100.0D AS revenue
         FROM clean_trips GROUP BY pickup_zone""")
 
 

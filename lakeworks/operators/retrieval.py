@@ -7,11 +7,11 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import round_to
-from ..functions.vector import cosine_similarity
+from ..functions.vector import dot, norm
 from ..session import new_folder
 from .clean import render_text, sample_rows
 
@@ -68,11 +68,28 @@ def embed(df: DataFrame, text: str, encoder: Callable[[], Encoder] | None = None
     return df.withColumn(name, encode(F.col(text)))
 
 
-def topk_cosine(df: DataFrame, query: Column, k: int, key: Sequence[str], fields: Sequence[str] = (),
-                vector: str = "embedding") -> DataFrame:
+def with_similarity(df: DataFrame, query: DataFrame | Sequence[float], vector: str = "embedding",
+                    name: str = "similarity") -> DataFrame:
+    """Add the cosine of every row to one query vector.
+
+    ``query`` is a one-row, one-column DataFrame (read as a scalar subquery together
+    with its norm) or a list of numbers.
+    """
+    if isinstance(query, DataFrame):
+        q = F.col(query.columns[0])
+        pair = query.select(F.struct(q.alias("v"), norm(q).alias("n"))).scalar()
+    else:
+        literal = F.lit([float(x) for x in query])
+        pair = F.struct(literal.alias("v"), norm(literal).alias("n"))
+    asked = df.withColumn("_q", pair)
+    cosine = F.try_divide(dot(vector, F.col("_q.v")), norm(vector) * F.col("_q.n"))
+    return asked.withColumn(name, round_to(F.coalesce(cosine, F.lit(0.0)), DIGITS)).drop("_q")
+
+
+def topk_cosine(df: DataFrame, query: DataFrame | Sequence[float], k: int, key: Sequence[str],
+                fields: Sequence[str] = (), vector: str = "embedding") -> DataFrame:
     """The ``k`` rows most similar to one query vector. Each task keeps its own best ``k``."""
-    similarity = round_to(cosine_similarity(F.col(vector), query), DIGITS)
-    return (df.select(*key, *fields, similarity.alias("similarity"))
+    return (with_similarity(df, query, vector).select(*key, *fields, "similarity")
             .orderBy(F.desc("similarity"), *key).limit(k))
 
 
@@ -161,8 +178,7 @@ def topk_ann(df: DataFrame, query: Sequence[float], k: int, key: str, vector: st
     lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hash", numHashTables=tables,
                                       bucketLength=bucket, seed=seed)
     near = lsh.fit(unit).approxNearestNeighbors(unit, Vectors.dense(q / length), k, distCol="_d")
-    exact = round_to(cosine_similarity(F.col(vector), F.lit([float(x) for x in q])), DIGITS)
-    return near.select(key, exact.alias("similarity")).orderBy(F.desc("similarity"), key)
+    return with_similarity(near, list(q), vector).select(key, "similarity").orderBy(F.desc("similarity"), key)
 
 
 def chunk_documents(docs: DataFrame, doc: str, text: str, size: int = 200, overlap: int = 0) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 MANIFEST = ("name string, snapshot string, message string, metadata map<string,string>, "
             "inputs map<string,string>, row_count bigint, content_hash string, schema string, seq bigint")
 REFS = "name string, ref string, snapshot string, seq bigint"
@@ -69,12 +71,10 @@ class VersionStore:
          .write.mode("append").parquet(f"{self.root}/{table}"))
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
-        except Exception as e:  # noqa: BLE001 - only an absent folder means "no rows yet"
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        path = f"{self.root}/{table}"
+        if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     def manifest(self, name: str | None = None) -> DataFrame:
         rows = self._read("manifest", MANIFEST)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import TAXI_COLUMNS, clean_trips
+from ..session import path_exists
 from ..sources.readers import file_listing, scan_partitioned
 from .versions import VersionStore
 
@@ -24,16 +25,6 @@ def register_functions(spark: SparkSession) -> None:
                  RETURNS DOUBLE RETURN try_divide(distance, minutes) * 60""")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).schema
-        return True
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e):
-            return False
-        raise
-
-
 def register_views(spark: SparkSession, trips_root: str, summary: str | None = None,
                    columns: Mapping[str, str | Column] = TAXI_COLUMNS, **limits) -> list[str]:
     """Views trips, clean_trips and, if its files are there, daily_summary; plus the SQL functions."""

@@ -18,10 +18,11 @@ from ..operators.clean import clean_events
 from ..quality.schema import TableSchema
 
 
-def file_stream(spark: SparkSession, source: str, schema: StructType | str, fmt: str = "parquet",
-                max_files: int = 1000) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, schema: StructType | str, fmt: str = "parquet",
+                pattern: str = "*", max_files: int = 1000) -> DataFrame:
+    """New files of a folder whose names match ``pattern``."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-            .format(fmt).load(source))
+            .option("pathGlobFilter", pattern).format(fmt).load(folder))
 
 
 def _run(writer, wait: bool) -> StreamingQuery:
