@@ -123,10 +123,15 @@ def keep_latest(spark, sf):
     return clean.keep_latest(events, "user_id", "ts", "event_id")
 
 
-@query()
+SAMPLE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+SAMPLE_SQL = f"""SELECT *, {STATUS_SQL} AS status FROM lineitem WHERE {STATUS_SQL} <> 'normal'
+                 ORDER BY md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')), l_orderkey LIMIT 500"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, status FROM ({SAMPLE_SQL}) s")
 def sample_rows(spark, sf):
-    return clean.sample_rows(readings(spark, sf).where("status <> 'normal'"), 500,
-                             ["l_orderkey", "l_linenumber", "l_partkey"])
+    abnormal = readings(spark, sf).where("status <> 'normal'")
+    return clean.sample_rows(abnormal, 500, SAMPLE_KEYS).select(*SAMPLE_KEYS, "status")
 
 
 TEXT_COLUMNS = SENSORS | {"device_type": "l_returnflag", "sensor_id": "l_orderkey", "facility": "l_linestatus"}
@@ -261,27 +266,37 @@ def match_one_to_one(spark, sf):
                                         strict=True)
 
 
-@query(f"""WITH {FEEDS_SQL} SELECT bank_id, amount, t AS timestamp, 'UNMATCHED_BANK' AS status FROM bank
-           WHERE bank_id NOT IN (SELECT bank_id FROM matches)""")
+UNMATCHED_SQL = """SELECT {id}, amount, t AS timestamp, '{status}' AS status FROM {side}
+                   WHERE {id} NOT IN (SELECT {id} FROM matches)"""
+UNMATCHED_BANK = f"WITH {FEEDS_SQL} " + UNMATCHED_SQL.format(id="bank_id", status="UNMATCHED_BANK", side="bank")
+UNMATCHED_LEDGER = f"WITH {FEEDS_SQL} " + UNMATCHED_SQL.format(id="ledger_id", status="UNMATCHED_LEDGER", side="ledger")
+
+
+@query(UNMATCHED_BANK)
 def unmatched_bank(spark, sf):
-    b, _, matches = feeds(spark, sf)
-    return reconcile.find_unmatched(b, matches, "bank_id", "UNMATCHED_BANK")
+    b, r, _ = feeds(spark, sf)
+    return reconcile.unmatched(b, r, "UNMATCHED_BANK")
 
 
-@query(f"""WITH {FEEDS_SQL} SELECT ledger_id, amount, t AS timestamp, 'UNMATCHED_LEDGER' AS status FROM ledger
-           WHERE ledger_id NOT IN (SELECT ledger_id FROM matches)""")
+@query(UNMATCHED_LEDGER)
 def unmatched_ledger(spark, sf):
-    _, r, matches = feeds(spark, sf)
-    return reconcile.find_unmatched(r, matches, "ledger_id", "UNMATCHED_LEDGER")
+    b, r, _ = feeds(spark, sf)
+    return reconcile.unmatched(r, b, "UNMATCHED_LEDGER")
+
+
+@query(UNMATCHED_BANK)
+def unmatched_bank_by_id(spark, sf):
+    b, _, matches = feeds(spark, sf)
+    return reconcile.find_unmatched(b, matches, "bank_id", "UNMATCHED_BANK")
 
 
 @query(f"""WITH {FEEDS_SQL}
-           SELECT (SELECT CAST(SUM(b.c) AS BIGINT) FROM bank b JOIN matches m ON b.bank_id = m.bank_id) AS bank_cents,
-                  (SELECT CAST(SUM(b.c) AS BIGINT) FROM bank b WHERE b.bank_id IN (SELECT bank_id FROM matches)) AS bank_cents_once""")
+           SELECT (SELECT CAST(SUM(b.c) AS DOUBLE) / 100.0 FROM bank b JOIN matches m ON b.bank_id = m.bank_id) AS total,
+                  (SELECT CAST(SUM(b.c) AS DOUBLE) / 100.0 FROM bank b WHERE b.bank_id IN (SELECT bank_id FROM matches)) AS total_once""")
 def matched_total(spark, sf):
     b, _, matches = feeds(spark, sf)
-    return spark.range(1).select(reconcile.matched_total(b, matches, "bank_id").alias("bank_cents"),
-                                 reconcile.matched_total(b, matches, "bank_id", distinct=True).alias("bank_cents_once"))
+    return spark.range(1).select(reconcile.matched_total(b, matches, "bank_id").alias("total"),
+                                 reconcile.matched_total(b, matches, "bank_id", distinct=True).alias("total_once"))
 
 
 REPORT_SQL = f"""WITH {FEEDS_SQL}, report AS (
@@ -298,7 +313,7 @@ def recon_report(spark, sf):
     return reconcile.recon_report(*feeds(spark, sf))
 
 
-@query(f"""WITH {FEEDS_SQL},
+RULE_ROWS_SQL = f"""WITH {FEEDS_SQL},
   t AS (SELECT (SELECT CAST(SUM(b.c) AS DOUBLE) / 100.0 FROM bank b JOIN matches m ON b.bank_id = m.bank_id) AS b,
                (SELECT CAST(SUM(l.c) AS DOUBLE) / 100.0 FROM ledger l JOIN matches m ON l.ledger_id = m.ledger_id) AS l),
   d AS (SELECT COUNT(*) AS d FROM (SELECT bank_id FROM matches GROUP BY 1 HAVING COUNT(*) > 1) x),
@@ -308,9 +323,18 @@ def recon_report(spark, sf):
          printf('Bank: $%.2f | Ledger: $%.2f', b, l) AS message FROM t
   UNION ALL SELECT 'No duplicate bank matches', d = 0, CASE WHEN d = 0 THEN 'OK' ELSE printf('Found %d duplicates', d) END FROM d
   UNION ALL SELECT 'Match rate >= 80%', m / n >= 0.8, printf('%.1f%% (%d/%d)', 100.0 * m / n, m, n) FROM k
-  UNION ALL SELECT 'Time differences <= 5min', w <= 300, printf('Max: %ds', w) FROM k""")
+  UNION ALL SELECT 'Time differences <= 5min', w <= 300, printf('Max: %ds', w) FROM k"""
+
+
+@query(RULE_ROWS_SQL)
 def recon_rules(spark, sf):
-    return reconcile.recon_rules(*feeds(spark, sf))
+    b, r, _ = feeds(spark, sf)
+    return reconcile.recon_rules(reconcile.measure_feeds(b, r))
+
+
+@query(RULE_ROWS_SQL)
+def recon_rules_of_matches(spark, sf):
+    return reconcile.recon_rules(reconcile.measure_matches(*feeds(spark, sf)))
 
 
 @query(REPORT_SQL + f" SELECT status, COUNT(*) AS n, {msum('amount')} AS total FROM report GROUP BY 1")

@@ -162,16 +162,24 @@ def export_tables(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query()
+@query("""SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+          'small' AS verdict FROM orders""")
 def partition_report(spark, sf):
     path = new_folder(spark, "by_date")
     layout.write_by_date(table(spark, sf, "orders"), path, "o_orderdate")
-    return layout.partition_report(spark, path)
+    part = [F.regexp_extract("path", rf"{k}=(\d+)", 1).cast("int").alias(k) for k in ("year", "month")]
+    return layout.partition_report(spark, path).select(*part, "verdict").distinct()
 
 
-@query()
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, COUNT(*) AS num_rows, TRUE AS shrunk FROM {t}" for t in TABLES))
 def footer_report(spark, sf):
-    return layout.footer_report(spark, sf)
+    report = layout.footer_report(spark, sf)
+    return report.select(F.regexp_extract("path", r"([a-z]+)\.parquet", 1).alias("name"), "num_rows",
+                         (F.col("compressed_bytes") <= F.col("file_bytes")).alias("shrunk"))
 
 
 @query("SELECT COUNT(*) AS num_rows FROM orders")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import retrieval
 from ..session import new_folder
-from .cleaning import TEXT_COLUMNS, readings
+from .cleaning import SAMPLE_KEYS, SAMPLE_SQL, TEXT_COLUMNS, TEXT_SQL, readings
 from .registry import query, table
 
 K, DIM, WORDS = 10, 384, 200
@@ -105,9 +105,8 @@ def embed_chunks(spark, sf):
                         F.array_max(vector).alias("largest"))
 
 
-@query()
+@query(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {TEXT_SQL} AS searchable_text,
+           CAST({DIM} AS INTEGER) AS width FROM ({SAMPLE_SQL}) s""")
 def sensor_log_index(spark, sf):
-    columns = TEXT_COLUMNS | {"status": "status"}
-    index = retrieval.sensor_log_index(readings(spark, sf), 500, ["l_orderkey", "l_linenumber", "l_partkey"], columns)
-    return index.select("l_orderkey", "l_linenumber", "l_partkey", "status", "searchable_text",
-                        F.size("embedding").alias("width"))
+    index = retrieval.sensor_log_index(readings(spark, sf), 500, SAMPLE_KEYS, TEXT_COLUMNS, dim=DIM)
+    return index.select(*SAMPLE_KEYS, "searchable_text", F.size("embedding").alias("width"))

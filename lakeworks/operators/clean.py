@@ -116,8 +116,13 @@ def keep_latest(df: DataFrame, key: str, ts: str, tie_break: str | None = None)
 
 
 def sample_rows(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """``n`` rows in hash order: the same rows for any partitioning. Filter before sampling."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    """``n`` rows in the order of a hash of ``keys`` and the seed.
+
+    The same rows come out for any partitioning, and each task keeps at most ``n``.
+    Filter before sampling.
+    """
+    tag = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(tag, *keys).limit(n)
 
 
 def sensor_text(columns: Mapping[str, str] | None = None) -> Column:

@@ -221,7 +221,7 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
         counts = (keyed.groupBy(*keys, "c").agg(rows().alias("n"), F.sum("d").alias("d"), F.count("d").alias("nd"))
                   .withColumn("v", F.when(F.col("c").isNull(), 0).otherwise(F.col("n"))))
         zone_rows = Window.partitionBy(*keys)
-        placed = (counts.withColumn("upto", F.sum("v").over(zone_rows.orderBy("c")))
+        placed = (counts.withColumn("upto", F.sum("v").over(zone_rows.orderBy("c").rowsBetween(Window.unboundedPreceding, 0)))
                   .withColumn("all", F.sum("v").over(zone_rows)))
 
         def holds(rank: Column) -> Column:

@@ -83,16 +83,36 @@ def find_unmatched(df: DataFrame, matches: DataFrame, id_col: str, status: str)
     return df.join(found, id_col, "left_anti").drop(*MATCH_KEYS).withColumn("status", F.lit(status))
 
 
+def unmatched(df: DataFrame, other: DataFrame, status: str, tolerance: int = 60) -> DataFrame:
+    """The same straight from the feeds, without forming any pair (ids must be unique).
+
+    The other side is reduced to its distinct seconds per date and amount, so a row
+    is compared with at most two slots of seconds, however many transactions share them.
+    """
+    seconds = other.select(*MATCH_KEYS).distinct().select(
+        F.col("date").alias("_d"), F.col("amount_cents").alias("_a"), F.col("time_seconds").alias("_s"),
+        _slots(F.col("time_seconds"), tolerance).alias("_slot"))
+    near = ((F.col("date") == F.col("_d")) & (F.col("amount_cents") == F.col("_a"))
+            & (_slot(F.col("time_seconds"), tolerance) == F.col("_slot"))
+            & (F.abs(F.col("time_seconds") - F.col("_s")) <= tolerance))
+    return df.join(seconds, near, "left_anti").drop(*MATCH_KEYS).withColumn("status", F.lit(status))
+
+
+def _exact(amount: str) -> Column:
+    """Amounts to a millionth, so that sub-cent differences between the sides still count."""
+    return F.col(amount).cast("decimal(28,6)")
+
+
 def matched_total(df: DataFrame, matches: DataFrame, id_col: str, amount: str = "amount",
                   distinct: bool = False) -> Column:
-    """Total of the matched rows of one side, in cents, as a scalar subquery.
+    """Total of one side's own amounts over the matched ids, as a scalar subquery.
 
     A row in several matches counts once per match, or once with ``distinct``.
     """
-    times = matches.groupBy(id_col).agg(F.count("*").alias("_times"))
-    weight = F.lit(1) if distinct else F.col("_times")
-    joined = df.join(times, id_col)
-    return joined.agg(F.coalesce(F.sum(cents(amount) * weight), F.lit(0))).scalar()
+    times = matches.groupBy(id_col).agg(F.count("*").cast("decimal(18,0)").alias("_times"))
+    weight = F.lit(1).cast("decimal(18,0)") if distinct else F.col("_times")
+    total = F.coalesce(F.sum(_exact(amount) * weight).cast("double"), F.lit(0.0))
+    return df.join(times, id_col).agg(total).scalar()
 
 
 def recon_report(bank: DataFrame, ledger: DataFrame, matches: DataFrame) -> DataFrame:
@@ -113,29 +133,69 @@ def recon_report(bank: DataFrame, ledger: DataFrame, matches: DataFrame) -> Data
     return union.select(*columns).orderBy(F.asc_nulls_last("bank_time"), F.asc_nulls_last("ledger_time"))
 
 
-def recon_rules(bank: DataFrame, ledger: DataFrame, matches: DataFrame, max_total_diff: float = 0.01,
-                min_rate: float = 0.80, max_seconds: int = 300, run_timestamp=None) -> DataFrame:
-    """(rule, passed, message) for the four acceptance rules. Each rule reduces to one row."""
-    spark = bank.sparkSession
-    one = spark.range(1)
-    totals = one.select((matched_total(bank, matches, "bank_id") / F.lit(100.0)).alias("b"),
-                        (matched_total(ledger, matches, "ledger_id") / F.lit(100.0)).alias("l"))
-    rule1 = totals.select(F.lit("Matched totals equal").alias("rule"),
-                          (F.abs(F.col("b") - F.col("l")) < max_total_diff).alias("passed"),
-                          F.format_string("Bank: $%.2f | Ledger: $%.2f", "b", "l").alias("message"))
-    dups = matches.groupBy("bank_id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1).alias("d"))
-    rule2 = dups.select(F.lit("No duplicate bank matches").alias("rule"), (F.col("d") == 0).alias("passed"),
-                        F.when(F.col("d") == 0, "OK")
-                        .otherwise(F.format_string("Found %d duplicates", "d")).alias("message"))
-    counts = matches.agg(F.count("*").alias("m"), F.max(F.abs("time_diff_seconds")).alias("w")).select(
-        "m", F.coalesce("w", F.lit(0)).cast("bigint").alias("w"), bank.agg(F.count("*")).scalar().alias("t"))
-    rate = F.coalesce(F.try_divide(F.col("m").cast("double"), F.col("t").cast("double")), F.lit(0.0))
-    rule3 = counts.select(F.lit(f"Match rate >= {min_rate:.0%}").alias("rule"), (rate >= min_rate).alias("passed"),
-                          F.format_string("%.1f%% (%d/%d)", rate * 100, "m", "t").alias("message"))
-    rule4 = counts.select(F.lit(f"Time differences <= {max_seconds // 60}min").alias("rule"),
-                          (F.col("w") <= max_seconds).alias("passed"),
-                          F.format_string("Max: %ds", "w").alias("message"))
-    rules = rule1.unionByName(rule2).unionByName(rule3).unionByName(rule4)
+def measure_matches(bank: DataFrame, ledger: DataFrame, matches: DataFrame) -> DataFrame:
+    """What the rules need, in one row, from given matches."""
+    dups = matches.groupBy("bank_id").agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") > 1)).scalar()
+    return matches.agg(
+        matched_total(bank, matches, "bank_id").alias("bank_total"),
+        matched_total(ledger, matches, "ledger_id").alias("ledger_total"), dups.alias("duplicates"),
+        F.count("*").alias("pairs"), bank.agg(F.count("*")).scalar().alias("bank_rows"),
+        F.coalesce(F.max(F.abs("time_diff_seconds")), F.lit(0)).cast("bigint").alias("max_seconds"))
+
+
+def _per_second(df: DataFrame, side: str) -> DataFrame:
+    return df.groupBy(*MATCH_KEYS).agg(
+        F.count("*").alias(f"{side}_n"), F.sum(_exact("amount")).alias(f"{side}_total"),
+        F.min("timestamp").alias(f"{side}_min"), F.max("timestamp").alias(f"{side}_max"))
+
+
+def measure_feeds(bank: DataFrame, ledger: DataFrame, tolerance: int = 60) -> DataFrame:
+    """The same row straight from the feeds, counting pairs instead of forming them.
+
+    Both sides are first reduced to one row per date, amount and second. A second
+    meets at most ``2 * tolerance + 1`` others, so the work is linear in the number
+    of seconds even if one amount or one minute holds a third of all rows.
+    """
+    left = _per_second(bank, "b").withColumn("slot", _slot(F.col("time_seconds"), tolerance))
+    right = (_per_second(ledger, "l").withColumn("slot", _slots(F.col("time_seconds"), tolerance))
+             .withColumnRenamed("time_seconds", "l_seconds"))
+    met = (left.join(right, ["date", "amount_cents", "slot"])
+           .where(F.abs(F.col("time_seconds") - F.col("l_seconds")) <= tolerance))
+    widest = F.greatest(F.abs(elapsed_seconds("b_max", "l_min")), F.abs(elapsed_seconds("l_max", "b_min")))
+
+    def times(total: Column, n: Column) -> Column:
+        return total * n.cast("decimal(18,0)")
+
+    per = met.groupBy("date", "amount_cents", "time_seconds").agg(
+        F.max("b_n").alias("b_n"), F.max("b_total").alias("b_total"), F.sum("l_n").alias("m"),
+        F.sum("l_total").alias("l_total"), F.max(widest).alias("w"))
+    return per.agg(
+        F.coalesce(F.sum(times(F.col("b_total"), F.col("m"))).cast("double"), F.lit(0.0)).alias("bank_total"),
+        F.coalesce(F.sum(times(F.col("l_total"), F.col("b_n"))).cast("double"), F.lit(0.0)).alias("ledger_total"),
+        F.coalesce(F.sum(F.when(F.col("m") > 1, F.col("b_n"))), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(F.col("b_n") * F.col("m")), F.lit(0)).alias("pairs"),
+        bank.agg(F.count("*")).scalar().alias("bank_rows"),
+        F.coalesce(F.max("w"), F.lit(0)).cast("bigint").alias("max_seconds"))
+
+
+def recon_rules(measured: DataFrame, max_total_diff: float = 0.01, min_rate: float = 0.80,
+                max_seconds: int = 300, run_timestamp=None) -> DataFrame:
+    """(rule, passed, message) for the four acceptance rules, from one row of measures."""
+    rate = F.coalesce(F.try_divide(F.col("pairs").cast("double"), F.col("bank_rows").cast("double")), F.lit(0.0))
+
+    def rule(name: str, passed: Column, message: Column) -> Column:
+        return F.struct(F.lit(name).alias("rule"), passed.alias("passed"), message.alias("message"))
+
+    once = F.col("duplicates") == 0
+    rules = measured.select(F.inline(F.array(
+        rule("Matched totals equal", F.abs(F.col("bank_total") - F.col("ledger_total")) < max_total_diff,
+             F.format_string("Bank: $%.2f | Ledger: $%.2f", "bank_total", "ledger_total")),
+        rule("No duplicate bank matches", once,
+             F.when(once, "OK").otherwise(F.format_string("Found %d duplicates", "duplicates"))),
+        rule(f"Match rate >= {min_rate:.0%}", rate >= min_rate,
+             F.format_string("%.1f%% (%d/%d)", rate * 100, "pairs", "bank_rows")),
+        rule(f"Time differences <= {max_seconds // 60}min", F.col("max_seconds") <= max_seconds,
+             F.format_string("Max: %ds", "max_seconds")))))
     return rules if run_timestamp is None else rules.withColumn(
         "run_timestamp", F.lit(run_timestamp).cast("timestamp_ntz"))
 

@@ -103,23 +103,25 @@ def _search(index: DataFrame, vectors: np.ndarray, ids: list, query_type: str, k
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     id_values = np.asarray(ids)
 
+    step = max(1, 4_000_000 // max(1, len(id_values)))  # rows multiplied at a time
+
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
-        for batch in batches:
-            if batch.empty:
-                continue
-            batch = batch.sort_values(key)  # a stable sort below then breaks ties by key
-            rows = np.stack(batch[vector].to_numpy()).astype(np.float64)
-            size = np.sqrt((rows * rows).sum(axis=1))[:, None] * norms[None, :]
-            cosine = np.divide(rows @ vectors.T, size, out=np.zeros_like(size), where=size > 0)
-            cosine = np.sign(cosine) * np.floor(np.abs(cosine) * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
-            top = np.argsort(-cosine, axis=0, kind="stable")[:k]
-            found = batch[key].iloc[top.T.ravel()].reset_index(drop=True)
-            found[query] = np.repeat(id_values, top.shape[0])
-            found["similarity"] = np.take_along_axis(cosine, top, axis=0).T.ravel()
-            kept = found if kept is None else pd.concat([kept, found])
-            if len(kept) > 4 * k * len(id_values):
-                kept = _best(kept, query, key, k)
+        for whole in batches:
+            whole = whole.sort_values(key)  # a stable sort below then breaks ties by key
+            for at in range(0, len(whole), step):
+                part = whole.iloc[at:at + step]
+                rows = np.stack(part[vector].to_numpy()).astype(np.float64)
+                size = np.sqrt((rows * rows).sum(axis=1))[:, None] * norms[None, :]
+                cosine = np.divide(rows @ vectors.T, size, out=np.zeros_like(size), where=size > 0)
+                cosine = np.sign(cosine) * np.floor(np.abs(cosine) * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
+                top = np.argsort(-cosine, axis=0, kind="stable")[:k]
+                found = part[key].iloc[top.T.ravel()].reset_index(drop=True)
+                found[query] = np.repeat(id_values, top.shape[0])
+                found["similarity"] = np.take_along_axis(cosine, top, axis=0).T.ravel()
+                kept = found if kept is None else pd.concat([kept, found])
+                if len(kept) > 4 * k * len(id_values):
+                    kept = _best(kept, query, key, k)
         if kept is not None:
             yield _best(kept, query, key, k)
 
@@ -129,7 +131,7 @@ def _search(index: DataFrame, vectors: np.ndarray, ids: list, query_type: str, k
 
 
 def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str,
-                      vector: str = "embedding", block_rows: int = 50_000) -> DataFrame:
+                      vector: str = "embedding", block_rows: int = 10_000) -> DataFrame:
     """The ``k`` most similar index rows of every query: (query, rank, key, similarity).
 
     Query vectors go to the tasks in blocks of at most ``block_rows`` rows. A task

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import (clean_events, keep_latest, normalise_text_num, snapshot_inventory, stage_orders)
 from ..operators.joins import enrich
 from ..operators.marts import daily_event_metrics, daily_order_stats, daily_revenue
-from ..operators.reconcile import match_transactions, prepare, recon_report, recon_rules
+from ..operators.reconcile import match_transactions, measure_feeds, prepare, recon_report, recon_rules
 from ..quality.contracts import Contract, keeps_rows
 from ..quality.metrics import observed, revenue_measure, run_metrics, total_mismatch
 from ..quality.rules import RuleLog, future_orders, orphan_orders, require_no_critical, revenue_anomaly
@@ -92,10 +92,10 @@ def event_run(raw: DataFrame, target: str) -> DataFrame:
 
 def reconcile(bank: DataFrame, ledger: DataFrame, report_path: str, rules_path: str, tolerance: int = 60,
               run_timestamp: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Match, report, check. Matches are stored once and read by the report and by all rules."""
+    """Match, report, check. Matches are stored once and read three times by the report."""
     spark = bank.sparkSession
     b, r = prepare(bank), prepare(ledger)
     matches = cut_lineage(match_transactions(b, r, tolerance), "matches")
     write_parquet(recon_report(b, r, matches), report_path, "snappy", mode="overwrite")
-    write_parquet(recon_rules(b, r, matches, run_timestamp=run_timestamp), rules_path, "snappy", mode="overwrite")
+    write_parquet(recon_rules(measure_feeds(b, r, tolerance), run_timestamp=run_timestamp), rules_path, "snappy", mode="overwrite")
     return spark.read.parquet(report_path), spark.read.parquet(rules_path)
