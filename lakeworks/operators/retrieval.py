@@ -125,9 +125,12 @@ def _search(index: DataFrame, vectors: np.ndarray, ids: list, query_type: str, k
         if kept is not None:
             yield _best(kept, query, key, k)
 
+    return index.select(*key, vector).mapInPandas(scan, _found_schema(index, key, query, query_type))
+
+
+def _found_schema(index: DataFrame, key: list[str], query: str, query_type: str) -> str:
     types = dict(index.dtypes)
-    schema = ", ".join([f"{c} {types[c]}" for c in key] + [f"{query} {query_type}", "similarity double"])
-    return index.select(*key, vector).mapInPandas(scan, schema)
+    return ", ".join([f"{c} {types[c]}" for c in key] + [f"{query} {query_type}", "similarity double"])
 
 
 def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str,
@@ -147,13 +150,15 @@ def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequenc
         "_b", F.pmod(F.xxhash64(query), F.lit(2 * blocks)))  # twice as many: uneven hashing stays under the bound
     query_type = dict(queries.dtypes)[query]
     folder = new_folder(spark, "topk") if blocks > 1 else None
-    found = None
+    found = spark.createDataFrame([], _found_schema(index, key, query, query_type))
     for b in range(1 if blocks == 1 else 2 * blocks):
         part = numbered if blocks == 1 else numbered.where(F.col("_b") == b)
         rows = part.select(query, vector).collect()
-        vectors = np.asarray([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+        if not rows:
+            continue
+        vectors = np.asarray([r[1] for r in rows], dtype=np.float64)
         found = _search(index, vectors, [r[0] for r in rows], query_type, k, key, query, vector)
-        if folder and rows:
+        if folder:
             found.write.mode("append").parquet(folder)
     if folder:
         found = spark.read.parquet(folder)

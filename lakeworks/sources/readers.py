@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 
 def scan_parquet(spark: SparkSession, *paths: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -56,7 +56,7 @@ def scan_json_array(spark: SparkSession, *paths: str, schema: StructType | str,
 
 def scan_json_pages(spark: SparkSession, *paths: str, field: str, item_schema: StructType) -> DataFrame:
     """Pages of a paged response, each wrapping its rows in ``field``; one output row per item."""
-    wrapper = StructType().add(field, f"array<{item_schema.simpleString()}>")
+    wrapper = StructType().add(field, ArrayType(item_schema))
     pages = spark.read.schema(wrapper).option("multiLine", True).option("mode", "FAILFAST").json(list(paths))
     return pages.select(F.inline(field))
 
