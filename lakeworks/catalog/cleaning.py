@@ -39,6 +39,13 @@ def add_fee(spark, sf):
     return clean.add_fee(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice")
 
 
+@query("""SELECT o_orderkey, o_totalprice, o_totalprice * 0.029 AS fee FROM orders
+          WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 5""")
+def head_of_filtered(spark, sf):
+    paid = table(spark, sf, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
+    return clean.add_fee(paid, "o_totalprice").orderBy("o_orderkey").limit(5)
+
+
 @query("""SELECT event_id, value FROM events
           WHERE value BETWEEN 10 AND 50 AND event_type IN ('click', 'view') AND props IS NOT NULL
             AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'""")

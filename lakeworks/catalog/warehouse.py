@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import marts
 from ..plans import versions
-from ..plans.pipelines import event_run, multi_source_run, reconcile
+from ..plans.pipelines import event_run, multi_source_run, quality_pipeline, reconcile
 from ..plans.warehouse import materialise, materialise_cached, materialise_if_stale, register_views
+from ..quality.rules import RuleLog
 from ..session import new_folder
+from ..sources.writers import write_csv
 from .cleaning import raw_events
 from .registry import TRIPS_SQL, bank, ledger, msum, query, table, trip_columns, trips, trunc
 from .reports import MONTHLY_ZONES, P
@@ -105,6 +107,22 @@ def reconcile_run(spark, sf):
                       F.count_distinct("bank_id").alias("bank_rows"))
 
 
+@query("""SELECT o_orderkey::VARCHAR AS order_id, o_custkey AS customer_id, ROUND(o_totalprice, 2) AS amount,
+          CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'P' THEN 'pending' ELSE 'shipped' END AS status FROM orders""")
+def quality_pipeline_run(spark, sf):
+    status = F.when(F.col("o_orderstatus") == "F", "delivered").when(F.col("o_orderstatus") == "P", "pending").otherwise("shipped")
+    orders = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"), F.col(P).alias("amount"),
+        F.lit(1).alias("quantity"), status.alias("status"))
+    source = new_folder(spark, "orders_csv")
+    write_csv(orders, source)
+    customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))
+    done = quality_pipeline(spark, source, new_folder(spark, "orders_checked"), customers,
+                            RuleLog(spark, new_folder(spark, "quality_log")), as_of="2024-01-01")
+    return done.select("order_id", "customer_id", "amount", "status")
+
+
 # --- versions ---
 
 @query(f"SELECT o_orderstatus AS status, COUNT(*) AS orders, {msum(P)} AS revenue FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")

@@ -25,8 +25,15 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def content_hash(columns: Sequence[str]) -> Column:
-    """Order-independent hash of all rows: a sum, so partitioning does not matter."""
-    return F.coalesce(F.sum(row_hash(columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string")
+    """Order-independent hash of all rows: sums, so partitioning does not matter.
+
+    The 64 bits are summed in three pieces. Each sum is a bigint that cannot
+    overflow below 2^41 rows, which keeps the aggregation in generated code.
+    """
+    h = row_hash(columns)
+    low = F.lit((1 << 21) - 1).cast("bigint")
+    pieces = [F.shiftright(h, 42), F.shiftright(h, 21).bitwiseAND(low), h.bitwiseAND(low)]
+    return F.concat_ws("-", *[F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in pieces])
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -48,15 +55,18 @@ def diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
                 for d in (a, b))
 
     def side(df: DataFrame, in_b: int) -> DataFrame:
-        return df.select(*keys, F.lit(in_b).alias("_b"), row_hash(columns).cast("decimal(20,0)").alias("_h"))
+        return df.select(*keys, F.lit(in_b).alias("_b"), row_hash(columns).alias("_h"))
 
     both = side(a, 0).unionByName(side(b, 1))
     of_a, of_b = F.col("_b") == 0, F.col("_b") == 1
+    # The hash is summed in halves with opposite signs for the two sides: equal contents give 0.
+    sign = F.when(of_a, 1).otherwise(-1)
+    high, low = F.shiftright("_h", 32), F.col("_h").bitwiseAND(F.lit((1 << 32) - 1).cast("bigint"))
     grouped = both.groupBy(*keys).agg(
         F.count_if(of_a).alias("na"), F.count_if(of_b).alias("nb"),
-        F.sum(F.when(of_a, F.col("_h"))).alias("ha"), F.sum(F.when(of_b, F.col("_h"))).alias("hb"))
+        F.sum(sign * high).alias("high"), F.sum(sign * low).alias("low"))
     change = (F.when(F.col("na") == 0, "added").when(F.col("nb") == 0, "removed")
-              .when((F.col("na") != F.col("nb")) | (F.col("ha") != F.col("hb")), "changed"))
+              .when((F.col("na") != F.col("nb")) | (F.col("high") != 0) | (F.col("low") != 0), "changed"))
     return grouped.select(*keys, change.alias("change")).where("change IS NOT NULL")
 
 

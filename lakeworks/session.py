@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
@@ -40,6 +41,18 @@ def get_session(app: str = "lakeworks", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20,
+                  most: int = 50_000) -> int:
+    """Set the shuffle partition count for a job that shuffles about ``input_bytes``.
+
+    AQE merges partitions that turn out small but does not split ordinary ones, so
+    the count has to be large enough for the data before it runs.
+    """
+    wanted = max(spark.sparkContext.defaultParallelism, min(most, -(-input_bytes // per_partition)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in ``spark.checkpoint.dir``.
 

@@ -69,8 +69,13 @@ def write_single(df: DataFrame, path: str, max_rows: int = 1_000_000, codec: str
 
 def sorted_write(df: DataFrame, path: str, sort: Sequence[str], codec: str = "zstd",
                  mode: str = "overwrite") -> None:
-    """Range-partition and sort, so files hold disjoint ranges of the sort columns."""
-    laid_out = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    """Range-partition and sort, so files hold disjoint ranges of the sort columns.
+
+    A hash of the row is the last range key: rows that share one sort value may
+    spread over several files instead of filling one.
+    """
+    plain = [c for c, t in df.dtypes if not t.startswith("map")]
+    laid_out = df.repartitionByRange(*sort, F.xxhash64(*plain)).sortWithinPartitions(*sort)
     laid_out.write.mode(mode).option("compression", codec).parquet(path)
 
 

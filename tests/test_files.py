@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from lakeworks.functions import month_range
 from lakeworks.plans.pipelines import ingest_sales, raw_to_curated
+from lakeworks.session import size_shuffles
 from lakeworks.sources import layout, readers, writers
 
 DDL = "id bigint, at timestamp_ntz, x double"
@@ -104,6 +105,24 @@ def test_sorted_files_hold_disjoint_ranges(spark, facts, folder):
     assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
 
 
+def test_one_sort_value_may_fill_several_files(spark, facts, folder):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        layout.sorted_write(facts.withColumn("k", F.lit(1)), f"{folder}/s", ["k"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(f"{folder}/s/*.parquet")) > 4 and spark.read.parquet(f"{folder}/s").count() == 300
+
+
+def test_shuffles_are_sized_from_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10 << 40) == 40_960 and size_shuffles(spark, 100 << 40) == 50_000
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_reports_on_files(spark, facts, folder):
     layout.write_by_date(facts, f"{folder}/t", "at")
     report = layout.partition_report(spark, f"{folder}/t").collect()
