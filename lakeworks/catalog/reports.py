@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import minute_boundaries, month_range
 from ..operators import marts, windows
 from ..operators.clean import fill_defaults, null_outliers
-from ..operators.joins import star_join
-from ..quality.rules import future_orders, orphan_orders, revenue_anomaly, run_rules
+from ..operators.joins import PAYMENT_TYPES, RATE_CODES, star_join
+from ..quality.rules import (ANOMALY_TEXT, FUTURE_TEXT, ORPHAN_TEXT, future_orders, orphan_orders, revenue_anomaly,
+                             run_rules)
 from .registry import AS_OF, TRIPS_SQL, mavg, msum, query, table, trip_columns, trips, trunc
 
 O_DAY, O_MONTH = trunc("day", "o_orderdate"), trunc("month", "o_orderdate")
@@ -209,12 +210,11 @@ def top_n_per_month(spark, sf):
     return windows.top_n_per_month(trips(spark, sf), "pickup_date", "pickup_zone")
 
 
-def _codes(names: list[str]) -> str:
-    return ", ".join(f"({i}, '{n}')" for i, n in enumerate(names, 1))
+def _codes(rows: list[tuple]) -> str:
+    return ", ".join(f"({i}, '{text}')" for i, text in rows)
 
 
-STAR_SQL = f"""WITH r(id, d) AS (VALUES {_codes(["Standard rate", "JFK", "Newark", "Nassau or Westchester", "Negotiated fare", "Group ride"])}),
-               p(id, d) AS (VALUES {_codes(["Credit card", "Cash", "No charge", "Dispute", "Unknown", "Voided trip"])})
+STAR_SQL = f"""WITH r(id, d) AS (VALUES {_codes(RATE_CODES)}), p(id, d) AS (VALUES {_codes(PAYMENT_TYPES)})
                SELECT r.d AS rate_type, p.d AS payment_method, COUNT(*) AS trips,
                       ROUND({mavg("l_extendedprice")}, 2) AS avg_fare, ROUND({msum("l_extendedprice")}, 2) AS total_revenue
                FROM lineitem JOIN r ON l_linenumber = r.id JOIN p ON l_partkey % 6 + 1 = p.id
@@ -358,11 +358,11 @@ daily AS (SELECT DATE_TRUNC('day', o_orderdate) AS day, {msum(P)} AS revenue FRO
 stats AS (SELECT AVG(revenue) AS mean, STDDEV(revenue) AS std FROM daily),
 log AS (
   SELECT 'orphan_orders' AS check_name, 'referential_integrity' AS check_type, COUNT(*) AS failing_rows,
-         'SELECT * FROM orders WHERE customer_id NOT IN (SELECT id FROM customers)' AS check_query
+         '{ORPHAN_TEXT}' AS check_query
   FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
-  UNION ALL SELECT 'revenue_anomaly', 'statistical_outlier', COUNT(*), 'Daily revenue >3σ from mean'
+  UNION ALL SELECT 'revenue_anomaly', 'statistical_outlier', COUNT(*), '{ANOMALY_TEXT}'
   FROM daily, stats WHERE ABS(revenue - mean) > 3 * std
-  UNION ALL SELECT 'future_orders', 'temporal_logic', COUNT(*), 'SELECT * FROM orders WHERE order_date > CURRENT_DATE'
+  UNION ALL SELECT 'future_orders', 'temporal_logic', COUNT(*), '{FUTURE_TEXT}'
   FROM orders WHERE o_orderdate > DATE '{AS_OF}')"""
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cents, elapsed_seconds, seconds_of_day
 
+# Labels of the report and names of the rules are stated where they are used below.
 MATCH_KEYS = ["date", "amount_cents", "time_seconds"]
 
 

@@ -33,6 +33,8 @@ class HashedWords:
 
     def cell(self, word: str) -> int:
         if word not in self._cell:
+            if len(self._cell) >= 1_000_000:  # a cache of bounded size
+                self._cell.clear()
             self._cell[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
         return self._cell[word]
 

@@ -13,8 +13,14 @@ from ..functions import as_of_date, day_of, money_sum
 from ..operators.joins import orphans
 from ..operators.windows import value_stats
 
-# Fixed value: rules whose failure stops a pipeline.
+# Rules whose failure stops a pipeline, and the rule texts the log shows.
 CRITICAL_RULES = ["orphan_orders", "future_orders"]
+ORPHAN_TEXT = "SELECT * FROM orders WHERE customer_id NOT IN (SELECT id FROM customers)"
+ANOMALY_TEXT = "Daily revenue >3σ from mean"
+FUTURE_TEXT = "SELECT * FROM orders WHERE order_date > CURRENT_DATE"
+
+LOG = ("check_name string, check_type string, failing_rows bigint, check_query string, "
+       "run_at timestamp_ntz, run_id string")
 
 
 @dataclass(frozen=True)
@@ -34,7 +40,7 @@ class BusinessRule:
 def orphan_orders(orders: DataFrame, customers: DataFrame, key: str = "customer_id",
                   parent_key: str = "id") -> BusinessRule:
     return BusinessRule("orphan_orders", "referential_integrity", orphans(orders, key, customers, parent_key),
-                        "SELECT * FROM orders WHERE customer_id NOT IN (SELECT id FROM customers)")
+                        ORPHAN_TEXT)
 
 
 def anomalous_days(orders: DataFrame, ts: str = "order_date", amount: str = "amount",
@@ -48,13 +54,12 @@ def anomalous_days(orders: DataFrame, ts: str = "order_date", amount: str = "amo
 
 def revenue_anomaly(orders: DataFrame, ts: str = "order_date", amount: str = "amount") -> BusinessRule:
     return BusinessRule("revenue_anomaly", "statistical_outlier", anomalous_days(orders, ts, amount),
-                        "Daily revenue >3σ from mean")
+                        ANOMALY_TEXT)
 
 
 def future_orders(orders: DataFrame, ts: str = "order_date", as_of=None) -> BusinessRule:
     late = orders.where(F.col(ts) > as_of_date(as_of).cast("timestamp_ntz"))
-    return BusinessRule("future_orders", "temporal_logic", late,
-                        "SELECT * FROM orders WHERE order_date > CURRENT_DATE")
+    return BusinessRule("future_orders", "temporal_logic", late, FUTURE_TEXT)
 
 
 def run_rules(rules: Iterable[BusinessRule]) -> DataFrame:
@@ -79,20 +84,21 @@ class RuleLog:
         return self.read(run_id)
 
     def read(self, run_id: str | None = None) -> DataFrame:
-        log = self.spark.read.parquet(self.path).withColumn("run_id", F.col("run_id").cast("string"))
+        log = self.spark.read.schema(LOG).parquet(self.path)
         return log if run_id is None else log.where(F.col("run_id") == run_id)
 
 
-def failures(log: DataFrame, limit: int = 10, critical: Sequence[str] = tuple(CRITICAL_RULES)) -> DataFrame:
+def failures(log: DataFrame, limit: int | None = 10, critical: Sequence[str] = tuple(CRITICAL_RULES)) -> DataFrame:
     """Failing checks, newest first, marked critical or warning."""
     level = F.when(F.col("check_name").isin(*critical), "critical").otherwise("warning")
-    return (log.where("failing_rows > 0").select("check_name", "failing_rows", "run_at", level.alias("level"))
-            .orderBy(F.desc("run_at"), "check_name").limit(limit))
+    failing = (log.where("failing_rows > 0").select("check_name", "failing_rows", "run_at", level.alias("level"))
+               .orderBy(F.desc("run_at"), "check_name"))
+    return failing if limit is None else failing.limit(limit)
 
 
 def require_no_critical(log: DataFrame, critical: Sequence[str] = tuple(CRITICAL_RULES)) -> list[str]:
     """Raise if a critical rule failed; return the names of the other failing rules."""
-    rows = failures(log, 1000, critical).collect()
+    rows = failures(log, None, critical).collect()
     bad = [(r["check_name"], r["failing_rows"]) for r in rows if r["level"] == "critical"]
     if bad:
         raise ValueError(f"critical checks failed: {bad}")

@@ -101,7 +101,8 @@ def _read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for path, length in zip(batch["path"], batch["length"]):
-            store, inner = fs.FileSystem.from_uri(path.replace("file:///", "/").replace("file:/", "/"))
+            plain = path.replace("file:///", "/").replace("file:/", "/").replace("s3a://", "s3://")
+            store, inner = fs.FileSystem.from_uri(plain)
             meta = pq.read_metadata(inner, filesystem=store)
             columns = [meta.row_group(g).column(c) for g in range(meta.num_row_groups)
                        for c in range(meta.num_columns)]

@@ -59,4 +59,4 @@ def test_only_the_dimension_literals_are_hinted_for_broadcast(spark, sf):
 def test_a_hot_user_is_cut_into_chunks(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     text = plan_text(windows.previous_event(events, "user_id", "ts", "event_id"), "simple")
-    assert "hashpartitioning(user_id" in text and "_c" in text.split("hashpartitioning(user_id")[1][:40]
+    assert "hashpartitioning(user_id" in text and "_c" in text.split("Window [lag(ts")[1].split("hashpartitioning(")[1][:40]
