@@ -170,7 +170,7 @@ def monthly_trip_stats(spark, sf):
 ZONE_SQL = f"""SELECT {{period}} AS pickup_date, pickup_zone, COUNT(*) AS trip_count,
                ROUND({msum("clean_amount")}, 2) AS total_revenue,
                ROUND(CAST(SUM(CAST(clean_distance * 100 AS BIGINT)) AS DOUBLE) / (NULLIF(COUNT(clean_distance), 0) * 100.0), 2) AS avg_distance,
-               ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY CAST(ROUND(clean_amount * 100) AS BIGINT)) / 100.0, 2) AS median_fare
+               ROUND(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY clean_amount), 2) AS median_fare
                FROM ({TRIPS_SQL}) t GROUP BY 1, 2"""
 MONTHLY_ZONES = ZONE_SQL.format(period=trunc("month", "pickup_date"))
 
@@ -345,7 +345,7 @@ def null_profile(spark, sf):
                      UNION ALL SELECT 'events', MAX(ts), COUNT(*) FROM events
                      UNION ALL SELECT 'lineitem', MAX(l_shipdate), COUNT(*) FROM lineitem)
           SELECT table_name, u AS last_update, n AS row_count,
-                 ROUND(trunc((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(u)) / 1000000.0) / 3600.0, 1) AS hours_since_update
+                 ROUND((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(u)) / 3600000000.0, 1) AS hours_since_update
           FROM t""")
 def freshness(spark, sf):
     return marts.freshness({"orders": (table(spark, sf, "orders"), "o_orderdate"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import round_to
 from ..operators import retrieval
 from ..session import new_folder
 from .cleaning import SAMPLE_KEYS, SAMPLE_SQL, TEXT_COLUMNS, TEXT_SQL, readings
@@ -14,6 +15,11 @@ K, DIM, WORDS = 10, 384, 200
 COSINE = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
 
+def shown(df):
+    """Similarities to six decimals."""
+    return df.withColumn("similarity", round_to("similarity", 6))
+
+
 def query_vector(spark, sf):
     """The embedding of vector 0 as a one-row frame."""
     return table(spark, sf, "embeddings").where("vec_id = 0").select("embedding")
@@ -21,10 +27,10 @@ def query_vector(spark, sf):
 
 @query(f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
            q AS (SELECT v AS q FROM e WHERE vec_id = 0)
-           SELECT vec_id, label, ROUND({COSINE.format(a='v', b='q')}, 6) AS similarity FROM e, q
-           ORDER BY 3 DESC, 1 LIMIT {K}""")
+           SELECT vec_id, label, ROUND(s, 6) AS similarity
+           FROM (SELECT vec_id, label, ROUND({COSINE.format(a='v', b='q')}, 12) AS s FROM e, q ORDER BY 3 DESC, 1 LIMIT {K}) t""")
 def topk_cosine(spark, sf):
-    return retrieval.topk_cosine(table(spark, sf, "embeddings"), query_vector(spark, sf), K, ["vec_id"], ["label"])
+    return shown(retrieval.topk_cosine(table(spark, sf, "embeddings"), query_vector(spark, sf), K, ["vec_id"], ["label"]))
 
 
 @query(f"""WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -32,7 +38,7 @@ def topk_cosine(spark, sf):
            SELECT vec_id, ROUND({COSINE.format(a='v', b='q')}, 6) AS similarity FROM e, q""")
 def cosine_to_query(spark, sf):
     scored = retrieval.with_similarity(table(spark, sf, "embeddings"), query_vector(spark, sf))
-    return scored.select("vec_id", "similarity")
+    return shown(scored.select("vec_id", "similarity"))
 
 
 def centroids(spark, sf):
@@ -46,12 +52,12 @@ def centroids(spark, sf):
 @query(f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
            c AS (SELECT label, p, AVG(x) AS x FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM e) u GROUP BY 1, 2),
            q AS (SELECT label, list(x ORDER BY p) AS q FROM c GROUP BY 1),
-           s AS (SELECT q.label, e.vec_id, ROUND({COSINE.format(a='e.v', b='q.q')}, 6) AS similarity FROM e CROSS JOIN q),
+           s AS (SELECT q.label, e.vec_id, ROUND({COSINE.format(a='e.v', b='q.q')}, 12) AS similarity FROM e CROSS JOIN q),
            r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS rank FROM s)
-           SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, similarity FROM r WHERE rank <= {K}""")
+           SELECT label, CAST(rank AS INTEGER) AS rank, vec_id, ROUND(similarity, 6) AS similarity FROM r WHERE rank <= {K}""")
 def topk_cosine_batch(spark, sf):
-    return retrieval.topk_cosine_batch(table(spark, sf, "embeddings").drop("label"), centroids(spark, sf), K,
-                                       ["vec_id"], "label")
+    return shown(retrieval.topk_cosine_batch(table(spark, sf, "embeddings").drop("label"), centroids(spark, sf), K,
+                                             ["vec_id"], "label"))
 
 
 @query()
@@ -84,14 +90,14 @@ def _cells(source: str, keys: str, text: str) -> str:
   an AS (SELECT doc_id, chunk_no, sqrt(CAST(SUM(n * n) AS DOUBLE)) AS size FROM a GROUP BY 1, 2),
   bn AS (SELECT item_id, sqrt(CAST(SUM(n * n) AS DOUBLE)) AS size FROM b GROUP BY 1),
   dots AS (SELECT item_id, doc_id, chunk_no, CAST(SUM(a.n * b.n) AS DOUBLE) AS dot FROM a JOIN b USING (cell) GROUP BY 1, 2, 3),
-  s AS (SELECT bn.item_id, an.doc_id, an.chunk_no, ROUND(COALESCE(dot, 0.0) / (an.size * bn.size), 6) AS similarity
+  s AS (SELECT bn.item_id, an.doc_id, an.chunk_no, ROUND(COALESCE(dot, 0.0) / (an.size * bn.size), 12) AS similarity
         FROM an CROSS JOIN bn LEFT JOIN dots USING (item_id, doc_id, chunk_no)),
   r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, doc_id, chunk_no) AS rank FROM s)
-  SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, similarity FROM r WHERE rank <= {K}""")
+  SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, ROUND(similarity, 6) AS similarity FROM r WHERE rank <= {K}""")
 def retrieve_chunks(spark, sf):
     index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM,
                                       path=new_folder(spark, "doc_index"))
-    return retrieval.retrieve(index, table(spark, sf, "benchmark"), "item_id", "text", K, "doc_id", dim=DIM)
+    return shown(retrieval.retrieve(index, table(spark, sf, "benchmark"), "item_id", "text", K, "doc_id", dim=DIM))
 
 
 @query(f"""WITH {CHUNKS}, a AS ({_cells("chunks", "doc_id, chunk_no", "chunk")})

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (as_col, cents, date_range, day_of, elapsed_seconds, money_avg, money_sum,
+from ..functions import (as_col, cents, date_range, day_of, money_avg, money_sum,
                          month_of, ratio, round2, round_to, trailing_days, trailing_months, trip_efficiency,
                          week_of, weekday_name, weekday_number)
 
@@ -216,7 +216,7 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
     if approximate:
         grouped = keyed.groupBy(*keys).agg(
             rows().alias("n"), F.sum("c").alias("c"), F.sum("d").alias("d"), F.count("d").alias("nd"),
-            F.percentile_approx("c", 0.5, 10_000).cast("double").alias("m"))
+            (F.percentile_approx("c", 0.5, 10_000) / F.lit(100.0)).alias("m"))
     else:
         counts = (keyed.groupBy(*keys, "c").agg(rows().alias("n"), F.sum("d").alias("d"), F.count("d").alias("nd"))
                   .withColumn("v", F.when(F.col("c").isNull(), 0).otherwise(F.col("n"))))
@@ -227,15 +227,19 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
         def holds(rank: Column) -> Column:
             return (F.col("upto") - F.col("v") <= rank) & (rank < F.col("upto"))
 
-        lower, upper = F.expr("(`all` - 1) div 2"), F.expr("`all` div 2")
+        def amount_at(rank: str) -> Column:
+            return F.max(F.when(holds(F.expr(rank)), F.col("c"))) / F.lit(100.0)
+
+        # Between two middle amounts the value is interpolated in double, as percentile_cont does.
+        lower, upper = amount_at("(`all` - 1) div 2"), amount_at("`all` div 2")
         grouped = placed.groupBy(*keys).agg(
             F.sum("n").alias("n"), F.sum(F.col("c") * F.col("n")).alias("c"), F.sum("d").alias("d"),
             F.sum("nd").alias("nd"),
-            ((F.max(F.when(holds(lower), F.col("c"))) + F.max(F.when(holds(upper), F.col("c")))) / 2.0).alias("m"))
+            (lower * 0.5 + upper * 0.5).alias("m"))
     return grouped.select(
         *keys, F.col("n").alias("trip_count"), round2(F.col("c").cast("double") / 100.0).alias("total_revenue"),
         round2(F.try_divide(F.col("d").cast("double"), F.col("nd") * F.lit(100.0))).alias("avg_distance"),
-        round2(F.col("m") / 100.0).alias("median_fare"))
+        round2("m").alias("median_fare"))
 
 
 def daily_zone_summary(trips: DataFrame, **options) -> DataFrame:
@@ -312,8 +316,8 @@ def freshness(tables: dict[str, tuple[DataFrame, str]], as_of: str) -> DataFrame
         row = (df.agg(F.max(ts).cast("timestamp_ntz").alias("last_update"), rows().alias("row_count"))
                .where("row_count > 0").select(F.lit(name).alias("table_name"), "*"))
         out = row if out is None else out.unionByName(row)
-    age = elapsed_seconds(now, F.col("last_update")).cast("double") / 3600.0
-    return out.withColumn("hours_since_update", round_to(age, 1))
+    micros = F.timestamp_diff("MICROSECOND", F.col("last_update"), now)
+    return out.withColumn("hours_since_update", round_to(micros.cast("double") / 3_600_000_000.0, 1))
 
 
 def category_weekly_frame(items: DataFrame, products: DataFrame, category: str, on: tuple[str, str],

@@ -16,7 +16,7 @@ from ..session import new_folder
 from .clean import render_text, sample_rows
 
 WHITE_SPACE = r"[ \t\r\n]+"
-DIGITS = 6  # similarities are compared and reported to this many decimals
+DIGITS = 12  # similarities equal to this many decimals are a tie, which the key breaks
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
