@@ -71,7 +71,9 @@ def run_rules(rules: Iterable[BusinessRule]) -> DataFrame:
 
 
 class RuleLog:
-    """Append-only log table; every run is a partition, so a run never sees another's rows."""
+    """Log table. Every run is a partition of its own: it never sees another run's rows, and
+    repeating it after a failure replaces only its own.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -80,7 +82,8 @@ class RuleLog:
         run_id = run_id or uuid.uuid4().hex
         stamp = F.current_timestamp() if run_at is None else F.lit(run_at)
         rows = run_rules(rules).withColumns({"run_at": stamp.cast("timestamp_ntz"), "run_id": F.lit(run_id)})
-        rows.write.mode("append").partitionBy("run_id").parquet(self.path)
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("run_id").parquet(self.path))
         return self.read(run_id)
 
     def read(self, run_id: str | None = None) -> DataFrame:

@@ -26,6 +26,13 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Added on a cluster. Shuffles start with many partitions, which AQE merges where a
+# result is small; scans use fewer, larger tasks.
+CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "10000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+}
+
 
 def get_session(app: str = "lakeworks", master: str | None = None, **conf) -> SparkSession:
     """Build (or fetch) a session with ``DEFAULTS``; keyword arguments override them.
@@ -35,7 +42,8 @@ def get_session(app: str = "lakeworks", master: str | None = None, **conf) -> Sp
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = DEFAULTS | {k.replace("__", "."): str(v) for k, v in conf.items()}
+    local = (master or "").startswith("local")
+    settings = DEFAULTS | ({} if local else CLUSTER) | {k.replace("__", "."): str(v) for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -100,6 +100,10 @@ def test_rules_and_log(spark, staging, folder):
     second = log.run([orphan_orders(orders.where("customer_id < 900"), customers), revenue_anomaly(orders)], "second")
     assert require_no_critical(second) == ["revenue_anomaly"]
     assert log.read().count() == 5
+    # Repeating a run replaces its own rows; a name that looks like a number stays text.
+    log.run([revenue_anomaly(orders)], "007")
+    log.run([revenue_anomaly(orders.where("false"))], "007")
+    assert log.read("007").first()["failing_rows"] == 0 and log.read().count() == 6
     report = {r["check_name"]: r["failure_count"] for r in marts.quality_report(log.read()).collect()}
     assert report == {"orphan_orders": 1, "revenue_anomaly": 2, "future_orders": 1}
 
