@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RAW = "_raw"  # prefix of the columns that keep values as they were before a cast
+
 
 class SchemaError(ValueError):
     """Raised by ``validate``; ``failure_cases`` is the DataFrame of all violations."""
@@ -54,7 +56,6 @@ class TableSchema:
     columns: dict[str, Rule]
     strict: bool = False
     coerce: bool = False
-    _raw: str = field(default="_raw", repr=False)
 
     def structure(self, df: DataFrame) -> list[str]:
         """Problems visible in the DataFrame's type alone: absent, unknown or mistyped columns."""
@@ -73,54 +74,58 @@ class TableSchema:
             return df
         return df.withColumns({c: F.col(c).try_cast(r.dtype) for c, r in self.columns.items() if c in df.columns})
 
-    def with_failures(self, df: DataFrame, name: str = "failures") -> DataFrame:
-        """Coerced rows plus an array of their violations (empty for a good row).
+    def _checked(self, df: DataFrame) -> tuple[DataFrame, list[tuple[str, str, Column]], dict[str, Column]]:
+        """Coerced rows, the (column, check, is violated) conditions over them, and the raw values.
 
-        Row checks are one expression without a shuffle. A unique column is checked
-        by counting keys first (combined on the map side) and looking the repeated
-        keys up.
+        Row checks need no shuffle. A unique column is checked by counting keys first
+        (combined on the map side) and looking the repeated keys up.
         """
         problems = self.structure(df)
         if problems:
             raise SchemaError("; ".join(problems))
-        raw = {c: F.col(c) for c in self.columns}
-        source = df
-        if self.coerce:
-            source = df.withColumns({f"{self._raw}_{c}": F.col(c) for c in self.columns})
-            raw = {c: F.col(f"{self._raw}_{c}") for c in self.columns}
-        out = self.coerced(source)
-        cases = []
-
-        def case(c: str, check: str, bad: Column) -> Column:
-            return F.when(bad, F.struct(F.lit(c).alias("column"), F.lit(check).alias("check"),
-                                        raw[c].cast("string").alias("value")))
-
+        raw = {c: F.col(f"{RAW}_{c}" if self.coerce else c) for c in self.columns}
+        kept = df.withColumns({f"{RAW}_{c}": F.col(c) for c in self.columns}) if self.coerce else df
+        out = self.coerced(kept)
+        found: list[tuple[str, str, Column]] = []
         for c, rule in self.columns.items():
             if self.coerce:
-                cases.append(case(c, f"dtype({rule.dtype})", F.col(c).isNull() & raw[c].isNotNull()))
+                found.append((c, f"dtype({rule.dtype})", F.col(c).isNull() & raw[c].isNotNull()))
             for check, bad in rule.violations(F.col(c)):
-                if check == "not_null" and self.coerce:
-                    bad = raw[c].isNull()
-                cases.append(case(c, check, bad))
+                found.append((c, check, raw[c].isNull() if check == "not_null" else bad))
             if rule.unique:
                 repeated = (out.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_k_{c}"))
                             .agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"))
                 out = out.join(repeated, F.col(c) == F.col(f"_k_{c}"), "left")
-                cases.append(case(c, "unique", F.col(f"_k_{c}").isNotNull()))
-        failures = F.filter(F.array(*cases), lambda x: x.isNotNull())
-        return out.withColumn(name, failures).select(*df.columns, name)
+                found.append((c, "unique", F.col(f"_k_{c}").isNotNull()))
+        return out, found, raw
+
+    @staticmethod
+    def _any(found: list[tuple[str, str, Column]]) -> Column:
+        bad = F.lit(False)
+        for _, _, condition in found:
+            bad = bad | condition
+        return bad
+
+    @staticmethod
+    def _listed(found: list[tuple[str, str, Column]], raw: dict[str, Column]) -> Column:
+        """Array of the violated checks. Built for failing rows only."""
+        cases = [F.when(bad, F.struct(F.lit(c).alias("column"), F.lit(check).alias("check"),
+                                      raw[c].cast("string").alias("value"))) for c, check, bad in found]
+        return F.filter(F.array(*cases), lambda x: x.isNotNull())
 
     def failure_cases(self, df: DataFrame, row_key: str) -> DataFrame:
         """All violations: (row_key, column, check, value)."""
-        bad = self.with_failures(df).where(F.size("failures") > 0)
-        return bad.select(F.col(row_key).cast("string").alias("row_key"), F.inline("failures"))
+        out, found, raw = self._checked(df)
+        key = raw.get(row_key, F.col(row_key)).cast("string").alias("row_key")
+        return out.where(self._any(found)).select(key, F.inline(self._listed(found, raw)))
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(valid rows, rejected rows with a ``reasons`` array). Together they are the input."""
-        marked = self.with_failures(df)
-        reasons = F.transform("failures", lambda x: F.concat_ws(":", x["column"], x["check"]))
-        return (marked.where(F.size("failures") == 0).drop("failures"),
-                marked.where(F.size("failures") > 0).withColumn("reasons", reasons).drop("failures"))
+        out, found, raw = self._checked(df)
+        reasons = F.transform(self._listed(found, raw), lambda x: F.concat_ws(":", x["column"], x["check"]))
+        bad = self._any(found)
+        as_read = [raw.get(c, F.col(c)).alias(c) for c in df.columns]  # a value that did not cast is kept
+        return out.where(~bad).select(*df.columns), out.where(bad).select(*as_read, reasons.alias("reasons"))
 
     def validate(self, df: DataFrame, row_key: str) -> DataFrame:
         """The coerced frame, or ``SchemaError`` with counts per check and all failure cases."""

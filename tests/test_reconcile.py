@@ -145,3 +145,17 @@ def test_month_tree(spark, example, folder):
     assert report.count() == 5
     assert {r["month"] for r in report.select("month").distinct().collect()} == {"2024-10"}
     assert report.where(F.col("status") == "MATCHED").count() == 2
+
+
+def test_one_amount_filling_a_minute_needs_no_pairs(spark):
+    """20,000 rows per side share amount and minute: 400 million pairs, counted but never formed."""
+    n = 20_000
+    second = F.timestamp_add("SECOND", (F.col("id") % 60).cast("int"), F.lit("2024-10-01 12:00:00").cast("timestamp_ntz"))
+    same = spark.range(n).select(F.col("id").cast("string").alias("i"), F.lit(9.99).alias("amount"), second.alias("timestamp"))
+    bank, ledger = (rec.prepare(same.withColumnRenamed("i", c)) for c in ("bank_id", "ledger_id"))
+    row = rec.measure_feeds(bank, ledger).first()
+    assert (row["pairs"], row["duplicates"], row["bank_rows"], row["max_seconds"]) == (n * n, n, n, 59)
+    assert row["bank_total"] == row["ledger_total"] == pytest.approx(9.99 * n * n)
+    assert rec.unmatched(bank, ledger, "UNMATCHED_BANK").count() == 0
+    late = ledger.withColumn("time_seconds", F.col("time_seconds") + 3600)
+    assert rec.unmatched(bank, late, "UNMATCHED_BANK").count() == n
