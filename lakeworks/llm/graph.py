@@ -5,27 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from .frames import discard, stored
 
 MAX_ROUNDS = 60
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: read often, made once, kept if executors go."""
-    path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._stored_at = path  # noqa: SLF001  (for ``discard``)
-    return out
-
-
-def discard(df: DataFrame) -> None:
-    """Delete a table made by ``stored`` that nothing reads any more."""
-    spark, path = df.sparkSession, df._stored_at  # noqa: SLF001
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _to_least_of_larger(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the least of the node and its neighbours."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import bpe, decontaminate, pii, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,3 +26,35 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.add_tokens(docs, "text", public_tokenizers.path("byte_bpe_50k.json"), digest=True).drop("text")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"), "doc_id", "text", "n_chars", "quality")
+    scored = quality.add_score(docs, model, "text", "n_chars")
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        decontaminate.is_contaminated().alias("contaminated"))
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts are those of the rules' spans, like ``base_sha256``; ``spans`` has the added ones too."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.add_spans(docs, "text", pii.train(docs, "text")).drop("text")
+    counts = [pii.count_of("rule_spans", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed("rule_spans"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .graph import components, stored
+from .frames import stored, unused
+from .graph import components
 from .text import row_slices
 
 BITS = 64
@@ -172,13 +173,19 @@ def _keys(fp: Column, bits: list[int], radius: int) -> tuple[Column, Column]:
 def _signatures(fps: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """Rows ``(part, key, probe, fp)``: one stored key per part and the keys to look up."""
     fp = F.col("fp")
+
+    def entry(part: int, key: Column, probe: bool) -> Column:
+        return F.struct(F.lit(part).alias("part"), key.alias("key"), F.lit(probe).alias("probe"))
+
+    def lookups(part: int, keys: Column) -> Column:
+        return F.transform(keys, lambda k: entry(part, k, True))
+
     groups = []
     for i, (bits, radius) in enumerate(plan):
         own, changed = _keys(fp, bits, radius)
-        groups.append(F.array(F.struct(F.lit(i).alias("part"), own.alias("key"), F.lit(False).alias("probe"))))
+        groups.append(F.array(entry(i, own, False)))
         if radius:
-            groups.append(F.transform(changed, lambda k, i=i: F.struct(F.lit(i).alias("part"), k.alias("key"),
-                                                                       F.lit(True).alias("probe"))))
+            groups.append(lookups(i, changed))
     return fps.select("fp", F.explode(F.concat(*groups)).alias("s")).select("s.*", "fp")
 
 
@@ -247,9 +254,10 @@ def keep_one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     row of each of its fingerprints stays. Of rows that share an id, one stays.
     """
     groups = simhash_groups(docs, doc_id, text, shingle, limit)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
-    nameless = groups.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias("_fp")).distinct()
-    rest = add_fingerprint(docs.where(F.col(doc_id).isNull()).select("*", F.col(text).alias("_text")), "_text", "_fp", shingle)
-    rest = rest.withColumn("_fp", F.lower(F.lpad(F.hex("_fp"), 16, "0"))).join(nameless, "_fp", "left_semi")
-    return named.unionByName(rest.dropDuplicates(["_fp"]).drop("_fp"))
+    kept_id, fp, copy = (unused(docs, n) for n in ("_kept", "_fp", "_copy"))
+    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(kept_id)).distinct()
+    named = docs.join(kept, F.col(doc_id) == F.col(kept_id), "left_semi").dropDuplicates([doc_id])
+    nameless = groups.where(F.col("component_id").isNull()).select(F.col("fingerprint").alias(fp)).distinct()
+    rest = add_fingerprint(docs.where(F.col(doc_id).isNull()).withColumn(copy, F.col(text)), copy, fp, shingle)
+    rest = rest.withColumn(fp, F.lower(F.lpad(F.hex(fp), 16, "0"))).join(nameless, fp, "left_semi")
+    return named.unionByName(rest.dropDuplicates([fp]).drop(fp))
