@@ -6,10 +6,12 @@ another number is lost. High-recall generators therefore propose many overlappin
 spans, boosted trees judge each by its format and context, and spans above a threshold
 that do not touch a rule's span or a better span are added.
 
-The trees are trained here, on at most ``TRAIN_ROWS`` candidates (the least hashes over
-all documents): candidates that are a span of the rules are positive, those apart from
-every span of their kind are negative, and parts of spans are left out. The threshold
-of a kind is the lowest with the asked precision on the half that training did not see.
+The trees are trained here on the candidates of all documents: those that are a span of
+the rules are positive, those apart from every span of their kind are negative, and
+parts of spans are left out. Equal feature rows are counted where they are made; the
+``TRAIN_ROWS`` most frequent ones, with their counts, come to the driver. The threshold
+of a kind is the lowest with the asked precision on the half of the documents that
+training did not see.
 
 Defined cases: a null or empty text has no spans; equal rows get equal results; without
 positive and negative candidates of a kind nothing is added for it.
@@ -18,6 +20,8 @@ positive and negative candidates of a kind nothing is added for it.
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,16 +166,15 @@ class Trees:
     def __init__(self):
         self.bias, self.trees, self.threshold = 0.0, [], np.inf
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> "Trees":
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         x = np.minimum(x, LEVELS - 1)
-        self.bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        self.bias = float(np.log(((y * weight).sum() + 1) / (((1 - y) * weight).sum() + 1)))
         margin = np.full(len(y), self.bias)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-margin))
-            tree, value = self._grow(x, p - y, p * (1 - p), np.arange(len(y)), DEPTH)
+            tree, value = self._grow(x, (p - y) * weight, p * (1 - p) * weight, np.arange(len(y)), DEPTH)
             self.trees.append(tree)
             margin += value
-        return self
 
     def _grow(self, x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int) -> tuple[tuple, np.ndarray]:
         """A tree as (feature, cut, left, right) or (value,), and what it adds to each row."""
@@ -204,11 +207,11 @@ class Trees:
             margin += tree[0]
         return 1 / (1 + np.exp(-margin))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
+    def calibrate(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         """The lowest score above which at least ``PRECISION`` of held-out candidates are positive, and not under a half."""
-        scores = np.array([self.score(r) for r in x.tolist()])
+        scores = np.array([self.score(r) for r in np.minimum(x, LEVELS - 1).tolist()])
         order = np.argsort(-scores, kind="stable")
-        right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
+        right = np.cumsum((y * weight)[order]) / np.cumsum(weight[order])
         last = np.append(scores[order][1:] != scores[order][:-1], True)  # equal scores stand or fall together
         fine = np.flatnonzero((right >= PRECISION) & last)
         self.threshold = max(0.5, float(scores[order][fine[-1]])) if len(fine) else np.inf
@@ -224,25 +227,34 @@ def _labelled(text: str) -> Iterator[tuple[str, list[int], int]]:
 
 
 def train(docs: DataFrame, text: str, most: int = TRAIN_ROWS) -> dict[str, Trees]:
-    """Trees and threshold of every kind, from at most ``most`` candidates of all documents."""
+    """Trees and threshold of every kind, from the ``most`` frequent feature rows of all documents' candidates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [row for t in pc.fill_null(batch.column(0), "").to_pylist() if ANY.search(t) for row in _labelled(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in found], pa.string()), pa.array([r[1] for r in found], pa.list_(pa.int64())),
-                                              pa.array([r[2] for r in found], pa.int32())], ["kind", "x", "y"])
-
-    rows = docs.select(text).mapInArrow(run, "kind string, x array<long>, y int")
-    # Equal candidates count once each: a copied text does not outweigh the rest.
-    rows = rows.distinct().orderBy(F.xxhash64("kind", "x"), "kind", "x", "y").limit(most).collect()
+            found = Counter()
+            for t in pc.fill_null(batch.column(0), "").to_pylist():
+                if ANY.search(t):
+                    half = zlib.crc32(t.encode()) & 1
+                    found.update((kind, tuple(x), y, half) for kind, x, y in _labelled(t))
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip((*columns, list(found.values())), (pa.string(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int64()))],
+                ["kind", "x", "y", "half", "n"])
+
+    rows = docs.select(text).mapInArrow(run, "kind string, x array<long>, y int, half int, n long")
+    rows = rows.groupBy("kind", "x", "y", "half").agg(F.sum("n").alias("n"))
+    rows = rows.orderBy(F.desc("n"), "kind", "x", "y", "half").limit(most).collect()
     out = {}
     for kind in KINDS:
-        own = [r for r in rows if r["kind"] == kind]
-        x, y = np.array([r["x"] for r in own], np.int64).reshape(len(own), FEATURES), np.array([r["y"] for r in own], float)
-        model = Trees()
-        if len(own) >= 20 and 0 < y.sum() < len(y):
-            model.fit(x[::2], y[::2]).calibrate(x[1::2], y[1::2])
-        out[kind] = model
+        halves = []
+        for half in (0, 1):
+            own = [r for r in rows if r["kind"] == kind and r["half"] == half]
+            halves.append((np.array([r["x"] for r in own], np.int64).reshape(len(own), FEATURES), np.array([r["y"] for r in own], float),
+                           np.array([r["n"] for r in own], float)))
+        out[kind] = Trees()
+        if all((y * n).sum() >= 5 and ((1 - y) * n).sum() >= 5 for _, y, n in halves):
+            out[kind].fit(*halves[0])
+            out[kind].calibrate(*halves[1])
     return out
 
 
