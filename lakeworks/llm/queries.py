@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, quality, simhash
+from . import bpe, decontaminate, pii, quality, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +58,60 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.add_spans(docs, "text", pii.train(docs, "text")).drop("text")
     counts = [pii.count_of("rule_spans", k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.listed("rule_spans"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+
+
+# The rules the query judges by.
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
+
+
+ORACLE["op1_url_filter"] = r"""
+WITH RECURSIVE rules(verdict, host, path, rule) AS (VALUES
+    ('allow', 'org', '/', 'org/'), ('block', 'example.org', '/es/', 'example.org/es/'),
+    ('block', 'example.org', '/en/1', 'example.org/en/1'), ('allow', 'com', '/fr/', 'com/fr/'), ('block', 'com', '/de/', 'com/de/')),
+raw AS (
+  SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest,
+         regexp_extract(regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'i'), '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'i') AS canonical,
+         regexp_extract(regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>', 0, 'i'), '\burl\s*=\s*["'']?([^"''\s>;]+)', 1, 'i') AS redirect
+  FROM pages),
+seen AS (
+  SELECT page_id, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path, coalesce(regexp_extract(rest, '^[^?#]*(\?[^#]*)?', 1), '') AS query,
+         split_part(url, '://', 1) AS scheme, canonical, redirect
+  FROM raw),
+links AS (
+  SELECT *, unnest([canonical, redirect]) AS written FROM seen),
+full_links AS (
+  SELECT host, path, query, CASE
+      WHEN replace(written, '&amp;', '&') = '' THEN NULL
+      WHEN regexp_matches(replace(written, '&amp;', '&'), '^[A-Za-z][A-Za-z0-9+.-]*://') THEN replace(written, '&amp;', '&')
+      WHEN starts_with(written, '//') THEN scheme || ':' || replace(written, '&amp;', '&')
+      WHEN starts_with(written, '/') THEN scheme || '://' || host || replace(written, '&amp;', '&')
+      ELSE scheme || '://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), '/') || replace(written, '&amp;', '&') END AS target
+  FROM links),
+targets AS (
+  SELECT host || coalesce(nullif(path, ''), '/') || query AS a, substr(target, strpos(target, '://') + 3) AS rest FROM full_links
+  WHERE host <> '' AND target IS NOT NULL),
+edges AS (
+  SELECT a, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+         || coalesce(nullif(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), ''), '/') || regexp_extract(rest, '^[^?#]*(\?[^#]*)?', 1) AS b FROM targets),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached AS (SELECT a, a AS b FROM both_ways UNION SELECT r.a, e.b FROM reached r JOIN both_ways e ON r.b = e.a),
+named AS (
+  SELECT DISTINCT b, split_part(b, '/', 1) AS host, regexp_extract(b, '^[^/]*([^?]*)', 1) AS path FROM reached),
+judged AS (
+  SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT p.host, p.path, r.rule, r.verdict FROM (SELECT host, path FROM seen UNION SELECT host, path FROM named) p
+        JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+  GROUP BY host, path),
+resources AS (
+  SELECT r.a, min(j.verdict) AS verdict FROM reached r JOIN named n USING (b) JOIN judged j USING (host, path) GROUP BY r.a)
+SELECT s.page_id, s.host, s.path, j.rule, coalesce(j.verdict, x.verdict, 'allow') AS verdict,
+       CASE WHEN j.verdict IS NOT NULL THEN 'rule' WHEN x.verdict IS NOT NULL THEN 'alias' ELSE 'none' END AS reason
+FROM seen s LEFT JOIN judged j USING (host, path)
+LEFT JOIN resources x ON x.a = s.host || coalesce(nullif(s.path, ''), '/') || s.query
+"""
