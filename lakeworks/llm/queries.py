@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, quality, simhash, url_filter
+from . import bpe, decontaminate, pii, quality, simhash, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -115,3 +115,8 @@ SELECT s.page_id, s.host, s.path, j.rule, coalesce(j.verdict, x.verdict, 'allow'
 FROM seen s LEFT JOIN judged j USING (host, path)
 LEFT JOIN resources x ON x.a = s.host || coalesce(nullif(s.path, ''), '/') || s.query
 """
+
+
+@query
+def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
