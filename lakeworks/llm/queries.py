@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, pii, quality, simhash, substring, url_filter
+from . import bpe, decontaminate, pii, ppm, quality, simhash, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -120,3 +120,8 @@ LEFT JOIN resources x ON x.a = s.host || coalesce(nullif(s.path, ''), '/') || s.
 @query
 def op4_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op5_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents"))
