@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
@@ -138,6 +139,10 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.margin(index, value, first)[0], -40, 40)))
 
 
+def _lengths(column: pa.Array) -> np.ndarray:
+    return np.nan_to_num(np.maximum(column.to_numpy(zero_copy_only=False).astype(float), 0))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows that training never sees."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -151,16 +156,36 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, stated: st
               .groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(most))
     # At most ``most`` pairs of numbers are broadcast.
     length = F.coalesce(F.col(stated).cast("double"), F.lit(0.0)) if stated else F.lit(0.0)
-    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("t"), length.alias("n"))
-            .join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).orderBy("_id"))
-    parts = [(bytes(r["t"] or b""), r["n"], r["_y"]) for r in rows.select("t", "n", "_y").toLocalIterator()]
-    y = np.array([p[2] for p in parts], float)
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("t"), length.alias("n")).join(F.broadcast(chosen), "_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = _lengths(batch.column(2))
+            for first, texts in row_slices(batch.column(1)):
+                f = Features(texts, lengths[first:first + len(texts)])
+                ends = np.append(0, np.cumsum(np.bincount(f.row, minlength=len(texts)))).astype(np.int32)
+                k = len(STATISTICS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(first, len(texts)), batch.column(3).slice(first, len(texts)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(f.column.astype(np.int32))),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * k), pa.array(f.statistics.ravel()))],
+                    ["id", "y", "columns", "statistics"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    sparse = rows.select("_id", "t", "n", "_y").mapInArrow(run, f"id {kind}, y int, columns array<int>, statistics array<double>")
+    # Of rows that share an id one is used; features of ``most`` rows come to the driver.
+    found = sparse.groupBy("id").agg(F.min(F.struct("y", "columns", "statistics")).alias("f")).select("id", "f.*").orderBy("id").toArrow()
+    y = found["y"].to_numpy().astype(float)
     share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
     if len(set(y)) < 2:
         model = Machine(np.zeros((len(STATISTICS), CUTS)), float(np.log(share / (1 - share))))
         model.factors[:] = 0
         return model
-    features = Features([p[0] for p in parts], np.array([p[1] for p in parts], float))
+    features = Features.__new__(Features)
+    columns, statistics = found["columns"].combine_chunks(), found["statistics"].combine_chunks()
+    features.row = np.repeat(np.arange(len(y)), pc.list_value_length(columns).to_numpy())
+    features.column = columns.flatten().to_numpy().astype(np.int64)
+    features.statistics = statistics.flatten().to_numpy().reshape(len(y), len(STATISTICS))
     cuts = np.quantile(features.statistics, np.linspace(0, 1, CUTS + 2)[1:-1], axis=0).T
     model = Machine(cuts, float(np.log(share / (1 - share))))
     model.fit(features, y)
@@ -178,7 +203,7 @@ def add_score(docs: DataFrame, model: Machine, text: str, stated: str | None, th
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = len(columns)
-            lengths = np.nan_to_num(np.maximum(batch.column(n + 1).to_numpy(zero_copy_only=False).astype(float), 0))
+            lengths = _lengths(batch.column(n + 1))
             out = [shared.value.score(texts, lengths[first:first + len(texts)]) for first, texts in row_slices(batch.column(n))]
             values = np.concatenate(out) if out else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(values), pa.array((values >= threshold).astype(np.int32))],
