@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import money_sum
 from ..operators import marts
 from ..quality import contracts, metrics
 from ..quality.rules import RuleLog, anomalous_days, failures, quality_scorecard, run_rules
@@ -155,6 +156,34 @@ def total_mismatch(spark, sf):
                                                  F.round("calculated_total", 2).alias("calculated_total"))
 
 
+@query("""WITH t AS (
+            SELECT l_orderkey AS order_id, l_linenumber, CASE l_linenumber WHEN 3 THEN NULL ELSE l_extendedprice + 5 END AS total,
+                   CASE l_linenumber WHEN 2 THEN NULL WHEN 1 THEN 5.0 ELSE l_extendedprice + 5 END AS calculated_total FROM lineitem)
+          SELECT order_id, l_linenumber, ROUND(total, 2) AS total, ROUND(calculated_total, 2) AS calculated_total FROM t
+          WHERE total IS NULL OR calculated_total IS NULL OR ABS(total - calculated_total) > 0.01""")
+def total_mismatch_nulls(spark, sf):
+    """The first line has an item without a price, the second no items, the third no total."""
+    line = F.col("l_linenumber")
+
+    def item(price):
+        return F.struct(price.cast("double").alias("price"), F.lit(1).alias("quantity"))
+
+    items = F.array(item(F.when(line != 1, F.col("l_extendedprice"))), item(F.lit(5.0)))
+    orders = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), "l_linenumber", F.when(line != 2, items).alias("line_items"),
+        F.when(line != 3, F.col("l_extendedprice") + 5).alias("total"))
+    return metrics.total_mismatch(orders).select("order_id", "l_linenumber", F.round("total", 2).alias("total"),
+                                                 F.round("calculated_total", 2).alias("calculated_total"))
+
+
+@query("""SELECT o_orderstatus AS status, CAST(SUM(CAST(o_totalprice / 1000 AS DECIMAL(28, 6))) AS DOUBLE) AS total
+          FROM (SELECT o_orderstatus, FLOOR(o_totalprice) AS o_totalprice FROM orders) t GROUP BY 1""")
+def money_below_cents(spark, sf):
+    """Amounts of three decimals add up without loss."""
+    amounts = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("status"), (F.floor("o_totalprice") / 1000).alias("x"))
+    return amounts.groupBy("status").agg(money_sum("x").alias("total"))
+
+
 @query("""SELECT COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE event_type IN ('click', 'view', 'purchase')) AS rows_out,
           COUNT(*) FILTER (WHERE event_type NOT IN ('click', 'view', 'purchase')) AS removed FROM events""")
 def run_metrics(spark, sf):

@@ -128,6 +128,16 @@ def write_hash_buckets(spark, sf):
         F.count("*").alias("orders"), F.count_distinct("bucket").alias("buckets"))
 
 
+@query("SELECT o_custkey, COUNT(*) AS orders, 1 AS buckets FROM orders GROUP BY o_custkey")
+def rebucket(spark, sf):
+    """Sixteen buckets, then eight in the same folder: no row of the first layout is left."""
+    path = new_folder(spark, "rebucket")
+    for buckets in (16, 8):
+        layout.write_hash_buckets(table(spark, sf, "orders"), path, "o_custkey", buckets)
+    return readers.scan_partitioned(spark, path).groupBy("o_custkey").agg(
+        F.count("*").alias("orders"), F.count_distinct("bucket").cast("int").alias("buckets"))
+
+
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def write_single(spark, sf):
     path = new_folder(spark, "single")
@@ -202,7 +212,5 @@ def raw_to_curated_run(spark, sf):
 @query(BY_STATUS)
 def bucketed_table(spark, sf):
     name = "lakeworks_orders_bucketed"
-    folder = new_folder(spark, "bucketed")
-    (table(spark, sf, "orders").write.mode("overwrite").option("path", folder)
-     .bucketBy(8, "o_custkey").sortBy("o_custkey").format("parquet").saveAsTable(name))
+    layout.save_bucketed(table(spark, sf, "orders"), name, "o_custkey", 8, path=new_folder(spark, "bucketed"))
     return by_status(spark.table(name))

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.clean import clean_trips
 
@@ -30,25 +29,21 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """One of the given tables. Its schema is read from the file once, not by every query."""
-    path = f"{sf}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 # --- SQL fragments ---
 
 def msum(x: str) -> str:
-    return f"(CAST(SUM(CAST(ROUND(({x}) * 100) AS BIGINT)) AS DOUBLE) / 100.0)"
+    parts = f"SUM(CAST(ROUND((({x}) - FLOOR({x})) * 1000000) AS BIGINT))"
+    return (f"(CAST(SUM(CAST(FLOOR({x}) AS BIGINT)) + {parts} // 1000000 AS DOUBLE)"
+            f" + CAST({parts} % 1000000 AS DOUBLE) / 1000000.0)")
 
 
 def mavg(x: str) -> str:
-    return f"(CAST(SUM(CAST(ROUND(({x}) * 100) AS BIGINT)) AS DOUBLE) / (100.0 * COUNT({x})))"
+    return f"({msum(x)} / COUNT({x}))"
 
 
 def trunc(part: str, x: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.marts import daily_conditional
+from ..quality.schema import Rule, TableSchema
 from ..session import new_folder
 from ..streaming import jobs
 from .checks import CASES_SQL, EVENTS
@@ -58,6 +59,28 @@ def stream_sessions(spark, sf):
     return spark.read.parquet(f"{root}/sessions")
 
 
+@query("""SELECT 'valid' AS part, COUNT(*) AS rows, COUNT(DISTINCT event_id) AS keys FROM events
+          UNION ALL SELECT 'rejected', COUNT(*), COUNT(DISTINCT event_id) FROM events WHERE event_type = 'click'
+          UNION ALL SELECT 'clean', COUNT(*), COUNT(DISTINCT event_id) FROM events
+          UNION ALL SELECT 'clean_rejected', 0, 0""")
+def stream_gate_batches(spark, sf):
+    """Every event once in a first file, the clicks again in a second; one file a batch. And a feed with nothing to reject."""
+    root = new_folder(spark, "stream_gate")
+    ids = TableSchema({"event_id": Rule("bigint", unique=True)})
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    parts = []
+    for feed, files in (("", [events, events.where("event_type = 'click'")]), ("clean_", [events])):
+        for i, rows in enumerate(files):
+            rows.select("event_id").coalesce(1).write.mode("append").parquet(f"{root}/{feed}feed")
+            source = jobs.file_stream(spark, f"{root}/{feed}feed", "event_id bigint", max_files=1)
+            jobs.stream_quality_gate(source, ids, f"{root}/{feed}valid", f"{root}/{feed}rejected", f"{root}/{feed}checkpoint")
+        for part in ("valid", "rejected"):
+            name = (feed + part).removesuffix("_valid") if feed else part
+            parts.append(spark.read.parquet(f"{root}/{feed}{part}").agg(
+                F.lit(name).alias("part"), F.count("*").alias("rows"), F.count_distinct("event_id").alias("keys")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
 @query(f"""SELECT CASE WHEN event_id IN (SELECT event_id FROM ({CASES_SQL}) x) THEN 'rejected' ELSE 'valid' END AS part,
            COUNT(*) AS rows FROM events GROUP BY 1""")
 def stream_quality_gate(spark, sf):

@@ -45,6 +45,27 @@ def top_zones_materialised(spark, sf):
     return marts.top_zones(summary, "1998-01-01", "1998-12-31")
 
 
+@query("""SELECT o_orderkey, 'changed' AS change FROM orders
+          WHERE o_orderpriority = '1-URGENT'""")
+def version_diff_nulls(spark, sf):
+    """A value that moves from one column to another, NULL in the first, is a change."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("a"), F.lit(None).cast("string").alias("b"),
+                                               "o_orderpriority")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    moved = orders.withColumns({"a": F.when(~urgent, F.col("a")), "b": F.when(urgent, F.col("a"))})
+    return versions.diff(orders, moved, ["o_orderkey"])
+
+
+@query("SELECT COUNT(*) AS row_count, FALSE AS same_hash FROM orders")
+def version_rename(spark, sf):
+    """Renamed columns make another content."""
+    orders = table(spark, sf, "orders")
+    swapped = {"o_custkey": "o_orderkey", "o_orderkey": "o_custkey"}
+    renamed = orders.toDF(*[swapped.get(c, c) for c in orders.columns])
+    other = versions.fingerprint(renamed).select("content_hash").scalar()
+    return versions.fingerprint(orders).select("row_count", (F.col("content_hash") == other).alias("same_hash"))
+
+
 @query("SELECT TRUE AS first_built, FALSE AS second_built, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders")
 def materialised_if_stale(spark, sf):
     target = new_folder(spark, "daily")
@@ -57,6 +78,27 @@ def materialised_if_stale(spark, sf):
     return result.agg(F.lit(first).alias("first_built"), F.lit(second).alias("second_built"), F.count("*").alias("days"))
 
 
+@query("""SELECT o_orderkey, 'changed' AS change FROM orders
+          WHERE o_orderpriority = '1-URGENT'""")
+def version_diff_nulls(spark, sf):
+    """A value that moves from one column to another, NULL in the first, is a change."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("a"), F.lit(None).cast("string").alias("b"),
+                                               "o_orderpriority")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    moved = orders.withColumns({"a": F.when(~urgent, F.col("a")), "b": F.when(urgent, F.col("a"))})
+    return versions.diff(orders, moved, ["o_orderkey"])
+
+
+@query("SELECT COUNT(*) AS row_count, FALSE AS same_hash FROM orders")
+def version_rename(spark, sf):
+    """Renamed columns make another content."""
+    orders = table(spark, sf, "orders")
+    swapped = {"o_custkey": "o_orderkey", "o_orderkey": "o_custkey"}
+    renamed = orders.toDF(*[swapped.get(c, c) for c in orders.columns])
+    other = versions.fingerprint(renamed).select("content_hash").scalar()
+    return versions.fingerprint(orders).select("row_count", (F.col("content_hash") == other).alias("same_hash"))
+
+
 @query("SELECT TRUE AS first_built, FALSE AS second_built, TRUE AS new_code_built, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders")
 def materialised_cached(spark, sf):
     store, inputs = versions.VersionStore(spark, new_folder(spark, "store")), [f"{sf}/orders.parquet"]
@@ -169,6 +211,27 @@ def version_diff(spark, sf):
     return versions.diff(old, orders.where("o_orderstatus <> 'P'").withColumn(P, urgent), ["o_orderkey"])
 
 
+@query("""SELECT o_orderkey, 'changed' AS change FROM orders
+          WHERE o_orderpriority = '1-URGENT'""")
+def version_diff_nulls(spark, sf):
+    """A value that moves from one column to another, NULL in the first, is a change."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("a"), F.lit(None).cast("string").alias("b"),
+                                               "o_orderpriority")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    moved = orders.withColumns({"a": F.when(~urgent, F.col("a")), "b": F.when(urgent, F.col("a"))})
+    return versions.diff(orders, moved, ["o_orderkey"])
+
+
+@query("SELECT COUNT(*) AS row_count, FALSE AS same_hash FROM orders")
+def version_rename(spark, sf):
+    """Renamed columns make another content."""
+    orders = table(spark, sf, "orders")
+    swapped = {"o_custkey": "o_orderkey", "o_orderkey": "o_custkey"}
+    renamed = orders.toDF(*[swapped.get(c, c) for c in orders.columns])
+    other = versions.fingerprint(renamed).select("content_hash").scalar()
+    return versions.fingerprint(orders).select("row_count", (F.col("content_hash") == other).alias("same_hash"))
+
+
 @query("SELECT TRUE AS first_built, FALSE AS second_built, TRUE AS changed_built, COUNT(DISTINCT CAST(o_orderdate AS DATE)) AS days FROM orders")
 def stage_lock(spark, sf):
     store, orders = versions.VersionStore(spark, new_folder(spark, "store")), table(spark, sf, "orders")

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "as_col", "as_of_date", "round_to", "round2", "cents", "money_sum", "money_avg", "ratio",
+    "as_col", "as_of_date", "round_to", "round2", "cents", "millionths", "money_sum", "money_avg", "ratio",
     "day_of", "week_of", "month_of", "month_range", "date_range", "trailing_days", "trailing_months",
     "seconds_of_day", "seconds_between", "elapsed_seconds", "minute_boundaries", "weekday_name",
     "weekday_number", "strip_all", "null_outside", "nested_total", "trip_efficiency",
@@ -47,21 +47,31 @@ def round2(x: str | Column) -> Column:
 
 
 def cents(x: str | Column) -> Column:
-    """Money as whole cents. Exact for amounts of at most two decimals."""
+    """An amount as whole cents, to compare amounts by."""
     return F.rint(as_col(x) * 100).cast("bigint")
 
 
+def millionths(x: str | Column) -> Column:
+    """An amount in whole millionths, exact for up to six decimals: a bigint that adds up the same in any order."""
+    return F.rint(as_col(x) * 1_000_000).cast("bigint")
+
+
 def money_sum(x: str | Column) -> Column:
-    """Sum of a two-decimal money column; independent of the order of the rows.
+    """Sum of a money column to six decimals; independent of the order of the rows.
 
-    Adding whole cents as bigint keeps partial aggregation in generated code and
-    makes the total the same for every partitioning (ANSI mode reports overflow).
+    Whole units and millionths are added as two bigints, which keeps partial aggregation
+    in generated code and cannot overflow before nine trillion rows (ANSI mode reports it).
     """
-    return F.sum(cents(x)).cast("double") / 100.0
+    x = as_col(x)
+    whole = F.floor(x)
+    units, parts = F.sum(whole), F.sum(millionths(x - whole))
+    rest = F.pmod(parts, F.lit(1_000_000).cast("bigint"))
+    carried = ((parts - rest) / 1_000_000).cast("bigint")
+    return (units + carried).cast("double") + rest.cast("double") / 1_000_000.0
 
 
 def money_avg(x: str | Column) -> Column:
-    return F.try_divide(F.sum(cents(x)).cast("double"), F.count(as_col(x)) * F.lit(100.0))
+    return F.try_divide(money_sum(x), F.count(as_col(x)).cast("double"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -156,9 +166,12 @@ def null_outside(x: str | Column, low=None, high=None, low_inclusive: bool = Tru
 
 
 def nested_total(items: str | Column, price: str = "price", quantity: str = "quantity") -> Column:
-    """Sum of price x quantity over an array of structs, without exploding it."""
+    """Sum of price x quantity over an array of structs, without exploding it.
+
+    An item without a price or a quantity adds nothing; without an array the total is NULL.
+    """
     return F.aggregate(
-        F.transform(as_col(items), lambda i: i[price] * i[quantity]), F.lit(0.0), lambda a, x: a + x
+        F.transform(as_col(items), lambda i: F.coalesce(i[price] * i[quantity], F.lit(0.0))), F.lit(0.0), lambda a, x: a + x
     )
 
 

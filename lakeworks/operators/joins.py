@@ -1,4 +1,4 @@
-"""Joins. Small sides are broadcast only when their size is known to be small."""
+"""Joins. Only literal code tables are broadcast by hint; the rest is left to Spark's check of bytes."""
 
 from __future__ import annotations
 
@@ -24,11 +24,6 @@ def payment_types(spark: SparkSession) -> DataFrame:
     return inline_dim(spark, PAYMENT_TYPES, "payment_type_id int, description string")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """Whether the side has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def star_join(trips: DataFrame, codes: Sequence[int] | None = None, rate: str | Column = "rate_code",
               payment: str | Column = "payment_type", amount: str = "fare_amount") -> DataFrame:
     """Trips by rate type and payment method.
@@ -53,18 +48,15 @@ def star_join(trips: DataFrame, codes: Sequence[int] | None = None, rate: str |
 
 
 def enrich(left: DataFrame, right: DataFrame, on: str | Sequence[str], columns: Sequence[str] | None = None,
-           how: str = "left", suffix: str = "_right", broadcast_rows: int | None = None) -> DataFrame:
+           how: str = "left", suffix: str = "_right") -> DataFrame:
     """Equi-join that keeps every left column; clashing right columns get ``suffix``.
 
-    ``columns`` projects the right side first. With ``broadcast_rows`` the right side
-    is counted up to that many rows and broadcast if it has no more. Otherwise the
-    choice is Spark's: both sides shuffle on the key unless the right one is known
-    to be small, and AQE splits a key that is far larger than the rest.
+    ``columns`` projects the right side first. How the sides meet is Spark's choice:
+    both shuffle on the key unless the right one turns out small in bytes, and AQE
+    splits a key that is far larger than the rest.
     """
     keys = [on] if isinstance(on, str) else list(on)
     wanted = right.select(*keys, *columns) if columns else right
-    if broadcast_rows is not None and fits_broadcast(wanted, broadcast_rows):
-        wanted = F.broadcast(wanted)
     clash = {c: c + suffix for c in wanted.columns if c in left.columns and c not in keys}
     return left.join(wanted.withColumnsRenamed(clash), keys, how)
 

@@ -1,4 +1,4 @@
-"""Aggregate reports. Column names are parameters; money is summed in cents.
+"""Aggregate reports. Column names are parameters; money is summed in whole millionths.
 
 Distinct counts are exact. With one distinct column Spark first groups by
 (keys, value), so a hot group is spread over all tasks before it is counted.
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (as_col, cents, date_range, day_of, money_avg, money_sum,
+from ..functions import (as_col, millionths, date_range, day_of, money_avg, money_sum,
                          month_of, ratio, round2, round_to, trailing_days, trailing_months, trip_efficiency,
                          week_of, weekday_name, weekday_number)
 
@@ -113,11 +113,11 @@ def top_products(items: DataFrame, products: DataFrame, on: tuple[str, str], nam
     """Items are summed per product key before the join, so a best seller travels as one row per task."""
     item_key, product_key = on
     sold = (items.where(trailing_days(ts, days, as_of)).groupBy(F.col(item_key).alias("_key"))
-            .agg(F.sum(quantity).alias("units"), F.sum(cents(amount)).alias("amount_cents")))
+            .agg(F.sum(quantity).alias("units"), F.sum(millionths(amount)).alias("amount_parts")))
     named = products.select(F.col(product_key).alias("_key"), F.col(name).alias("product_name"))
     return (sold.join(named, "_key").groupBy("product_name")
             .agg(F.sum("units").alias("units_sold"),
-                 (F.sum("amount_cents").cast("double") / 100.0).alias("revenue"))
+                 (F.sum("amount_parts").cast("double") / 1_000_000.0).alias("revenue"))
             .orderBy(F.desc("revenue"), "product_name").limit(top))
 
 
@@ -131,12 +131,12 @@ def items_with_products(items: DataFrame, products: DataFrame, on: tuple[str, st
 CATEGORY_WEEKLY = """
 WITH sold AS (
   SELECT {key} AS k, trunc(CAST({ts} AS DATE), 'week') AS week,
-         sum(CAST(rint({amount} * 100) AS BIGINT)) AS amount_cents
+         sum(CAST(rint({amount} * 100) AS BIGINT)) AS amount_parts
   FROM {items}
   WHERE {ts} >= CAST(date_sub(CAST(:as_of AS DATE), :days) AS TIMESTAMP_NTZ)
   GROUP BY 1, 2
 )
-SELECT CAST(week AS TIMESTAMP_NTZ) AS week, CAST(sum(amount_cents) AS DOUBLE) / 100.0 AS revenue
+SELECT CAST(week AS TIMESTAMP_NTZ) AS week, CAST(sum(amount_parts) AS DOUBLE) / 100.0 AS revenue
 FROM sold JOIN {products} p ON sold.k = p.{product_key}
 WHERE p.{category} = :category
 GROUP BY sold.week
@@ -207,16 +207,16 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
 
     The median is exact. Trips are first counted per distinct amount, which combines
     on the map side; a running count over those amounts then finds the middle. A hot
-    zone is thus bounded by the number of distinct cent amounts up to the outlier
+    zone is thus bounded by the number of distinct amounts up to the outlier
     limit, not by its trips, and the sort spills. ``approximate`` uses a sketch.
     """
     keys = ["pickup_date", "pickup_zone"]
     keyed = df.select(period.alias("pickup_date"), F.col(zone).alias("pickup_zone"),
-                      cents(amount).alias("c"), cents(distance).alias("d"))
+                      millionths(amount).alias("c"), millionths(distance).alias("d"))
     if approximate:
         grouped = keyed.groupBy(*keys).agg(
             rows().alias("n"), F.sum("c").alias("c"), F.sum("d").alias("d"), F.count("d").alias("nd"),
-            (F.percentile_approx("c", 0.5, 10_000) / F.lit(100.0)).alias("m"))
+            (F.percentile_approx("c", 0.5, 10_000) / F.lit(1_000_000.0)).alias("m"))
     else:
         counts = (keyed.groupBy(*keys, "c").agg(rows().alias("n"), F.sum("d").alias("d"), F.count("d").alias("nd"))
                   .withColumn("v", F.when(F.col("c").isNull(), 0).otherwise(F.col("n"))))
@@ -228,7 +228,7 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
             return (F.col("upto") - F.col("v") <= rank) & (rank < F.col("upto"))
 
         def amount_at(rank: str) -> Column:
-            return F.max(F.when(holds(F.expr(rank)), F.col("c"))) / F.lit(100.0)
+            return F.max(F.when(holds(F.expr(rank)), F.col("c"))) / F.lit(1_000_000.0)
 
         # Between two middle amounts the value is interpolated in double, as percentile_cont does.
         lower, upper = amount_at("(`all` - 1) div 2"), amount_at("`all` div 2")
@@ -237,8 +237,8 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
             F.sum("nd").alias("nd"),
             (lower * 0.5 + upper * 0.5).alias("m"))
     return grouped.select(
-        *keys, F.col("n").alias("trip_count"), round2(F.col("c").cast("double") / 100.0).alias("total_revenue"),
-        round2(F.try_divide(F.col("d").cast("double"), F.col("nd") * F.lit(100.0))).alias("avg_distance"),
+        *keys, F.col("n").alias("trip_count"), round2(F.col("c").cast("double") / 1_000_000.0).alias("total_revenue"),
+        round2(F.try_divide(F.col("d").cast("double"), F.col("nd") * F.lit(1_000_000.0))).alias("avg_distance"),
         round2("m").alias("median_fare"))
 
 
@@ -324,9 +324,9 @@ def category_weekly_frame(items: DataFrame, products: DataFrame, category: str,
                           category_column: str, amount: str, ts: str, as_of=None, days: int = 90) -> DataFrame:
     """The DataFrame form of ``category_weekly``."""
     sold = (items.where(trailing_days(ts, days, as_of)).groupBy(F.col(on[0]).alias("_key"), week_of(ts).alias("week"))
-            .agg(F.sum(cents(amount)).alias("amount_cents")))
+            .agg(F.sum(millionths(amount)).alias("amount_parts")))
     chosen = products.where(F.col(category_column) == category).select(F.col(on[1]).alias("_key"))
     return (sold.join(chosen, "_key").groupBy("week")
-            .agg((F.sum("amount_cents").cast("double") / 100.0).alias("revenue")).orderBy("week"))
+            .agg((F.sum("amount_parts").cast("double") / 1_000_000.0).alias("revenue")).orderBy("week"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_col, cents, elapsed_seconds, month_of, ratio, round2, round_to
+from ..functions import as_col, millionths, elapsed_seconds, month_of, ratio, round2, round_to
 
 
 def top_n_per_month(df: DataFrame, ts: str, zone: str, n: int = 5) -> DataFrame:
@@ -39,9 +39,9 @@ def share_of_total(df: DataFrame, group: str, amount: str) -> DataFrame:
     The whole is a scalar subquery over the same grouped rows, so both share one
     scan and one shuffle.
     """
-    grouped = df.groupBy(F.col(group).alias("status")).agg(F.sum(cents(amount)).alias("c"))
+    grouped = df.groupBy(F.col(group).alias("status")).agg(F.sum(millionths(amount)).alias("c"))
     whole = grouped.agg(F.sum("c")).scalar()
-    share = grouped.select("status", (F.col("c").cast("double") / 100.0).alias("revenue"),
+    share = grouped.select("status", (F.col("c").cast("double") / 1_000_000.0).alias("revenue"),
                            (F.lit(100.0) * ratio(F.col("c"), whole)).alias("_share"))
     return (share.select("status", "revenue", round2("_share").alias("pct"))
             .orderBy(F.desc("revenue"), "status"))

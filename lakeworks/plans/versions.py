@@ -21,7 +21,8 @@ REFS = "name string, ref string, snapshot string, seq bigint"
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(c) for c in sorted(columns)])
+    """Hash of a row. The hash function skips NULLs, so each column goes in with its name and whether it is NULL."""
+    return F.xxhash64(*[part for c in sorted(columns) for part in (F.lit(c), F.col(c).isNull(), F.col(c))])
 
 
 def content_hash(columns: Sequence[str]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions import cents, nested_total
+from ..functions import money_sum, nested_total
 
 
 def observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, Observation]:
@@ -15,7 +15,7 @@ def observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, O
 
 
 def revenue_measure(total: str) -> Column:
-    return F.sum(cents(total)) / F.lit(100.0)
+    return money_sum(total)
 
 
 def run_metrics(before: Observation, after: Observation) -> dict[str, float]:
@@ -28,6 +28,7 @@ def run_metrics(before: Observation, after: Observation) -> dict[str, float]:
 
 def total_mismatch(orders: DataFrame, total: str = "total", items: str = "line_items",
                    tolerance: float = 0.01) -> DataFrame:
-    """Orders whose total differs from their line items by more than the tolerance."""
+    """Orders whose total differs from their line items by more than the tolerance, or that lack either."""
     computed = orders.withColumn("calculated_total", nested_total(items))
-    return computed.where(F.abs(F.col(total) - F.col("calculated_total")) > tolerance)
+    gap = F.abs(F.col(total) - F.col("calculated_total"))
+    return computed.where(gap.isNull() | (gap > tolerance))

@@ -49,14 +49,13 @@ def get_session(app: str = "lakeworks", master: str | None = None, **conf) -> Sp
     return builder.getOrCreate()
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20,
-                  most: int = 50_000) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20) -> int:
     """Set the shuffle partition count for a job that shuffles about ``input_bytes``.
 
     AQE merges partitions that turn out small but does not split ordinary ones, so
     the count has to be large enough for the data before it runs.
     """
-    wanted = max(spark.sparkContext.defaultParallelism, min(most, -(-input_bytes // per_partition)))
+    wanted = max(spark.sparkContext.defaultParallelism, -(-input_bytes // per_partition))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted
 

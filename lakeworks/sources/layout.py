@@ -18,9 +18,12 @@ from .readers import file_listing
 
 
 def _write_partitioned(df: DataFrame, path: str, keys: Sequence[str], sort: Sequence[str],
-                       codec: str, mode: str) -> None:
+                       codec: str, mode: str, only_touched: bool = False) -> None:
+    """An overwrite replaces the whole folder, whatever the session's setting is, or
+    with ``only_touched`` just the partitions that get rows."""
     laid_out = df.hint("rebalance", *keys).sortWithinPartitions(*keys, *sort)
-    laid_out.write.mode(mode).option("compression", codec).partitionBy(*keys).parquet(path)
+    (laid_out.write.mode(mode).option("compression", codec)
+     .option("partitionOverwriteMode", "dynamic" if only_touched else "static").partitionBy(*keys).parquet(path))
 
 
 def with_date_parts(df: DataFrame, ts: str) -> DataFrame:
@@ -54,17 +57,19 @@ def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 16,
     _write_partitioned(keyed, path, ["bucket"], [key], codec, mode)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite", path: str | None = None) -> None:
     """Catalog table bucketed on ``key``: later joins and groupings on it need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+    writer = df.write.mode(mode).bucketBy(buckets, key).sortBy(key).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
-def write_single(df: DataFrame, path: str, max_rows: int = 1_000_000, codec: str = "zstd",
-                 mode: str = "overwrite") -> None:
-    """One file for a small dimension; refuses a table that is not small."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: write a partitioned layout instead")
-    df.coalesce(1).write.mode(mode).option("compression", codec).parquet(path)
+def write_single(df: DataFrame, path: str, codec: str = "zstd", mode: str = "overwrite") -> None:
+    """One file for a small dimension.
+
+    Partitions are merged by size while the job runs, so a table that turns out large
+    is written as several files of the session's advisory size by several tasks.
+    """
+    df.hint("rebalance").write.mode(mode).option("compression", codec).parquet(path)
 
 
 def sorted_write(df: DataFrame, path: str, sort: Sequence[str], codec: str = "zstd",

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from ..functions import money_sum
 from ..operators.clean import clean_events
 from ..quality.schema import TableSchema
+from ..session import path_exists
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType | str, fmt: str = "parquet",
@@ -91,14 +92,35 @@ def stream_sessions(events: DataFrame, target: str, checkpoint: str, ts: str = "
 
 def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, rejected: str, checkpoint: str,
                         wait: bool = True) -> StreamingQuery:
-    """Split every batch into valid rows and rejected rows with reasons. Each batch owns a
-    directory that a retry overwrites.
+    """Split every batch into valid rows and rejected rows with reasons.
+
+    A key that an earlier batch has accepted is not accepted again, so unique columns
+    hold across batches whatever files come together; within a batch all rows of a
+    repeated key are rejected. Each batch owns a directory that a retry overwrites, and
+    looks only at those of earlier batches. An empty part gets a file too, so both
+    folders can be read from the first batch on.
     """
+    unique = [c for c, rule in schema.columns.items() if rule.unique]
 
     def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         good, bad = schema.split(batch)
+        known = None
+        if unique and path_exists(spark, valid):
+            names = ", ".join(f"`{c}` {schema.columns[c].dtype}" for c in unique)
+            known = spark.read.schema(f"{names}, batch_id int").parquet(valid).where(F.col("batch_id") < batch_id)
+        for c in unique if known is not None else ():
+            keys = known.where(F.col(c).isNotNull()).select(F.col(c).alias("_known")).distinct()
+            good = good.join(keys, F.col(c) == F.col("_known"), "left").withColumnRenamed("_known", f"_known_{c}")
+        if known is not None:
+            repeated = {c: F.col(f"_known_{c}").isNotNull() for c in unique}
+            again = F.lit(False)
+            for condition in repeated.values():
+                again = again | condition
+            reasons = F.array_compact(F.array(*[F.when(r, F.lit(f"{c}:unique")) for c, r in repeated.items()]))
+            late = good.where(again).select(*batch.columns, reasons.alias("reasons"))
+            good, bad = good.where(~again).select(*batch.columns), bad.unionByName(late)
         for part, path in ((good, valid), (bad, rejected)):
-            (part.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+            (part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
 
     return _run(events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint), wait)

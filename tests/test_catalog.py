@@ -10,6 +10,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from lakeworks.catalog import ORACLE, QUERIES  # noqa: E402
 from check_oracle import rows_of  # noqa: E402
 
 
@@ -21,14 +22,14 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, duck, name):
-    df = entry.queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     got = rows_of(df.columns, df.collect())
-    if name not in entry.oracle_sql():
+    if name not in ORACLE:
         assert name == "topk_ann" and len(got) == 10  # approximate by design
         return
-    cursor = duck.execute(entry.oracle_sql()[name])
+    cursor = duck.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(names)
     assert got == rows_of(names, cursor.fetchall())

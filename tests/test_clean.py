@@ -112,20 +112,6 @@ def test_enrich_keeps_unmatched_and_renames_clashes(spark, tuples):
     assert joins.enrich(left, right, "k", ["extra"], how="inner").columns == ["k", "name", "extra"]
 
 
-def test_a_side_is_broadcast_only_within_its_bound(spark, tuples):
-    from lakeworks.sources.layout import plan_text
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        left, right = spark.range(100), spark.range(20).withColumn("x", F.col("id") * 2)
-        small = joins.enrich(left, right, "id", broadcast_rows=20)
-        large = joins.enrich(left, right, "id", broadcast_rows=19)
-        assert "BroadcastHashJoin" in plan_text(small, "simple") and "SortMergeJoin" in plan_text(large, "simple")
-        assert tuples(small) == tuples(large)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_anti_join_with_null_keys(spark, tuples):
     left = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1,), (1,), (None,)], "k int")
@@ -136,7 +122,6 @@ def test_star_join_drops_unknown_codes(spark, tuples):
     trips = spark.createDataFrame([(2, 1, 10.0), (2, 1, 20.0), (3, 9, 1.0), (99, 1, 5.0), (None, 1, 5.0)],
                                   "rate_code int, payment_type int, fare_amount double")
     assert tuples(joins.star_join(trips)) == [("JFK", "Credit card", 2, 15.0, 30.0)]
-    assert joins.fits_broadcast(trips, 5) and not joins.fits_broadcast(trips, 4)
 
 
 def test_normalise(spark):

@@ -91,11 +91,15 @@ def test_bucketed_join_needs_no_shuffle(spark, facts):
     assert "SortMergeJoin" in text and "Exchange" not in text and joined.count() == 300
 
 
-def test_single_file_is_for_small_tables(spark, facts, folder):
+def test_single_file_of_a_small_table(spark, facts, folder):
     layout.write_single(facts, f"{folder}/one")
     assert len(glob.glob(f"{folder}/one/*.parquet")) == 1
-    with pytest.raises(ValueError):
-        layout.write_single(facts, f"{folder}/two", max_rows=299)
+
+
+def test_bucketing_anew_leaves_no_old_rows(spark, facts, folder):
+    layout.write_hash_buckets(facts, f"{folder}/b", "id", 16)
+    layout.write_hash_buckets(facts, f"{folder}/b", "id", 8)
+    assert spark.read.parquet(f"{folder}/b").count() == 300 and len(glob.glob(f"{folder}/b/bucket=*")) == 8
 
 
 def test_sorted_files_hold_disjoint_ranges(spark, facts, folder):
@@ -117,7 +121,7 @@ def test_one_sort_value_may_fill_several_files(spark, facts, folder):
 def test_shuffles_are_sized_from_the_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_shuffles(spark, 10 << 40) == 40_960 and size_shuffles(spark, 100 << 40) == 50_000
+        assert size_shuffles(spark, 10 << 40) == 40_960 and size_shuffles(spark, 100 << 40) == 409_600
         assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
