@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cents, elapsed_seconds, seconds_of_day
@@ -51,20 +51,38 @@ def match_transactions(bank: DataFrame, ledger: DataFrame, tolerance: int = 60,
 
 
 def _nearest(df: DataFrame, other: DataFrame, own: str, far: str, tolerance: int) -> DataFrame:
-    """For each row of ``df`` the nearest id of ``other`` (smallest id on ties)."""
+    """For each row of ``df`` the nearest id of ``other`` (smallest id on ties).
+
+    Both sides are sorted together by amount and time slot; a running last value gives
+    the nearest time before, and after in the other direction. A slot is as wide as the
+    tolerance, so beyond it only the last time of the slot before and the first of the
+    slot after can count. The work is that of sorting, however many rows share an amount.
+    """
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    second = F.floor(micros / F.lit(1_000_000)).cast("bigint")
-    width = F.lit(2 * tolerance + 3)  # whole seconds that cover the range of any fraction
-    left = df.select(own, "amount_cents", micros.alias("t"),
-                     F.floor(second / width).cast("bigint").alias("slot"))
+    reach = tolerance * 1_000_000
+    slot = F.expr(f"(t - pmod(t, {reach + 1})) div {reach + 1}").alias("slot")
     # One representative per distinct time is enough to find the nearest.
-    seen = other.groupBy("amount_cents", micros.alias("u")).agg(F.min(far).alias(far))
-    other_second = F.floor(F.col("u") / F.lit(1_000_000)).cast("bigint")
-    first, last = (F.floor((other_second + d) / width).cast("bigint") for d in (-tolerance - 1, tolerance + 1))
-    right = seen.select(far, "amount_cents", "u", F.explode(F.sequence(first, last)).alias("slot"))
-    gap = F.abs(F.col("t") - F.col("u"))
-    return (left.join(right, ["amount_cents", "slot"]).where(gap <= tolerance * 1_000_000)
-            .groupBy(own).agg(F.min_by(far, F.struct(gap, F.col(far))).alias(far)))
+    seen = (other.groupBy("amount_cents", micros.alias("t")).agg(F.min(far).alias("far"))
+            .where("t IS NOT NULL AND amount_cents IS NOT NULL").select("amount_cents", "t", "far", slot))
+    rows = df.select(F.col(own).alias("own"), "amount_cents", micros.alias("t"))
+    rows = rows.where("t IS NOT NULL AND amount_cents IS NOT NULL").select("own", "amount_cents", "t", slot)
+    both = rows.withColumn("side", F.lit(1)).unionByName(seen.withColumn("side", F.lit(0)), allowMissingColumns=True)
+    place = F.when(F.col("side") == 0, F.struct("t", "far"))
+
+    def running(*order) -> Column:
+        return F.last(place, ignorenulls=True).over(
+            Window.partitionBy("amount_cents", "slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+
+    inside = both.withColumn("before", running("t", "side")).withColumn("after", running(F.desc("t"), "side")).where("side = 1")
+    ends = seen.groupBy("amount_cents", "slot").agg(F.min(F.struct("t", "far")).alias("first"), F.max(F.struct("t", "far")).alias("last"))
+    earlier = ends.select("amount_cents", (F.col("slot") + 1).alias("slot"), F.col("last").alias("earlier"))
+    later = ends.select("amount_cents", (F.col("slot") - 1).alias("slot"), F.col("first").alias("later"))
+    met = inside.join(earlier, ["amount_cents", "slot"], "left").join(later, ["amount_cents", "slot"], "left")
+    gaps = [F.when(F.abs(F.col(f"{c}.t") - F.col("t")) <= reach,
+                   F.struct(F.abs(F.col(f"{c}.t") - F.col("t")).alias("gap"), F.col(f"{c}.far").alias("far")))
+            for c in ("before", "after", "earlier", "later")]
+    return (met.select(F.col("own").alias(own), F.array_min(F.array_compact(F.array(*gaps))).alias("best"))
+            .where("best IS NOT NULL").groupBy(own).agg(F.min("best").alias("best")).select(own, F.col("best.far").alias(far)))
 
 
 def _mutual_nearest(bank: DataFrame, ledger: DataFrame, tolerance: int) -> DataFrame:

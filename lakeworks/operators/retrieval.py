@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import round_to
 from ..functions.vector import dot, norm
-from ..session import new_folder
 from .clean import render_text, sample_rows
 
 WHITE_SPACE = r"[ \t\r\n]+"
@@ -95,77 +94,67 @@ def topk_cosine(df: DataFrame, query: DataFrame | Sequence[float], k: int, key:
             .orderBy(F.desc("similarity"), *key).limit(k))
 
 
-def _best(rows: pd.DataFrame, query: str, key: list[str], k: int) -> pd.DataFrame:
-    ordered = rows.sort_values([query, "similarity", *key], ascending=[True, False] + [True] * len(key))
-    return ordered.groupby(query, sort=False).head(k)
+def _packed(df: DataFrame, columns: Sequence[str], vector: str, rows: int, prefix: str) -> DataFrame:
+    """Up to ``rows`` rows of a task as one row: arrays of the columns, and the vectors end to end.
 
+    A NULL vector becomes zeros, whose cosine to anything is 0.
+    """
+    types = dict(df.dtypes)
+    schema = ", ".join([f"`{prefix}{c}` array<{types[c]}>" for c in columns] + [f"{prefix}flat array<double>", f"{prefix}width int"])
 
-def _search(index: DataFrame, vectors: np.ndarray, ids: list, query_type: str, k: int, key: list[str],
-            query: str, vector: str) -> DataFrame:
-    norms = np.sqrt((vectors * vectors).sum(axis=1))
-    id_values = np.asarray(ids)
-
-    step = max(1, 4_000_000 // max(1, len(id_values)))  # rows multiplied at a time
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            whole = whole.sort_values(key)  # a stable sort below then breaks ties by key
-            for at in range(0, len(whole), step):
-                part = whole.iloc[at:at + step]
-                rows = np.stack(part[vector].to_numpy()).astype(np.float64)
-                size = np.sqrt((rows * rows).sum(axis=1))[:, None] * norms[None, :]
-                cosine = np.divide(rows @ vectors.T, size, out=np.zeros_like(size), where=size > 0)
-                cosine = np.sign(cosine) * np.floor(np.abs(cosine) * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
-                top = np.argsort(-cosine, axis=0, kind="stable")[:k]
-                found = part[key].iloc[top.T.ravel()].reset_index(drop=True)
-                found[query] = np.repeat(id_values, top.shape[0])
-                found["similarity"] = np.take_along_axis(cosine, top, axis=0).T.ravel()
-                kept = found if kept is None else pd.concat([kept, found])
-                if len(kept) > 4 * k * len(id_values):
-                    kept = _best(kept, query, key, k)
-        if kept is not None:
-            yield _best(kept, query, key, k)
+            for at in range(0, len(whole), rows):
+                part = whole.iloc[at:at + rows]
+                width = max((len(v) for v in part[vector] if v is not None), default=0)
+                flat = np.zeros((len(part), width))
+                for i, v in enumerate(part[vector]):
+                    if v is not None:
+                        flat[i, :len(v)] = v
+                yield pd.DataFrame({f"{prefix}{c}": [part[c].tolist()] for c in columns} | {f"{prefix}flat": [flat.ravel()], f"{prefix}width": [width]})
 
-    return index.select(*key, vector).mapInPandas(scan, _found_schema(index, key, query, query_type))
+    return df.select(*columns, vector).mapInPandas(pack, schema)
 
 
-def _found_schema(index: DataFrame, key: list[str], query: str, query_type: str) -> str:
-    types = dict(index.dtypes)
-    return ", ".join([f"{c} {types[c]}" for c in key] + [f"{query} {query_type}", "similarity double"])
+def _cosines(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    if rows.shape[1] != queries.shape[1]:
+        return np.zeros((len(rows), len(queries)))
+    size = np.sqrt((rows * rows).sum(axis=1))[:, None] * np.sqrt((queries * queries).sum(axis=1))[None, :]
+    cosine = np.divide(rows @ queries.T, size, out=np.zeros_like(size), where=size > 0)
+    return np.sign(cosine) * np.floor(np.abs(cosine) * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
 
 
 def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str,
-                      vector: str = "embedding", block_rows: int = 10_000) -> DataFrame:
+                      vector: str = "embedding", block_rows: int = 1000) -> DataFrame:
     """The ``k`` most similar index rows of every query: (query, rank, key, similarity).
 
-    Query vectors go to the tasks in blocks of at most ``block_rows`` rows. A task
-    multiplies its rows with the block and keeps ``k`` per query, so no pairs are
-    shuffled. A larger query table is worked off block by block, each block's
-    result being stored before the next one is read; nothing is left out.
+    Exact: every query meets every row. Both sides are packed into blocks of at most
+    ``block_rows`` rows, and blocks are joined, not rows: a task multiplies two blocks and
+    passes on ``k`` rows per query, of which the window's group limit lets ``k`` per query
+    and task into the shuffle. One plan for any number of queries; Spark broadcasts the
+    query blocks if they are small and otherwise pairs partitions.
     """
-    key, spark = list(key), index.sparkSession
-    wanted = queries.select(query, vector)
-    total = wanted.count()
-    blocks = max(1, -(-total // block_rows))
-    numbered = wanted if blocks == 1 else wanted.withColumn(
-        "_b", F.pmod(F.xxhash64(query), F.lit(2 * blocks)))  # twice as many: uneven hashing stays under the bound
-    query_type = dict(queries.dtypes)[query]
-    folder = new_folder(spark, "topk") if blocks > 1 else None
-    found = spark.createDataFrame([], _found_schema(index, key, query, query_type))
-    for b in range(1 if blocks == 1 else 2 * blocks):
-        part = numbered if blocks == 1 else numbered.where(F.col("_b") == b)
-        rows = part.select(query, vector).collect()
-        if not rows:
-            continue
-        vectors = np.asarray([r[1] for r in rows], dtype=np.float64)
-        found = _search(index, vectors, [r[0] for r in rows], query_type, k, key, query, vector)
-        if folder:
-            found.write.mode("append").parquet(folder)
-    if folder:
-        found = spark.read.parquet(folder)
+    key = list(key)
+    types = dict(index.dtypes) | {query: dict(queries.dtypes)[query]}
+    schema = ", ".join([f"`{c}` {types[c]}" for c in (*key, query)] + ["similarity double"])
+    pairs = _packed(index, key, vector, block_rows, "i_").crossJoin(_packed(queries, [query], vector, block_rows, "q_"))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, pair in batch.iterrows():
+                rows = pd.DataFrame({c: list(pair[f"i_{c}"]) for c in key})
+                order = rows.sort_values(key).index.to_numpy()  # a stable sort below then breaks ties by key
+                asked = np.asarray(list(pair[f"q_{query}"]), dtype=object)
+                left = np.asarray(pair["i_flat"], float).reshape(len(rows), pair["i_width"])[order]
+                cosine = _cosines(left, np.asarray(pair["q_flat"], float).reshape(len(asked), pair["q_width"]))
+                top = np.argsort(-cosine, axis=0, kind="stable")[:k]
+                found = rows.iloc[order[top.T.ravel()]].reset_index(drop=True)
+                found[query] = np.repeat(asked, top.shape[0])
+                found["similarity"] = np.take_along_axis(cosine, top, axis=0).T.ravel()
+                yield found
+
     w = Window.partitionBy(query).orderBy(F.desc("similarity"), *key)
-    return (found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (pairs.mapInPandas(scan, schema).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query, "rank", *key, "similarity"))
 
 
@@ -173,8 +162,10 @@ def topk_ann(df: DataFrame, query: Sequence[float], k: int, key: str, vector: st
              tables: int = 8, bucket: float = 0.5, seed: int = 42) -> DataFrame:
     """Approximate neighbours by random projections of unit vectors.
 
-    Near in angle is near in distance on the unit sphere. Only rows sharing a
-    bucket with the query are compared; compare with ``topk_cosine`` for recall.
+    Near in angle is near in distance on the unit sphere. Rows sharing a bucket with the
+    query are compared first; if they are fewer than ``k``, the best of the others fill up,
+    so ``k`` rows come back from any table that has them. Compare with ``topk_cosine`` for
+    recall.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH, Normalizer
     from pyspark.ml.functions import array_to_vector
@@ -187,7 +178,12 @@ def topk_ann(df: DataFrame, query: Sequence[float], k: int, key: str, vector: st
     lsh = BucketedRandomProjectionLSH(inputCol="_unit", outputCol="_hash", numHashTables=tables,
                                       bucketLength=bucket, seed=seed)
     near = lsh.fit(unit).approxNearestNeighbors(unit, Vectors.dense(q / length), k, distCol="_d")
-    return with_similarity(near, list(q), vector).select(key, "similarity").orderBy(F.desc("similarity"), key)
+    found = with_similarity(near, list(q), vector).select(key, "similarity")
+    missing = k - found.count()  # at most k rows
+    if missing > 0:
+        others = df.join(found.select(key), key, "left_anti")
+        found = found.unionByName(topk_cosine(others, list(q), missing, [key], vector=vector))
+    return found.orderBy(F.desc("similarity"), key)
 
 
 def chunk_documents(docs: DataFrame, doc: str, text: str, size: int = 200, overlap: int = 0) -> DataFrame:

@@ -47,42 +47,28 @@ def share_of_total(df: DataFrame, group: str, amount: str) -> DataFrame:
             .orderBy(F.desc("revenue"), "status"))
 
 
-def previous_event(df: DataFrame, user: str, ts: str, tie: str, rows_per_chunk: int = 5_000_000,
+def previous_event(df: DataFrame, user: str, ts: str, tie: str, bucket_seconds: int = 3600,
                    name: str = "prev_event_time") -> DataFrame:
-    """``lag(ts)`` per user without putting a very large user into one task.
-
-    Users are counted first (combined on the map side). One with more than
-    ``rows_per_chunk`` events is hot: the user's time span is cut into chunks of about half
-    that many rows, ``lag`` runs inside (user, chunk), and the first event of a chunk
-    takes the end of the user's previous chunk. Everyone else is a single chunk.
-    There are at most (all rows / ``rows_per_chunk``) hot users, so their list is
-    safe to broadcast.
+    """``lag(ts)`` per user without putting all events of a user into one task.
+
+    Rows are shuffled once, by user and time bucket, and ``lag`` runs inside a bucket.
+    The last time of a user's previous bucket comes from a small table with one row per
+    user and bucket; it joins its bucket as a row of its own, which sorts first and is
+    taken out again.
     """
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    stats = df.where(F.col(ts).isNotNull()).groupBy(F.col(user).alias("_hu")).agg(
-        F.count("*").alias("_n"), F.min(micros).alias("_lo"), F.max(micros).alias("_hi"))
-    pieces = F.ceil(F.col("_n") * 2 / F.lit(rows_per_chunk))
-    hot = (stats.where(F.col("_n") > rows_per_chunk)
-           .select("_hu", "_lo", F.greatest(F.ceil((F.col("_hi") - F.col("_lo")) / pieces), F.lit(1)).alias("_width")))
-
-    def with_chunk(how: str) -> DataFrame:
-        joined = df.join(F.broadcast(hot), F.col(user).eqNullSafe(F.col("_hu")), how)
-        chunk = F.floor((micros - F.col("_lo")) / F.col("_width")).cast("bigint")
-        return joined.withColumn("_c", F.coalesce(chunk, F.lit(0).cast("bigint"))).drop("_hu", "_lo", "_width")
-
-    ends = with_chunk("inner").groupBy(F.col(user).alias("_eu"), F.col("_c").alias("_ec")).agg(F.max(ts).alias("_end"))
-    earlier = ends.select("_eu", "_ec", F.lag("_end").over(Window.partitionBy("_eu").orderBy("_ec")).alias("_before"))
-    inside = Window.partitionBy(user, "_c").orderBy(ts, tie)
-    lagged = with_chunk("left").withColumn("_lag", F.lag(ts).over(inside))
-    joined = lagged.join(earlier, F.col(user).eqNullSafe(F.col("_eu")) & (F.col("_c") == F.col("_ec")), "left")
-    return (joined.withColumn(name, F.coalesce("_lag", "_before"))
-            .drop("_c", "_lag", "_before", "_eu", "_ec"))
+    bucketed = df.withColumn("_b", F.floor(micros / F.lit(bucket_seconds * 1_000_000)).cast("bigint"))
+    ends = bucketed.where(F.col(ts).isNotNull()).groupBy(user, "_b").agg(F.max(ts).alias("_end"))
+    carried = ends.select(user, "_b", F.lag("_end").over(Window.partitionBy(user).orderBy("_b")).alias(ts)).where(F.col(ts).isNotNull())
+    rows = bucketed.withColumn("_own", F.lit(True)).unionByName(carried.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    inside = Window.partitionBy(user, "_b").orderBy(ts, tie)
+    return rows.withColumn(name, F.lag(ts).over(inside)).where("_own").drop("_b", "_own")
 
 
 def session_gaps(df: DataFrame, user: str = "user_id", ts: str = "event_time", tie: str = "session_id",
-                 gap_seconds: int = 1800, rows_per_chunk: int = 5_000_000) -> DataFrame:
+                 gap_seconds: int = 1800, bucket_seconds: int = 3600) -> DataFrame:
     """Events that follow the user's previous event by more than ``gap_seconds`` whole seconds."""
-    lagged = previous_event(df, user, ts, tie, rows_per_chunk)
+    lagged = previous_event(df, user, ts, tie, bucket_seconds)
     return (lagged.withColumn("session_gap_seconds", elapsed_seconds(ts, "prev_event_time"))
             .where(F.col("session_gap_seconds") > gap_seconds))
 

@@ -159,3 +159,17 @@ def test_one_amount_filling_a_minute_needs_no_pairs(spark):
     assert rec.unmatched(bank, ledger, "UNMATCHED_BANK").count() == 0
     late = ledger.withColumn("time_seconds", F.col("time_seconds") + 3600)
     assert rec.unmatched(bank, late, "UNMATCHED_BANK").count() == n
+
+
+def test_strict_matching_of_one_amount_in_one_minute(spark):
+    """Many rows of one amount in one minute: the work is that of sorting, not of pairs."""
+    def feed(name, shift):
+        return spark.range(100_000).select(
+            F.concat(F.lit(name[0]), "id").alias(name), F.lit(5.0).alias("amount"),
+            F.expr(f"timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, cast(id as decimal(18, 6)) * 0.0006 + {shift})")
+            .alias("timestamp"))
+
+    bank, ledger = (rec.prepare(feed(n, s)) for n, s in (("bank_id", 0), ("ledger_id", 0.0001)))
+    matched = rec.match_transactions(bank, ledger, strict=True)
+    assert matched.count() == 100_000
+    assert matched.where("substr(bank_id, 2) != substr(ledger_id, 2)").count() == 0

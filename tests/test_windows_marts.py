@@ -24,9 +24,9 @@ def visits(spark):
                                  "user_id bigint, session_id string, event_time timestamp_ntz")
 
 
-@pytest.mark.parametrize("chunk", [1, 2, 1000])
-def test_session_gaps_example(visits, tuples, chunk):
-    gaps = windows.session_gaps(visits, rows_per_chunk=chunk)
+@pytest.mark.parametrize("bucket", [1, 600, 3600, 10 ** 6])
+def test_session_gaps_example(visits, tuples, bucket):
+    gaps = windows.session_gaps(visits, bucket_seconds=bucket)
     assert tuples(gaps, "user_id", "session_gap_seconds") == [(1, 3300), (3, 3900)]
     assert tuples(marts.gap_stats(gaps)) == [(1, 1, 3300.0), (3, 1, 3900.0)]
 
@@ -145,3 +145,22 @@ def test_clean_trips_keeps_raw_beside_clean(spark):
     got = clean_trips(spark.createDataFrame(rows), TAXI_COLUMNS).collect()
     assert [(r["trip_distance"], r["clean_distance"], r["clean_amount"]) for r in got] == [
         (0.0, None, 10.0), (101.0, None, None), (100.0, 100.0, 500.0)]
+
+
+@pytest.mark.parametrize("bucket", [7, 3600])
+def test_previous_event_is_lag_for_any_bucket(spark, tuples, bucket):
+    import random
+
+    draw = random.Random(bucket)
+    rows = [(draw.choice([1, 2, None]), f"s{i}", None if i % 17 == 0 else at("2024-01-01") + dt.timedelta(seconds=draw.randrange(200)))
+            for i in range(150)]
+    df = spark.createDataFrame(rows, "user_id bigint, session_id string, event_time timestamp_ntz")
+    plain = df.selectExpr("*", "lag(event_time) over (partition by user_id order by event_time, session_id) as prev_event_time")
+    assert tuples(windows.previous_event(df, "user_id", "event_time", "session_id", bucket)) == tuples(plain)
+
+
+def test_gaps_shuffle_the_events_once(spark, visits):
+    from lakeworks.sources.layout import plan_text
+
+    text = plan_text(windows.previous_event(visits, "user_id", "event_time", "session_id"), "simple")
+    assert text.count("Exchange hashpartitioning") <= 3 and "Broadcast" not in text
