@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Separators of the two word rules, as bytes.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -45,7 +45,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """``base ** i`` modulo 2**64 for i below n."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        table = np.full(max(n, SLICE_BYTES * 2), base, np.uint64)
+        table = np.full(max(n, SLICE_BYTES + (1 << 16)), base, np.uint64)
         table[0] = 1
         have = np.multiply.accumulate(table)
         if n <= SLICE_BYTES * 4:
