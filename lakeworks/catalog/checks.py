@@ -133,6 +133,28 @@ def policy_run(spark, sf):
     return checked.agg(F.count("*").alias("orders"))
 
 
+@query("""SELECT 'warning' AS outcome, 'large orders' AS checks WHERE (SELECT MIN(o_totalprice) FROM orders) < 2000
+          UNION ALL SELECT 'info', 'many orders' WHERE (SELECT COUNT(*) FROM orders) < 1000000000
+          UNION ALL SELECT 'critical', 'positive' WHERE (SELECT MIN(o_totalprice) FROM orders) < 1000000
+          UNION ALL SELECT 'crashed', 'no such column'""")
+def policy_levels(spark, sf):
+    """Failed checks by level; a critical one and a crashing one raise."""
+    orders = table(spark, sf, "orders")
+    _, issues = contracts.apply_policy(orders, {
+        "has rows": (contracts.has_rows(), contracts.CRITICAL),
+        "large orders": (contracts.none_below(P, 2_000), contracts.WARNING),
+        "many orders": (F.count("*") >= 1_000_000_000, contracts.INFO)})
+    rows = [(level, name) for level in (contracts.WARNING, contracts.INFO) for name in issues[level]]
+    bad = {"critical": {"positive": (contracts.none_below(P, 1_000_000), contracts.CRITICAL)},
+           "crashed": {"no such column": (contracts.has_rows() & contracts.no_nulls("absent"), contracts.INFO)}}
+    for outcome, checks in bad.items():
+        try:
+            contracts.apply_policy(orders, checks)
+        except ValueError as raised:
+            rows += [(outcome, name) for name in checks if name in str(raised)]
+    return spark.createDataFrame(rows, "outcome string, checks string")
+
+
 @query("""SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE event_type <> 'error') AS rows_after,
           COUNT(*) FILTER (WHERE event_type <> 'error') >= COUNT(*) * 0.99 AS passed FROM events""")
 def no_row_loss(spark, sf):

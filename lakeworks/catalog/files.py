@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions import money_sum
+from ..functions import money_sum, month_range
 from ..operators import marts
 from ..plans.pipelines import ingest_sales, raw_to_curated
 from ..session import new_folder
@@ -69,6 +70,43 @@ def json_round_trip(spark, sf):
     return by_status(readers.scan_json_array(spark, path, schema=ORDERS_DDL, lines=True))
 
 
+def _one_document(rows, wrap, path):
+    """The rows as one JSON document in one file."""
+    items = F.collect_list(F.struct(*rows.columns))
+    (rows.agg(F.to_json(F.struct(items.alias(wrap)) if wrap else items).alias("value"))
+     .coalesce(1).write.mode("append").text(path))
+
+
+NATION = "n_nationkey int, n_name string, n_regionkey int"
+
+
+@query("SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation")
+def json_array(spark, sf):
+    """One file that is a JSON array."""
+    path = new_folder(spark, "json_array")
+    _one_document(table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"), None, path)
+    return readers.scan_json_array(spark, path, schema=NATION)
+
+
+@query("SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation")
+def json_pages(spark, sf):
+    """Two pages of a response, each wrapping its rows in a field."""
+    path, nations = new_folder(spark, "json_pages"), table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    for page in (nations.where("n_regionkey < 2"), nations.where("n_regionkey >= 2")):
+        _one_document(page, "items", path)
+    return readers.scan_json_pages(spark, path, field="items", item_schema=StructType.fromDDL(NATION))
+
+
+@query("SELECT TRUE AS filter_pushed, TRUE AS two_columns, COUNT(*) AS orders FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-02-01'")
+def explain_pushdown(spark, sf):
+    """What the plan says about the scan, beside its result."""
+    wanted = table(spark, sf, "orders").where(month_range("o_orderdate", "1998-01")).select("o_orderdate", "o_orderkey")
+    text = layout.plan_text(wanted)
+    read = text.split("ReadSchema: struct<")[1].split(">")[0]
+    return wanted.agg(F.lit("GreaterThanOrEqual(o_orderdate" in text).alias("filter_pushed"),
+                      F.lit(read.count(":") == 2).alias("two_columns"), F.count("*").alias("orders"))
+
+
 @query(f"""SELECT 'csv' AS format, COUNT(*) AS row_count, {msum(P)} AS total FROM orders
            UNION ALL SELECT 'parquet', COUNT(*), {msum(P)} FROM orders""")
 def convert_csv_to_parquet(spark, sf):

@@ -30,13 +30,17 @@ def stream_stage(spark, sf):
     return spark.read.parquet(f"{root}/staged").drop("timestamp")
 
 
-@query(f"""SELECT date, total_events, purchases, revenue FROM ({CONDITIONAL_SQL}) d
-           WHERE date + INTERVAL 1 DAY <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM events)""")
+@query(f"SELECT date, total_events, purchases, revenue, TRUE AS users_close FROM ({CONDITIONAL_SQL}) d")
 def stream_daily_metrics(spark, sf):
+    """All days. The users of a day are a sketch, which is held to a tenth of the exact number (at least two)."""
     root = new_folder(spark, "stream_daily")
     jobs.incremental_daily_metrics(stream(spark, sf), f"{root}/daily", f"{root}/checkpoint", ts="ts", amount="value")
-    # Users are a sketch here and therefore not compared.
-    return spark.read.parquet(f"{root}/daily").drop("daily_active_users")
+    events = table(spark, sf, "events")
+    days = jobs.all_days(spark.read.parquet(f"{root}/daily"), events, ts="ts", amount="value")
+    exact = daily_conditional(events, "ts", "user_id", "event_type", "value").select("date", F.col("daily_active_users").alias("exact"))
+    off = F.abs(F.col("daily_active_users") - F.col("exact"))
+    return days.join(exact, "date").select("date", "total_events", "purchases", "revenue",
+                                           (off <= F.greatest(F.lit(2.0), 0.1 * F.col("exact"))).alias("users_close"))
 
 
 @query(CONDITIONAL_SQL)
@@ -51,12 +55,11 @@ def stream_recompute_days(spark, sf):
           n AS (SELECT *, SUM(CASE WHEN p IS NULL OR ts > p + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
                           OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM g),
           x AS (SELECT user_id, s, MIN(ts) AS session_start, MAX(ts) AS session_last, COUNT(*) AS events FROM n GROUP BY 1, 2)
-          SELECT user_id, session_start, session_last, events FROM x
-          WHERE session_last + INTERVAL 30 MINUTE <= (SELECT MAX(ts) - INTERVAL 1 HOUR FROM events)""")
+          SELECT user_id, session_start, session_last, events FROM x""")
 def stream_sessions(spark, sf):
     root = new_folder(spark, "stream_sessions")
     jobs.stream_sessions(stream(spark, sf), f"{root}/sessions", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/sessions")
+    return jobs.all_sessions(spark.read.parquet(f"{root}/sessions"), table(spark, sf, "events"))
 
 
 @query("""SELECT 'valid' AS part, COUNT(*) AS rows, COUNT(DISTINCT event_id) AS keys FROM events

@@ -44,18 +44,28 @@ def incremental_daily_metrics(events: DataFrame, target: str, checkpoint: str, t
                               user: str = "user_id", kind: str = "event_type", amount: str = "amount",
                               delay: str = "1 day", wait: bool = True) -> StreamingQuery:
     """Daily totals emitted when a day is closed by the watermark; users by a fixed-size sketch."""
-    hit = F.col(kind) == "purchase"
-    daily = (events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
-             .groupBy(F.window("_ts", "1 day"))
-             .agg(F.approx_count_distinct(user).alias("daily_active_users"), F.count("*").alias("total_events"),
-                  F.count_if(hit).alias("purchases"),
-                  money_sum(F.when(hit, F.col(amount)).otherwise(0.0)).alias("revenue"))
-             .select(F.col("window.start").cast("timestamp_ntz").alias("date"), "daily_active_users",
-                     "total_events", "purchases", "revenue"))
-    return _run(daily.writeStream.format("parquet").outputMode("append")
+    timed = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
+    return _run(_daily(timed, user, kind, amount).writeStream.format("parquet").outputMode("append")
                 .option("checkpointLocation", checkpoint).option("path", target), wait)
 
 
+def _daily(events: DataFrame, user: str, kind: str, amount: str) -> DataFrame:
+    hit = F.col(kind) == "purchase"
+    return (events.groupBy(F.window("_ts", "1 day"))
+            .agg(F.approx_count_distinct(user).alias("daily_active_users"), F.count("*").alias("total_events"),
+                 F.count_if(hit).alias("purchases"), money_sum(F.when(hit, F.col(amount)).otherwise(0.0)).alias("revenue"))
+            .select(F.col("window.start").cast("timestamp_ntz").alias("date"), "daily_active_users",
+                    "total_events", "purchases", "revenue"))
+
+
+def all_days(closed: DataFrame, events: DataFrame, ts: str = "event_ts", user: str = "user_id",
+             kind: str = "event_type", amount: str = "amount") -> DataFrame:
+    """The days that ``incremental_daily_metrics`` has closed, and the open ones from the raw rows after them."""
+    last = closed.agg((F.max("date") + F.expr("INTERVAL 1 DAY")).alias("d")).scalar()
+    still = events.where(last.isNull() | (F.col(ts) >= last)).withColumn("_ts", F.col(ts).cast("timestamp"))
+    return closed.unionByName(_daily(still, user, kind, amount))
+
+
 def recompute_days(events: DataFrame, staged: str, target: str, checkpoint: str,
                    report: Callable[[DataFrame], DataFrame], ts: str = "event_ts",
                    wait: bool = True) -> StreamingQuery:
@@ -81,15 +91,26 @@ def recompute_days(events: DataFrame, staged: str, target: str, checkpoint: str,
 def stream_sessions(events: DataFrame, target: str, checkpoint: str, ts: str = "ts", user: str = "user_id",
                     gap: str = "30 minutes", delay: str = "1 hour", wait: bool = True) -> StreamingQuery:
     """Sessions per user, closed by a pause of ``gap``; emitted once the watermark has passed their end."""
-    sessions = (events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
-                .groupBy(user, F.session_window("_ts", gap))
-                .agg(F.count("*").alias("events"), F.max("_ts").alias("last"))
-                .select(user, F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
-                        F.col("last").cast("timestamp_ntz").alias("session_last"), "events"))
-    return _run(sessions.writeStream.format("parquet").outputMode("append")
+    timed = events.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", delay)
+    return _run(_sessions(timed, user, gap).writeStream.format("parquet").outputMode("append")
                 .option("checkpointLocation", checkpoint).option("path", target), wait)
 
 
+def _sessions(events: DataFrame, user: str, gap: str) -> DataFrame:
+    return (events.groupBy(user, F.session_window("_ts", gap))
+            .agg(F.count("*").alias("events"), F.max("_ts").alias("last"))
+            .select(user, F.col("session_window.start").cast("timestamp_ntz").alias("session_start"),
+                    F.col("last").cast("timestamp_ntz").alias("session_last"), "events"))
+
+
+def all_sessions(closed: DataFrame, events: DataFrame, ts: str = "ts", user: str = "user_id",
+                 gap: str = "30 minutes") -> DataFrame:
+    """The sessions that ``stream_sessions`` has closed, and the open ones from each user's events after them."""
+    last = closed.groupBy(F.col(user).alias("_user")).agg(F.max("session_last").alias("_last"))
+    still = events.join(last, F.col(user) == F.col("_user"), "left").where(F.col("_last").isNull() | (F.col(ts) > F.col("_last")))
+    return closed.unionByName(_sessions(still.withColumn("_ts", F.col(ts).cast("timestamp")), user, gap))
+
+
 def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, rejected: str, checkpoint: str,
                         wait: bool = True) -> StreamingQuery:
     """Split every batch into valid rows and rejected rows with reasons.
