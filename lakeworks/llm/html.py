@@ -266,7 +266,8 @@ def main_text(source: str | None, slots: list[str] | None) -> str:
     wanted = [t for s in slots or () if (t := tuple(s.split(_SEPARATOR))) in page.tokens]
     if not wanted:
         # Without a marked element that stands once, all marked ones; else the page is its own template.
-        wanted = article_slots({p: 1.0 for p, n in page.tokens.items() if n == 1 or p[-1][0] == "*"}, page.words())
+        # Where nothing holds most of the words, all of the page that may be text is the slot.
+        wanted = article_slots({p: 1.0 for p, n in page.tokens.items() if n == 1 or p[-1][0] == "*"}, page.words()) or [()]
     return page.extract(wanted)
 
 
