@@ -119,13 +119,22 @@ class TableSchema:
         key = raw.get(row_key, F.col(row_key)).cast("string").alias("row_key")
         return out.where(self._any(found)).select(key, F.inline(self._listed(found, raw)))
 
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(valid rows, rejected rows with a ``reasons`` array). Together they are the input."""
+    def marked(self, df: DataFrame) -> DataFrame:
+        """All rows with a ``reasons`` array, NULL for valid ones. Coerced rows keep what was read beside them."""
         out, found, raw = self._checked(df)
         reasons = F.transform(self._listed(found, raw), lambda x: F.concat_ws(":", x["column"], x["check"]))
-        bad = self._any(found)
-        as_read = [raw.get(c, F.col(c)).alias(c) for c in df.columns]  # a value that did not cast is kept
-        return out.where(~bad).select(*df.columns), out.where(bad).select(*as_read, reasons.alias("reasons"))
+        kept = [*df.columns, *(f"{RAW}_{c}" for c in self.columns if self.coerce)]
+        return out.select(*kept, F.when(self._any(found), reasons).alias("reasons"))
+
+    def parts(self, marked: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """Valid and rejected rows of a marked table."""
+        as_read = [F.col(f"{RAW}_{c}").alias(c) if self.coerce and c in self.columns else F.col(c) for c in columns]
+        bad = F.col("reasons").isNotNull()  # a value that did not cast is kept among the rejected
+        return marked.where(~bad).select(*columns), marked.where(bad).select(*as_read, "reasons")
+
+    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(valid rows, rejected rows with a ``reasons`` array). Together they are the input."""
+        return self.parts(self.marked(df), df.columns)
 
     def validate(self, df: DataFrame, row_key: str) -> DataFrame:
         """The coerced frame, or ``SchemaError`` with counts per check and all failure cases."""

@@ -125,7 +125,8 @@ def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, reje
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good, bad = schema.split(batch)
+        marked = schema.marked(batch).persist()  # both halves come from one run of the checks
+        good, bad = schema.parts(marked, batch.columns)
         known = None
         if unique and path_exists(spark, valid):
             names = ", ".join(f"`{c}` {schema.columns[c].dtype}" for c in unique)
@@ -142,6 +143,7 @@ def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, reje
             late = good.where(again).select(*batch.columns, reasons.alias("reasons"))
             good, bad = good.where(~again).select(*batch.columns), bad.unionByName(late)
         for part, path in ((good, valid), (bad, rejected)):
-            (part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+            part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        marked.unpersist()
 
     return _run(events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint), wait)
