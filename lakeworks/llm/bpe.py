@@ -18,6 +18,8 @@ import hashlib
 import heapq
 import json
 import mmap
+import re
+import struct
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -41,8 +43,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # the highest counts are taken, up to the bound.
 SHARE = 2.0 ** -17
 LEXICON_WORDS = 1 << 16
-# Words a worker remembers before it starts afresh.
-REMEMBERED = 1 << 18
+# Segments a worker remembers before it starts afresh, and words a task counts at once.
+REMEMBERED = 1 << 19
 
 
 def byte_letters() -> dict[int, str]:
@@ -63,7 +65,7 @@ class Merges:
         self.pairs = {}
         for rank, merge in enumerate(data["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.pairs.setdefault((vocab[left], vocab[right]), (rank, vocab[left + right]))
+            self.pairs.setdefault(vocab[left] << 20 | vocab[right], (rank, vocab[left + right]))
         self.bytes_of = {i: bytes(of_letter[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
@@ -74,22 +76,41 @@ class Merges:
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token: the lowest-ranked pair first, the leftmost of equal ones."""
         ids = [self.byte_ids[b] for b in word]
+        if len(ids) > 40:
+            return self._merge_long(ids)
+        get, none = self.pairs.get, (1 << 62, -1)
+        found = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is none:
+                break
+            i = found.index(best)
+            ids[i:i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = get(ids[i - 1] << 20 | ids[i], none)
+            if i < len(found):
+                found[i] = get(ids[i] << 20 | ids[i + 1], none)
+        return ids
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap of pairs, for words of any length."""
         pairs, n = self.pairs, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(pairs[p][0], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in pairs]
+        heap = [(pairs[a << 20 | b][0], i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a << 20 | b in pairs]
         heapq.heapify(heap)
         while heap:
             _, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue  # one of the two was merged meanwhile
-            ids[i], ids[j] = pairs[a, b][1], -1
+            ids[i], ids[j] = pairs[a << 20 | b][1], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (ids[x], ids[y]) in pairs:
-                    heapq.heappush(heap, (pairs[ids[x], ids[y]][0], x, ids[x], ids[y]))
+                if x >= 0 and y < n and ids[x] << 20 | ids[y] in pairs:
+                    heapq.heappush(heap, (pairs[ids[x] << 20 | ids[y]][0], x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
     def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
@@ -183,32 +204,83 @@ class Lexicon:
         return self.ids[self.offsets[rank]:self.offsets[rank + 1]].tolist() if self.final[state] else None
 
 
-class _Encoder(dict):
-    """Pre-token to its ids as bytes (little-endian, 32 bits); a worker's memory in front of the lexicon."""
+# Fixed value: the characters with the Unicode property White_Space.
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SEGMENT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
+UNEVEN = re.compile(r"(?:\A|\s) ").search
+
+
+# Latin letters: a segment of these alone, or with one closing mark, needs no pattern to be cut.
+PLAIN = re.compile("(?: ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
+
+
+class _Memory(dict):
+    """Bounded memory of a worker: text to the packed ids that ``make`` finds for it.
+
+    When it is full it becomes the older half, which is asked before anything is made
+    again; so what is used all the time is never forgotten.
+    """
+
+    def __init__(self, make):
+        self.make, self.older = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        packed = self.older.get(text)
+        if packed is None:
+            packed = self.make(text)
+        if len(self) >= REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+        if len(text) <= 64:
+            self[text] = packed
+        return packed
+
+
+class _Encoder:
+    """Texts to ids as bytes (little-endian, 32 bits each)."""
 
     def __init__(self, merges: Merges, lexicon: Lexicon | None):
         self.merges, self.lexicon = merges, lexicon
+        self.words = _Memory(self._word)
+        self.whole = _Memory(self._segment)
+        self.spaced = _Memory(lambda s: self._segment(" " + s))
 
-    def __missing__(self, word: str) -> bytes:
+    def _word(self, word: str) -> bytes:
         data = word.encode()
         ids = self.lexicon.find(data) if self.lexicon else None
-        packed = np.array(self.merges.merge(data) if ids is None else ids, "<u4").tobytes()
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = packed
-        return packed
+        if ids is None:
+            ids = self.merges.merge(data)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _segment(self, segment: str) -> bytes:
+        plain = PLAIN(segment)
+        if plain is None:
+            return b"".join(map(self.words.__getitem__, self.merges.cut(segment)))
+        if plain[1]:
+            return self.words[segment[:-1]] + self.words[plain[1]]
+        return self.words[segment]
 
     def encode(self, text: str) -> bytes:
+        """A pre-token never runs on from other characters into white space, and what
+        follows does not look back, so a text can be cut before white space. Where no
+        space stands at the start or after white space, it is cut before every space;
+        the segments are remembered without it."""
         out = []
         for piece, special in self.merges.pieces(text):
             if special:
                 out.append(np.array([self.merges.special[piece]], "<u4").tobytes())
+            elif UNEVEN(piece):
+                out.extend(map(self.whole.__getitem__, SEGMENT(piece)))
             else:
-                out.extend(map(self.__getitem__, self.merges.cut(piece)))
+                first, *rest = piece.split(" ")
+                out.append(self.whole[first])
+                out.extend(map(self.spaced.__getitem__, rest))
         return b"".join(out)
 
 
+_encoders: dict[str, _Encoder] = {}
+
+
 def decode(merges: Merges, ids: list[int]) -> str:
     """The text of the ids; bytes that are no text become replacement characters."""
     return b"".join(map(merges.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -234,8 +306,8 @@ def frequent_words(docs: DataFrame, text: str, merges: Merges) -> list[bytes]:
                 found = value.split()
                 total += len(found)
                 counts.update(found)
-                if len(counts) > 4 * REMEMBERED:
-                    counts = Counter(dict(counts.most_common(REMEMBERED)))
+                if len(counts) > 2 * REMEMBERED:
+                    counts = Counter(dict(counts.most_common(REMEMBERED // 2)))
         top = [(w, n) for w, n in counts.most_common(LEXICON_WORDS) if n >= total * SHARE and len(w) <= 64]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["word", "n"])
 
@@ -278,8 +350,10 @@ def add_tokens(docs: DataFrame, text: str, tokenizer: str, ids: str | None = Non
     schema = StructType([docs.schema[c] for c in kept] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = Merges(shared.value)
-        encoder = _Encoder(merges, Lexicon(SparkFiles.get(name)))
+        if name not in _encoders:  # a worker keeps its memory from task to task
+            _encoders.clear()
+            _encoders[name] = _Encoder(Merges(shared.value), Lexicon(SparkFiles.get(name)))
+        encoder, merges = _encoders[name], _encoders[name].merges
         for batch in batches:
             made: dict[str, list] = {f.name: [] for f in fields}
             for value in _texts(batch.column(len(kept))):
