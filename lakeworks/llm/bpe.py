@@ -62,10 +62,10 @@ class Merges:
         vocab = data["model"]["vocab"]
         of_letter = {c: b for b, c in byte_letters().items()}
         self.byte_ids = [vocab[byte_letters()[b]] for b in range(256)]
-        self.pairs = {}
+        self.pairs = {}  # two ids in one number, to the merge's rank and the new id in one number
         for rank, merge in enumerate(data["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.pairs.setdefault(vocab[left] << 20 | vocab[right], (rank, vocab[left + right]))
+            self.pairs.setdefault(vocab[left] << 20 | vocab[right], rank << 20 | vocab[left + right])
         self.bytes_of = {i: bytes(of_letter[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
@@ -78,14 +78,14 @@ class Merges:
         ids = [self.byte_ids[b] for b in word]
         if len(ids) > 40:
             return self._merge_long(ids)
-        get, none = self.pairs.get, (1 << 62, -1)
+        get, none = self.pairs.get, 1 << 62
         found = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
         while found:
             best = min(found)
-            if best is none:
+            if best == none:
                 break
             i = found.index(best)
-            ids[i:i + 2] = [best[1]]
+            ids[i:i + 2] = [best & 0xFFFFF]
             del found[i]
             if i:
                 found[i - 1] = get(ids[i - 1] << 20 | ids[i], none)
@@ -97,20 +97,20 @@ class Merges:
         """The same with a heap of pairs, for words of any length."""
         pairs, n = self.pairs, len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(pairs[a << 20 | b][0], i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a << 20 | b in pairs]
+        heap = [(pairs[a << 20 | b], i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if a << 20 | b in pairs]
         heapq.heapify(heap)
         while heap:
             _, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue  # one of the two was merged meanwhile
-            ids[i], ids[j] = pairs[a << 20 | b][1], -1
+            ids[i], ids[j] = pairs[a << 20 | b] & 0xFFFFF, -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
                 if x >= 0 and y < n and ids[x] << 20 | ids[y] in pairs:
-                    heapq.heappush(heap, (pairs[ids[x] << 20 | ids[y]][0], x, ids[x], ids[y]))
+                    heapq.heappush(heap, (pairs[ids[x] << 20 | ids[y]], x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
     def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
