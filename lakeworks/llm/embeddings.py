@@ -1,19 +1,26 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-``PIVOTS`` vectors of the data (the least hashes) are reference points. A vector is
-described by the ``NEAREST`` ones closest to it, in order. The inverted lists are kept by
-pairs of pivots, so two vectors meet in a list exactly when they share at least two of
-their nearest pivots; a pair that shares more meets in several lists and counts in the
-first one. Pairs that meet are verified by their cosine in double precision.
-
-Equal vectors are one entry of the index. Long lists are cut into blocks, and every two
-blocks of a list are compared in a task of their own; what leaves a task is one row per
-linked vector (how many it is linked with, and one vector it hangs together with), never
-the pairs.
-
-Recall depends on ``PIVOTS`` and ``NEAREST`` alone: for random pairs of 64 dimensions
-right at a cosine of 0.9 it is 0.999 with the values here (see the tests). More pivots
-shorten the lists of larger collections.
+``PIVOTS`` reference points are spread out: vectors of a sample of the data (the least
+hashes) no two of which have a cosine over ``SPREAD``, and seeded random directions where
+the data has too few of them. So a group of near copies, however many rows it has, holds
+one pivot, and its vectors do not rank by their noise a crowd of pivots among them.
+
+A vector is described by the ``NEAREST`` pivots closest to it, in order. All vectors with
+the same nearest pivot, a cell, are compared with each other. Two vectors of different
+cells meet in inverted lists, which are kept by pairs of pivots: they meet exactly when
+they share at least two of their nearest pivots; a pair that shares more meets in several
+lists and counts in the first one. Pairs that meet are verified by their cosine in double
+precision.
+
+Equal vectors are one entry of the index. Large cells and long lists are cut into blocks,
+and every two blocks are compared in a task of their own; the many rows that a list has of
+one cell are blocks of their own that do not meet each other again. What leaves a task is
+one row per linked vector (how many it is linked with, and one vector it hangs together
+with), never the pairs.
+
+Within a cell nothing is lost. Between cells recall depends on ``PIVOTS`` and ``NEAREST``:
+for random pairs of 64 dimensions right at a cosine of 0.9 it is 0.999 with the values
+here (see the tests). More pivots shorten the lists of larger collections.
 
 Defined cases: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing and are their own component; vectors of different length
@@ -28,7 +35,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import stored
@@ -36,8 +43,12 @@ from .graph import components
 
 PIVOTS = 128
 NEAREST = 8
-# Rows of a block of a list; a task compares two blocks.
+# Pivots are chosen among so many vectors, and no two chosen ones have a higher cosine than this.
+SAMPLE = 2048
+SPREAD = 0.5
+# Rows of a block of a list, and of a cell; a task compares two blocks.
 BLOCK = 512
+CELL_BLOCK = 2048
 
 
 def usable(vector: str) -> Column:
@@ -65,8 +76,23 @@ def _fit(pivots: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+def spread_pivots(sample: np.ndarray, n: int) -> np.ndarray:
+    """n points of unit length: rows of the sample in order, each apart from those before it, then random directions."""
+    chosen = np.zeros((n, sample.shape[1]))
+    k = 0
+    for row in sample:
+        if k == n:
+            break
+        if (chosen[:k] @ row <= SPREAD).all():
+            chosen[k] = row
+            k += 1
+    if k < n:
+        chosen[k:] = unit(np.random.default_rng(0).normal(size=(n - k, sample.shape[1])))
+    return chosen
+
+
 def describe(classes: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
-    """``id, copies, size, vector, lists``: the vector in bytes and the lists (pairs of pivots) it is in."""
+    """``id, copies, size, vector, lists, cell``: the vector in bytes, the lists (pairs of pivots) it is in and its nearest pivot."""
     shared = classes.sparkSession.sparkContext.broadcast(pivots)  # at most PIVOTS vectors
     kind = np.float32 if classes.schema["embedding"].dataType.elementType.simpleString() == "float" else np.float64
 
@@ -80,16 +106,18 @@ def describe(classes: DataFrame, pivots: np.ndarray, k: int) -> DataFrame:
                 rows = np.flatnonzero(sizes == size)
                 values = flat[(ends[rows] - size)[:, None] + np.arange(size)]
                 points = _fit(shared.value, size)
-                near = np.sort(nearest_pivots(unit(values), points, k), axis=1)
+                ranked = nearest_pivots(unit(values), points, k)
+                near = np.sort(ranked, axis=1)
                 lists = np.stack([near[:, i] * len(points) + near[:, j] for i, j in combinations(range(near.shape[1]), 2)], 1) \
                     if near.shape[1] > 1 else np.zeros((len(rows), 1), np.int64)
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(take), batch.column(1).take(take), pa.array(np.full(len(rows), size, np.int32)),
-                     pa.array([v.tobytes() for v in values], pa.binary()), pa.array(lists.tolist(), pa.list_(pa.int32()))],
-                    ["id", "copies", "size", "vector", "lists"])
+                     pa.array([v.tobytes() for v in values], pa.binary()), pa.array(lists.tolist(), pa.list_(pa.int32())),
+                     pa.array(ranked[:, 0].astype(np.int32))],
+                    ["id", "copies", "size", "vector", "lists", "cell"])
 
-    return classes.select("id", "copies", "embedding").mapInArrow(run, "id long, copies long, size int, vector binary, lists array<int>"), kind
+    return classes.select("id", "copies", "embedding").mapInArrow(run, "id long, copies long, size int, vector binary, lists array<int>, cell int"), kind
 
 
 def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -98,21 +126,26 @@ def _first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(same.any(2), a, np.iinfo(np.int32).max).min(1)
 
 
-def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, lists: np.ndarray, block: np.ndarray, two: bool, own: int,
-            threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, block: np.ndarray, i: int, j: int, threshold: float,
+            own: int = -1, lists: np.ndarray | None = None, cells: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Linked rows of a block or two, how many vectors each is linked with here, and a row it hangs together with.
 
-    With ``two`` only pairs between the blocks count. A pair counts in its first list only.
+    Of two blocks only pairs between them count. In a list only pairs of different cells
+    count, and each in its first list only.
     """
     points = unit(vectors)
-    near = np.triu(points @ points.T >= threshold, 1)
-    if two:
-        near &= block[:, None] != block[None, :]
-    left, right = np.nonzero(near)
-    for start in range(0, len(left), 50_000):
-        part = slice(start, start + 50_000)
-        near[left[part], right[part]] = _first_shared(lists[left[part]], lists[right[part]]) == own
+    a, b = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    near = points[a] @ points[b].T >= threshold
+    if i == j:
+        near = np.triu(near, 1)
+    if lists is not None:
+        near &= cells[a][:, None] != cells[b][None, :]
+        left, right = np.nonzero(near)
+        for start in range(0, len(left), 50_000):
+            part = slice(start, start + 50_000)
+            near[left[part], right[part]] = _first_shared(lists[a[left[part]]], lists[b[right[part]]]) == own
     left, right = np.nonzero(near)
+    left, right = a[left], b[right]
     n = np.bincount(left, copies[right], len(ids)) + np.bincount(right, copies[left], len(ids))
     root = np.arange(len(ids))
     while len(left):  # the least index spreads until it stands still
@@ -129,18 +162,11 @@ def compare(ids: np.ndarray, copies: np.ndarray, vectors: np.ndarray, lists: np.
 
 def links(classes: DataFrame, threshold: float, pivots: int = PIVOTS, nearest: int = NEAREST) -> DataFrame:
     """``id, other, n``: parts of how many vectors an entry is linked with, and entries it hangs together with."""
-    sample = [r["embedding"] for r in classes.orderBy(F.xxhash64("embedding")).limit(pivots).collect()]
+    sample = [r["embedding"] for r in classes.orderBy(F.xxhash64("embedding")).limit(max(pivots, SAMPLE)).collect()]
     size = max(map(len, sample), default=1)
-    points = _fit(np.concatenate([_fit(unit(np.array([s])), size) for s in sample]), size) if sample else np.zeros((1, 1))
-    rows, kind = describe(classes, points, nearest)
-    rows = rows.select("*", F.explode("lists").alias("list"))
-    long = (rows.groupBy("size", "list").agg(F.count("*").alias("m")).where(F.col("m") > BLOCK)
-            .select("size", "list", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    rows = rows.join(long, ["size", "list"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    lists = rows.groupBy("size", "list", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")).agg(
-        F.collect_list(F.struct("id", "copies", "block", "vector", "lists")).alias("rows"))
+    points = np.concatenate([_fit(unit(np.array([s])), size) for s in sample]) if sample else np.zeros((0, size))
+    rows, kind = describe(classes, spread_pivots(points, pivots), nearest)
+    rows = stored(rows, "described")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,17 +174,54 @@ def links(classes: DataFrame, threshold: float, pivots: int = PIVOTS, nearest: i
             for r in range(batch.num_rows):
                 size, own, i, j = (batch.column(c)[r].as_py() for c in range(4))
                 held = batch.column(4)[r].values
-                if len(held) < 2:
-                    continue
                 vectors = np.frombuffer(b"".join(held.field("vector").to_pylist()), kind).reshape(len(held), size)
-                nested = np.array(held.field("lists").to_pylist(), np.int32)
-                out = compare(held.field("id").to_numpy(), held.field("copies").to_numpy(), vectors, nested, held.field("block").to_numpy(),
-                              i != j, own, threshold)
+                names = [f.name for f in held.type]
+                more = (own, np.array(held.field("lists").to_pylist(), np.int32), held.field("cell").to_numpy()) if "lists" in names else ()
+                out = compare(held.field("id").to_numpy(), held.field("copies").to_numpy(), vectors, held.field("block").to_numpy(), i, j,
+                              threshold, *more)
                 for k in range(3):
                     found[k].append(out[k])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(f) if f else np.zeros(0, np.int64)) for f in found], ["id", "n", "other"])
 
-    return lists.where(F.size("rows") > 1).mapInArrow(run, "id long, n long, other long")
+    def compared(dealt: DataFrame, key: str, *kept: str) -> DataFrame:
+        pairs = dealt.groupBy("size", key, F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")).agg(
+            F.collect_list(F.struct("id", "copies", "block", "vector", *kept)).alias("rows"))
+        return pairs.where(F.size("rows") > 1).mapInArrow(run, "id long, n long, other long")
+
+    return compared(_cells(rows), "cell").unionByName(compared(_lists(rows), "list", "lists", "cell"))
+
+
+def _block(start: Column, blocks: Column) -> Column:
+    return (start + F.pmod(F.xxhash64("id"), blocks)).cast("int")
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """Rows with their block of the cell, once for every block they are compared ``with``."""
+    large = (rows.groupBy("size", "cell").agg(F.count("*").alias("m")).where(F.col("m") > CELL_BLOCK)
+             .select("size", "cell", F.ceil(F.col("m") / CELL_BLOCK).cast("int").alias("blocks")))
+    rows = rows.drop("lists").join(large, ["size", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    rows = rows.withColumn("block", _block(F.lit(0), F.col("blocks")))
+    return rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+
+
+def _lists(rows: DataFrame) -> DataFrame:
+    """The same for the lists a row is in. Many rows of one cell are blocks of their own, which are not compared among themselves."""
+    rows = rows.select("*", F.explode("lists").alias("list"))
+    m, whole = F.col("m"), Window.partitionBy("size", "list")
+    many = m > BLOCK
+    parts = rows.groupBy("size", "list", "cell").agg(F.count("*").alias("m"))
+    parts = parts.withColumn("total", F.sum(m).over(whole)).where(F.col("total") > BLOCK)
+    parts = (parts.withColumn("own", F.when(many, F.ceil(m / BLOCK)).otherwise(0))
+             .withColumn("shared", F.ceil(F.coalesce(F.sum(F.when(~many, m)).over(whole), F.lit(0)) / BLOCK))
+             .withColumn("until", F.sum("own").over(whole.orderBy("cell"))).withColumn("all", F.sum("own").over(whole) + F.col("shared")))
+    parts = parts.select("size", "list", "cell", F.when(many, F.col("shared") + F.col("until") - F.col("own")).otherwise(0).cast("int").alias("start"),
+                         F.when(many, F.col("own")).otherwise(F.col("shared")).cast("int").alias("blocks"), many.alias("apart"),
+                         F.col("all").cast("int").alias("all"))
+    start, blocks = F.coalesce("start", F.lit(0)), F.coalesce("blocks", F.lit(1))
+    met = F.filter(F.sequence(F.lit(0), F.coalesce("all", F.lit(1)) - 1),
+                   lambda x: ~F.coalesce("apart", F.lit(False)) | (x < start) | (x >= start + blocks))
+    rows = rows.join(parts, ["size", "list", "cell"], "left").withColumn("block", _block(start, blocks))
+    return rows.withColumn("with", F.explode(met))
 
 
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", threshold: float = 0.9,

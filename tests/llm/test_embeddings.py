@@ -62,3 +62,30 @@ def test_recall_at_the_threshold():
     near_a, near_b = (emb.nearest_pivots(x, pivots, emb.NEAREST) for x in (a, b))
     shared = np.array([len(np.intersect1d(x, y)) for x, y in zip(near_a, near_b)])
     assert (shared >= 2).mean() >= 0.99
+
+
+@pytest.mark.parametrize("cosine", [0.91, 0.95, 0.98, 0.995])
+def test_a_third_of_all_vectors_are_near_copies(spark, monkeypatch, cosine):
+    """Vectors of one group, all different, with this cosine to each other on average; the group's own cell and lists are cut."""
+    monkeypatch.setattr(emb, "BLOCK", 60)
+    monkeypatch.setattr(emb, "CELL_BLOCK", 150)
+    draw = np.random.default_rng(7)
+    points = emb.unit(draw.normal(size=(1200, 64)))
+    points[:400] = np.sqrt(cosine) * emb.unit(draw.normal(size=(1, 64))) + np.sqrt(1 - cosine) * points[:400]
+    points = emb.unit(points)
+    near = points @ points.T >= 0.9
+    np.fill_diagonal(near, False)
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in emb.near_duplicates(df).collect()}
+    want = near.sum(1)
+    assert want.sum() > 50_000 and all(found[i] <= want[i] for i in found)
+    assert sum(found.values()) >= 0.99 * want.sum()
+
+
+def test_pivots_are_spread_out():
+    draw = np.random.default_rng(1)
+    sample = emb.unit(np.concatenate([draw.normal(size=(1, 64)) + draw.normal(scale=0.2, size=(300, 64)), draw.normal(size=(500, 64))]))
+    pivots = emb.spread_pivots(sample, 128)
+    alike = np.triu(pivots @ pivots.T, 1)
+    assert pivots.shape == (128, 64) and alike.max() <= emb.SPREAD
+    assert emb.spread_pivots(sample[:300], 128).any(1).all()  # random directions fill up
