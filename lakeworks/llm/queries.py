@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, embeddings, html, pii, ppm, quality, simhash, substring, url_filter
+from . import bpe, decontaminate, divergence, embeddings, html, pii, ppm, quality, simhash, substring, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,40 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, unnest(
+         CASE WHEN text IS NULL OR NOT regexp_matches(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]') THEN [NULL] ELSE regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') END) AS term
+  FROM documents),
+vocabulary AS (SELECT lang, term, count(*) AS total FROM docs WHERE term IS NOT NULL GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+sizes AS (SELECT lang, count(*) AS v, sum(total) AS words FROM vocabulary GROUP BY lang),
+known AS (SELECT DISTINCT lang, source FROM docs),
+counted AS (SELECT lang, source, term, count(*) AS n FROM docs JOIN vocabulary USING (lang, term) GROUP BY lang, source, term),
+words AS (SELECT lang, source, sum(n) AS words FROM counted GROUP BY lang, source),
+cells AS (
+  SELECT k.lang, k.source, o.term, coalesce(c.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(w.words, 0) + s.v))::HUGEINT AS p,
+         (1 + (1000000000::HUGEINT * (o.total + 1)) // (s.words + s.v))::HUGEINT AS q
+  FROM known k JOIN vocabulary o USING (lang) JOIN sizes s USING (lang)
+  LEFT JOIN words w USING (lang, source) LEFT JOIN counted c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+all_pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM known a JOIN known b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM cells WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM all_pairs
+UNION ALL
+SELECT * FROM (SELECT lang, source, 'term' AS part, item, value,
+               (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM terms) WHERE rank <= 200
+"""
