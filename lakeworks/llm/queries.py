@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, embeddings, html, pii, ppm, quality, simhash, substring, url_filter
+from . import bpe, decontaminate, divergence, embeddings, html, pii, ppm, quality, simhash, substring, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,6 +137,24 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, sf_dir, "pages"), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op12_warc"] = r"""
+WITH held AS (SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages),
+hashed AS (SELECT *, sha1(payload) AS hex FROM held)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(8), i -> array_to_string(list_transform([15, 10, 5, 0], b ->
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * i, 5))::INTEGER >> b) & 31), 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM hashed
+"""
+
+
 @query
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
