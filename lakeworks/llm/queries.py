@@ -147,7 +147,7 @@ ORACLE["op12_warc"] = r"""
 WITH held AS (SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages),
 hashed AS (SELECT *, sha1(payload) AS hex FROM held)
 SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
-       array_to_string(list_transform(range(8), i -> array_to_string(list_transform([15, 10, 5, 0], b ->
+       array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
          substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, 1 + 5 * i, 5))::INTEGER >> b) & 31), 1)), '')), '') AS payload_digest,
        CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> largest THEN largest END AS refers_to
