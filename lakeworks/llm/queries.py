@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, divergence, embeddings, html, pii, ppm, quality, simhash, substring, url_filter, warc
+from . import bpe, decontaminate, divergence, embeddings, html, pii, ppm, quality, simhash, substring, url_filter, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -137,6 +137,11 @@ def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.round_trip(_table(spark, sf_dir, "pages"), payloads=False)
