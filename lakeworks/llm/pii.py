@@ -1,26 +1,29 @@
 """Personal data: certain spans by rules, and more spans by gradient-boosted trees over candidates.
 
-The rules find e-mail addresses, IP addresses, card and phone numbers. They take the
-longest run of fitting characters and give up where it fails, so a phone number next to
-another number is lost. High-recall generators therefore propose many overlapping
-spans, boosted trees judge each by its format and context, and spans above a threshold
+The rules find e-mail addresses, IP addresses, card and phone numbers. They take the longest run of
+fitting characters and give up where it fails, so a phone number next to another number is lost, and
+so are addresses that are written out ("name at host dot org", "10.0.0[.]7"). High-recall generators therefore
+propose many overlapping spans, boosted trees judge each by its format and context, and spans above a threshold
 that do not touch a rule's span or a better span are added.
 
-The trees are trained here on the candidates of all documents: those that are a span of
-the rules are positive, those apart from every span of their kind are negative, and
-parts of spans are left out. Equal feature rows are counted where they are made; the
-``TRAIN_ROWS`` most frequent ones, with their counts, come to the driver. The threshold
-of a kind is the lowest with the asked precision on the half of the documents that
-training did not see.
+The trees are trained here. The rules' spans cannot teach what the rules lose, so every one of them is also
+rewritten in its context: addresses are written out, numbers are put beside another number; the spans meant are positive, all
+other candidates there are negative, as are addresses put together from the words around, IP numbers with a
+part too many or too large, and numbers standing alone that the rules refuse. Other candidates of the texts that the rules cannot judge
+have no label. Equal feature rows are counted where they are made. For each kind the ``TRAIN_ROWS`` most frequent
+rows of one half of the documents train the trees; the threshold is the lowest with the asked precision on
+all rows of the other half, which are scored in the tasks and counted by score.
 
 Defined cases: a null or empty text has no spans; equal rows get equal results; without
-positive and negative candidates of a kind nothing is added for it.
+positive and negative candidates of a kind nothing is added for it; very long texts take time in proportion,
+numbers of any length are numbers. Rows are judged one by one, so ties and repeated ids play no part.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from .frames import unused, without
+from .frames import discard, stored, unused, without
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -43,7 +46,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-ANY = re.compile(r"[0-9@]|\bat\b|\(at\)|\[at\]", re.I)
+ANY = re.compile(r"[0-9@]|\bat\b", re.I)
 
 
 def digits_of(text: str) -> list[int]:
@@ -56,6 +59,12 @@ def luhn(digits: list[int]) -> bool:
     return total % 10 == 0
 
 
+def octet(digits: str) -> bool:
+    """Whether a number of any length is at most 255."""
+    value = digits.lstrip("0")
+    return len(value) < 3 or len(value) == 3 and value <= "255"
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     free, at = 0, text.find("@")
     while at >= 0:
@@ -72,7 +81,7 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def rule_spans(text: str) -> list[Span]:
     """Spans of the rules, by start and then kind."""
     out = [(s, e, "email") for s, e in emails(text)]
-    out += [(*m.span(), "ip") for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+    out += [(*m.span(), "ip") for m in IP.finditer(text) if all(map(octet, m[0].split(".")))]
     for pattern, kind, least, most in ((CARD, "card", 14, 19), (PHONE, "phone", 10, 15)):
         for m in pattern.finditer(text):
             digits = digits_of(m[0])
@@ -89,68 +98,86 @@ def _order(span: Span) -> tuple[int, int, int]:
 
 NUMBERS = re.compile(r"(?<![\w.@=/-])[+(]?[0-9][0-9().+-]*(?: [(+]?[0-9][0-9().+-]*)*(?![\w@=/])")
 PART = re.compile(r"[^ ]+")
-TRIM = re.compile(r"[.(+-]+$")
-MOST_PARTS = 6
-WRITTEN_EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9_%+-]{1,64}(?:(?:\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9_%+-]{1,64}){0,4})"
-    r"( ?[\[(] ?at ?[\])] ?| at | ?@ ?)"
-    r"([A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9-]{1,63}){1,4})", re.I)
-DOT = re.compile(r" ?[\[(]dot[\])] ?| dot ", re.I)
+GROUPS = re.compile("[0-9]+").findall
+# Written forms of the sign between name and host and of the dots; names run backwards from the sign.
+AT = re.compile(r" ?[\[(] ?at ?[\])] ?| at | ?@ ?", re.I)
+_DOT = r"(?:\.| ?[\[(](?:dot|\.)[\])] ?| dot )"
+HOST = re.compile(rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
+EMAN = re.compile(r"[A-Za-z0-9_%+-]+(?:(?:\.| ?[\])](?:tod|\.)[\[(] ?| tod )[A-Za-z0-9_%+-]+)*", re.I)
+DOT = re.compile(_DOT, re.I)
+WRITTEN_IP = re.compile(rf"(?<![\w.])[0-9]+(?:{_DOT}[0-9]+){{3,}}(?!\w)", re.I)
 
 # Words near numbers and addresses, in the languages of the documents.
 CUES = {
     "email": ("mail", "email", "e-mail", "contact", "correo", "courriel", "adresse"),
     "ip": ("ip", "host", "server", "addr"),
     "card": ("card", "visa", "mastercard", "amex", "credit", "tarjeta", "carte", "karte"),
-    "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "handy", "tel:", "telefono", "téléphone"),
+    "phone": ("phone", "tel", "call", "mobile", "fax", "telefon", "handy", "telefono", "téléphone"),
 }
 FEATURES = 18
 
 
-def _cue(text: str, start: int, kind: str) -> int:
-    words = text[max(0, start - 40):start].lower().split()[-3:]
-    return int(any(w.strip(".:,;()") in CUES[kind] for w in words))
+def _cues(text: str, start: int) -> dict[str, int]:
+    """Whether one of the three words before is typical of a kind."""
+    words = {w.strip(".:,;()") for w in text[max(0, start - 40):start].lower().split()[-3:]}
+    return {kind: int(not words.isdisjoint(CUES[kind])) for kind in KINDS}
 
 
-def _number_features(text: str, s: int, e: int, kind: str) -> list[int]:
+def _number_features(text: str, s: int, e: int) -> dict[str, list[int]]:
+    """Features for each kind that a number of so many digits may be."""
     span = text[s:e]
     digits = digits_of(span)
-    groups = [len(g) for g in re.findall("[0-9]+", span)]
-    other = [k for k in KINDS if k != kind]
-    return [len(digits), len(groups), groups[0], groups[-1], max(groups), min(groups), int(span[0] == "+"),
-            int(span.count("(") == span.count(")")) + span.count("("), span.count("-"), span.count("."), span.count(" "),
-            int(luhn(digits)), int(set(groups) == {4}), _cue(text, s, kind), int(any(_cue(text, s, k) for k in other)),
-            digits[0], int(span[-1].isdigit()), int(not span[1:].count("+"))]
+    groups = [len(g) for g in GROUPS(span)]
+    cues = _cues(text, s)
+    shape = [len(digits), len(groups), groups[0], groups[-1], max(groups), min(groups), int(span[0] == "+"),
+             int(span.count("(") == span.count(")")) + span.count("("), span.count("-"), span.count("."), span.count(" "),
+             int(luhn(digits)), int(set(groups) == {4})]
+    rest = [digits[0], int(span[-1].isdigit()), int(not span[1:].count("+"))]
+    return {kind: [*shape, cues[kind], int(any(v for k, v in cues.items() if k != kind)), *rest]
+            for kind, least, most in (("card", 12, 19), ("phone", 7, 15)) if least <= len(digits) <= most}
 
 
 def _email_features(text: str, s: int, e: int, local: str, domain: str) -> list[int]:
     # What the address reads when written plainly; how it is written is no feature.
     local, labels = DOT.sub(".", local), DOT.sub(".", domain).split(".")
     return [len(local), len(labels), len(labels[-1]), len(labels[0]), int(labels[-1].isalpha()), local.count("."),
-            int(any(c.isdigit() for c in local)), int(labels[-1].islower()), len("".join(labels)), _cue(text, s, "email"),
+            int(any(c.isdigit() for c in local)), int(labels[-1].islower()), len("".join(labels)), _cues(text, s)["email"],
             int(labels[0].isalnum()), int(local[0].isalnum()), int("_" in local), int(labels[-1].isdigit()),
             sum(map(str.isdigit, local)), 0, 0, 0]
 
 
-def candidates(text: str) -> Iterator[tuple[Span, list[int]]]:
-    """Overlapping spans with their features."""
-    for m in WRITTEN_EMAIL.finditer(text):
-        yield (m.start(), m.end(), "email"), _email_features(text, m.start(), m.end(), m[1], m[3])
+def _ip_features(text: str, s: int, e: int) -> list[int]:
+    parts, cues = DOT.sub(".", text[s:e]).split("."), _cues(text, s)
+    return [len(parts), max(map(len, parts)), min(map(len, parts)), sum(map(octet, parts)), int(parts[0].strip("0") == ""),
+            sum(p != "0" and p[0] == "0" for p in parts), cues["ip"], int(any(v for k, v in cues.items() if k != "ip")),
+            len(parts[0]), len(parts[-1]), *[0] * 8]
+
+
+def candidates(text: str) -> Iterator[tuple[Span, list[int], bool]]:
+    """Overlapping spans with their features, and whether the rules can judge them: a plain address, or a number that stands alone."""
+    last = 0
+    for at in AT.finditer(text):
+        host = HOST.match(text, at.end())
+        name = EMAN.match(text[last:at.start()][::-1]) if host else None
+        if name:
+            s, e = at.start() - name.end(), host.end()
+            yield (s, e, "email"), _email_features(text, s, e, text[s:at.start()], host[0]), at[0] == "@" and not DOT.search(host[0].replace(".", ""))
+        last = at.end()
+    for m in WRITTEN_IP.finditer(text):
+        yield (*m.span(), "ip"), _ip_features(text, *m.span()), not m[0].strip("0123456789.")
     for run in NUMBERS.finditer(text):
         parts = [(p.start() + run.start(), p.end() + run.start()) for p in PART.finditer(run[0])]
-        for i in range(len(parts)):
-            for j in range(i, min(i + MOST_PARTS, len(parts))):
-                s = parts[i][0]
-                span = TRIM.sub("", text[s:parts[j][1]])
-                n = len(digits_of(span))
+        for i, (s, _) in enumerate(parts):
+            for j in range(i, len(parts)):  # every part has a digit
+                span = text[s:parts[j][1]].rstrip(".(+-")
+                n = sum(map(span.count, "0123456789"))
                 if n > 19:
                     break
                 e = s + len(span)
                 if n >= 7:
-                    for kind in ("card", "phone"):
-                        yield (s, e, kind), _number_features(text, s, e, kind)
-                if i == j and span.count(".") == 3:
-                    yield (s, e, "ip"), _number_features(text, s, e, "ip")
+                    alone = i == 0 and j == len(parts) - 1
+                    for kind, features in _number_features(text, s, e).items():
+                        yield (s, e, kind), features, alone
 
 
 # --- boosted trees ---
@@ -158,6 +185,8 @@ def candidates(text: str) -> Iterator[tuple[Span, list[int]]]:
 DEPTH, TREES, SHRINK, LEVELS = 3, 40, 0.3, 32
 TRAIN_ROWS = 20_000
 PRECISION = 0.98
+# Scores are counted in so many steps.
+STEPS = 1000
 
 
 class Trees:
@@ -167,7 +196,6 @@ class Trees:
         self.bias, self.trees, self.threshold = 0.0, [], np.inf
 
     def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
-        x = np.minimum(x, LEVELS - 1)
         self.bias = float(np.log(((y * weight).sum() + 1) / (((1 - y) * weight).sum() + 1)))
         margin = np.full(len(y), self.bias)
         for _ in range(TREES):
@@ -207,27 +235,95 @@ class Trees:
             margin += tree[0]
         return 1 / (1 + np.exp(-margin))
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
-        """The lowest score above which at least ``PRECISION`` of held-out candidates are positive, and not under a half."""
-        scores = np.array([self.score(r) for r in np.minimum(x, LEVELS - 1).tolist()])
-        order = np.argsort(-scores, kind="stable")
-        right = np.cumsum((y * weight)[order]) / np.cumsum(weight[order])
-        last = np.append(scores[order][1:] != scores[order][:-1], True)  # equal scores stand or fall together
-        fine = np.flatnonzero((right >= PRECISION) & last)
-        self.threshold = max(0.5, float(scores[order][fine[-1]])) if len(fine) else np.inf
+    def calibrate(self, counts: dict[int, tuple[int, int]]) -> None:
+        """The lowest score above which at least ``PRECISION`` of held-out candidates are positive, and not under a half.
+
+        ``counts``: negative and positive candidates by score, in whole steps of 1 / ``STEPS``.
+        """
+        self.threshold, wrong, right = np.inf, 0, 0
+        for step in sorted(counts, reverse=True):
+            if 2 * step < STEPS:
+                break
+            wrong, right = wrong + counts[step][0], right + counts[step][1]
+            if right >= PRECISION * (right + wrong) and right:
+                self.threshold = step / STEPS
+
+
+class _Apart:
+    """Spans that do not overlap, in order: whether another one touches them."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts, self.ends = [], []
+        for s, e, _ in sorted(spans):
+            if self.ends and s < self.ends[-1]:
+                self.ends[-1] = max(e, self.ends[-1])
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def touched(self, s: int, e: int) -> bool:
+        i = bisect_left(self.starts, e)
+        return i > 0 and self.ends[i - 1] > s
+
+    def add(self, s: int, e: int) -> None:
+        i = bisect_left(self.starts, s)
+        self.starts.insert(i, s)
+        self.ends.insert(i, e)
+
+
+BEFORE, AFTER = 40, 20
+LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _rewritten(text: str, spans: list[Span]) -> Iterator[tuple[str, int, int, list[Span]]]:
+    """Short texts with the rules' spans in forms that the rules lose: where the form stands, and the spans that are meant in it."""
+    numbers = [x for x in spans if x[2] in ("card", "phone")]
+    following = dict(zip(numbers, numbers[1:] + numbers[:1]))
+    for s, e, kind in spans:
+        before, own, after = text[max(0, s - BEFORE):s], text[s:e], text[e:e + AFTER]
+        at = len(before)
+        forms: list[tuple[str, list[Span]]] = []
+        if kind == "email":
+            name, _, host = own.partition("@")
+            for sign, dot in ((" at ", " dot "), ("[at]", "."), (" (at) ", "[dot]")):
+                form = name + sign + host.replace(".", dot)
+                forms.append((form, [(at, at + len(form), kind)]))
+            words = LETTERS.findall(before)[-3:]
+            if len(words) == 3:
+                forms += [(f"{words[0]}{sign}{words[1]}.{words[2]}", []) for sign in (" at ", "@")]
+        elif kind == "ip":
+            for dot in ("[.]", " dot ", "(.)"):
+                form = own.replace(".", dot)
+                forms.append((form, [(at, at + len(form), kind)]))
+            first, *rest = own.split(".")
+            for parts in ((first, *rest, rest[0]), (first, *rest[:-1], f"{rest[-1]}{rest[-1]}{rest[-1]}9"), (f"{first}999", *rest)):
+                forms.append(("[.]".join(parts), []))
+        else:
+            a, b, other = following[s, e, kind]
+            second = at + len(own) + 1
+            forms.append((f"{own} {text[a:b]}", [(at, at + len(own), kind), (second, second + b - a, other)]))
+        for form, meant in forms:
+            yield before + form + after, at, at + len(form), meant
 
 
 def _labelled(text: str) -> Iterator[tuple[str, list[int], int]]:
     spans = rule_spans(text)
-    for (s, e, kind), features in candidates(text):
-        if (s, e, kind) in spans:
+    known, apart = set(spans), {k: _Apart([x for x in spans if x[2] == k]) for k in KINDS}
+    for (s, e, kind), features, judged in candidates(text):
+        if (s, e, kind) in known:
             yield kind, features, 1
-        elif not any(a < e and s < b and k == kind for a, b, k in spans):
+        elif judged and not apart[kind].touched(s, e):
             yield kind, features, 0
+    for form, start, end, meant in _rewritten(text, spans):
+        for (s, e, kind), features, _ in candidates(form):
+            if (s, e, kind) in meant:
+                yield kind, features, 1
+            elif s < end and start < e:
+                yield kind, features, 0
 
 
 def train(docs: DataFrame, text: str, most: int = TRAIN_ROWS) -> dict[str, Trees]:
-    """Trees and threshold of every kind, from the ``most`` frequent feature rows of all documents' candidates."""
+    """Trees and threshold of every kind. At most ``most`` feature rows of a kind train its trees; all rows of the other half set the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,42 +331,50 @@ def train(docs: DataFrame, text: str, most: int = TRAIN_ROWS) -> dict[str, Trees
             for t in pc.fill_null(batch.column(0), "").to_pylist():
                 if ANY.search(t):
                     half = zlib.crc32(t.encode()) & 1
-                    found.update((kind, tuple(x), y, half) for kind, x, y in _labelled(t))
+                    found.update((kind, tuple(min(f, LEVELS - 1) for f in x), y, half) for kind, x, y in _labelled(t))
             columns = list(zip(*found)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip((*columns, list(found.values())), (pa.string(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int64()))],
                 ["kind", "x", "y", "half", "n"])
 
     rows = docs.select(text).mapInArrow(run, "kind string, x array<long>, y int, half int, n long")
-    rows = rows.groupBy("kind", "x", "y", "half").agg(F.sum("n").alias("n"))
-    rows = rows.orderBy(F.desc("n"), "kind", "x", "y", "half").limit(most).collect()
-    out = {}
-    for kind in KINDS:
-        halves = []
-        for half in (0, 1):
-            own = [r for r in rows if r["kind"] == kind and r["half"] == half]
-            halves.append((np.array([r["x"] for r in own], np.int64).reshape(len(own), FEATURES), np.array([r["y"] for r in own], float),
-                           np.array([r["n"] for r in own], float)))
-        out[kind] = Trees()
-        if all((y * n).sum() >= 5 and ((1 - y) * n).sum() >= 5 for _, y, n in halves):
-            out[kind].fit(*halves[0])
-            out[kind].calibrate(*halves[1])
+    rows = stored(rows.groupBy("kind", "x", "y", "half").agg(F.sum("n").alias("n")), "candidates")
+    sizes = {(r["kind"], r["half"], r["y"]): r["n"] for r in rows.groupBy("kind", "half", "y").agg(F.sum("n").alias("n")).collect()}
+    out = {kind: Trees() for kind in KINDS}
+    fitted = [kind for kind in KINDS if all(sizes.get((kind, half, y), 0) >= 5 for half in (0, 1) for y in (0, 1))]
+    for kind in fitted:
+        own = rows.where((F.col("kind") == kind) & (F.col("half") == 0)).orderBy(F.desc("n"), "x", "y").limit(most).collect()
+        out[kind].fit(np.array([r["x"] for r in own], np.int64), np.array([r["y"] for r in own], float), np.array([r["n"] for r in own], float))
+    shared = docs.sparkSession.sparkContext.broadcast(out)  # a fixed number of trees
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps = [int(shared.value[k].score(x) * STEPS) for k, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(steps, pa.int32()), batch.column(2), batch.column(3)], ["kind", "step", "y", "n"])
+
+    if fitted:
+        held_out = rows.where((F.col("half") == 1) & F.col("kind").isin(fitted)).select("kind", "x", "y", "n")
+        steps = held_out.mapInArrow(score, "kind string, step int, y int, n long").groupBy("kind", "step").agg(
+            F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("wrong"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("right")).collect()
+        for kind in fitted:
+            out[kind].calibrate({r["step"]: (r["wrong"], r["right"]) for r in steps if r["kind"] == kind})
+    discard(rows)
     return out
 
 
 def all_spans(text: str, rules: list[Span], models: dict[str, Trees]) -> list[Span]:
     """The rules' spans and the trees' spans that touch none of them; of touching ones the better, longer, earlier."""
-    taken = list(rules)
-    proposed = []
-    for (s, e, kind), features in candidates(text):
-        if not any(a < e and s < b for a, b, _ in rules):
+    taken, out, proposed = _Apart(rules), list(rules), []
+    for (s, e, kind), features, _ in candidates(text):
+        if models[kind].threshold <= 1 and not taken.touched(s, e):
             score = models[kind].score([min(f, LEVELS - 1) for f in features])
             if score >= models[kind].threshold:
                 proposed.append((-score, s - e, s, e, kind))
     for _, _, s, e, kind in sorted(proposed):
-        if not any(a < e and s < b for a, b, _ in taken):
-            taken.append((s, e, kind))
-    return sorted(taken, key=_order)
+        if not taken.touched(s, e):
+            taken.add(s, e)
+            out.append((s, e, kind))
+    return sorted(out, key=_order)
 
 
 _SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("kind", pa.string())]))

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -216,6 +217,41 @@ def test_trees_add_what_the_rules_lose(spark):
     assert [r.spans for r in pii.add_spans(docs.where("false"), "text", pii.train(docs.where("false"), "text")).collect()] == []
 
 
+def test_trees_add_spans_of_every_kind(spark):
+    texts, _ = people(400)
+    models = pii.train(table(spark, texts), "text")
+    assert all(m.threshold <= 1 for m in models.values())
+    draw = random.Random(9)
+    planted, wanted = [], []
+    for i in range(200):
+        a, b = f"a{draw.randrange(400)}", draw.randrange(256)
+        for form, kind in ((f"{a} at b dot example dot com", "email"), (f"{a} [at] b.example.com", "email"), (f"{b}.1.2[.]3", "ip"), (f"{b} dot 1 dot 2 dot 3", "ip")):
+            planted.append(f"about it {form} from, lot {draw.randrange(10 ** 6)}")
+            wanted.append((9, 9 + len(form), kind))
+    found = pii.add_spans(table(spark, planted), "text", models).orderBy("doc_id").collect()
+    assert all(r.rule_spans == [] for r in found)
+    right = sum((tuple(w) in [tuple(s) for s in r.spans]) for r, w in zip(found, wanted))
+    added = sum(len(r.spans) for r in found)
+    assert right >= 0.95 * len(wanted) and right >= 0.98 * added
+    clean = ["we met at noon. Then at the house. It was 12.5 at 7.30", "look at this.that", "version 1.2.3.4.5.6 of 2020", "part 123 456 789 of it", "999.1.2.3 and 1.2.3"]
+    assert all(r.spans == r.rule_spans for r in pii.add_spans(table(spark, clean), "text", models).collect())
+
+
+def test_long_numbers_and_many_spans():
+    assert pii.rule_spans("0" * 5000 + "1.1.1.1") == [(0, 5007, "ip")] and pii.rule_spans("9" * 5000 + ".1.1.1") == []
+    text = "mail a.b@c.example.com or +1 (743) 555-3824 1.2.3.4 x at y dot org; " * 5_000  # 350 KB, 15,000 spans
+    start = time.process_time()
+    spans = pii.rule_spans(text)
+    labels = sum(1 for _ in pii._labelled(text))
+    assert pii.all_spans(text, spans, {k: pii.Trees() for k in pii.KINDS}) == spans and labels > len(spans) == 15_000
+    model = pii.Trees()
+    model.threshold = 0.4
+    assert len(pii.all_spans(text, spans, dict.fromkeys(pii.KINDS, model))) > len(spans)
+    for hard in ("1 " * 10_000 + "a", "a dot " * 100_000 + "at b", "a at " * 100_000, "@" * 300_000, "+1" + "(" * 300_000, "1." * 300_000, "+1" * 200_000):
+        pii.rule_spans(hard), sum(1 for _ in pii.candidates(hard))
+    assert time.process_time() - start < 60
+
+
 def test_redaction_of_overlaps():
     assert pii.redact("abcdef", [(0, 3, "card"), (0, 5, "phone"), (4, 6, "ip")]) == "[PHONE]"
     assert pii.redact("a é b", [(2, 3, "ip")]) == "a [IP] b"
