@@ -4,9 +4,10 @@ A first pass counts words over all documents. The frequent ones are encoded once
 compiled into a minimal acyclic automaton: words share prefixes and suffixes, arcs
 carry numbers whose sum along a path is the word's rank, and the rank leads to the
 word's ids. The automaton is one file in the shared scratch folder that Spark hands to
-every executor, where the Python workers map it into memory. A pre-token that it does
-not accept is merged exactly by the rules of the vocabulary, so which words are in the
-lexicon changes the time taken and never the ids.
+every executor, where the Python workers map it into memory. Pre-tokens that it does
+not accept are merged exactly by the rules of the vocabulary, all those of a slice of texts at
+once, so which words are in the lexicon changes the time taken and never the ids. Ids are decoded by
+one gather over the bytes of the vocabulary.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text; equal
 rows get equal results; a special token's string in a text is that token.
@@ -35,6 +36,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from ..session import scratch_root
 from .frames import unused, without
+from .text import row_slices
 
 # Fixed value: how byte-level vocabularies of this family cut texts.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,6 +47,11 @@ SHARE = 2.0 ** -17
 LEXICON_WORDS = 1 << 16
 # Segments a worker remembers before it starts afresh, and words a task counts at once.
 REMEMBERED = 1 << 19
+# Words up to so many bytes are merged side by side, so many at once; ids that are gathered at once.
+LONGEST, MERGED, GATHERED = 40, 1 << 14, 1 << 18
+# Bytes of text that are handled at once: the more, the fewer segments are looked up again.
+SLICE = 4 << 20
+NO_PAIR = 1 << 62
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,6 +61,17 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> bytes:
+    """The runs ``values[starts[c]:starts[c] + sizes[c]]`` of all codes, one after the other."""
+    parts = []
+    for at in range(0, len(codes), GATHERED):
+        some = codes[at:at + GATHERED]
+        size = sizes[some]
+        ends = np.cumsum(size)
+        parts.append(values[np.repeat(starts[some] - ends + size, size) + np.arange(int(size.sum()))].tobytes())
+    return b"".join(parts)
+
+
 class Merges:
     """The vocabulary: ids of bytes, ranked merges of id pairs, special tokens, bytes of ids."""
 
@@ -69,6 +87,15 @@ class Merges:
         self.bytes_of = {i: bytes(of_letter[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        self.letter_ids = np.array(self.byte_ids, np.int64)
+        self.pair_keys = np.array(sorted(self.pairs) or [-2], np.int64)
+        self.pair_values = np.array([self.pairs.get(k, NO_PAIR) for k in self.pair_keys.tolist()], np.int64)
+        # The bytes of all ids in one block.
+        self.lengths, self.starts = (np.zeros(max(self.bytes_of) + 1, np.int64) for _ in range(2))
+        for i, b in self.bytes_of.items():
+            self.lengths[i] = len(b)
+        self.starts[1:] = np.cumsum(self.lengths)[:-1]
+        self.letters = np.frombuffer(b"".join(self.bytes_of[i] for i in sorted(self.bytes_of)), np.uint8)
         self.cut = regex.compile(PRE_TOKEN).findall
         longest_first = sorted(self.special, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")").split if longest_first else None
@@ -76,9 +103,9 @@ class Merges:
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token: the lowest-ranked pair first, the leftmost of equal ones."""
         ids = [self.byte_ids[b] for b in word]
-        if len(ids) > 40:
+        if len(ids) > LONGEST:
             return self._merge_long(ids)
-        get, none = self.pairs.get, 1 << 62
+        get, none = self.pairs.get, NO_PAIR
         found = [get(a << 20 | b, none) for a, b in zip(ids, ids[1:])]
         while found:
             best = min(found)
@@ -93,6 +120,60 @@ class Merges:
                 found[i] = get(ids[i] << 20 | ids[i + 1], none)
         return ids
 
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """``merge`` of many words, packed (little-endian, 32 bits an id): a step merges one pair of every word that has one."""
+        out: list[bytes] = [b""] * len(words)
+        short = sorted((i for i, w in enumerate(words) if 0 < len(w) <= LONGEST), key=lambda i: len(words[i]))
+        for i in (i for i, w in enumerate(words) if len(w) > LONGEST):
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        for at in range(0, len(short), MERGED):
+            some = short[at:at + MERGED]
+            sizes = np.array([len(words[i]) for i in some])
+            width, rows = int(sizes[-1]), np.arange(len(some))
+            letters = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in some]), np.uint8).reshape(len(some), width)
+            merged, lengths = np.zeros((len(some), width), "<u4"), np.zeros(len(some), np.int64)
+            ids = np.where(np.arange(width) < sizes[:, None], self.letter_ids[letters], -1)
+            found = np.full((len(rows), width), NO_PAIR)
+            found[:, :-1] = self._looked_up(ids[:, :-1], ids[:, 1:])
+            while len(rows):
+                at_best = found.argmin(axis=1)
+                best = found[np.arange(len(rows)), at_best]
+                open_ = best != NO_PAIR
+                if not open_.all():
+                    merged[rows[~open_]], lengths[rows[~open_]] = ids[~open_], sizes[~open_]
+                    rows, sizes, ids, found, at_best, best = (x[open_] for x in (rows, sizes, ids, found, at_best, best))
+                    if not len(rows):
+                        break
+                # The pair's second id goes; what follows moves up.
+                each, columns = np.arange(len(rows)), np.arange(width)
+                ids = np.take_along_axis(ids, np.minimum(columns + (columns > at_best[:, None]), width - 1), 1)
+                ids[:, -1] = -1
+                ids[each, at_best] = best & 0xFFFFF
+                sizes = sizes - 1
+                found = np.take_along_axis(found, np.minimum(columns + (columns >= at_best[:, None]), width - 1), 1)
+                found[:, -1] = NO_PAIR
+                for left in (at_best - 1, at_best):
+                    fit = (left >= 0) & (left + 1 < sizes)
+                    new = self._looked_up(ids[each, np.maximum(left, 0)], ids[each, np.minimum(left + 1, width - 1)])
+                    found[each[fit], left[fit]] = new[fit]
+            data = merged.tobytes()
+            for k, (i, n) in enumerate(zip(some, lengths.tolist())):
+                out[i] = data[4 * width * k:4 * (width * k + n)]
+        return out
+
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and new id of pairs, in one number; NO_PAIR where there is none."""
+        asked = np.where((left >= 0) & (right >= 0), left << 20 | right, -1)
+        at = np.minimum(np.searchsorted(self.pair_keys, asked), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == asked, self.pair_values[at], NO_PAIR)
+
+    def decode_many(self, packed: list[bytes]) -> list[str]:
+        """Texts of packed ids; bytes that are no text become replacement characters."""
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        data, cuts = gathered(self.letters, self.starts, self.lengths, ids), ends[np.cumsum([0] + [len(p) // 4 for p in packed])].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with a heap of pairs, for words of any length."""
         pairs, n = self.pairs, len(ids)
@@ -208,6 +289,8 @@ class Lexicon:
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SEGMENT = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall
 UNEVEN = re.compile(r"(?:\A|\s) ").search
+# The same for Arrow, whose white space is ASCII's.
+UNEVEN_RE2 = r"(?:\A|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]) "
 
 
 # Latin letters: a segment of these alone, or with one closing mark, needs no pattern to be cut.
@@ -228,12 +311,15 @@ class _Memory(dict):
         packed = self.older.get(text)
         if packed is None:
             packed = self.make(text)
+        if len(text) <= 64:
+            self.keep(text, packed)
+        return packed
+
+    def keep(self, text: str, packed: bytes) -> None:
         if len(self) >= REMEMBERED // 2:
             self.older = dict(self)
             self.clear()
-        if len(text) <= 64:
-            self[text] = packed
-        return packed
+        self[text] = packed
 
 
 class _Encoder:
@@ -246,11 +332,72 @@ class _Encoder:
         self.spaced = _Memory(lambda s: self._segment(" " + s))
 
     def _word(self, word: str) -> bytes:
-        data = word.encode()
-        ids = self.lexicon.find(data) if self.lexicon else None
-        if ids is None:
-            ids = self.merges.merge(data)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        packed = self._listed(word)
+        if packed is None:
+            ids = self.merges.merge(word.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        return packed
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of many texts: segments are told apart once for all of them, and ids are put together by one gather."""
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, UNEVEN_RE2).to_numpy(zero_copy_only=False)
+        for special in self.merges.special:
+            odd = odd | pc.match_substring(column, special).to_numpy(zero_copy_only=False)
+        out = [self.encode(t) if o else b"" for t, o in zip(texts, odd)]
+        rows = np.flatnonzero(~odd)
+        if not len(rows):
+            return out
+        parts = pc.split_pattern(column.take(pa.array(rows)), " ")
+        cuts, segments = parts.offsets.to_numpy(), parts.values.dictionary_encode()
+        codes = segments.indices.to_numpy().astype(np.int64)
+        firsts = parts.values.take(pa.array(cuts[:-1])).to_pylist()
+        table = self._spaced(segments.dictionary.to_pylist())
+        codes[cuts[:-1]] = np.arange(len(table), len(table) + len(rows))
+        table += map(self.whole.__getitem__, firsts)
+        sizes = np.array([len(p) >> 2 for p in table])
+        starts, ids = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(table), "<u4")
+        ends = np.concatenate([[0], np.cumsum(sizes[codes])])
+        packed = gathered(ids, starts, sizes, codes)
+        for r, s, e in zip(rows.tolist(), (ends[cuts[:-1]] * 4).tolist(), (ends[cuts[1:]] * 4).tolist()):
+            out[r] = packed[s:e]
+        return out
+
+    def _spaced(self, segments: list[str]) -> list[bytes]:
+        """Packed ids of segments after a space; the unseen words of all of them are merged at once."""
+        spaced, words = self.spaced, self.words
+        out = list(map(spaced.get, segments))
+        new, parts, unseen = [], [], {}
+        for i, packed in enumerate(out):
+            if packed is None:
+                segment = segments[i]
+                if segment in spaced.older or not 0 < len(segment) < 64:
+                    out[i] = spaced[segment]
+                    continue
+                core, mark = (segment[:-1], segment[-1]) if segment[-1] in ".," else (segment, "")
+                if core.isascii() and core.isalpha():
+                    own = (" " + core, mark) if mark else (" " + core,)
+                else:
+                    own = self.merges.cut(" " + segment)
+                new.append(i)
+                parts.append(own)
+                for word in own:
+                    if word not in words and word not in unseen:
+                        packed = words.older.get(word)
+                        unseen[word] = self._listed(word) if packed is None else packed
+        left = [word for word, packed in unseen.items() if packed is None]
+        unseen |= zip(left, self.merges.merge_many([word.encode() for word in left]))
+        for i, own in zip(new, parts):
+            out[i] = b"".join([unseen[w] if w in unseen else words[w] for w in own]) if len(own) > 1 else unseen.get(own[0]) or words[own[0]]
+            spaced.keep(segments[i], out[i])
+        for word, packed in unseen.items():
+            words.keep(word, packed)
+        return out
+
+    def _listed(self, word: str) -> bytes | None:
+        """Packed ids of a word of the lexicon."""
+        ids = self.lexicon.find(word.encode()) if self.lexicon else None
+        return None if ids is None else struct.pack(f"<{len(ids)}I", *ids)
 
     def _segment(self, segment: str) -> bytes:
         plain = PLAIN(segment)
@@ -281,11 +428,6 @@ class _Encoder:
 _encoders: dict[str, _Encoder] = {}
 
 
-def decode(merges: Merges, ids: list[int]) -> str:
-    """The text of the ids; bytes that are no text become replacement characters."""
-    return b"".join(map(merges.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-
-
 # --- Spark ---
 
 def _texts(column: pa.Array) -> list[str]:
@@ -356,15 +498,16 @@ def add_tokens(docs: DataFrame, text: str, tokenizer: str, ids: str | None = Non
         encoder, merges = _encoders[name], _encoders[name].merges
         for batch in batches:
             made: dict[str, list] = {f.name: [] for f in fields}
-            for value in _texts(batch.column(len(kept))):
-                packed = encoder.encode(value)
-                back = decode(merges, np.frombuffer(packed, "<u4").tolist())
-                for key, x in (("n_tokens", len(packed) // 4), (ids, packed), (decoded, back)):
-                    if key in made:
-                        made[key].append(x)
-                if digest:
-                    made["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
-                    made["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
+            for _, held in row_slices(batch.column(len(kept)), SLICE):
+                texts = [t.decode() for t in held]
+                coded = encoder.encode_many(texts)
+                for packed, back in zip(coded, merges.decode_many(coded)):
+                    for key, x in (("n_tokens", len(packed) // 4), (ids, packed), (decoded, back)):
+                        if key in made:
+                            made[key].append(x)
+                    if digest:
+                        made["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
+                        made["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
             kinds = {f.name: pa.int64() if f.name == "n_tokens" else pa.binary() if f.name == ids else pa.string() for f in fields}
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *(pa.array(made[f.name], kinds[f.name]) for f in fields)],
                                              [*kept, *(f.name for f in fields)])
