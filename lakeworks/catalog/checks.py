@@ -152,7 +152,8 @@ def policy_levels(spark, sf):
             contracts.apply_policy(orders, checks)
         except ValueError as raised:
             rows += [(outcome, name) for name in checks if name in str(raised)]
-    return spark.createDataFrame(rows, "outcome string, checks string")
+    found = F.array(*[F.struct(F.lit(outcome).alias("outcome"), F.lit(name).alias("checks")) for outcome, name in rows])
+    return spark.range(1).select(F.inline(found if rows else found.cast("array<struct<outcome:string,checks:string>>")))
 
 
 @query("""SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE event_type <> 'error') AS rows_after,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, joins, marts, reconcile
 from ..functions import seconds_between, strip_all
-from ..session import new_folder
+from ..session import cut_lineage, new_folder
 from .registry import FEEDS_SQL, TRIPS_SQL, bank, ledger, msum, query, table, trips
 
 SENSORS = {"temperature": "l_quantity", "pressure": "l_extendedprice", "vibration": "l_tax"}
@@ -317,7 +317,8 @@ REPORT_SQL = f"""WITH {FEEDS_SQL}, report AS (
 
 @query(REPORT_SQL + " SELECT * FROM report ORDER BY bank_time NULLS LAST, ledger_time NULLS LAST")
 def recon_report(spark, sf):
-    return reconcile.recon_report(*feeds(spark, sf))
+    b, r, matches = feeds(spark, sf)
+    return reconcile.recon_report(b, r, cut_lineage(matches, "matches"))
 
 
 RULE_ROWS_SQL = f"""WITH {FEEDS_SQL},
@@ -341,7 +342,59 @@ def recon_rules(spark, sf):
 
 @query(RULE_ROWS_SQL)
 def recon_rules_of_matches(spark, sf):
-    return reconcile.recon_rules(reconcile.measure_matches(*feeds(spark, sf)))
+    b, r, matches = feeds(spark, sf)
+    return reconcile.recon_rules(reconcile.measure_matches(b, r, cut_lineage(matches, "matches")))
+
+
+RUNS_SQL = f"""WITH {FEEDS_SQL},
+  bs AS (SELECT d, c, s, COUNT(*) AS rows FROM bank GROUP BY 1, 2, 3), ls AS (SELECT d, c, s, COUNT(*) AS rows FROM ledger GROUP BY 1, 2, 3),
+  runs AS (
+    SELECT 'bank' AS side, x.d, x.c, x.s, x.rows, CAST(COALESCE(SUM(y.rows), 0) AS BIGINT) AS partners, MIN(y.s) AS first_second, MAX(y.s) AS last_second
+    FROM bs x LEFT JOIN ls y ON x.d = y.d AND x.c = y.c AND abs(x.s - y.s) <= 60 GROUP BY 1, 2, 3, 4, 5
+    UNION ALL
+    SELECT 'ledger', x.d, x.c, x.s, x.rows, CAST(COALESCE(SUM(y.rows), 0) AS BIGINT), MIN(y.s), MAX(y.s)
+    FROM ls x LEFT JOIN bs y ON x.d = y.d AND x.c = y.c AND abs(x.s - y.s) <= 60 GROUP BY 1, 2, 3, 4, 5)"""
+
+
+def runs_of(spark, sf):
+    b, r = reconcile.prepare(bank(spark, sf)), reconcile.prepare(ledger(spark, sf))
+    return b, r, reconcile.match_runs(b, r)
+
+
+@query(RUNS_SQL + """ SELECT side, d AS date, c AS amount_cents, CAST(s AS INTEGER) AS time_seconds, rows, partners,
+                      CAST(first_second AS INTEGER) AS first_second, CAST(last_second AS INTEGER) AS last_second FROM runs""")
+def match_runs(spark, sf):
+    """Matches as one row per side, date, amount and second."""
+    runs = runs_of(spark, sf)[2]
+    return runs.select("side", "date", "amount_cents", *(F.col(c).cast("int").alias(c) for c in ("time_seconds",)), "rows", "partners",
+                       *(F.col(c).cast("int").alias(c) for c in ("first_second", "last_second")))
+
+
+@query(f"WITH {FEEDS_SQL} SELECT * FROM matches")
+def match_runs_expanded(spark, sf):
+    b, r, runs = runs_of(spark, sf)
+    return reconcile.expand_runs(runs, b, r)
+
+
+@query(f"""WITH {FEEDS_SQL},
+  bm AS (SELECT bank_id AS id, COUNT(*) AS n, MIN(hour(ledger_time) * 3600 + minute(ledger_time) * 60 + second(ledger_time)) AS f,
+                MAX(hour(ledger_time) * 3600 + minute(ledger_time) * 60 + second(ledger_time)) AS l FROM matches GROUP BY 1),
+  lm AS (SELECT ledger_id AS id, COUNT(*) AS n, MIN(hour(bank_time) * 3600 + minute(bank_time) * 60 + second(bank_time)) AS f,
+                MAX(hour(bank_time) * 3600 + minute(bank_time) * 60 + second(bank_time)) AS l FROM matches GROUP BY 1)
+  SELECT 'bank' AS side, bank_id AS id, amount, t AS time, CASE WHEN n > 0 THEN 'MATCHED' ELSE 'UNMATCHED_BANK' END AS status,
+         COALESCE(n, 0) AS partners, CAST(f AS INTEGER) AS first_second, CAST(l AS INTEGER) AS last_second FROM bank LEFT JOIN bm ON bank_id = id
+  UNION ALL
+  SELECT 'ledger', ledger_id, amount, t, CASE WHEN n > 0 THEN 'MATCHED' ELSE 'UNMATCHED_LEDGER' END, COALESCE(n, 0),
+         CAST(f AS INTEGER), CAST(l AS INTEGER) FROM ledger LEFT JOIN lm ON ledger_id = id""")
+def run_report(spark, sf):
+    found = reconcile.run_report(*runs_of(spark, sf))
+    return found.withColumns({c: F.col(c).cast("int") for c in ("first_second", "last_second")})
+
+
+@query(RULE_ROWS_SQL)
+def recon_rules_of_runs(spark, sf):
+    b, _, runs = runs_of(spark, sf)
+    return reconcile.recon_rules(reconcile.measure_runs(b, runs))
 
 
 @query(REPORT_SQL + f" SELECT status, COUNT(*) AS n, {msum('amount')} AS total FROM report GROUP BY 1")

@@ -252,3 +252,34 @@ def bucketed_table(spark, sf):
     name = "lakeworks_orders_bucketed"
     layout.save_bucketed(table(spark, sf, "orders"), name, "o_custkey", 8, path=new_folder(spark, "bucketed"))
     return by_status(spark.table(name))
+
+
+@query("""SELECT o_orderstatus AS status, COUNT(*) AS orders, SUM(items) AS items, SUM(quantity) AS quantity
+          FROM (SELECT o_orderkey, o_orderstatus, COUNT(*) AS items, CAST(SUM(l_quantity) AS BIGINT) AS quantity
+                FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2) t GROUP BY 1""")
+def bucketed_join(spark, sf):
+    """Orders and their items, stored in equal buckets of the order: neither the join nor the grouping by order shuffles a row."""
+    names = {t: f"lakeworks_{t}_by_order" for t in ("orders", "lineitem")}
+    for t, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        layout.save_bucketed(table(spark, sf, t), names[t], key, 8, path=new_folder(spark, f"bucketed_{t}"))
+    # A table that fits in memory would be broadcast; the layout is for those that do not.
+    items = spark.table(names["lineitem"]).select("l_orderkey", "l_quantity")
+    both = spark.table(names["orders"]).select("o_orderkey", "o_orderstatus").hint("merge").join(items, F.col("l_orderkey") == F.col("o_orderkey"))
+    each = both.groupBy("o_orderkey", "o_orderstatus").agg(F.count("*").alias("items"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+    return each.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count("*").alias("orders"), F.sum("items").alias("items"), F.sum("quantity").alias("quantity"))
+
+
+@query(f"""SELECT STRFTIME(o_orderdate, '%Y-%m') AS order_month, COUNT(*) AS orders, {msum('o_totalprice')} AS revenue
+           FROM orders WHERE QUARTER(o_orderdate) = 4 AND YEAR(o_orderdate) >= 1999 GROUP BY 1""")
+def quarter_total(spark, sf):
+    """Fourth-quarter months of a fact kept by month: the months come from a calendar table, so files are picked while the job runs."""
+    fact, calendar = new_folder(spark, "orders_by_month"), new_folder(spark, "calendar")
+    orders = table(spark, sf, "orders")
+    layout.write_by_month(orders.select("o_orderkey", "o_orderdate", "o_totalprice"), fact, "o_orderdate", "order_month")
+    months = orders.select(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("first_day")).distinct()
+    months.select(F.date_format("first_day", "yyyy-MM").alias("calendar_month"), F.quarter("first_day").alias("quarter"), F.year("first_day").alias("year")).write.parquet(calendar)
+    wanted = spark.read.parquet(calendar).where("quarter = 4 AND year >= 1999")
+    kept = spark.read.schema("o_orderkey bigint, o_orderdate timestamp_ntz, o_totalprice double, order_month string").parquet(fact)
+    return kept.join(wanted, F.col("order_month") == F.col("calendar_month")).groupBy("order_month").agg(
+        F.count("*").alias("orders"), money_sum("o_totalprice").alias("revenue"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cents, elapsed_seconds, seconds_of_day
+from ..session import cut_lineage
 
 # Labels of the report and names of the rules are stated where they are used below.
 MATCH_KEYS = ["date", "amount_cents", "time_seconds"]
@@ -197,6 +198,73 @@ def measure_feeds(bank: DataFrame, ledger: DataFrame, tolerance: int = 60) -> Da
         F.coalesce(F.max("w"), F.lit(0)).cast("bigint").alias("max_seconds"))
 
 
+def match_runs(bank: DataFrame, ledger: DataFrame, tolerance: int = 60) -> DataFrame:
+    """The same matches as runs, without forming a pair: a row per side, date, amount and second.
+
+    (side, *keys, rows, partners, first_second, last_second, ...): every one of ``rows`` rows of this second
+    matches all ``partners`` rows of the other side between the first and the last second. Both feeds are reduced to their seconds and
+    sorted together; a range frame of the tolerance sweeps over them. A date and amount has at most 86,400 seconds, so
+    the frame's partitions are bounded however many rows share an amount.
+    """
+    seconds = _per_second(bank, "b").unionByName(_per_second(ledger, "l"), allowMissingColumns=True)
+    seconds = seconds.where(F.col("date").isNotNull() & F.col("amount_cents").isNotNull())
+    reach = Window.partitionBy("date", "amount_cents").orderBy("time_seconds").rangeBetween(-tolerance, tolerance)
+    swept = seconds.select("*", *(
+        f.over(reach).alias(f"{side}_{name}") for side in "bl" for name, f in (
+            ("all", F.sum(f"{side}_n")), ("sum", F.sum(f"{side}_total")), ("low", F.min(f"{side}_min")), ("high", F.max(f"{side}_max")),
+            ("first", F.min(F.when(F.col(f"{side}_n").isNotNull(), F.col("time_seconds")))),
+            ("last", F.max(F.when(F.col(f"{side}_n").isNotNull(), F.col("time_seconds")))))))
+
+    def half(own: str, other: str, name: str) -> DataFrame:
+        widest = F.greatest(F.abs(elapsed_seconds(f"{own}_max", f"{other}_low")), F.abs(elapsed_seconds(f"{other}_high", f"{own}_min")))
+        return swept.where(F.col(f"{own}_n").isNotNull()).select(
+            F.lit(name).alias("side"), *MATCH_KEYS, F.col(f"{own}_n").alias("rows"), F.coalesce(f"{other}_all", F.lit(0)).alias("partners"),
+            F.col(f"{other}_first").alias("first_second"), F.col(f"{other}_last").alias("last_second"),
+            F.col(f"{own}_total").alias("total"), F.col(f"{other}_sum").alias("partner_total"), widest.alias("widest"))
+
+    return half("b", "l", "bank").unionByName(half("l", "b", "ledger"))
+
+
+def expand_runs(runs: DataFrame, bank: DataFrame, ledger: DataFrame) -> DataFrame:
+    """The pairs of the runs, as ``match_transactions`` lists them. Only this step is as large as the number of pairs."""
+    reached = runs.where("side = 'bank' AND partners > 0").select(
+        *MATCH_KEYS, F.explode(F.sequence("first_second", "last_second")).alias("ledger_seconds"))
+    left = bank.select("bank_id", "amount", F.col("timestamp").alias("bank_time"), *MATCH_KEYS)
+    right = ledger.select("ledger_id", F.col("timestamp").alias("ledger_time"), "date", "amount_cents", F.col("time_seconds").alias("ledger_seconds"))
+    return (reached.join(right, ["date", "amount_cents", "ledger_seconds"]).join(left, MATCH_KEYS)
+            .select("bank_id", "ledger_id", "amount", "bank_time", "ledger_time",
+                    elapsed_seconds("bank_time", "ledger_time").alias("time_diff_seconds")))
+
+
+def run_report(bank: DataFrame, ledger: DataFrame, runs: DataFrame) -> DataFrame:
+    """One line per transaction of either feed: its status, and for matched ones how many partners stand between which seconds.
+
+    Grouped by transaction, ``recon_report`` says the same; this has as many lines as the feeds, however many pairs there are.
+    """
+    def half(df: DataFrame, side: str, lost: str) -> DataFrame:
+        own = runs.where(F.col("side") == side).select(*MATCH_KEYS, "partners", "first_second", "last_second")
+        status = F.when(F.col("partners") > 0, F.lit("MATCHED")).otherwise(F.lit(lost))
+        return df.join(own, MATCH_KEYS, "left").select(
+            F.lit(side).alias("side"), F.col(f"{side}_id").alias("id"), F.col("amount").cast("double").alias("amount"), F.col("timestamp").alias("time"),
+            status.alias("status"), F.coalesce("partners", F.lit(0)).alias("partners"), "first_second", "last_second")
+
+    return half(bank, "bank", "UNMATCHED_BANK").unionByName(half(ledger, "ledger", "UNMATCHED_LEDGER"))
+
+
+def measure_runs(bank: DataFrame, runs: DataFrame) -> DataFrame:
+    """What the rules need, in one row, from runs."""
+    met = runs.where("side = 'bank' AND partners > 0")
+
+    def total(amount: str, n: str) -> Column:
+        return F.coalesce(F.sum(F.col(amount) * F.col(n).cast("decimal(18,0)")).cast("double"), F.lit(0.0))
+
+    return met.agg(
+        total("total", "partners").alias("bank_total"), total("partner_total", "rows").alias("ledger_total"),
+        F.coalesce(F.sum(F.when(F.col("partners") > 1, F.col("rows"))), F.lit(0)).alias("duplicates"),
+        F.coalesce(F.sum(F.col("rows") * F.col("partners")), F.lit(0)).alias("pairs"),
+        bank.agg(F.count("*")).scalar().alias("bank_rows"), F.coalesce(F.max("widest"), F.lit(0)).cast("bigint").alias("max_seconds"))
+
+
 def recon_rules(measured: DataFrame, max_total_diff: float = 0.01, min_rate: float = 0.80,
                 max_seconds: int = 300, run_timestamp=None) -> DataFrame:
     """(rule, passed, message) for the four acceptance rules, from one row of measures."""
@@ -223,11 +291,12 @@ def match_by_month(bank: DataFrame, ledger: DataFrame, path: str, tolerance: int
     """The full report written as one directory per month, then read back.
 
     The match keys already contain the date, so no loop over months is needed:
-    Spark bounds memory by partition. Re-running overwrites the months it computes.
+    Spark bounds memory by partition. Matches are stored once and read by all parts of the report. A run
+    replaces the whole report, so months that no longer have rows go.
     """
-    matches = match_transactions(bank, ledger, tolerance)
+    matches = cut_lineage(match_transactions(bank, ledger, tolerance), "matches")
     report = recon_report(bank, ledger, matches)
     month = F.date_format(F.coalesce("bank_time", "ledger_time"), "yyyy-MM")
     (report.withColumn("month", month).hint("rebalance", "month").sortWithinPartitions("month", "bank_time")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("month").parquet(path))
     return bank.sparkSession.read.schema(report.schema.add("month", "string")).parquet(path)

@@ -56,7 +56,9 @@ def quality_pipeline(spark: SparkSession, source: str, target: str, customers: D
 def clean_customer_table(customers: DataFrame) -> tuple[DataFrame, dict]:
     """Latest row per customer, checked; with rows in, out and removed."""
     seen, before = observed(customers, "customers_in")
-    latest, after = observed(keep_latest(seen, "customer_id", "updated_at"), "customers_out")
+    # Of rows with the same time the one whose values sort last stays, whatever the partitioning.
+    marked = seen.withColumn("_values", F.to_json(F.struct(*customers.columns)))
+    latest, after = observed(keep_latest(marked, "customer_id", "updated_at", "_values").drop("_values"), "customers_out")
     stored = cut_lineage(latest, "customers")
     CUSTOMERS.validate(stored, "customer_id")
     return stored, run_metrics(before, after)

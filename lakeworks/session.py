@@ -26,10 +26,9 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
-# Added on a cluster. Shuffles start with many partitions, which AQE merges where a
-# result is small; scans use fewer, larger tasks.
+# Added on a cluster: scans use fewer, larger tasks. The number of shuffle partitions is
+# left to ``size_shuffles``; a fixed initial number would win over it.
 CLUSTER = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "10000",
     "spark.sql.files.maxPartitionBytes": "512m",
 }
 

@@ -50,6 +50,11 @@ def write_by_month_date(df: DataFrame, path: str, ts: str, year: int, key: str =
     _write_partitioned(keyed, path, [key], [ts], codec, mode)
 
 
+def write_by_month(df: DataFrame, path: str, ts: str, key: str = "month", codec: str = "zstd", mode: str = "overwrite") -> None:
+    """One directory per month, named yyyy-MM, so that a calendar table can pick the months of a query."""
+    _write_partitioned(df.withColumn(key, F.date_format(ts, "yyyy-MM")), path, [key], [ts], codec, mode)
+
+
 def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 16,
                        codec: str = "zstd", mode: str = "overwrite") -> None:
     """hash(key) modulo ``buckets`` directories for a key of many values."""

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,7 +89,7 @@ def brute_pairs(bank, ledger, tolerance):
 @pytest.mark.parametrize("seed,tolerance", [(1, 60), (2, 7), (3, 0)])
 def test_matches_equal_brute_force(spark, tuples, seed, tolerance):
     b, l = feeds(spark, seed)
-    bank, ledger = rec.prepare(spark.createDataFrame(b, BANK)), rec.prepare(spark.createDataFrame(l, LEDGER))
+    bank, ledger = rec.rec.prepare(spark.createDataFrame(b, BANK)), rec.rec.prepare(spark.createDataFrame(l, LEDGER))
     want = brute_pairs(b, l, tolerance)
     got = rec.match_transactions(bank, ledger, tolerance)
     assert sorted(tuples(got, "bank_id", "ledger_id", "time_diff_seconds")) == want
@@ -101,15 +102,15 @@ def test_matches_equal_brute_force(spark, tuples, seed, tolerance):
 
 def test_total_rule_sees_differences_below_a_cent(spark):
     b, l = feeds(spark, 4)
-    bank, ledger = rec.prepare(spark.createDataFrame(b, BANK)), rec.prepare(spark.createDataFrame(l, LEDGER))
+    bank, ledger = rec.rec.prepare(spark.createDataFrame(b, BANK)), rec.rec.prepare(spark.createDataFrame(l, LEDGER))
     row = rec.measure_feeds(bank, ledger).first()
     assert row["bank_total"] != row["ledger_total"] and row["duplicates"] > 0
 
 
 def test_strict_is_one_to_one_and_crosses_midnight(spark, tuples):
-    bank = rec.prepare(spark.createDataFrame([("B1", 5.0, at("2024-10-01 23:59:50"), "x"),
+    bank = rec.rec.prepare(spark.createDataFrame([("B1", 5.0, at("2024-10-01 23:59:50"), "x"),
                                               ("B2", 5.0, at("2024-10-01 23:59:40"), "x")], BANK))
-    ledger = rec.prepare(spark.createDataFrame([("L1", 5.0, at("2024-10-02 00:00:10"), "x")], LEDGER))
+    ledger = rec.rec.prepare(spark.createDataFrame([("L1", 5.0, at("2024-10-02 00:00:10"), "x")], LEDGER))
     assert rec.match_transactions(bank, ledger).count() == 0
     assert tuples(rec.match_transactions(bank, ledger, strict=True), "bank_id", "ledger_id") == [("B1", "L1")]
 
@@ -122,7 +123,7 @@ def test_strict_equals_brute_force_mutual_best(spark, tuples, seed):
     best_b = {x[0]: min((g, k[1]) for k, g in gap.items() if k[0] == x[0])[1] for x in b if any(k[0] == x[0] for k in gap)}
     best_l = {y[0]: min((g, k[0]) for k, g in gap.items() if k[1] == y[0])[1] for y in l if any(k[1] == y[0] for k in gap)}
     want = sorted((k, v) for k, v in best_b.items() if best_l[v] == k)
-    bank, ledger = rec.prepare(spark.createDataFrame(b, BANK)), rec.prepare(spark.createDataFrame(l, LEDGER))
+    bank, ledger = rec.rec.prepare(spark.createDataFrame(b, BANK)), rec.rec.prepare(spark.createDataFrame(l, LEDGER))
     assert tuples(rec.match_transactions(bank, ledger, strict=True), "bank_id", "ledger_id") == want
 
 
@@ -173,3 +174,57 @@ def test_strict_matching_of_one_amount_in_one_minute(spark):
     matched = rec.match_transactions(bank, ledger, strict=True)
     assert matched.count() == 100_000
     assert matched.where("substr(bank_id, 2) != substr(ledger_id, 2)").count() == 0
+
+
+def hot_feeds(spark, n):
+    """n transactions a side, all of one amount in one minute, and a few elsewhere."""
+    base = spark.range(n).select(F.col("id"), F.lit(9.99).alias("amount"))
+    at = F.expr("timestamp_ntz'2024-03-01 12:00:00' + make_dt_interval(0, 0, 0, id % 60)")
+    later = F.expr("timestamp_ntz'2024-03-01 12:00:00' + make_dt_interval(0, 0, 0, 30 + id % 90)")
+    return (rec.prepare(base.select(F.concat(F.lit("B"), "id").alias("bank_id"), "amount", at.alias("timestamp"))),
+            rec.prepare(base.select(F.concat(F.lit("L"), "id").alias("ledger_id"), "amount", later.alias("timestamp"))))
+
+
+def test_runs_of_a_hot_minute_take_seconds(spark):
+    bank, ledger = hot_feeds(spark, 200_000)
+    start = time.monotonic()
+    runs = rec.match_runs(bank, ledger)
+    measured = rec.measure_runs(bank, runs).first()
+    assert rec.run_report(bank, ledger, runs).groupBy("status").count().collect()
+    assert time.monotonic() - start < 60
+    # Seconds b of 0..59 and l of 30..119 match where l - b <= 60; counts per second are known.
+    b_n = [sum(1 for _ in range(s, 200_000, 60)) for s in range(60)]
+    l_n = [sum(1 for _ in range(s, 200_000, 90)) for s in range(90)]
+    assert measured["pairs"] == sum(b * n for s, b in enumerate(b_n) for t, n in enumerate(l_n) if abs(30 + t - s) <= 60)
+    assert measured["max_seconds"] == 60
+
+
+def test_runs_say_what_the_pairs_say(spark):
+    draw = random.Random(3)
+
+    def feed(name, n):
+        rows = [(f"{name}{i}", draw.choice([1.0, 1.004, 2.5, None]), None if draw.random() < 0.05 else
+                 dt.datetime(2024, 3, draw.choice([1, 2]), draw.choice([0, 23]), draw.choice([0, 1, 58, 59]), draw.randrange(60), draw.randrange(10**6)))
+                for i in range(n)]
+        return rec.prepare(spark.createDataFrame(rows, f"{name}_id string, amount double, timestamp timestamp_ntz"))
+
+    bank, ledger = feed("bank", 150), feed("ledger", 130)
+    pairs, runs = rec.match_transactions(bank, ledger), rec.match_runs(bank, ledger)
+    assert sorted(map(tuple, rec.expand_runs(runs, bank, ledger).collect())) == sorted(map(tuple, pairs.collect()))
+    assert rec.measure_runs(bank, runs).first() == rec.measure_matches(bank, ledger, pairs).first()
+    report = {(r["side"], r["id"]): r for r in rec.run_report(bank, ledger, runs).collect()}
+    assert len(report) == 280
+    for side in ("bank", "ledger"):
+        counts = {r[0]: r[1] for r in pairs.groupBy(f"{side}_id").count().collect()}
+        for (s, i), r in report.items():
+            if s == side:
+                assert r["partners"] == counts.get(i, 0) and r["status"] == ("MATCHED" if i in counts else f"UNMATCHED_{side.upper()}")
+
+
+def test_a_rerun_removes_months_without_rows(spark, folder):
+    rows = [("B1", 5.0, dt.datetime(2024, 1, 5, 1)), ("B2", 6.0, dt.datetime(2024, 2, 5, 1))]
+    bank = rec.prepare(spark.createDataFrame(rows, "bank_id string, amount double, timestamp timestamp_ntz"))
+    ledger = rec.prepare(spark.createDataFrame([("L1", 5.0, dt.datetime(2024, 1, 5, 1))], "ledger_id string, amount double, timestamp timestamp_ntz"))
+    assert {r["month"] for r in rec.match_by_month(bank, ledger, f"{folder}/r").collect()} == {"2024-01", "2024-02"}
+    found = rec.match_by_month(bank.where("bank_id = 'B1'"), ledger, f"{folder}/r").collect()
+    assert [(r["month"], r["status"]) for r in found] == [("2024-01", "MATCHED")]
