@@ -46,7 +46,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SHARE = 2.0 ** -17
 LEXICON_WORDS = 1 << 16
 # Segments a worker remembers before it starts afresh, and words a task counts at once.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 # Words up to so many bytes are merged side by side, so many at once; ids that are gathered at once.
 LONGEST, MERGED, GATHERED = 40, 1 << 14, 1 << 18
 # Bytes of text that are handled at once: the more, the fewer segments are looked up again.
@@ -442,6 +442,7 @@ def frequent_words(docs: DataFrame, text: str, merges: Merges) -> list[bytes]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _encoders.clear()  # what a reused worker remembers of an earlier lexicon
         counts, total = Counter(), 0
         for batch in batches:
             for value in _texts(batch.column(0)):
