@@ -67,23 +67,60 @@ def stream_sessions(spark, sf):
           UNION ALL SELECT 'clean', COUNT(*), COUNT(DISTINCT event_id) FROM events
           UNION ALL SELECT 'clean_rejected', 0, 0""")
 def stream_gate_batches(spark, sf):
-    """Every event once in a first file, the clicks again in a second; one file a batch. And a feed with nothing to reject."""
+    """Every event once in a first drop, the clicks again in a second; a drop a run. And a feed with nothing to reject."""
     root = new_folder(spark, "stream_gate")
     ids = TableSchema({"event_id": Rule("bigint", unique=True)})
     events = table(spark, sf, "events").select("event_id", "event_type")
     parts = []
-    for feed, files in (("", [events, events.where("event_type = 'click'")]), ("clean_", [events])):
-        for i, rows in enumerate(files):
-            rows.select("event_id").coalesce(1).write.mode("append").parquet(f"{root}/{feed}feed")
-            source = jobs.file_stream(spark, f"{root}/{feed}feed", "event_id bigint", max_files=1)
-            jobs.stream_quality_gate(source, ids, f"{root}/{feed}valid", f"{root}/{feed}rejected", f"{root}/{feed}checkpoint")
-        for part in ("valid", "rejected"):
+    for feed, drops in (("", [events, events.where("event_type = 'click'")]), ("clean_", [events])):
+        for rows in drops:
+            rows.select("event_id").write.mode("append").parquet(f"{root}/{feed}feed")
+            source = jobs.file_stream(spark, f"{root}/{feed}feed", "event_id bigint")
+            jobs.stream_quality_gate(source, ids, f"{root}/{feed}valid", f"{root}/{feed}rejected", f"{root}/{feed}checkpoint", order=["event_id"])
+        halves = jobs.gate_result(spark, ids, f"{root}/{feed}valid", f"{root}/{feed}rejected", order=["event_id"])
+        for part, found in zip(("valid", "rejected"), halves):
             name = (feed + part).removesuffix("_valid") if feed else part
-            parts.append(spark.read.parquet(f"{root}/{feed}{part}").agg(
-                F.lit(name).alias("part"), F.count("*").alias("rows"), F.count_distinct("event_id").alias("keys")))
+            parts.append(found.agg(F.lit(name).alias("part"), F.count("*").alias("rows"), F.count_distinct("event_id").alias("keys")))
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+GATE_FEED = """feed AS (SELECT event_id, ts, event_type, user_id FROM events
+    UNION ALL SELECT event_id, ts + INTERVAL 1 HOUR, event_type, user_id FROM events WHERE event_type = 'click'
+    UNION ALL SELECT event_id, ts - INTERVAL 1 HOUR, event_type, user_id FROM events WHERE event_type = 'view')"""
+
+
+def gate_rows(spark, sf, max_files):
+    """Events in drops by the day: as they are, the clicks again an hour later, the views again an hour earlier; who is first owns the id."""
+    root = new_folder(spark, "stream_gate")
+    events = table(spark, sf, "events").select("event_id", "ts", "event_type", "user_id")
+    hour = F.expr("INTERVAL 1 HOUR")
+    drops = [events, events.where("event_type = 'click'").withColumn("ts", F.col("ts") + hour),
+             events.where("event_type = 'view'").withColumn("ts", F.col("ts") - hour)]
+    ids = TableSchema({"event_id": Rule("bigint", unique=True)})
+    for rows in drops:
+        rows.write.mode("append").parquet(f"{root}/feed")
+    source = jobs.file_stream(spark, f"{root}/feed", events.schema, max_files=max_files)
+    jobs.stream_quality_gate(source, ids, f"{root}/valid", f"{root}/rejected", f"{root}/checkpoint", order=["ts"])
+    good, bad = jobs.gate_result(spark, ids, f"{root}/valid", f"{root}/rejected", order=["ts"])
+    return good.select("event_id", "ts", F.lit("valid").alias("part")).unionByName(bad.select("event_id", "ts", F.lit("rejected").alias("part")))
+
+
+GATE_SQL = f"""WITH {GATE_FEED} SELECT event_id, ts, CASE WHEN ROW_NUMBER() OVER (PARTITION BY event_id ORDER BY ts) = 1
+               THEN 'valid' ELSE 'rejected' END AS part FROM feed"""
+
+
+@query(GATE_SQL)
+def stream_gate_by_file(spark, sf):
+    """A file a batch."""
+    return gate_rows(spark, sf, 1)
+
+
+@query(GATE_SQL)
+def stream_gate_at_once(spark, sf):
+    """All files in one batch: the same rows."""
+    return gate_rows(spark, sf, 1000)
+
+
 @query(f"""SELECT CASE WHEN event_id IN (SELECT event_id FROM ({CASES_SQL}) x) THEN 'rejected' ELSE 'valid' END AS part,
            COUNT(*) AS rows FROM events GROUP BY 1""")
 def stream_quality_gate(spark, sf):
@@ -91,6 +128,6 @@ def stream_quality_gate(spark, sf):
     checked = stream(spark, sf).select("event_id", "user_id", F.date_format("ts", "yyyy-MM-dd HH:mm").alias("minute"),
                                        "event_type", "value", "props")
     jobs.stream_quality_gate(checked, EVENTS, f"{root}/valid", f"{root}/rejected", f"{root}/checkpoint")
-    parts = [spark.read.parquet(f"{root}/{p}").agg(F.lit(p).alias("part"), F.count("*").alias("rows"))
-             for p in ("valid", "rejected")]
+    good, bad = jobs.gate_result(spark, EVENTS, f"{root}/valid", f"{root}/rejected")
+    parts = [rows.agg(F.lit(p).alias("part"), F.count("*").alias("rows")) for p, rows in (("valid", good), ("rejected", bad))]
     return parts[0].unionByName(parts[1])

@@ -6,12 +6,13 @@ idempotent per micro-batch, so a restart repeats no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..functions import money_sum
 from ..operators.clean import clean_events
@@ -111,39 +112,87 @@ def all_sessions(closed: DataFrame, events: DataFrame, ts: str = "ts", user: str
     return closed.unionByName(_sessions(still.withColumn("_ts", F.col(ts).cast("timestamp")), user, gap))
 
 
+BUCKETS = 64
+PLACE = "_place"
+
+
 def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, rejected: str, checkpoint: str,
-                        wait: bool = True) -> StreamingQuery:
+                        wait: bool = True, order: Sequence[str] = (), index: str | None = None) -> StreamingQuery:
     """Split every batch into valid rows and rejected rows with reasons.
 
-    A key that an earlier batch has accepted is not accepted again, so unique columns
-    hold across batches whatever files come together; within a batch all rows of a
-    repeated key are rejected. Each batch owns a directory that a retry overwrites, and
-    looks only at those of earlier batches. An empty part gets a file too, so both
-    folders can be read from the first batch on.
+    Unique columns hold over all batches, and which rows hold them does not depend on how files fall into
+    batches. With an ``order`` the first of the rows that pass the other checks owns a key (missing values first; equal rows by
+    their values, then by arrival) and the others are rejected. Without one all rows of a repeated key are rejected, as
+    ``TableSchema`` does. A batch looks its keys up in ``index``, files by hash of the key, and reads only the buckets that its own keys
+    fall into. What a later batch changes for rows of earlier ones is not rewritten: ``gate_result`` reads both parts with
+    such changes made. Each batch owns directories that a retry overwrites, and looks only at those of earlier
+    batches. An empty part gets a file too, so both folders can be read from the first batch on.
     """
     unique = [c for c, rule in schema.columns.items() if rule.unique]
+    by_row = replace(schema, columns={c: replace(rule, unique=False) for c, rule in schema.columns.items()})
+    index = index or f"{valid}-keys"
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marked = schema.marked(batch).persist()  # both halves come from one run of the checks
-        good, bad = schema.parts(marked, batch.columns)
-        known = None
-        if unique and path_exists(spark, valid):
-            names = ", ".join(f"`{c}` {schema.columns[c].dtype}" for c in unique)
-            known = spark.read.schema(f"{names}, batch_id int").parquet(valid).where(F.col("batch_id") < batch_id)
-        for c in unique if known is not None else ():
-            keys = known.where(F.col(c).isNotNull()).select(F.col(c).alias("_known")).distinct()
-            good = good.join(keys, F.col(c) == F.col("_known"), "left").withColumnRenamed("_known", f"_known_{c}")
-        if known is not None:
-            repeated = {c: F.col(f"_known_{c}").isNotNull() for c in unique}
-            again = F.lit(False)
-            for condition in repeated.values():
-                again = again | condition
-            reasons = F.array_compact(F.array(*[F.when(r, F.lit(f"{c}:unique")) for c, r in repeated.items()]))
-            late = good.where(again).select(*batch.columns, reasons.alias("reasons"))
-            good, bad = good.where(~again).select(*batch.columns), bad.unionByName(late)
+        marked = by_row.marked(batch).persist()  # both halves come from one run of the checks
+        good, bad = by_row.parts(marked, batch.columns)
+        if unique:
+            place = F.struct(*order, F.to_json(F.struct(*batch.columns)).alias("values"), F.lit(batch_id).alias("batch"),
+                             F.monotonically_increasing_id().alias("row"))
+            good, asked = good.withColumn(PLACE, place), marked.withColumn(PLACE, place)
+            repeated = []
+            for i, c in enumerate(unique):
+                firsts = _firsts(good if order else asked, c, f"{index}/{c}", batch_id)
+                fresh = firsts.where(F.col("_known").isNull() | (F.col("_least") < F.col("_known"))) if order else firsts
+                (fresh.select("key", F.col("_least").alias(PLACE), "n", _bucket("key").alias("bucket"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{index}/{c}/batch_id={batch_id}"))
+                own = firsts.select(F.col("key").alias(f"_key{i}"), F.least("_least", "_known").alias(f"_first{i}"), F.expr("n + coalesce(_n, 0)").alias(f"_n{i}"))
+                good = good.join(own, F.col(c) == F.col(f"_key{i}"), "left")
+                repeated.append(_lost(c, i, bool(order)))
+            good = good.select(*batch.columns, PLACE, F.array_compact(F.array(*repeated)).alias("reasons"))
+            late = good.where(F.size("reasons") > 0).drop(PLACE)
+            good, bad = good.where(F.size("reasons") == 0).drop("reasons"), bad.unionByName(late)
         for part, path in ((good, valid), (bad, rejected)):
             part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         marked.unpersist()
 
     return _run(events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint), wait)
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _lost(column: str, i: int, ordered: bool) -> Column:
+    """Reason where a row does not own its key: another row is first, or the key has other rows at all."""
+    other = F.col(PLACE) != F.col(f"_first{i}") if ordered else F.col(f"_n{i}") > 1
+    return F.when(F.col(column).isNotNull() & other, F.lit(f"{column}:unique"))
+
+
+def _firsts(rows: DataFrame, column: str, index: str, batch_id: int) -> DataFrame:
+    """``key, _least, n, _known, _n``: first place and rows of every key in a batch, and the same of earlier batches."""
+    spark = rows.sparkSession
+    own = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.min(PLACE).alias("_least"), F.count("*").alias("n"))
+    place = rows.schema[PLACE].dataType
+    if not path_exists(spark, index):
+        return own.withColumns({"_known": F.lit(None).cast(place), "_n": F.lit(0).cast("long")})
+    touched = [r[0] for r in own.select(_bucket("key")).distinct().collect()]  # at most BUCKETS numbers
+    types = StructType([StructField("key", rows.schema[column].dataType), StructField(PLACE, place), StructField("n", LongType()),
+                        StructField("bucket", IntegerType()), StructField("batch_id", IntegerType())])
+    known = spark.read.schema(types).parquet(index).where((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
+    return own.join(known.groupBy("key").agg(F.min(PLACE).alias("_known"), F.sum("n").alias("_n")), "key", "left")
+
+
+def gate_result(spark: SparkSession, schema: TableSchema, valid: str, rejected: str, index: str | None = None,
+                order: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Valid and rejected rows of ``stream_quality_gate`` over all batches: rows that lost a key to a later batch are rejected."""
+    unique = [c for c, rule in schema.columns.items() if rule.unique]
+    good, bad = spark.read.parquet(valid), spark.read.parquet(rejected)
+    if not unique:
+        return good, bad
+    for i, c in enumerate(unique):
+        firsts = spark.read.parquet(f"{index or valid + '-keys'}/{c}").groupBy(F.col("key").alias(f"_key{i}")).agg(
+            F.min(PLACE).alias(f"_first{i}"), F.sum("n").alias(f"_n{i}"))
+        good = good.join(firsts, F.col(c) == F.col(f"_key{i}"), "left")
+    lost = [_lost(c, i, bool(order)) for i, c in enumerate(unique)]
+    marked = good.select(*[c for c in bad.columns if c != "reasons"], F.array_compact(F.array(*lost)).alias("reasons"))
+    return marked.where(F.size("reasons") == 0).drop("reasons"), bad.unionByName(marked.where(F.size("reasons") > 0))

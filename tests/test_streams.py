@@ -58,6 +58,51 @@ def test_gate_splits_every_batch(spark, folder):
     assert bad.where("user_id IS NULL").first()["reasons"] == ["user_id:not_null", "event_type:isin(['click', 'view'])"]
 
 
+@pytest.mark.parametrize("drops", [[[1, 2], [1, 3]], [[1, 1, 2], [2, None], [None, 3]], [[3], [3], [3]]])
+def test_batches_do_not_decide_who_owns_a_key(spark, folder, drops):
+    schema = TableSchema({"user_id": Rule("bigint", nullable=True, unique=True), "event_type": Rule("string", isin=["click", "view"], unique=False)})
+    for i, users in enumerate(drops):
+        # Times run against the order of arrival, so later drops take keys over; the last row of a drop fails its own check.
+        land(spark, f"{folder}/raw", [(u, "click", f"t{9 - i}", float(k)) for k, u in enumerate(users)] + [(users[0], "login", "t0", 0.0)])
+    results = []
+    for files in (1, 1000):
+        at = f"{folder}/{files}"
+        source = jobs.file_stream(spark, f"{folder}/raw", RAW, max_files=files)
+        jobs.stream_quality_gate(source, schema, f"{at}/ok", f"{at}/bad", f"{at}/cp", order=["timestamp", "amount"])
+        good, bad = jobs.gate_result(spark, schema, f"{at}/ok", f"{at}/bad", order=["timestamp", "amount"])
+        results.append((sorted(map(str, good.drop("batch_id").collect())), sorted(map(str, bad.drop("batch_id").collect()))))
+    assert results[0] == results[1]
+    everything = [(f"t{9 - i}", float(k), u) for i, users in enumerate(drops) for k, u in enumerate(users)]
+    first = {}
+    for t, a, u in sorted(everything, key=lambda x: x[:2]):
+        first.setdefault(u if u is not None else (t, a), (t, a, u))
+    assert len(results[0][0]) == len(first) and len(results[0][1]) == len(everything) - len(first) + len(drops)
+
+
+def test_a_batch_reads_only_its_own_buckets(spark, folder):
+    schema = TableSchema({"user_id": Rule("bigint", unique=True)})
+    for users in (range(500), [3]):
+        land(spark, f"{folder}/raw", [(u, "click", "t", 0.0) for u in users])
+        jobs.stream_quality_gate(jobs.file_stream(spark, f"{folder}/raw", RAW, max_files=1), schema, f"{folder}/ok", f"{folder}/bad", f"{folder}/cp",
+                                 order=["timestamp"])
+    index = spark.read.parquet(f"{folder}/ok-keys/user_id")
+    assert index.where("batch_id = 0").select("bucket").distinct().count() == jobs.BUCKETS
+    assert index.where("batch_id = 1").count() == 0  # the repeated row, equal in all values, comes later
+    good, bad = jobs.gate_result(spark, schema, f"{folder}/ok", f"{folder}/bad", order=["timestamp"])
+    assert good.count() == 500 and bad.count() == 1
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_without_an_order_repeated_keys_have_no_owner(spark, folder, files):
+    schema = TableSchema({"user_id": Rule("bigint", unique=True), "event_type": Rule("string", isin=["click"])})
+    for rows in ([(1, "click", "t", 0.0), (2, "click", "t", 0.0)], [(1, "click", "t", 1.0), (3, "click", "t", 0.0)], [(3, "login", "t", 0.0)]):
+        land(spark, f"{folder}/raw", rows)
+    source = jobs.file_stream(spark, f"{folder}/raw", RAW, max_files=files)
+    jobs.stream_quality_gate(source, schema, f"{folder}/ok", f"{folder}/bad", f"{folder}/cp")
+    good, bad = jobs.gate_result(spark, schema, f"{folder}/ok", f"{folder}/bad")
+    assert [r["user_id"] for r in good.collect()] == [2] and sorted(r["user_id"] for r in bad.collect()) == [1, 1, 3, 3]
+
+
 def test_daily_metrics_stream_emits_closed_days(spark, folder):
     land(spark, f"{folder}/raw", [(u, "purchase", f"2024-01-0{d}T10:00:00", 2.0) for d in (1, 2, 3, 4) for u in range(d)])
     events = jobs.file_stream(spark, f"{folder}/raw", RAW).withColumn("event_ts", F.col("timestamp").cast("timestamp_ntz"))
