@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import round_to
 from ..functions.vector import dot, norm
+from ..session import cut_lineage
 from .clean import render_text, sample_rows
 
 WHITE_SPACE = r"[ \t\r\n]+"
@@ -95,25 +97,32 @@ def topk_cosine(df: DataFrame, query: DataFrame | Sequence[float], k: int, key:
 
 
 def _packed(df: DataFrame, columns: Sequence[str], vector: str, rows: int, prefix: str) -> DataFrame:
-    """Up to ``rows`` rows of a task as one row: arrays of the columns, and the vectors end to end.
+    """Up to ``rows`` rows of a task and one cell as one row: the cell, arrays of the columns, and the vectors end to end.
 
     A NULL vector becomes zeros, whose cosine to anything is 0.
     """
     types = dict(df.dtypes)
-    schema = ", ".join([f"`{prefix}{c}` array<{types[c]}>" for c in columns] + [f"{prefix}flat array<double>", f"{prefix}width int"])
+    schema = ", ".join(["cell int"] + [f"`{prefix}{c}` array<{types[c]}>" for c in columns] + [f"{prefix}flat array<double>", f"{prefix}width int"])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for at in range(0, len(whole), rows):
-                part = whole.iloc[at:at + rows]
-                width = max((len(v) for v in part[vector] if v is not None), default=0)
-                flat = np.zeros((len(part), width))
-                for i, v in enumerate(part[vector]):
-                    if v is not None:
-                        flat[i, :len(v)] = v
-                yield pd.DataFrame({f"{prefix}{c}": [part[c].tolist()] for c in columns} | {f"{prefix}flat": [flat.ravel()], f"{prefix}width": [width]})
+            for cell, own in whole.groupby("cell"):
+                for at in range(0, len(own), rows):
+                    part = own.iloc[at:at + rows]
+                    flat = _matrix(part[vector], max((len(v) for v in part[vector] if v is not None), default=0))
+                    yield pd.DataFrame({"cell": [cell]} | {f"{prefix}{c}": [part[c].tolist()] for c in columns}
+                                       | {f"{prefix}flat": [flat.ravel()], f"{prefix}width": [flat.shape[1]]})
 
-    return df.select(*columns, vector).mapInPandas(pack, schema)
+    return df.select("cell", *columns, vector).mapInPandas(pack, schema)
+
+
+def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
+    """Vectors as rows; a NULL one is zeros, and a longer one is cut off."""
+    flat = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        if v is not None:
+            flat[i, :min(len(v), width)] = v[:width]
+    return flat
 
 
 def _cosines(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -124,26 +133,101 @@ def _cosines(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
     return np.sign(cosine) * np.floor(np.abs(cosine) * 10.0 ** DIGITS + 0.5) / 10.0 ** DIGITS
 
 
-def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str,
-                      vector: str = "embedding", block_rows: int = 1000) -> DataFrame:
-    """The ``k`` most similar index rows of every query: (query, rank, key, similarity).
+# Cells of vectors without a direction, and of vectors of another length than the centres.
+NO_DIRECTION, OTHER_LENGTH = -1, -2
+SLACK = 1e-9  # bounds give way by this much, far more than rounding takes
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Directions that split an index into cells, and for each cell its rows and the widest angle to its centre."""
+
+    centres: np.ndarray
+    rows: dict[int, int]
+    radius: dict[int, float]
+
+    def angles(self, vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+        """Angles to all centres, and per vector its cell."""
+        width = self.centres.shape[1]
+        unit = _matrix(vectors, width)
+        size = np.sqrt((unit * unit).sum(axis=1))
+        angle = np.arccos(np.clip(unit / np.where(size > 0, size, 1)[:, None] @ self.centres.T, -1, 1))
+        cell = np.where(size > 0, angle.argmin(axis=1) if len(self.centres) else 0, NO_DIRECTION)
+        return angle, np.where([v is not None and len(v) != width for v in vectors], OTHER_LENGTH, cell).astype(np.int32)
+
+    def bounds(self, angle: np.ndarray, own: int) -> dict[int, float]:
+        """For each cell the largest cosine that a row of it can have to a query, by the triangle inequality."""
+        if own < 0:  # a query without a direction, or of another length
+            return dict.fromkeys(self.rows, 1.0)
+        return {c: 1.0 if c == OTHER_LENGTH else 0.0 if c == NO_DIRECTION else float(np.cos(max(0.0, angle[c] - self.radius[c]))) for c in self.rows}
+
+
+def with_cells(index: DataFrame, key: Sequence[str], vector: str, cells: int) -> tuple[DataFrame, Cells]:
+    """The index with a ``cell`` column. The centres are ``cells`` of its vectors, taken by a hash of the key: a bounded sample."""
+    sample = index.where(F.col(vector).isNotNull()).select(F.xxhash64(*key).alias("_h"), F.col(vector).alias("v")).orderBy("_h").limit(cells).collect()
+    width = max((len(r["v"]) for r in sample), default=0)
+    centres = _matrix(pd.Series([r["v"] for r in sample if len(r["v"]) == width], dtype=object), width)
+    centres = centres[(centres * centres).sum(axis=1) > 0]
+    centres = centres / np.sqrt((centres * centres).sum(axis=1))[:, None]
+    found = Cells(centres, {}, {})
+
+    @F.pandas_udf("struct<cell:int,angle:double>")
+    def place(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for vectors in parts:
+            angle, cell = found.angles(vectors)
+            nearest = angle.min(axis=1) if len(centres) else np.zeros(len(cell))
+            yield pd.DataFrame({"cell": cell, "angle": nearest})
+
+    placed = index.withColumn("_place", place(vector)).withColumn("cell", F.col("_place.cell"))
+    for r in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("_place.angle").alias("a")).collect():  # a row per cell
+        found.rows[r["cell"]], found.radius[r["cell"]] = r["n"], r["a"]
+    return placed.drop("_place"), found
 
-    Exact: every query meets every row. Both sides are packed into blocks of at most
-    ``block_rows`` rows, and blocks are joined, not rows: a task multiplies two blocks and
-    passes on ``k`` rows per query, of which the window's group limit lets ``k`` per query
-    and task into the shuffle. One plan for any number of queries; Spark broadcasts the
-    query blocks if they are small and otherwise pairs partitions.
+
+def _visits(queries: DataFrame, query: str, vector: str, cells: Cells, k: int) -> DataFrame:
+    """``query, vector, cell`` of the cells to look at. Without a ``least`` column: the most promising ones until they hold k rows.
+
+    With it: all others that may hold a row as similar as the ``least`` found so far.
     """
-    key = list(key)
-    types = dict(index.dtypes) | {query: dict(queries.dtypes)[query]}
+    again = "least" in queries.columns
+    types = dict(queries.dtypes)
+    schema = f"`{query}` {types[query]}, `{vector}` {types[vector]}, cell int"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            angle, own = cells.angles(batch[vector])
+            rows, chosen = [], []
+            for i in range(len(batch)):
+                bound = cells.bounds(angle[i], own[i])
+                order = sorted(bound, key=lambda c: (-bound[c], angle[i][c] if c >= 0 else 0.0, c))
+                held, first = 0, 0
+                while first < len(order) and held < k:
+                    held += cells.rows[order[first]]
+                    first += 1
+                take = order[:first]
+                if again:
+                    least = batch["least"].iloc[i]
+                    take = [c for c in order[first:] if held < k or least is None or bound[c] >= least - SLACK]
+                rows += [i] * len(take)
+                chosen += take
+            out = batch[[query, vector]].iloc[rows].reset_index(drop=True)
+            out["cell"] = np.array(chosen, np.int32)
+            yield out
+
+    return queries.select(query, vector, *(["least"] if again else [])).mapInPandas(run, schema)
+
+
+def _scanned(index: DataFrame, visits: DataFrame, k: int, key: Sequence[str], query: str, vector: str, block_rows: int) -> DataFrame:
+    """The best ``k`` of every block for every query that visits its cell."""
+    types = dict(index.dtypes) | {query: dict(visits.dtypes)[query]}
     schema = ", ".join([f"`{c}` {types[c]}" for c in (*key, query)] + ["similarity double"])
-    pairs = _packed(index, key, vector, block_rows, "i_").crossJoin(_packed(queries, [query], vector, block_rows, "q_"))
+    pairs = _packed(index, key, vector, block_rows, "i_").join(_packed(visits, [query], vector, block_rows, "q_"), "cell").drop("cell")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for _, pair in batch.iterrows():
                 rows = pd.DataFrame({c: list(pair[f"i_{c}"]) for c in key})
-                order = rows.sort_values(key).index.to_numpy()  # a stable sort below then breaks ties by key
+                order = rows.sort_values(list(key)).index.to_numpy()  # a stable sort below then breaks ties by key
                 asked = np.asarray(list(pair[f"q_{query}"]), dtype=object)
                 left = np.asarray(pair["i_flat"], float).reshape(len(rows), pair["i_width"])[order]
                 cosine = _cosines(left, np.asarray(pair["q_flat"], float).reshape(len(asked), pair["q_width"]))
@@ -153,9 +237,44 @@ def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequenc
                 found["similarity"] = np.take_along_axis(cosine, top, axis=0).T.ravel()
                 yield found
 
+    return pairs.mapInPandas(scan, schema)
+
+
+def topk_cosine_batch(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str,
+                      vector: str = "embedding", block_rows: int = 1000, cells: int = 64) -> DataFrame:
+    """The ``k`` most similar index rows of every query: (query, rank, key, similarity).
+
+    Exact. The index is split into cells by the nearest of ``cells`` centres, a query first meets the most promising cells, which hold
+    ``k`` rows at least, and then only cells that the triangle inequality of angles does not rule out. Cells are
+    joined by their number, as blocks of at most ``block_rows`` rows: a task multiplies two blocks and passes on ``k`` rows per
+    query, of which the window's group limit lets ``k`` per query and task into the shuffle. How much is skipped depends on
+    how clustered the vectors are; ``cell_visits`` tells.
+    """
+    key = list(key)
+    placed, found = with_cells(index, key, vector, cells)
     w = Window.partitionBy(query).orderBy(F.desc("similarity"), *key)
-    return (pairs.mapInPandas(scan, schema).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(query, "rank", *key, "similarity"))
+
+    def best(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+    first = cut_lineage(best(_scanned(placed, _visits(queries, query, vector, found, k), k, key, query, vector, block_rows)), "first_cells")
+    least = first.groupBy(F.col(query).alias("_asked")).agg(F.min("similarity").alias("least"))
+    rest = _visits(queries.join(least, F.col(query) == F.col("_asked"), "left"), query, vector, found, k)
+    second = _scanned(placed, rest, k, key, query, vector, block_rows)
+    return best(first.drop("rank").unionByName(second)).select(query, "rank", *key, "similarity")
+
+
+def cell_visits(index: DataFrame, queries: DataFrame, k: int, key: Sequence[str], query: str, vector: str = "embedding",
+                cells: int = 64) -> DataFrame:
+    """(query, rows_met, rows): index rows that a batch search compares with each query, of all there are."""
+    placed, found = with_cells(index, key, vector, cells)
+    best = topk_cosine_batch(index, queries, k, key, query, vector, cells=cells)
+    least = best.groupBy(F.col(query).alias("_asked")).agg(F.min("similarity").alias("least"))
+    again = queries.join(least, F.col(query) == F.col("_asked"), "left")
+    # The second round is judged by the final bound here, which is at least as strict.
+    both = _visits(queries, query, vector, found, k).unionByName(_visits(again, query, vector, found, k)).select(query, "cell").distinct()
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"))
+    return both.join(sizes, "cell").groupBy(query).agg(F.sum("n").alias("rows_met")).withColumn("rows", placed.agg(F.count("*")).scalar())
 
 
 def topk_ann(df: DataFrame, query: Sequence[float], k: int, key: str, vector: str = "embedding",

@@ -86,3 +86,9 @@ def test_runs_form_no_pairs(spark, sf):
     for name in ("match_runs", "run_report", "recon_rules_of_runs"):
         text = plan_text(QUERIES[name](spark, sf), "simple")
         assert "_slot" not in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("name", ["topk_cosine_batch", "retrieve_chunks"])
+def test_batch_search_joins_cells_and_pairs_no_blocks(spark, sf, name):
+    text = plan(spark, sf, name)
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and "cell" in text

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -107,3 +109,31 @@ def test_sensor_index_takes_abnormal_rows_only(spark):
     df = spark.createDataFrame(rows, "sensor_id string, device_type string, facility string, status string, temperature double, pressure double, vibration double")
     index = ret.sensor_log_index(df, 25, ["sensor_id"], dim=16)
     assert index.count() == 25 and index.where("status = 'normal' OR size(embedding) <> 16").count() == 0
+
+
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_cells_change_the_work_and_not_the_answer(spark, spread):
+    draw = np.random.default_rng(6)
+    centres = draw.normal(size=(20, 16))
+    rows = [(i, (centres[i % 20] + spread * draw.normal(size=16)).tolist()) for i in range(1500)]
+    odd = [(2000, None), (2001, [0.0] * 16), (2002, [1.0, 2.0]), (2003, rows[5][1]), (2004, rows[5][1])]
+    index = spark.createDataFrame(rows + odd, "id long, embedding array<double>")
+    asked = [(f"q{i}", v) for i, v in enumerate([rows[5][1], [-x for x in rows[7][1]], [0.0] * 16, None, draw.normal(size=16).tolist()])]
+    queries = spark.createDataFrame(asked, "q string, embedding array<double>")
+    got = {}
+    for r in ret.topk_cosine_batch(index, queries, 12, ["id"], "q", cells=32).collect():
+        got.setdefault(r["q"], []).append((r["rank"], r["id"], r["similarity"]))
+
+    def cosine(a, b):
+        if a is None or b is None or len(a) != len(b) or not any(a) or not any(b):
+            return 0.0
+        return math.floor(float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)) * 1e12 + 0.5) / 1e12
+
+    for name, q in asked:
+        want = sorted(((-cosine(q, v), i) for i, v in rows + odd))[:12]
+        found = sorted(got[name])
+        assert [i for _, i, _ in found] == [i for _, i in want]
+        assert [s for _, _, s in found] == pytest.approx([-c for c, _ in want], abs=1e-11)
+    visits = {r["q"]: r["rows_met"] / r["rows"] for r in ret.cell_visits(index, queries, 12, ["id"], "q", cells=32).collect()}
+    if spread < 1:
+        assert visits["q0"] < 0.3  # two thirds and more are never compared
