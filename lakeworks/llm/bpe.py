@@ -50,7 +50,7 @@ REMEMBERED = 1 << 17
 # Words up to so many bytes are merged side by side, so many at once; ids that are gathered at once.
 LONGEST, MERGED, GATHERED = 40, 1 << 14, 1 << 18
 # Bytes of text that are handled at once: the more, the fewer segments are looked up again.
-SLICE = 4 << 20
+SLICE = 2 << 20
 NO_PAIR = 1 << 62
 
 
@@ -491,6 +491,8 @@ def add_tokens(docs: DataFrame, text: str, tokenizer: str, ids: str | None = Non
     fields += [StructField(decoded, StringType())] if decoded else []
     kept = without(docs, *(f.name for f in fields))
     schema = StructType([docs.schema[c] for c in kept] + fields)
+    kinds = {f.name: pa.int64() if f.name == "n_tokens" else pa.binary() if f.name == ids else pa.string() for f in fields}
+    at = kept.index(text) if text in kept else len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _encoders:  # a worker keeps its memory from task to task
@@ -498,8 +500,9 @@ def add_tokens(docs: DataFrame, text: str, tokenizer: str, ids: str | None = Non
             _encoders[name] = _Encoder(Merges(shared.value), Lexicon(SparkFiles.get(name)))
         encoder, merges = _encoders[name], _encoders[name].merges
         for batch in batches:
-            made: dict[str, list] = {f.name: [] for f in fields}
-            for _, held in row_slices(batch.column(len(kept)), SLICE):
+            # A slice is handed on before the next one is made, so a task holds one slice of ids and texts.
+            for first, held in row_slices(batch.column(at), SLICE):
+                made: dict[str, list] = {f.name: [] for f in fields}
                 texts = [t.decode() for t in held]
                 coded = encoder.encode_many(texts)
                 for packed, back in zip(coded, merges.decode_many(coded)):
@@ -509,8 +512,8 @@ def add_tokens(docs: DataFrame, text: str, tokenizer: str, ids: str | None = Non
                     if digest:
                         made["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
                         made["decoded_sha256"].append(hashlib.sha256(back.encode()).hexdigest())
-            kinds = {f.name: pa.int64() if f.name == "n_tokens" else pa.binary() if f.name == ids else pa.string() for f in fields}
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *(pa.array(made[f.name], kinds[f.name]) for f in fields)],
-                                             [*kept, *(f.name for f in fields)])
+                some = batch.slice(first, len(held))
+                yield pa.RecordBatch.from_arrays([*some.columns[:len(kept)], *(pa.array(made[f.name], kinds[f.name]) for f in fields)], schema.names)
+        pa.default_memory_pool().release_unused()
 
-    return docs.select(*kept, F.col(text).alias(unused(docs, "_text"))).mapInArrow(run, schema)
+    return docs.select(*kept, *([] if text in kept else [F.col(text).alias(unused(docs, "_text"))])).mapInArrow(run, schema)
