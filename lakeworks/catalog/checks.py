@@ -45,6 +45,23 @@ CASES_SQL = f"""
     WHERE NOT regexp_matches(props, '^\\{{"k": [0-9]{{2}}\\}}$')"""
 
 
+UNIQUE_ORDERS = TableSchema({"o_orderkey": Rule("bigint", unique=True), "customer_day": Rule("string", unique=True),
+                             "cents": Rule("bigint", unique=True)})
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey || '-' || strftime(o_orderdate, '%Y-%m-%d') AS customer_day,
+                            CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+          SELECT *, concat_ws(' ', CASE WHEN COUNT(*) OVER (PARTITION BY o_orderkey) > 1 THEN 'o_orderkey:unique' END,
+                                   CASE WHEN COUNT(*) OVER (PARTITION BY customer_day) > 1 THEN 'customer_day:unique' END,
+                                   CASE WHEN COUNT(*) OVER (PARTITION BY cents) > 1 THEN 'cents:unique' END) AS reasons FROM o""")
+def unique_columns(spark, sf):
+    """All orders with those of three unique columns that they break."""
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.col("o_custkey").cast("string"), F.lit("-"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("customer_day"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return UNIQUE_ORDERS.marked(orders).withColumn("reasons", F.concat_ws(" ", "reasons"))
+
+
 @query(f"""SELECT event_id::VARCHAR AS row_key, c AS "column", k AS "check", v AS value FROM ({CASES_SQL}) x""")
 def schema_failures(spark, sf):
     return EVENTS.failure_cases(checked_events(spark, sf), "event_id")

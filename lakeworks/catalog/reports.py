@@ -10,6 +10,7 @@ from ..operators.clean import fill_defaults, null_outliers
 from ..operators.joins import PAYMENT_TYPES, RATE_CODES, star_join
 from ..quality.rules import (ANOMALY_TEXT, FUTURE_TEXT, ORPHAN_TEXT, future_orders, orphan_orders, revenue_anomaly,
                              run_rules)
+from ..session import cut_lineage
 from .registry import AS_OF, TRIPS_SQL, mavg, msum, query, table, trip_columns, trips, trunc
 
 O_DAY, O_MONTH = trunc("day", "o_orderdate"), trunc("month", "o_orderdate")
@@ -185,6 +186,13 @@ def daily_zone_summary(spark, sf):
     return marts.daily_zone_summary(trips(spark, sf))
 
 
+@query(f"SELECT pickup_date, pickup_zone, trip_count, median_fare FROM ({MONTHLY_ZONES}) z")
+def monthly_medians(spark, sf):
+    """Exact medians of months from the stored sketches of days."""
+    sketches = cut_lineage(marts.zone_sketches(trips(spark, sf)), "zone_sketches")
+    return marts.monthly_medians(sketches, trips(spark, sf))
+
+
 @query(f"""SELECT pickup_zone, CAST(SUM(trip_count) AS BIGINT) AS total_trips,
            ROUND({msum("total_revenue")}, 2) AS revenue
            FROM ({MONTHLY_ZONES}) z WHERE pickup_date BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1998-12-31'
@@ -270,6 +278,19 @@ def daily_active(spark, sf):
     return marts.daily_active(table(spark, sf, "events"), "ts", "user_id")
 
 
+@query("""SELECT CAST(DATE_TRUNC('week', ts) AS TIMESTAMP) AS week, COUNT(*) AS events, COUNT(DISTINCT user_id) AS exact, TRUE AS close_enough
+          FROM events GROUP BY 1""")
+def weekly_active_users(spark, sf):
+    """Weeks from the sketches of closed days that are stored and of the open days; users are held to 5 % of the exact number."""
+    events = table(spark, sf, "events")
+    open_from = events.agg(F.date_trunc("day", F.max("ts")).cast("timestamp_ntz")).scalar()
+    closed = cut_lineage(marts.daily_user_sketches(events.where(F.col("ts") < open_from), "ts", "user_id"), "user_sketches")
+    days = closed.unionByName(marts.daily_user_sketches(events.where(F.col("ts") >= open_from), "ts", "user_id"))
+    exact = events.groupBy(F.date_trunc("week", "ts").cast("timestamp_ntz").alias("week")).agg(F.count_distinct("user_id").alias("exact"))
+    weeks = marts.active_users(days, "week").join(exact, "week")
+    return weeks.select("week", "events", "exact", (F.abs(F.col("users") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close_enough"))
+
+
 @query(f"""SELECT {E_DAY} AS date, event_type, COUNT(*) AS event_count, COUNT(DISTINCT user_id) AS unique_users,
            {msum("value")} AS total_amount FROM events GROUP BY 1, 2""")
 def daily_event_metrics(spark, sf):

@@ -12,6 +12,12 @@ from .registry import query, table
 
 K, DIM, WORDS = 10, 384, 200
 
+
+def words():
+    """The encoder that the word queries name; the default one counts character n-grams."""
+    return retrieval.HashedWords(DIM)
+
+
 COSINE = "list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * sqrt(list_dot_product({b}, {b})))"
 
 
@@ -99,22 +105,45 @@ def _cells(source: str, keys: str, text: str) -> str:
   r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY similarity DESC, doc_id, chunk_no) AS rank FROM s)
   SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, chunk_no, ROUND(similarity, 6) AS similarity FROM r WHERE rank <= {K}""")
 def retrieve_chunks(spark, sf):
-    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM,
+    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, encoder=words, dim=DIM,
                                       path=new_folder(spark, "doc_index"))
-    return shown(retrieval.retrieve(index, table(spark, sf, "benchmark"), "item_id", "text", K, "doc_id", dim=DIM))
+    return shown(retrieval.retrieve(index, table(spark, sf, "benchmark"), "item_id", "text", K, "doc_id", words, DIM))
 
 
 @query(f"""WITH {CHUNKS}, a AS ({_cells("chunks", "doc_id, chunk_no", "chunk")})
            SELECT doc_id, chunk_no, CAST({DIM} AS INTEGER) AS width, CAST(SUM(n) AS DOUBLE) AS total,
                   CAST(MAX(n) AS DOUBLE) AS largest FROM a GROUP BY 1, 2""")
 def embed_chunks(spark, sf):
-    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM)
+    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, encoder=words, dim=DIM)
     vector = F.transform("embedding", lambda x: x.cast("double"))
     return index.select("doc_id", "chunk_no", F.size("embedding").alias("width"),
                         F.aggregate(vector, F.lit(0.0), lambda a, x: a + x).alias("total"),
                         F.array_max(vector).alias("largest"))
 
 
+@query(f"""WITH {CHUNKS},
+  grams AS (SELECT doc_id, chunk_no, unnest(list_transform(range(1, len(chunk) - 1), lambda i: substr(chunk, CAST(i AS INTEGER), 3))) AS g FROM chunks),
+  cells AS (SELECT doc_id, chunk_no, CAST((((ascii(g) * 65599::BIGINT + ascii(substr(g, 2, 1))) % 1000000007 * 65599
+                   + ascii(substr(g, 3, 1))) % 1000000007) % {DIM} AS INTEGER) AS cell FROM grams)
+  SELECT doc_id, chunk_no, cell, CAST(COUNT(*) AS DOUBLE) AS n FROM cells GROUP BY ALL""")
+def embed_ngrams(spark, sf):
+    """All cells that are not zero of the default embedding of all chunks."""
+    index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM)
+    cells = index.select("doc_id", "chunk_no", F.posexplode("embedding").alias("cell", "n")).where("n <> 0")
+    return cells.withColumn("n", F.col("n").cast("double"))
+
+
+@query(f"""SELECT COUNT(*) AS queries, CAST(COUNT(*) * LEAST({K}, COUNT(*)) AS BIGINT) AS rows, TRUE AS recall_enough FROM embeddings""")
+def topk_ann_batch(spark, sf):
+    """All vectors as queries: how many rows come back, and whether nine in ten of the exact answer are among them."""
+    embeddings = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    asked = embeddings.withColumnRenamed("vec_id", "asked")
+    found = retrieval.topk_ann_batch(embeddings, asked, K, ["vec_id"], "asked").select("asked", "vec_id")
+    exact = retrieval.topk_cosine_batch(embeddings, asked, K, ["vec_id"], "asked").select("asked", "vec_id", F.lit(1).alias("hit"))
+    per_query = found.join(exact, ["asked", "vec_id"], "left").groupBy("asked").agg(F.count("*").alias("n"), F.count("hit").alias("hits"))
+    return per_query.agg(F.count("*").alias("queries"), F.sum("n").alias("rows"), (F.sum("hits") >= 0.9 * F.sum("n")).alias("recall_enough"))
+
+
 @query(f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {TEXT_SQL} AS searchable_text,
            CAST({DIM} AS INTEGER) AS width FROM ({SAMPLE_SQL}) s""")
 def sensor_log_index(spark, sf):

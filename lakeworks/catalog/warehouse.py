@@ -244,3 +244,26 @@ def stage_lock(spark, sf):
     result, third = store.run_stage("daily", {"orders": orders.withColumn(P, F.col(P) + 1)}, build)
     return result.agg(F.lit(first).alias("first_built"), F.lit(second).alias("second_built"),
                       F.lit(third).alias("changed_built"), F.count("*").alias("days"))
+
+
+@query("SELECT COUNT(*) AS days, CAST(SUM(n) AS BIGINT) AS rows, TRUE AS first_built, FALSE AS second_built, TRUE AS added_built, TRUE AS only_new_files_read, TRUE AS same_hash "
+       "FROM (SELECT CAST(o_orderdate AS DATE) AS d, COUNT(*) AS n FROM orders GROUP BY 1) t")
+def stage_lock_files(spark, sf):
+    """A stage over files that come in two drops: what is rebuilt, and that the second drop's digests are all that is added."""
+    store, orders, drops = versions.VersionStore(spark, new_folder(spark, "store")), table(spark, sf, "orders"), new_folder(spark, "drops")
+
+    def build(orders):
+        return orders.groupBy(F.col("o_orderdate").cast("date").alias("d")).agg(F.count("*").alias("n"))
+
+    second_drop = F.pmod(F.xxhash64("o_orderkey"), F.lit(4)) == 0
+    orders.where(~second_drop).write.parquet(drops)
+    _, first = store.run_stage_on_files("daily", {"orders": drops}, build)
+    _, second = store.run_stage_on_files("daily", {"orders": drops}, build)
+    orders.where(second_drop).write.mode("append").parquet(drops)
+    result, third = store.run_stage_on_files("daily", {"orders": drops}, build)
+    digests = spark.read.parquet(f"{store.root}/digests")
+    hashed = digests.agg(F.sum("row_count")).scalar()  # a file that was hashed twice would count twice
+    whole = versions.fingerprint(orders).select("content_hash").scalar()
+    return result.agg(F.count("*").alias("days"), F.sum("n").alias("rows"), F.lit(first).alias("first_built"), F.lit(second).alias("second_built"),
+                      F.lit(third).alias("added_built"), (hashed == F.sum("n")).alias("only_new_files_read"),
+                      (F.lit(store.folder_hash(drops)) == whole).alias("same_hash"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import (as_col, millionths, date_range, day_of, money_avg, money_sum,
                          month_of, ratio, round2, round_to, trailing_days, trailing_months, trip_efficiency,
                          week_of, weekday_name, weekday_number)
+from ..session import cut_lineage
 
 def rows() -> Column:
     return F.count("*")
@@ -163,6 +164,20 @@ def daily_active(df: DataFrame, ts: str, user: str, approximate: bool = False) -
     return df.groupBy(day_of(ts).alias("date")).agg(users.alias("dau"), rows().alias("events"))
 
 
+def daily_user_sketches(df: DataFrame, ts: str, user: str, lg_size: int = 14) -> DataFrame:
+    """Events and a sketch of the users per day, to be stored: weeks and months come from it without the raw rows.
+
+    A sketch has at most ``2 ** lg_size`` cells whatever the day holds, and its relative error is about ``1.04 / sqrt(2 ** lg_size)``.
+    """
+    return df.groupBy(day_of(ts).alias("date")).agg(F.hll_sketch_agg(user, F.lit(lg_size)).alias("users"), rows().alias("events"))
+
+
+def active_users(days: DataFrame, period: str) -> DataFrame:
+    """Users and events per week, month or any period of ``date_trunc``, from stored days; tables of days may be united first."""
+    return (days.groupBy(F.date_trunc(period, "date").cast("timestamp_ntz").alias(period))
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("users"), F.sum("events").alias("events")))
+
+
 def daily_event_metrics(df: DataFrame, ts: str = "event_ts", kind: str = "event_type", user: str = "user_id",
                         amount: str = "amount") -> DataFrame:
     return (df.groupBy(day_of(ts).alias("date"), F.col(kind).alias("event_type"))
@@ -250,6 +265,53 @@ def monthly_zone_summary(trips: DataFrame, **options) -> DataFrame:
     return zone_summary(trips, month_of("pickup_date"), **options)
 
 
+def zone_sketches(trips: DataFrame, zone: str = "pickup_zone", amount: str = "clean_amount", size: int = 400) -> DataFrame:
+    """Trips and a quantile sketch of the fares per day and zone, to be stored: medians of longer periods start from it."""
+    return (trips.select(F.col("pickup_date"), F.col(zone).alias("pickup_zone"), millionths(amount).alias("c"))
+            .groupBy("pickup_date", "pickup_zone")
+            .agg(rows().alias("trip_count"), F.count("c").alias("fares"), F.kll_sketch_agg_bigint("c", F.lit(size)).alias("sketch")))
+
+
+def monthly_medians(sketches: DataFrame, trips: DataFrame, zone: str = "pickup_zone", amount: str = "clean_amount",
+                    margin: float = 0.02) -> DataFrame:
+    """The exact median fare per month and zone, from the daily sketches and the few trips about the middle.
+
+    The merged sketch of a month gives two amounts that the median lies between but for rare misses. Of the trips, only the amounts
+    between them are counted; those below add to one number. Zones where the count shows that the bracket missed the middle get
+    one that is open on both sides, so the result is exact whatever the sketch says.
+    """
+    keys = ["pickup_date", "pickup_zone"]
+    merged = (sketches.groupBy(month_of("pickup_date").alias("pickup_date"), "pickup_zone")
+              .agg(F.sum("trip_count").alias("trip_count"), F.sum("fares").alias("fares"), F.kll_merge_agg_bigint("sketch").alias("s")))
+
+    def at(rank: float) -> Column:
+        return F.when(F.col("fares") > 0, F.kll_sketch_get_quantile_bigint("s", F.lit(rank)))
+
+    brackets = merged.select(*keys, "trip_count", "fares", at(0.5 - margin).alias("low"), at(0.5 + margin).alias("high"))
+    fares = trips.select(month_of("pickup_date").alias("pickup_date"), F.col(zone).alias("pickup_zone"), millionths(amount).alias("c")).where("c IS NOT NULL")
+
+    def middle(asked: DataFrame) -> DataFrame:
+        """The asked zones with the median, NULL where the bracket missed it."""
+        inside = fares.join(asked, keys).withColumn("c", F.when(F.col("c") < F.col("low"), None).otherwise(F.col("c"))).where("c IS NULL OR c <= high")
+        counted = inside.groupBy(*keys, "fares", "c").agg(rows().alias("n"))
+        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("c")).rowsBetween(Window.unboundedPreceding, 0))
+        placed = counted.withColumn("upto", upto)
+
+        def amount_at(rank: str) -> Column:
+            r = F.expr(rank)
+            return F.max(F.when((F.col("upto") - F.col("n") <= r) & (r < F.col("upto")), F.col("c")))
+
+        return placed.groupBy(*keys).agg(amount_at("(fares - 1) div 2").alias("lower"), amount_at("fares div 2").alias("upper"))
+
+    first = cut_lineage(brackets.join(middle(brackets), keys, "left"), "medians")
+    missed = first.where("fares > 0 AND (lower IS NULL OR upper IS NULL)").select(
+        *keys, "fares", F.lit(-(1 << 63)).alias("low"), F.lit((1 << 63) - 1).alias("high"))
+    again = middle(missed).select(*keys, F.col("lower").alias("l"), F.col("upper").alias("u"))
+    found = first.join(again, keys, "left").withColumns({"lower": F.coalesce("l", "lower"), "upper": F.coalesce("u", "upper")})
+    whole = F.lit(1_000_000.0)
+    return found.select(*keys, "trip_count", round2(F.col("lower") / whole * 0.5 + F.col("upper") / whole * 0.5).alias("median_fare"))
+
+
 def top_zones(summary: DataFrame, start: str, end: str, top: int = 10) -> DataFrame:
     """Busiest zones of a date range, from the summary table alone. Both ends are included."""
     low, high = (F.lit(d).cast("timestamp_ntz") for d in (start, end))

@@ -18,6 +18,7 @@ from ..session import path_exists
 MANIFEST = ("name string, snapshot string, message string, metadata map<string,string>, "
             "inputs map<string,string>, row_count bigint, content_hash string, schema string, seq bigint")
 REFS = "name string, ref string, snapshot string, seq bigint"
+DIGESTS = "name string, path string, length bigint, modified timestamp, high bigint, middle bigint, low bigint, row_count bigint"
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -25,15 +26,16 @@ def row_hash(columns: Sequence[str]) -> Column:
     return F.xxhash64(*[part for c in sorted(columns) for part in (F.lit(c), F.col(c).isNull(), F.col(c))])
 
 
-def content_hash(columns: Sequence[str]) -> Column:
-    """Order-independent hash of all rows: sums, so partitioning does not matter.
-
-    The 64 bits are summed in three pieces. Each sum is a bigint that cannot
-    overflow below 2^41 rows, which keeps the aggregation in generated code.
-    """
+def hash_pieces(columns: Sequence[str]) -> list[Column]:
+    """The 64 bits of the row hash in three pieces. A sum of one is a bigint that cannot overflow below 2^41 rows."""
     h = row_hash(columns)
     low = F.lit((1 << 21) - 1).cast("bigint")
-    pieces = [F.shiftright(h, 42), F.shiftright(h, 21).bitwiseAND(low), h.bitwiseAND(low)]
+    return [F.shiftright(h, 42), F.shiftright(h, 21).bitwiseAND(low), h.bitwiseAND(low)]
+
+
+def content_hash(columns: Sequence[str]) -> Column:
+    """Order-independent hash of all rows: sums of its pieces, so partitioning does not matter and generated code does it."""
+    pieces = hash_pieces(columns)
     return F.concat_ws("-", *[F.coalesce(F.sum(p), F.lit(0)).cast("string") for p in pieces])
 
 
@@ -161,11 +163,46 @@ class VersionStore:
     def input_hashes(self, inputs: Mapping[str, DataFrame]) -> dict[str, str]:
         return {n: fingerprint(df).first()["content_hash"] for n, df in inputs.items()}
 
+    def file_digests(self, folder: str) -> DataFrame:
+        """``path, length, modified, high, middle, low, row_count`` of every Parquet file below a folder.
+
+        Digests are stored per file. A file whose length and time are those of its stored digest is not read; the others are
+        hashed in one job, grouped by file, and their digests stored for the next run. Files that are gone drop out. A file
+        without rows has sums of zero.
+        """
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+        listed = listed.select("path", "length", F.col("modificationTime").alias("modified"))
+        known = self._read("digests", DIGESTS).where(F.col("name") == folder).drop("name")
+        same = ["path", "length", "modified"]
+        changed = [r["path"] for r in listed.join(known, same, "left_anti").select("path").collect()]  # names of new files only
+        if changed:
+            rows = self.spark.read.parquet(*changed)
+            sums = {n: F.sum(p).alias(n) for n, p in zip(("high", "middle", "low"), hash_pieces(rows.columns))}
+            hashed = rows.groupBy(F.col("_metadata.file_path").alias("_path")).agg(*sums.values(), F.count("*").alias("row_count"))
+            new = listed.where(F.col("path").isin(changed)).join(hashed, F.col("path") == F.regexp_replace("_path", "^file:/+", "file:/"), "left")
+            counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("high", "middle", "low", "row_count")]
+            new.select(F.lit(folder).alias("name"), *same, *counts).write.mode("append").parquet(f"{self.root}/digests")
+            known = self._read("digests", DIGESTS).where(F.col("name") == folder).drop("name")
+        return known.join(listed, same, "left_semi").dropDuplicates(same)
+
+    def folder_hash(self, folder: str) -> str:
+        """The ``content_hash`` of all rows below a folder, from the digests of its files; only changed files are read."""
+        row = self.file_digests(folder).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("high", "middle", "low")]).first()
+        return "-".join(str(x) for x in row)
+
+    def run_stage_on_files(self, stage: str, folders: Mapping[str, str], build, code_version: str = "") -> tuple[DataFrame, bool]:
+        """``run_stage`` for inputs that are folders of Parquet files: unchanged files are not read to find that out."""
+        now = {n: self.folder_hash(f) for n, f in folders.items()} | {"code": code_version}
+        return self._rebuilt(stage, now, lambda: build(**{n: self.spark.read.parquet(f) for n, f in folders.items()}))
+
     def run_stage(self, stage: str, inputs: Mapping[str, DataFrame], build, code_version: str = "") -> tuple[DataFrame, bool]:
         """Rebuild ``stage`` only if an input's contents or the code changed; (result, was it rebuilt)."""
         now = self.input_hashes(inputs) | {"code": code_version}
+        return self._rebuilt(stage, now, lambda: build(**inputs))
+
+    def _rebuilt(self, stage: str, now: dict[str, str], build) -> tuple[DataFrame, bool]:
         last = self.manifest(stage).orderBy(F.desc("seq")).first()
         if last and last["inputs"] == now:
             return self.checkout(stage, last["snapshot"]), False
-        snapshot = self.commit(build(**inputs), stage, inputs=now)
+        snapshot = self.commit(build(), stage, inputs=now)
         return self.checkout(stage, snapshot), True

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RAW = "_raw"  # prefix of the columns that keep values as they were before a cast
+FILTER_WORDS = 1 << 16  # 64-bit words of the filter of repeated keys: half a MiB at any size of the table
 
 
 class SchemaError(ValueError):
@@ -77,8 +78,7 @@ class TableSchema:
     def _checked(self, df: DataFrame) -> tuple[DataFrame, list[tuple[str, str, Column]], dict[str, Column]]:
         """Coerced rows, the (column, check, is violated) conditions over them, and the raw values.
 
-        Row checks need no shuffle. A unique column is checked by counting keys first
-        (combined on the map side) and looking the repeated keys up.
+        Row checks need no shuffle, and unique columns move only the rows that ``_with_repeated`` suspects.
         """
         problems = self.structure(df)
         if problems:
@@ -93,11 +93,47 @@ class TableSchema:
             for check, bad in rule.violations(F.col(c)):
                 found.append((c, check, raw[c].isNull() if check == "not_null" else bad))
             if rule.unique:
-                repeated = (out.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"_k_{c}"))
-                            .agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"))
-                out = out.join(repeated, F.col(c) == F.col(f"_k_{c}"), "left")
                 found.append((c, "unique", F.col(f"_k_{c}").isNotNull()))
-        return out, found, raw
+        return self._with_repeated(out, [c for c, rule in self.columns.items() if rule.unique]), found, raw
+
+    @staticmethod
+    def _with_repeated(df: DataFrame, unique: Sequence[str]) -> DataFrame:
+        """Adds ``_k_<column>`` per unique column: the value where other rows have it too, else NULL.
+
+        The hashes of all unique columns are counted in one aggregation, combined on the map side. Those that repeat set the
+        bits of a filter of fixed size. Rows that it lets through are the only ones that are shuffled; their values are
+        counted exactly. A filter that fills up lets more rows through and changes no result. The rows are read once for
+        the hashes and again for each part, so ``df`` has to give the same rows each time.
+        """
+        if not unique:
+            return df
+        spark, bits = df.sparkSession, 64 * FILTER_WORDS
+
+        def hashed(c: str) -> Column:
+            return F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), F.col(c)))
+
+        hashes = df.select(F.explode(F.array(*[hashed(c) for c in unique])).alias("_h")).where("_h IS NOT NULL")
+        slots = hashes.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select(F.pmod("_h", F.lit(bits)).alias("_s"))
+        one = F.lit(1).cast("bigint")
+        words = slots.groupBy(F.floor(F.col("_s") / 64).alias("_w")).agg(
+            F.bit_or(F.call_function("shiftleft", one, (F.col("_s") % 64).cast("int"))).alias("_bits"))
+        dense = spark.range(0, FILTER_WORDS, 1, 1).join(words, F.col("id") == F.col("_w"), "left")
+        listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("_bits", F.lit(0)).alias("_bits"))))
+        repeated = dense.agg(listed.getField("_bits").alias("_bits")).scalar()
+
+        def passes(c: str) -> Column:
+            slot = F.pmod(hashed(c), F.lit(bits))
+            word = F.get(repeated, F.floor(slot / 64).cast("int"))
+            return F.coalesce(F.call_function("shiftright", word, (slot % 64).cast("int")).bitwiseAND(one) == 1, F.lit(False))
+
+        suspect = passes(unique[0])
+        for c in unique[1:]:
+            suspect = suspect | passes(c)
+        suspects, clear = df.where(suspect), df.where(~suspect)
+        for c in unique:
+            keys = df.where(passes(c)).groupBy(F.col(c).alias(f"_k_{c}")).agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
+            suspects = suspects.join(keys, F.col(c) == F.col(f"_k_{c}"), "left")
+        return suspects.unionByName(clear.withColumns({f"_k_{c}": F.lit(None).cast(clear.schema[c].dataType) for c in unique}))
 
     @staticmethod
     def _any(found: list[tuple[str, str, Column]]) -> Column:

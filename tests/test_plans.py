@@ -44,7 +44,7 @@ def test_not_exists_is_an_anti_join(spark, sf):
 
 @pytest.mark.parametrize("name", sorted(
     set(QUERIES) - {"embed_chunks", "retrieve_chunks", "sensor_log_index", "topk_cosine_batch", "footer_report", "footer_rows",
-                    "topk_ann"} if QUERIES else []))
+                    "topk_ann", "topk_ann_batch"} if QUERIES else []))
 def test_no_cross_join_and_no_python(spark, sf, name):
     if name.startswith(("stream_", "version", "stage_lock", "materialised_", "multi_", "event_run", "raw_to", "reconcile_run")):
         pytest.skip("runs jobs of its own; its parts are covered")
@@ -82,6 +82,22 @@ def test_months_are_pruned_by_the_dimension_at_run_time(spark, sf):
     assert "dynamicpruning" in text.lower()
 
 
+def test_unique_columns_shuffle_suspects_only(spark, sf):
+    lines = plan_text(QUERIES["unique_columns"](spark, sf), "simple").splitlines()
+    at = next(i for i, line in enumerate(lines) if "Union" in line)
+    depth = lines[at].index("Union")
+    # The first branch has the rows that the filter lets through, the second all others, straight from the scan.
+    second = next(i for i in range(at + 1, len(lines)) if lines[i][depth:depth + 3] == "+- ")
+    clear = [line for i, line in enumerate(lines) if i == second or i > second and line[:depth + 3].isspace()]
+    assert any("FileScan" in line for line in clear) and not any("Exchange" in line or "Join" in line for line in clear[:3])
+    assert any("Exchange" in line for line in lines[at:second])
+
+
+def test_the_default_embedding_and_sketches_run_without_python(spark, sf):
+    for name in ("embed_ngrams", "sensor_log_index", "weekly_active_users", "monthly_medians"):
+        assert "Python" not in plan(spark, sf, name) and "Pandas" not in plan(spark, sf, name)
+
+
 def test_runs_form_no_pairs(spark, sf):
     for name in ("match_runs", "run_report", "recon_rules_of_runs"):
         text = plan_text(QUERIES[name](spark, sf), "simple")
