@@ -1,28 +1,30 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
 A text is its words in small ASCII letters, one space between them, and an end symbol.
-Each symbol is predicted from the bytes before it: first from the whole word so far,
-where that is longer than ``ORDER`` - 1 bytes, then from the last ``ORDER`` bytes and
-ever fewer. The longest context in the trie is asked first; a symbol it has not seen is
+Each symbol is predicted from the bytes before it: from the whole word so far, where
+that has ``ORDER`` to ``PREFIX_BYTES`` bytes, then from the last ``ORDER`` bytes and ever
+fewer. The longest context seen in training is asked first; a symbol it has not seen is
 escaped to the next shorter one, where the symbols already ruled out are excluded, down
 to equal odds for all symbols. The weight of the escape is the number of symbols seen
-once, as one unseen so far is as likely, and the count of what is not kept.
-
-Pretrained: the counts of all contexts come from all training texts, counted where they
-are and summed by key. A context is a node of the trie if it makes up at least
-``NODE_SHARE`` of all positions, and a symbol of a node is kept by ``CELL_SHARE``; there
-cannot be more than 1/share of them at any input size, which bounds what is broadcast.
-What is not kept counts as escape. All probabilities of a node are worked out once, so
-that a text is scored by array look-ups. Adaptive: each text is coded by itself with a
-trie that grows as it is read.
-
-The base score is a word unigram model. Frequent words (``WORD_SHARE``, bounded the same
-way) are looked up where the text is; all others meet their counts in a join. Words are
-told apart by 64-bit hashes.
+once, as one unseen so far is as likely, and ``LEAST_ESCAPE``.
+
+Pretrained: the counts of all contexts come from all training texts and none is left out.
+They are counted where the texts are and summed by key. The trie is a table per order, a
+row per context and symbol that occurs in any text. As the symbols of a context are all
+known to the shorter one, what exclusion takes away is a sum per context, and a
+probability follows from that of the next shorter order in one join, from order 0 up.
+The symbols of a word that its own beginnings predict are summed up per word, so a text
+meets the trie by its words and by the remaining positions. Words and contexts that occur
+most are looked up where the text is (at most ``CACHED`` of each are broadcast); all
+others meet their values in a join. Both ways give the same score at any size of the
+cache. Adaptive: each text is coded by itself with a trie that grows as it is read.
+
+The base score is a word unigram model, by the same look-up and join. Words are told
+apart by 64-bit hashes there.
 
 Defined cases: a null or empty text is the end symbol alone; without training texts all
 symbols have equal odds and the base score is zero; equal rows get equal scores; a null
-id is not held out.
+id is not held out; a very long text is handled whole, by itself.
 """
 
 from __future__ import annotations
@@ -31,29 +33,27 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import stored
+from .frames import discard, stored
 from .text import SPACES, Words, row_slices
 
 ORDER = 4
-NODE_SHARE = 2.0 ** -16
-CELL_SHARE = 2.0 ** -22
-WORD_SHARE = 2.0 ** -21
-# Beginnings of words that are contexts, by their share of all words; longer ones than
-# this many bytes are none.
-PREFIX_SHARE = 2.0 ** -20
+# The longest beginning of a word that is a context.
 PREFIX_BYTES = 16
 LEAST_ESCAPE = 0.5
+# Words, and contexts with their symbol, that are broadcast; the others meet the texts in a join.
+CACHED = 1 << 20
 
 # Bytes that no UTF-8 text has.
 PAD, END = 0xFE, 0xFF
 SYMBOLS = 255  # all bytes but PAD; END stands for the end
-END_WORD = np.uint64(0x5EED_0F_E4D)
 
-BYTES, WORDS = 0, 1
+# Kinds of counts: contexts of ``ORDER`` bytes with the next; words before a space; words before the end; texts.
+BYTES, INNER, LAST, TEXTS = 0, 1, 2, 3
 
 
 class Streams:
@@ -92,6 +92,24 @@ class Streams:
     def word_hashes(self) -> np.ndarray:
         return self.words.hashes()
 
+    def last_words(self) -> np.ndarray:
+        """Which words are the last of their text."""
+        last = np.zeros(len(self.words), bool)
+        last[self.words.first[1:][self.words.counts > 0] - 1] = True
+        return last
+
+    def by_words(self) -> np.ndarray:
+        """Which positions are predicted from the beginning of their word."""
+        w = self.words
+        lengths, row = w.ends - w.starts, w.row()
+        before = np.cumsum(lengths + 1) - (lengths + 1)
+        at = self.begins[row] + before - before[w.first[:-1][row]]
+        long = lengths >= ORDER
+        change = np.zeros(len(self.symbols) + 1, np.int8)
+        change[at[long] + ORDER] = 1
+        change[(at + np.minimum(lengths, PREFIX_BYTES))[long] + 1] = -1
+        return np.cumsum(change[:-1], dtype=np.int8)[self.at] > 0
+
 
 class _Tally:
     """Counts of 64-bit keys, merged as they come."""
@@ -99,10 +117,10 @@ class _Tally:
     def __init__(self):
         self.keys, self.counts, self.late, self.late_size = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0
 
-    def add(self, keys: np.ndarray) -> None:
-        found = np.unique(keys, return_counts=True)
-        self.late.append(found)
-        self.late_size += len(found[0])
+    def add(self, keys: np.ndarray, weight: int) -> None:
+        found, n = np.unique(keys, return_counts=True)
+        self.late.append((found, n * weight))
+        self.late_size += len(found)
         if self.late_size > max(4_000_000, len(self.keys)):
             self.merge()
 
@@ -121,39 +139,46 @@ class _Tally:
 TALLY_KEYS = 4_000_000
 
 
-def count(train: DataFrame, text: str) -> DataFrame:
-    """``kind, key, word, n``: byte contexts with their symbol, and words, over all training texts.
+def count(rows: DataFrame, text: str, held_out: str) -> DataFrame:
+    """``kind, key, word, n``: contexts of ``ORDER`` bytes with their symbol, words and texts.
 
-    A word comes with its hash as key; the end is the empty word.
+    What occurs in any text has a row; ``n`` counts training texts alone, so it may be 0.
+    A word comes with its hash as key.
     """
 
-    def batch_of(kind: int, keys: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), words, pa.array(n)],
-                                          ["kind", "key", "word", "n"])
+    def batch_of(kind: np.ndarray, keys: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(keys.view(np.int64)), words, pa.array(n)], ["kind", "key", "word", "n"])
 
     def gram_batches(tally: _Tally) -> Iterator[pa.RecordBatch]:
         tally.merge()
         for i in range(0, len(tally.keys), 200_000):
             keys = tally.keys[i:i + 200_000]
-            yield batch_of(BYTES, keys, pa.nulls(len(keys), pa.binary()), tally.counts[i:i + 200_000])
+            yield batch_of(np.full(len(keys), BYTES), keys, pa.nulls(len(keys), pa.binary()), tally.counts[i:i + 200_000])
 
-    def word_batch(words: dict[bytes, int], hashes: dict[bytes, int]) -> pa.RecordBatch:
-        keys = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        return batch_of(WORDS, keys, pa.array(list(words), pa.binary()), np.fromiter(words.values(), np.int64, len(words)))
+    def word_batch(words: dict[tuple[int, bytes], int], hashes: dict[bytes, int]) -> pa.RecordBatch:
+        keys = np.fromiter((hashes[w] for _, w in words), np.uint64, len(words))
+        return batch_of(np.fromiter((k for k, _ in words), np.int64, len(words)), keys, pa.array([w for _, w in words], pa.binary()),
+                        np.fromiter(words.values(), np.int64, len(words)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, words, hashes = _Tally(), Counter(), {}
+        tally, words, hashes, n_texts = _Tally(), Counter(), {}, 0
         for batch in batches:
-            for _, texts in row_slices(batch.column(0)):
-                streams = Streams(texts)
-                tally.add(streams.grams())
-                found, at, n = np.unique(streams.word_hashes(), return_index=True, return_counts=True)
-                for value, i, m in zip(found.tolist(), at.tolist(), n.tolist()):
-                    word = streams.words.word(i)
-                    words[word] += m
-                    hashes[word] = value
-                words[b""] += len(texts)
-                hashes[b""] = int(END_WORD)
+            held = batch.column(1).to_pylist()
+            for first, texts in row_slices(batch.column(0)):
+                for weight in (0, 1):
+                    own = [t for t, h in zip(texts, held[first:first + len(texts)]) if h is not bool(weight)]
+                    if not own:
+                        continue
+                    n_texts += weight * len(own)
+                    streams = Streams(own)
+                    tally.add(streams.grams(), weight)
+                    every, last = streams.word_hashes(), streams.last_words()
+                    for kind, some in ((INNER, np.flatnonzero(~last)), (LAST, np.flatnonzero(last))):
+                        found, at, n = np.unique(every[some], return_index=True, return_counts=True)
+                        for value, i, m in zip(found.tolist(), some[at].tolist(), n.tolist()):
+                            word = streams.words.word(i)
+                            words[kind, word] += m * weight
+                            hashes[word] = value
                 if len(tally.keys) + tally.late_size > TALLY_KEYS:
                     yield from gram_batches(tally)
                     tally = _Tally()
@@ -162,193 +187,85 @@ def count(train: DataFrame, text: str) -> DataFrame:
                     words, hashes = Counter(), {}
         yield from gram_batches(tally)
         yield word_batch(words, hashes)
+        yield batch_of(np.array([TEXTS]), np.zeros(1, np.int64), pa.nulls(1, pa.binary()), np.array([n_texts], np.int64))
 
-    return (train.select(text).mapInArrow(run, "kind int, key long, word binary, n long")
+    return (rows.select(text, held_out).mapInArrow(run, "kind int, key long, word binary, n long")
             .groupBy("kind", "key", "word").agg(F.sum("n").alias("n")))
 
 
-class Model:
-    """The trie with the log10 probability of every symbol at every node.
+def _order(cells: DataFrame, context: str, keep: list[str]) -> DataFrame:
+    """The next order of the trie: ``n, tail, start`` per context and symbol, and ``total, escape`` of the context.
 
-    ``child[k]`` leads from a node of order k and the next byte to the node of order k + 1
-    (or -1); ``table`` has a row per node and a column per byte class.
+    ``cells`` has the counts, beside those of the same symbol in the next shorter context
+    (``up_*``). ``tail`` is the logarithm of what a longer context shares out on an escape
+    to this one, and ``start`` the log10 probability if this context is asked first.
     """
+    of = Window.partitionBy(context)
+    seen = F.col("n") > 0
+    stats = cells.withColumns({
+        "total": F.sum("n").over(of), "escape": F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(of) + F.lit(LEAST_ESCAPE),
+        # What the shorter context has for symbols that this one has not.
+        "left": F.col("up_total") - F.sum(F.when(seen, F.col("up_n")).otherwise(0)).over(of) + F.col("up_escape")})
+    stats = stats.withColumn("tail", F.when(seen, F.log10("n")).otherwise(F.log10("escape") - F.log10("left") + F.col("up_tail")))
+    start = F.when(F.col("total") > 0, F.col("tail") - F.log10(F.col("total") + F.col("escape"))).otherwise(F.col("up_start"))
+    return stats.select(*keep, "n", "total", "escape", "tail", start.alias("start"))
 
-    def __init__(self, cells: list[tuple[np.ndarray, np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]],
-                 prefixes: list[tuple[bytes, float, dict[int, float]]]):
-        """By order: kept cells (key, n) and kept contexts (context, full count), sorted; and beginnings of words."""
-        seen = np.unique((cells[0][0] & 0xFF).astype(np.int64))
-        self.classes = np.full(256, len(seen), np.int64)
-        self.classes[seen] = np.arange(len(seen))
-        width = len(seen) + 1  # the last class: bytes never seen
-        self.child, tables, first = [], [], 0
-        for order, ((keys, n), (contexts, full)) in enumerate(zip(cells, totals)):
-            node = np.searchsorted(contexts, keys >> np.uint64(8))
-            counts = np.zeros((len(contexts), width))
-            counts[node, self.classes[(keys & np.uint64(0xFF)).astype(np.int64)]] = n
-            known = counts > 0
-            distinct, kept = known.sum(1), counts.sum(1)
-            escape = (counts == 1).sum(1) + np.maximum(full - kept, 0) + LEAST_ESCAPE
-            weight = kept + escape
-            if order == 0:
-                fallback = np.full((len(contexts), width), -np.log10(max(SYMBOLS - distinct[0], 1) if len(distinct) else SYMBOLS))
-            else:
-                up = np.searchsorted(before["contexts"], contexts & np.uint64((1 << (8 * (order - 1))) - 1))
-                left = np.where(known, 0, before["counts"][up])
-                left_weight = left.sum(1)
-                both = left_weight + before["escape"][up]
-                with np.errstate(divide="ignore"):
-                    found = np.log10(left / both[:, None])
-                further = np.log10(before["escape"][up] / both)[:, None] + before["tail"][up]
-                fallback = np.where(left > 0, found, further)
-            with np.errstate(divide="ignore"):
-                table = np.where(known, np.log10(counts / weight[:, None]), np.log10(escape / weight)[:, None] + fallback)
-            tables.append(table.astype(np.float32))
-            before_contexts = before["contexts"] if order else None
-            before = {"contexts": contexts, "counts": counts, "escape": escape, "tail": fallback}
-            if order:
-                parent = np.searchsorted(before_contexts, contexts >> np.uint64(8))
-                jump = np.full((len(before_contexts), 256), -1, np.int32)
-                jump[parent, (contexts & np.uint64(0xFF)).astype(np.int64)] = first + np.arange(len(contexts))
-                self.child.append(jump)
-            first += len(contexts)
-        self.firsts = np.cumsum([0] + [len(t) for t in tables])
-        self.table = np.concatenate(tables)
-        self._add_words(prefixes, before)
-
-    def _add_words(self, prefixes: list[tuple[bytes, float, dict[int, float]]], last: dict) -> None:
-        """Contexts that are the beginning of a word: ``(bytes, full count, counts by next byte)``.
-
-        A symbol unseen there is escaped to the last ``ORDER`` bytes, without those ruled
-        out. What that adds to the logarithm stored for those bytes is the same for all
-        symbols, so a node holds one number beside those of its symbols.
-        """
-        contexts, first = last["contexts"], int(self.firsts[-2])
-        node_of: dict[bytes, int] = {}
-        rows, more, keys, values = [], [], [], []
-        for text, full, cells in sorted(prefixes):
-            up = int.from_bytes(text[-ORDER:], "big")
-            i = int(np.searchsorted(contexts, np.uint64(up)))
-            if i == len(contexts) or int(contexts[i]) != up:
-                continue
-            node = node_of[text] = len(rows)
-            escape = sum(n == 1 for n in cells.values()) + max(full - sum(cells.values()), 0) + LEAST_ESCAPE
-            weight = sum(cells.values()) + escape
-            # The shorter context shares out what it does not give to the symbols ruled out.
-            ruled_out = (10.0 ** self.table[first + i, [self.classes[x] for x in cells]].astype(float)).sum()
-            rows.append(first + i)
-            more.append(np.log10(escape / weight) - np.log10(max(1 - ruled_out, 1e-9)))
-            for symbol, n in cells.items():
-                keys.append(node << 8 | symbol)
-                values.append(np.log10(n / weight))
-        rank = np.argsort(np.array(keys, np.int64))
-        self.word_keys, self.word_values = np.array(keys, np.int64)[rank], np.array(values)[rank]
-        self.word_rows, self.word_more = np.array(rows, np.int64), np.array(more)
-        roots = sorted((int.from_bytes(t, "big"), n) for t, n in node_of.items() if len(t) == ORDER)
-        self.word_roots, self.word_root_nodes = np.array([r for r, _ in roots], np.uint64), np.array([n for _, n in roots], np.int64)
-        child = {node_of[t[:-1]] << 8 | t[-1]: n for t, n in node_of.items() if len(t) > ORDER and t[:-1] in node_of}
-        self.word_child = np.array([child.get(k, -1) for k in self.word_keys.tolist()], np.int64)
-
-    def _words(self, streams: Streams, out: np.ndarray) -> None:
-        """Put the word contexts' probabilities into ``out``, from the symbol after the first ``ORDER`` bytes of a word on."""
-        if not len(self.word_roots) or not len(streams.words):
-            return
-        symbols, words = streams.symbols, streams.words
-        lengths, row = words.ends - words.starts, words.row()
-        before = np.cumsum(lengths + 1) - (lengths + 1)
-        at = streams.begins[row] + before - before[words.first[:-1][row]]
-        long = lengths >= ORDER
-        at, end = at[long], (at + lengths)[long]
-        key = np.zeros(len(at), np.uint64)
-        for j in range(ORDER):
-            key = (key << np.uint64(8)) | symbols[at + j].astype(np.uint64)
-        place = np.minimum(np.searchsorted(self.word_roots, key), len(self.word_roots) - 1)
-        node = np.where(self.word_roots[place] == key, self.word_root_nodes[place], -1)
-        at = at + ORDER
-        while True:
-            alive = (node >= 0) & (at <= end)
-            at, end, node = at[alive], end[alive], node[alive]
-            if not len(at):
-                return
-            symbol = symbols[at].astype(np.int64)
-            wanted = node << 8 | symbol
-            place = np.minimum(np.searchsorted(self.word_keys, wanted), max(len(self.word_keys) - 1, 0))
-            known = self.word_keys[place] == wanted if len(self.word_keys) else np.zeros(len(at), bool)
-            out[at] = np.where(known, self.word_values[place], self.table[self.word_rows[node], self.classes[symbol]] + self.word_more[node])
-            node = np.where(known, self.word_child[place], -1)
-            at = at + 1
-
-    def positions(self, streams: Streams) -> np.ndarray:
-        """log10 probability of every symbol of the streams."""
-        symbols = streams.symbols
-        node = np.zeros(len(symbols), np.int64)  # order 0: the root
-        best = node.copy()
-        for order, jump in enumerate(self.child):
-            last, before = symbols[:-1], node[:-1]
-            step = np.full(len(symbols), -1, np.int64)
-            inside = before >= 0
-            step[1:][inside] = jump[before[inside] - self.firsts[order], last[inside]]
-            node = step
-            best = np.where(node >= 0, node, best)
-        out = np.zeros(len(symbols))
-        out[streams.at] = self.table[best[streams.at], self.classes[symbols[streams.at]]]
-        self._words(streams, out)
-        return out[streams.at]
-
-    def score(self, streams: Streams) -> np.ndarray:
-        """log10 probability of every text."""
-        begins = np.cumsum(streams.sizes) - streams.sizes
-        return np.add.reduceat(self.positions(streams).astype(float), begins) if len(begins) else np.zeros(0)
-
-
-def build_model(counts: DataFrame, order: int = ORDER) -> Model:
-    """The trie from the byte counts. At most 1/share contexts and cells of each order come to the driver."""
-    grams = counts.where(F.col("kind") == BYTES)
-    total = grams.agg(F.sum("n")).first()[0] or 0
-    cells, totals = [], []
-    for k in range(order + 1):
-        key = F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
-        cell = grams.groupBy(key.alias("key")).agg(F.sum("n").alias("n"))
-        context = cell.groupBy(F.shiftright("key", 8).alias("context")).agg(F.sum("n").alias("full")).where(F.col("full") >= total * NODE_SHARE)
-        held = (cell.where(F.col("n") >= total * CELL_SHARE)
-                .join(context, F.shiftright("key", 8) == F.col("context")).select("key", "n", "full").toPandas())
-        keys = held["key"].to_numpy(np.int64).view(np.uint64)
-        rank = np.argsort(keys)
-        keys, n, full = keys[rank], held["n"].to_numpy(float)[rank], held["full"].to_numpy(float)[rank]
-        contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
-        if k == 0 and not len(contexts):
-            contexts, first, full = np.zeros(1, np.uint64), np.zeros(1, int), np.zeros(1)
-        if k:
-            # A node needs the node it is reached from and the one it escapes to.
-            good = np.isin(contexts >> np.uint64(8), totals[-1][0]) & np.isin(contexts & np.uint64((1 << (8 * (k - 1))) - 1), totals[-1][0])
-            inside = np.isin(keys >> np.uint64(8), contexts[good])
-            contexts, first = contexts[good], first[good]
-            cells.append((keys[inside], n[inside]))
-        else:
-            cells.append((keys, n))
-        totals.append((contexts, full[first]))
-    return Model(cells, totals, word_contexts(counts))
 
+def _as_up(order: DataFrame, key: str) -> DataFrame:
+    return order.select(F.col("key").alias(key), *(F.col(c).alias(f"up_{c}") for c in ("n", "total", "escape", "tail", "start")))
 
-def word_contexts(counts: DataFrame) -> list[tuple[bytes, float, dict[int, float]]]:
-    """Frequent beginnings of words, with how often they occur and what follows them.
 
-    At most ``PREFIX_BYTES / PREFIX_SHARE`` beginnings come to the driver.
+def byte_trie(counts: DataFrame) -> DataFrame:
+    """``key, n, total, escape, tail, start`` of every context of ``ORDER`` bytes with its symbol (the lowest byte of the key)."""
+    grams = counts.where(F.col("kind") == BYTES)
+    cells = {ORDER: grams.groupBy("key").agg(F.sum("n").alias("n"))}
+    for k in range(ORDER - 1, -1, -1):
+        cells[k] = cells[k + 1].groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
+    symbols = cells[0].where("n > 0").agg(F.count("*").alias("known"))  # one row
+    known = symbols.first()["known"]
+    equal = F.lit(-float(np.log10(max(SYMBOLS - known, 1))))
+    base = cells[0].select("*", F.lit(0).alias("up_n"), F.lit(0).alias("up_total"), F.lit(1.0).alias("up_escape"), equal.alias("up_tail"), equal.alias("up_start"))
+    trie = _order(base.withColumn("context", F.shiftright("key", 8)), "context", ["key"])
+    for k in range(1, ORDER + 1):
+        shorter = F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
+        joined = cells[k].withColumn("up", shorter).join(_as_up(trie, "up"), "up")
+        trie = _order(joined.withColumn("context", F.shiftright("key", 8)), "context", ["key"])
+    return trie
+
+
+def word_values(counts: DataFrame, trie: DataFrame) -> DataFrame:
+    """``key, n, inner_tail, last_tail`` of every word: its count, and the sum over its symbols that its beginnings predict.
+
+    The symbol after the word counts, which is the space or the end.
     """
-    words = counts.where((F.col("kind") == WORDS) & (F.length("word") >= ORDER)).select("word", "n")
-    total = counts.where(F.col("kind") == WORDS).agg(F.sum("n")).first()[0] or 0
+    words = counts.where(F.col("kind").isin(INNER, LAST))
     sizes = F.sequence(F.lit(ORDER), F.least(F.length("word"), F.lit(PREFIX_BYTES)))
-    begun = words.select("word", "n", F.explode(sizes).alias("j"))
-    begun = begun.select(F.substring("word", F.lit(1), F.col("j")).alias("prefix"), F.substring("word", F.col("j") + 1, F.lit(1)).alias("next"), "n")
-    cells = begun.groupBy("prefix", "next").agg(F.sum("n").alias("n"))
-    nodes = cells.groupBy("prefix").agg(F.sum("n").alias("full"), F.collect_list(
-        F.when(F.col("n") >= total * WORD_SHARE, F.struct("next", "n"))).alias("cells")).where(F.col("full") >= total * PREFIX_SHARE)
-    table = nodes.toArrow()  # one job; the shares bound its rows
-    lists = table["cells"].combine_chunks()
-    ends, flat = lists.offsets.to_pylist(), lists.values
-    symbols, n = [(x or b" ")[0] for x in flat.field("next").to_pylist()], flat.field("n").to_pylist()
-    return [(prefix, float(full), dict(zip(symbols[ends[i]:ends[i + 1]], n[ends[i]:ends[i + 1]])))
-            for i, (prefix, full) in enumerate(zip(table["prefix"].to_pylist(), table["full"].to_pylist()))]
+    begun = words.where(F.length("word") >= ORDER).select("kind", "key", "word", "n", F.explode(sizes).alias("j"))
+    after = F.when(F.col("j") < F.length("word"), F.substring("word", F.col("j") + 1, F.lit(1))).when(
+        F.col("kind") == INNER, F.lit(b" ")).otherwise(F.lit(bytes([END])))
+    begun = begun.select("kind", F.col("key").alias("word_key"), "n", F.substring("word", F.lit(1), F.col("j")).alias("context"), after.alias("symbol"))
+    cells = begun.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
+    gram = F.conv(F.hex(F.concat(F.substring("context", -ORDER, ORDER), "symbol")), 16, 10).cast("long")
+    order = _order(cells.withColumn("up", gram).join(_as_up(trie, "up"), "up"), "context", ["context", "symbol"])
+    tails = (begun.select("kind", "word_key", "context", "symbol").join(order.select("context", "symbol", "start"), ["context", "symbol"])
+             .groupBy("word_key").agg(F.sum(F.when(F.col("kind") == INNER, F.col("start"))).alias("inner_tail"),
+                                      F.sum(F.when(F.col("kind") == LAST, F.col("start"))).alias("last_tail")))
+    sums = words.groupBy("key").agg(F.sum("n").alias("n"))
+    zero = F.lit(0.0)
+    return sums.join(tails, F.col("key") == F.col("word_key"), "left").select(
+        "key", "n", F.coalesce("inner_tail", zero).alias("inner_tail"), F.coalesce("last_tail", zero).alias("last_tail"))
+
+
+def _least_cached(counts: DataFrame) -> int:
+    """The least count of what is broadcast: 0 or a power of two that at most ``CACHED`` rows reach."""
+    bins = counts.groupBy(F.when(F.col("n") > 0, F.length(F.bin("n"))).otherwise(0).alias("bits")).agg(F.count("*").alias("rows")).collect()
+    held, least = 0, 1 << 62
+    for bits, rows in sorted(((r["bits"], r["rows"]) for r in bins), reverse=True):
+        held += rows
+        if held > CACHED:
+            break
+        least = 1 << (bits - 1) if bits else 0
+    return least
 
 
 def adaptive_score(text: bytes, order: int = ORDER) -> float:
@@ -386,53 +303,76 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", adaptive:
 
     With ``adaptive`` the score is that of each text by itself.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
-    counts = stored(count(rows.where(~F.col("held_out")), "text"), "counts")
-    words = counts.where(F.col("kind") == WORDS).select("key", "n")
-    sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    total, distinct = sums["n"] or 0, sums["v"]
+    counts = stored(count(rows, "text", "held_out"), "counts")
+    grams = stored(byte_trie(counts).select("key", "n", "total", "escape", "tail", "start"), "grams")
+    words = stored(word_values(counts, grams), "words")
+    sums = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
+    texts_n = counts.where(F.col("kind") == TEXTS).agg(F.sum("n")).first()[0] or 0
+    discard(counts)
+    total, distinct = (sums["n"] or 0) + texts_n, sums["v"] + (texts_n > 0)
     unit = total + 0.5 * (distinct + 1)
-    frequent = words.where(F.col("n") >= total * WORD_SHARE)
-    table = frequent.toPandas()  # at most 1 / WORD_SHARE rows
-    keys = table["key"].to_numpy(np.int64).view(np.uint64)
-    rank = np.argsort(keys)
-    model = None if adaptive else build_model(counts)
-    shared = spark.sparkContext.broadcast((keys[rank], table["n"].to_numpy(np.int64)[rank], model))  # bounded by the shares
+    end = float(np.log10((texts_n + 0.5) / unit))
+    least_word, least_gram = _least_cached(words), _least_cached(grams)
+    frequent = words.where(F.col("n") >= least_word).toPandas()  # at most ``CACHED`` rows, the next one as well
+    contexts = grams.where(F.col("n") >= least_gram).select("key", "start").toPandas()
+    shared = docs.sparkSession.sparkContext.broadcast((
+        pd.Index(frequent["key"].to_numpy(np.int64)), frequent[["n", "inner_tail", "last_tail"]].to_numpy(float).T.copy(),
+        pd.Index(contexts["key"].to_numpy(np.int64)), contexts["start"].to_numpy(float)))
+    del frequent, contexts
+
+    def lists(values: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
+        ends = np.append(0, np.cumsum(np.bincount(row, minlength=n))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, known_n, trie = shared.value
-        known_log = np.log10((known_n + 0.5) / unit)
+        known, (known_n, inner_tail, last_tail), trie, starts = shared.value
+        known_log, known_seen = np.log10((known_n + 0.5) / unit), known_n > 0
         for batch in batches:
             for first, texts in row_slices(batch.column(1)):
-                streams = Streams(texts)
-                n = len(texts)
-                hashes = np.append(streams.word_hashes(), np.full(n, END_WORD))
-                row = np.append(streams.words.row(), np.arange(n))
-                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
-                found = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
-                base = np.bincount(row[found], known_log[at[found]], n).astype(float)
-                n_known = np.bincount(row[found], minlength=n)
-                rest, rest_row = hashes[~found], row[~found]
-                order = np.argsort(rest_row, kind="stable")
-                per_row = np.bincount(rest_row, minlength=n)
-                rare = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_row)).astype(np.int32)), pa.array(rest[order].view(np.int64)))
-                model_score = np.array([adaptive_score(t) for t in texts]) if adaptive else trie.score(streams)
+                streams, n = Streams(texts), len(texts)
+                hashes, row, last = streams.word_hashes().view(np.int64), streams.words.row(), streams.last_words()
+                at = known.get_indexer(hashes)
+                found = at >= 0
+                at, own = at[found], row[found]
+                base = np.bincount(own, known_log[at], n) + end
+                n_known = np.bincount(own, known_seen[at], n).astype(np.int64) + (texts_n > 0)
+                if adaptive:
+                    model = np.array([adaptive_score(t) for t in texts])
+                    keys, gram_row = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                else:
+                    model = np.bincount(own, np.where(last[found], last_tail[at], inner_tail[at]), n)
+                    alone = ~streams.by_words()
+                    keys, gram_row = streams.grams()[alone].view(np.int64), np.repeat(np.arange(n), streams.sizes)[alone]
+                    place = trie.get_indexer(keys)
+                    met = place >= 0
+                    model = model + np.bincount(gram_row[met], starts[place[met]], n)
+                    keys, gram_row = keys[~met], gram_row[~met]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(streams.words.counts.astype(np.int64) + 1),
-                     pa.array(n_known.astype(np.int64)), pa.array(base), pa.array(model_score), rare],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+                     pa.array(n_known), pa.array(base, pa.float64()), pa.array(model, pa.float64()), lists(hashes[~found & ~last], row[~found & ~last], n),
+                     lists(hashes[~found & last], row[~found & last], n), lists(keys, gram_row, n)],
+                    ["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "inner", "last", "grams"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.select("doc_id", "text", "held_out").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<long>")
+        run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, inner array<long>, last array<long>, grams array<long>")
     scored = stored(scored.select(F.monotonically_increasing_id().alias("row"), "*"), "scored")
-    # The words that are not frequent meet their counts here.
-    rare = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").agg(F.count("*").alias("m"))
-    seen = words.where(F.col("n") < total * WORD_SHARE)
-    met = rare.join(seen, "key", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n").isNotNull(), F.col("m")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("m") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(unit)))).alias("more_base"))
+
+    # What is not cached meets its values here.
+    def rare(column: str) -> DataFrame:
+        return scored.select("row", F.explode(column).alias("key")).groupBy("row", "key").agg(F.count("*").alias("m"))
+
+    of_words = rare("inner").withColumn("last", F.lit(False)).unionByName(rare("last").withColumn("last", F.lit(True))).join(
+        words.where(F.col("n") < least_word), "key").select(
+        "row", F.when(F.col("n") > 0, F.col("m")).otherwise(0).alias("known"), (F.col("m") * F.log10((F.col("n") + 0.5) / F.lit(float(unit)))).alias("base"),
+        (F.col("m") * F.when(F.col("last"), F.col("last_tail")).otherwise(F.col("inner_tail"))).alias("score"))
+    of_grams = rare("grams").join(grams.where(F.col("n") < least_gram).select("key", "start"), "key").select(
+        "row", F.lit(0).alias("known"), F.lit(0.0).alias("base"), (F.col("m") * F.col("start")).alias("score"))
+    met = of_words.unionByName(of_grams).groupBy("row").agg(
+        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("score").alias("more_score"))
+    model_score = F.col("score") if adaptive else F.col("score") + F.coalesce("more_score", F.lit(0.0))
     return scored.join(met, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score")
+        F.lit(int(total)).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
+        model_score.alias("score"))

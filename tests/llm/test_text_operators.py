@@ -124,8 +124,8 @@ def test_base_score_by_definition(spark, monkeypatch):
     tokens = [re.findall(r"[^\x20\x09-\x0D]+", low(t)) + [None] for t in texts]
     counts = collections.Counter(w for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 5 != 1 for w in t)
     total, distinct = sum(counts.values()), len(counts)
-    for share in (2.0 ** -21, 0.01):  # with a high share most words go through the join
-        monkeypatch.setattr(ppm, "WORD_SHARE", share)
+    for cached in (1 << 20, 8, 0):  # with a small cache most words go through the join
+        monkeypatch.setattr(ppm, "CACHED", cached)
         for r in ppm.score(table(spark, texts)).collect():
             own = tokens[r.doc_id]
             base = sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in own)
@@ -134,24 +134,75 @@ def test_base_score_by_definition(spark, monkeypatch):
             assert r.score < 0 and math.isfinite(r.score)
 
 
-def test_probabilities_of_a_node_add_up(spark):
-    model = ppm.build_model(ppm.count(table(spark, some_texts()), "text"))
-    unseen = ppm.SYMBOLS - (model.table.shape[1] - 1)
-    weights = np.append(np.ones(model.table.shape[1] - 1), unseen)
-    assert np.allclose((10.0 ** model.table.astype(float) * weights).sum(1), 1, atol=1e-4)
-    # Nodes of word beginnings: stored symbols, and the rest by way of the shorter context.
-    for node in range(len(model.word_rows)):
-        odds = 10.0 ** (model.table[model.word_rows[node]].astype(float) + model.word_more[node])
-        own = (model.word_keys >> 8) == node
-        odds[model.classes[model.word_keys[own] & 255]] = 10.0 ** model.word_values[own]
-        assert (odds * weights).sum() == pytest.approx(1, abs=1e-4)
-
-
-def test_score_is_the_sum_over_symbols(spark):
-    model = ppm.build_model(ppm.count(table(spark, some_texts()), "text"))
-    texts = [(t or "").encode() for t in some_texts(5)]
-    together = model.score(ppm.Streams(texts))
-    assert np.allclose(together, [model.score(ppm.Streams([t]))[0] for t in texts])
+def stream(text):
+    """Symbols of a text, and per symbol how many bytes of its word are before it."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", low(text).encode())
+    symbols = list(b" ".join(words)) + [ppm.END]
+    inside = [j for w in words for j in range(len(w) + 1)] or [0]
+    return symbols, inside
+
+
+def context_of(symbols, inside, i, k):
+    """The context of k bytes before symbol i; with k = 5 the word so far, if it is a context."""
+    if k <= 4:
+        return ("bytes", bytes(([ppm.PAD] * 4 + symbols[:i])[i + 4 - k:i + 4]))
+    return ("word", bytes(symbols[i - inside[i]:i])) if 4 <= inside[i] <= 16 else None
+
+
+def train_by_definition(texts):
+    trie = collections.defaultdict(collections.Counter)
+    for text in texts:
+        symbols, inside = stream(text)
+        for i, s in enumerate(symbols):
+            for k in range(6):
+                if (c := context_of(symbols, inside, i, k)) is not None:
+                    trie[c][s] += 1
+    return trie
+
+
+def odds_by_definition(trie, contexts, s):
+    """Down the contexts, without the symbols ruled out so far."""
+    out, total = set(), 1.0
+    for c in contexts:
+        seen = trie.get(c)
+        if not seen:
+            continue
+        left = {x: n for x, n in seen.items() if x not in out}
+        escape = sum(n == 1 for n in seen.values()) + 0.5
+        weight = sum(left.values()) + escape
+        if s in left:
+            return total * left[s] / weight
+        total *= escape / weight
+        out |= seen.keys()
+    return total / max(255 - len(out), 1)
+
+
+@pytest.mark.parametrize("cached", [1 << 20, 20, 0])
+def test_score_by_definition(spark, monkeypatch, cached):
+    """All counted contexts are used, whether cached or joined; held-out texts have words and contexts of their own."""
+    monkeypatch.setattr(ppm, "CACHED", cached)
+    texts = some_texts() + [f"unheard{i} of-word{i % 7}s Sentences {'x' * (i + 10)}y internationalisation internationalisations {i}" for i in range(30)]
+    trie = train_by_definition(t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1)
+    got = {r.doc_id: r.score for r in ppm.score(table(spark, texts)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        symbols, inside = stream(t)
+        want = sum(math.log10(odds_by_definition(trie, [c for k in range(5, -1, -1) if (c := context_of(symbols, inside, j, k)) is not None], s))
+                   for j, s in enumerate(symbols))
+        assert got[i] == pytest.approx(want, rel=1e-9), (i, t)
+
+
+def test_odds_of_all_symbols_add_up():
+    texts = some_texts(n=10)
+    trie = train_by_definition(texts)
+    for text in texts[:9]:
+        symbols, inside = stream(text)
+        for i in range(min(len(symbols), 60)):
+            contexts = [c for k in range(5, -1, -1) if (c := context_of(symbols, inside, i, k)) is not None]
+            assert sum(odds_by_definition(trie, contexts, s) for s in range(256) if s != ppm.PAD) == pytest.approx(1)
+
+
+def test_symbols_of_texts():
     assert ppm.Streams([b" A  b\n"]).symbols.tobytes() == b"\xfe" * 4 + b"a b\xff" and ppm.Streams([b""]).symbols.tobytes() == b"\xfe" * 4 + b"\xff"
 
 
