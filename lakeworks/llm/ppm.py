@@ -1,21 +1,22 @@
 """Language-model scores by prediction by partial matching (PPM) over bytes.
 
 A text is its words in small ASCII letters, one space between them, and an end symbol.
-Each symbol is predicted from the bytes before it: from the whole word so far, where
-that has ``ORDER`` to ``PREFIX_BYTES`` bytes, then from the last ``ORDER`` bytes and ever
-fewer. The longest context seen in training is asked first; a symbol it has not seen is
-escaped to the next shorter one, where the symbols already ruled out are excluded, down
-to equal odds for all symbols. The weight of the escape is the number of symbols seen
-once, as one unseen so far is as likely, and ``LEAST_ESCAPE``.
+Each symbol is predicted from the last ``ORDER`` bytes before it and ever fewer. The
+longest context seen in training is asked first; a symbol it has not seen is escaped to
+the next shorter one, where the symbols already ruled out are excluded, down to equal
+odds for all symbols. The weight of the escape is the number of symbols seen once, as one
+unseen so far is as likely, and ``LEAST_ESCAPE``. After the first ``ORDER`` bytes of a
+word a longer context is asked before: those bytes as the beginning of a word. Its
+symbols are whole endings, with the space or the end after them; an ending it has not
+seen is escaped to the contexts above, byte by byte and with nothing excluded.
 
 Pretrained: the counts of all contexts come from all training texts and none is left out.
 They are counted where the texts are and summed by key. The trie is a table per order, a
 row per context and symbol that occurs in any text. As the symbols of a context are all
 known to the shorter one, what exclusion takes away is a sum per context, and a
 probability follows from that of the next shorter order in one join, from order 0 up.
-The symbols of a word that its own beginnings predict are summed up per word, so a text
-meets the trie by its words and by the remaining positions. Words and contexts that occur
-most are looked up where the text is (at most ``CACHED`` of each are broadcast); all
+Endings have one value per word, so a text meets the trie by its words and by the
+remaining positions. Words and contexts that occur most are looked up where the text is (at most ``CACHED`` of each are broadcast); all
 others meet their values in a join. Both ways give the same score at any size of the
 cache. Adaptive: each text is coded by itself with a trie that grows as it is read.
 
@@ -29,7 +30,6 @@ id is not held out; a very long text is handled whole, by itself.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,8 +42,6 @@ from .frames import discard, stored
 from .text import SPACES, Words, row_slices
 
 ORDER = 4
-# The longest beginning of a word that is a context.
-PREFIX_BYTES = 16
 LEAST_ESCAPE = 0.5
 # Words, and contexts with their symbol, that are broadcast; the others meet the texts in a join.
 CACHED = 1 << 20
@@ -52,8 +50,8 @@ CACHED = 1 << 20
 PAD, END = 0xFE, 0xFF
 SYMBOLS = 255  # all bytes but PAD; END stands for the end
 
-# Kinds of counts: contexts of ``ORDER`` bytes with the next; words before a space; words before the end; texts.
-BYTES, INNER, LAST, TEXTS = 0, 1, 2, 3
+# Kinds of counts: contexts of ``ORDER`` bytes with the next, words, texts.
+BYTES, WORDS, TEXTS = 0, 1, 2
 
 
 class Streams:
@@ -99,7 +97,7 @@ class Streams:
         return last
 
     def by_words(self) -> np.ndarray:
-        """Which positions are predicted from the beginning of their word."""
+        """Which positions belong to the ending of a word."""
         w = self.words
         lengths, row = w.ends - w.starts, w.row()
         before = np.cumsum(lengths + 1) - (lengths + 1)
@@ -107,7 +105,7 @@ class Streams:
         long = lengths >= ORDER
         change = np.zeros(len(self.symbols) + 1, np.int8)
         change[at[long] + ORDER] = 1
-        change[(at + np.minimum(lengths, PREFIX_BYTES))[long] + 1] = -1
+        change[(at + lengths)[long] + 1] = -1
         return np.cumsum(change[:-1], dtype=np.int8)[self.at] > 0
 
 
@@ -140,28 +138,31 @@ TALLY_KEYS = 4_000_000
 
 
 def count(rows: DataFrame, text: str, held_out: str) -> DataFrame:
-    """``kind, key, word, n``: contexts of ``ORDER`` bytes with their symbol, words and texts.
+    """``kind, key, word, n, n_last``: contexts of ``ORDER`` bytes with their symbol, words and texts.
 
-    What occurs in any text has a row; ``n`` counts training texts alone, so it may be 0.
-    A word comes with its hash as key.
+    What occurs in any text has a row; counts are those of training texts alone, so they
+    may be 0. A word comes with its hash as key; ``n`` is about words before a space and
+    ``n_last`` about words before the end, null where no text has that.
     """
 
-    def batch_of(kind: np.ndarray, keys: np.ndarray, words: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(keys.view(np.int64)), words, pa.array(n)], ["kind", "key", "word", "n"])
+    def batch_of(kind: int, keys: np.ndarray, words: pa.Array, n: pa.Array, n_last: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), words, n, n_last],
+                                          ["kind", "key", "word", "n", "n_last"])
+
+    def plain_batch(kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return batch_of(kind, keys, pa.nulls(len(keys), pa.binary()), pa.array(n, pa.int64()), pa.nulls(len(keys), pa.int64()))
 
     def gram_batches(tally: _Tally) -> Iterator[pa.RecordBatch]:
         tally.merge()
         for i in range(0, len(tally.keys), 200_000):
-            keys = tally.keys[i:i + 200_000]
-            yield batch_of(np.full(len(keys), BYTES), keys, pa.nulls(len(keys), pa.binary()), tally.counts[i:i + 200_000])
+            yield plain_batch(BYTES, tally.keys[i:i + 200_000], tally.counts[i:i + 200_000])
 
-    def word_batch(words: dict[tuple[int, bytes], int], hashes: dict[bytes, int]) -> pa.RecordBatch:
-        keys = np.fromiter((hashes[w] for _, w in words), np.uint64, len(words))
-        return batch_of(np.fromiter((k for k, _ in words), np.int64, len(words)), keys, pa.array([w for _, w in words], pa.binary()),
-                        np.fromiter(words.values(), np.int64, len(words)))
+    def word_batch(words: dict[bytes, list[int | None]], hashes: dict[bytes, int]) -> pa.RecordBatch:
+        keys = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+        return batch_of(WORDS, keys, pa.array(list(words), pa.binary()), *(pa.array([n[i] for n in words.values()], pa.int64()) for i in (0, 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally, words, hashes, n_texts = _Tally(), Counter(), {}, 0
+        tally, words, hashes, n_texts = _Tally(), {}, {}, 0
         for batch in batches:
             held = batch.column(1).to_pylist()
             for first, texts in row_slices(batch.column(0)):
@@ -173,34 +174,35 @@ def count(rows: DataFrame, text: str, held_out: str) -> DataFrame:
                     streams = Streams(own)
                     tally.add(streams.grams(), weight)
                     every, last = streams.word_hashes(), streams.last_words()
-                    for kind, some in ((INNER, np.flatnonzero(~last)), (LAST, np.flatnonzero(last))):
+                    for place, some in enumerate((np.flatnonzero(~last), np.flatnonzero(last))):
                         found, at, n = np.unique(every[some], return_index=True, return_counts=True)
                         for value, i, m in zip(found.tolist(), some[at].tolist(), n.tolist()):
                             word = streams.words.word(i)
-                            words[kind, word] += m * weight
+                            held_n = words.setdefault(word, [None, None])
+                            held_n[place] = (held_n[place] or 0) + m * weight
                             hashes[word] = value
                 if len(tally.keys) + tally.late_size > TALLY_KEYS:
                     yield from gram_batches(tally)
                     tally = _Tally()
                 if len(words) > TALLY_KEYS // 8:
                     yield word_batch(words, hashes)
-                    words, hashes = Counter(), {}
+                    words, hashes = {}, {}
         yield from gram_batches(tally)
         yield word_batch(words, hashes)
-        yield batch_of(np.array([TEXTS]), np.zeros(1, np.int64), pa.nulls(1, pa.binary()), np.array([n_texts], np.int64))
+        yield plain_batch(TEXTS, np.zeros(1, np.int64), np.array([n_texts]))
 
-    return (rows.select(text, held_out).mapInArrow(run, "kind int, key long, word binary, n long")
-            .groupBy("kind", "key", "word").agg(F.sum("n").alias("n")))
+    return (rows.select(text, held_out).mapInArrow(run, "kind int, key long, word binary, n long, n_last long")
+            .groupBy("kind", "key", "word").agg(F.sum("n").alias("n"), F.sum("n_last").alias("n_last")))
 
 
-def _order(cells: DataFrame, context: str, keep: list[str]) -> DataFrame:
-    """The next order of the trie: ``n, tail, start`` per context and symbol, and ``total, escape`` of the context.
+def _order(cells: DataFrame) -> DataFrame:
+    """One order of the trie: ``key, n, tail, start`` per context and symbol, and ``total, escape`` of the context.
 
     ``cells`` has the counts, beside those of the same symbol in the next shorter context
     (``up_*``). ``tail`` is the logarithm of what a longer context shares out on an escape
     to this one, and ``start`` the log10 probability if this context is asked first.
     """
-    of = Window.partitionBy(context)
+    of = Window.partitionBy(F.shiftright("key", 8))  # a row per symbol, 255 at most
     seen = F.col("n") > 0
     stats = cells.withColumns({
         "total": F.sum("n").over(of), "escape": F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).over(of) + F.lit(LEAST_ESCAPE),
@@ -208,52 +210,47 @@ def _order(cells: DataFrame, context: str, keep: list[str]) -> DataFrame:
         "left": F.col("up_total") - F.sum(F.when(seen, F.col("up_n")).otherwise(0)).over(of) + F.col("up_escape")})
     stats = stats.withColumn("tail", F.when(seen, F.log10("n")).otherwise(F.log10("escape") - F.log10("left") + F.col("up_tail")))
     start = F.when(F.col("total") > 0, F.col("tail") - F.log10(F.col("total") + F.col("escape"))).otherwise(F.col("up_start"))
-    return stats.select(*keep, "n", "total", "escape", "tail", start.alias("start"))
-
-
-def _as_up(order: DataFrame, key: str) -> DataFrame:
-    return order.select(F.col("key").alias(key), *(F.col(c).alias(f"up_{c}") for c in ("n", "total", "escape", "tail", "start")))
+    return stats.select("key", "n", "total", "escape", "tail", start.alias("start"))
 
 
 def byte_trie(counts: DataFrame) -> DataFrame:
-    """``key, n, total, escape, tail, start`` of every context of ``ORDER`` bytes with its symbol (the lowest byte of the key)."""
-    grams = counts.where(F.col("kind") == BYTES)
-    cells = {ORDER: grams.groupBy("key").agg(F.sum("n").alias("n"))}
+    """``key, n, start`` of every context of ``ORDER`` bytes with its symbol, which is the lowest byte of the key."""
+    cells = {ORDER: counts.where(F.col("kind") == BYTES).select("key", "n")}
     for k in range(ORDER - 1, -1, -1):
         cells[k] = cells[k + 1].groupBy(F.col("key").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("key")).agg(F.sum("n").alias("n"))
-    symbols = cells[0].where("n > 0").agg(F.count("*").alias("known"))  # one row
-    known = symbols.first()["known"]
+    known = cells[0].where("n > 0").count()
     equal = F.lit(-float(np.log10(max(SYMBOLS - known, 1))))
     base = cells[0].select("*", F.lit(0).alias("up_n"), F.lit(0).alias("up_total"), F.lit(1.0).alias("up_escape"), equal.alias("up_tail"), equal.alias("up_start"))
-    trie = _order(base.withColumn("context", F.shiftright("key", 8)), "context", ["key"])
+    trie = _order(base)
     for k in range(1, ORDER + 1):
-        shorter = F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))
-        joined = cells[k].withColumn("up", shorter).join(_as_up(trie, "up"), "up")
-        trie = _order(joined.withColumn("context", F.shiftright("key", 8)), "context", ["key"])
-    return trie
+        up = trie.select(F.col("key").alias("up"), *(F.col(c).alias(f"up_{c}") for c in ("n", "total", "escape", "tail", "start")))
+        trie = _order(cells[k].withColumn("up", F.col("key").bitwiseAND(F.lit((1 << (8 * k)) - 1))).join(up, "up").drop("up"))
+    return trie.select("key", "n", "start")
 
 
 def word_values(counts: DataFrame, trie: DataFrame) -> DataFrame:
-    """``key, n, inner_tail, last_tail`` of every word: its count, and the sum over its symbols that its beginnings predict.
-
-    The symbol after the word counts, which is the space or the end.
-    """
-    words = counts.where(F.col("kind").isin(INNER, LAST))
-    sizes = F.sequence(F.lit(ORDER), F.least(F.length("word"), F.lit(PREFIX_BYTES)))
-    begun = words.where(F.length("word") >= ORDER).select("kind", "key", "word", "n", F.explode(sizes).alias("j"))
-    after = F.when(F.col("j") < F.length("word"), F.substring("word", F.col("j") + 1, F.lit(1))).when(
-        F.col("kind") == INNER, F.lit(b" ")).otherwise(F.lit(bytes([END])))
-    begun = begun.select("kind", F.col("key").alias("word_key"), "n", F.substring("word", F.lit(1), F.col("j")).alias("context"), after.alias("symbol"))
-    cells = begun.groupBy("context", "symbol").agg(F.sum("n").alias("n"))
-    gram = F.conv(F.hex(F.concat(F.substring("context", -ORDER, ORDER), "symbol")), 16, 10).cast("long")
-    order = _order(cells.withColumn("up", gram).join(_as_up(trie, "up"), "up"), "context", ["context", "symbol"])
-    tails = (begun.select("kind", "word_key", "context", "symbol").join(order.select("context", "symbol", "start"), ["context", "symbol"])
-             .groupBy("word_key").agg(F.sum(F.when(F.col("kind") == INNER, F.col("start"))).alias("inner_tail"),
-                                      F.sum(F.when(F.col("kind") == LAST, F.col("start"))).alias("last_tail")))
-    sums = words.groupBy("key").agg(F.sum("n").alias("n"))
-    zero = F.lit(0.0)
-    return sums.join(tails, F.col("key") == F.col("word_key"), "left").select(
-        "key", "n", F.coalesce("inner_tail", zero).alias("inner_tail"), F.coalesce("last_tail", zero).alias("last_tail"))
+    """``key, n, inner_tail, last_tail`` of every word: its count, and log10 of the odds of its ending before a space and before the end."""
+    words = counts.where(F.col("kind") == WORDS).select("key", "word", "n", "n_last")
+    zero, root = F.lit(0), F.substring("word", F.lit(1), F.lit(ORDER)).alias("root")
+    long = words.where(F.length("word") >= ORDER)
+    once = (F.when(F.col("n") == 1, 1).otherwise(0) + F.when(F.col("n_last") == 1, 1).otherwise(0))
+    begun = long.groupBy(root).agg(F.sum(F.coalesce("n", zero) + F.coalesce("n_last", zero)).alias("total"), (F.sum(once) + F.lit(LEAST_ESCAPE)).alias("escape"))
+    # Endings of held-out texts alone go by their bytes.
+    unseen = [long.where(F.col(n) == 0).select("key", F.lit(n).alias("of"), F.concat("word", F.lit(after)).alias("word"))
+              for n, after in (("n", b" "), ("n_last", bytes([END])))]
+    grams = unseen[0].unionByName(unseen[1]).select("key", "of", "word", F.explode(F.sequence(F.lit(1), F.length("word") - ORDER)).alias("i"))
+    grams = grams.select(F.col("key").alias("word_key"), "of", F.conv(F.hex(F.substring("word", F.col("i"), F.lit(ORDER + 1))), 16, 10).cast("long").alias("key"))
+    by_bytes = grams.join(trie.select("key", "start"), "key").groupBy("word_key").agg(
+        *(F.sum(F.when(F.col("of") == n, F.col("start"))).alias(f"{n}_bytes") for n in ("n", "n_last")))
+    joined = (words.withColumn("root", F.when(F.length("word") >= ORDER, root)).drop("word")
+              .join(begun, "root", "left").join(by_bytes, F.col("key") == F.col("word_key"), "left"))
+    weight = F.log10(F.col("total") + F.col("escape"))
+
+    def tail(n: str) -> Column:
+        escaped = F.when(F.col("total") > 0, F.log10("escape") - weight).otherwise(F.lit(0.0)) + F.col(f"{n}_bytes")
+        return F.coalesce(F.when(F.col(n) > 0, F.log10(n) - weight).otherwise(escaped), F.lit(0.0))
+
+    return joined.select("key", (F.coalesce("n", zero) + F.coalesce("n_last", zero)).alias("n"), tail("n").alias("inner_tail"), tail("n_last").alias("last_tail"))
 
 
 def _least_cached(counts: DataFrame) -> int:
@@ -305,7 +302,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", adaptive:
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), held_out(F.col(doc_id)).alias("held_out"))
     counts = stored(count(rows, "text", "held_out"), "counts")
-    grams = stored(byte_trie(counts).select("key", "n", "total", "escape", "tail", "start"), "grams")
+    grams = stored(byte_trie(counts), "grams")
     words = stored(word_values(counts, grams), "words")
     sums = words.where("n > 0").agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     texts_n = counts.where(F.col("kind") == TEXTS).agg(F.sum("n")).first()[0] or 0

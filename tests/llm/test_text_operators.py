@@ -135,29 +135,44 @@ def test_base_score_by_definition(spark, monkeypatch):
 
 
 def stream(text):
-    """Symbols of a text, and per symbol how many bytes of its word are before it."""
+    """Symbols of a text, and its endings: ``(first symbol, beginning, rest of the word with what follows)``."""
     words = re.findall(rb"[^\x20\x09-\x0D]+", low(text).encode())
-    symbols = list(b" ".join(words)) + [ppm.END]
-    inside = [j for w in words for j in range(len(w) + 1)] or [0]
-    return symbols, inside
+    symbols, endings, at = list(b" ".join(words)) + [ppm.END], [], 0
+    for w in words:
+        if len(w) >= 4:
+            endings.append((at + 4, w[:4], bytes(symbols[at + 4:at + len(w) + 1])))
+        at += len(w) + 1
+    return symbols, endings
 
 
-def context_of(symbols, inside, i, k):
-    """The context of k bytes before symbol i; with k = 5 the word so far, if it is a context."""
-    if k <= 4:
-        return ("bytes", bytes(([ppm.PAD] * 4 + symbols[:i])[i + 4 - k:i + 4]))
-    return ("word", bytes(symbols[i - inside[i]:i])) if 4 <= inside[i] <= 16 else None
+def contexts_of(symbols, i):
+    return [bytes(([ppm.PAD] * 4 + symbols[:i])[i + 4 - k:i + 4]) for k in range(4, -1, -1)]
 
 
 def train_by_definition(texts):
-    trie = collections.defaultdict(collections.Counter)
+    trie, begun = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
     for text in texts:
-        symbols, inside = stream(text)
+        symbols, endings = stream(text)
         for i, s in enumerate(symbols):
-            for k in range(6):
-                if (c := context_of(symbols, inside, i, k)) is not None:
-                    trie[c][s] += 1
-    return trie
+            for c in contexts_of(symbols, i):
+                trie[c][s] += 1
+        for _, beginning, rest in endings:
+            begun[beginning][rest] += 1
+    return trie, begun
+
+
+def score_by_definition(trie, begun, text):
+    symbols, endings = stream(text)
+    odds = [math.log10(odds_by_definition(trie, contexts_of(symbols, i), s)) for i, s in enumerate(symbols)]
+    for at, beginning, rest in endings:
+        if seen := begun.get(beginning):
+            escape = sum(n == 1 for n in seen.values()) + 0.5
+            weight = sum(seen.values()) + escape
+            if rest in seen:
+                odds[at:at + len(rest)] = [math.log10(seen[rest] / weight)] + [0] * (len(rest) - 1)
+            else:
+                odds[at] += math.log10(escape / weight)
+    return sum(odds)
 
 
 def odds_by_definition(trie, contexts, s):
@@ -182,24 +197,20 @@ def test_score_by_definition(spark, monkeypatch, cached):
     """All counted contexts are used, whether cached or joined; held-out texts have words and contexts of their own."""
     monkeypatch.setattr(ppm, "CACHED", cached)
     texts = some_texts() + [f"unheard{i} of-word{i % 7}s Sentences {'x' * (i + 10)}y internationalisation internationalisations {i}" for i in range(30)]
-    trie = train_by_definition(t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1)
+    trie, begun = train_by_definition(t for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 5 != 1)
     got = {r.doc_id: r.score for r in ppm.score(table(spark, texts)).collect()}
     assert len(got) == len(texts)
     for i, t in enumerate(texts):
-        symbols, inside = stream(t)
-        want = sum(math.log10(odds_by_definition(trie, [c for k in range(5, -1, -1) if (c := context_of(symbols, inside, j, k)) is not None], s))
-                   for j, s in enumerate(symbols))
-        assert got[i] == pytest.approx(want, rel=1e-9), (i, t)
+        assert got[i] == pytest.approx(score_by_definition(trie, begun, t), rel=1e-9), (i, t)
 
 
 def test_odds_of_all_symbols_add_up():
     texts = some_texts(n=10)
-    trie = train_by_definition(texts)
+    trie, _ = train_by_definition(texts)
     for text in texts[:9]:
-        symbols, inside = stream(text)
+        symbols, _ = stream(text)
         for i in range(min(len(symbols), 60)):
-            contexts = [c for k in range(5, -1, -1) if (c := context_of(symbols, inside, i, k)) is not None]
-            assert sum(odds_by_definition(trie, contexts, s) for s in range(256) if s != ppm.PAD) == pytest.approx(1)
+            assert sum(odds_by_definition(trie, contexts_of(symbols, i), s) for s in range(256) if s != ppm.PAD) == pytest.approx(1)
 
 
 def test_symbols_of_texts():
