@@ -44,7 +44,7 @@ from .text import SPACES, Words, row_slices
 ORDER = 4
 LEAST_ESCAPE = 0.5
 # Words, and contexts with their symbol, that are broadcast; the others meet the texts in a join.
-CACHED = 1 << 20
+CACHED = 1 << 19
 
 # Bytes that no UTF-8 text has.
 PAD, END = 0xFE, 0xFF
@@ -311,12 +311,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", adaptive:
     unit = total + 0.5 * (distinct + 1)
     end = float(np.log10((texts_n + 0.5) / unit))
     least_word, least_gram = _least_cached(words), _least_cached(grams)
-    frequent = words.where(F.col("n") >= least_word).toPandas()  # at most ``CACHED`` rows, the next one as well
-    contexts = grams.where(F.col("n") >= least_gram).select("key", "start").toPandas()
+    frequent = words.where(F.col("n") >= least_word).toArrow()  # at most ``CACHED`` rows, the next one as well
+    contexts = grams.where(F.col("n") >= least_gram).select("key", "start").toArrow()
     shared = docs.sparkSession.sparkContext.broadcast((
-        pd.Index(frequent["key"].to_numpy(np.int64)), frequent[["n", "inner_tail", "last_tail"]].to_numpy(float).T.copy(),
-        pd.Index(contexts["key"].to_numpy(np.int64)), contexts["start"].to_numpy(float)))
-    del frequent, contexts
+        pd.Index(frequent["key"].to_numpy()), [frequent[c].to_numpy() for c in ("n", "inner_tail", "last_tail")],
+        pd.Index(contexts["key"].to_numpy()), contexts["start"].to_numpy()))
 
     def lists(values: np.ndarray, row: np.ndarray, n: int) -> pa.ListArray:
         ends = np.append(0, np.cumsum(np.bincount(row, minlength=n))).astype(np.int32)
