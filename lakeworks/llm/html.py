@@ -6,14 +6,19 @@ with the same vector form an equivalence class. A class is valid if it is found
 enough of the host's pages and its tokens stand once in each of those pages; such classes
 nest by their paths and are the template, and what lies between their tokens are the
 slots. The slot of the article is the element of a valid class that is marked as the
-article or, without one, the innermost one that holds most of the words outside links.
-All that is in it is extracted but menus, forms, notices, adverts and comments. A page
-that does not have its host's article slot is treated as a template of its own.
+article or, without one, the innermost one that holds nearly all of the words outside
+links that differ between pages. All that is in it is extracted but menus, forms,
+notices, adverts and comments and, where no element is marked, the wording of the
+template: text of a token that is the same in all pages that have it, if those differ and
+are at least half of the host's. A page that does not have its host's article slot is
+treated as a template of its own.
 
 Vectors are never put together: a token's vector is represented by the number of pages,
-the number of occurrences and their sum weighted with a hash of the page, which are
-plain aggregates, so a host with a third of all pages is counted in every task. The
-number of frequent tokens of a host is bounded by the size of its pages.
+the number of occurrences and their sum weighted with a hash of the page, and its text by
+the least and greatest hash. These are plain aggregates, so a host with a third of all
+pages is counted in every task. The number of frequent tokens of a host is bounded by the
+size of its pages. A path has at most ``DEPTH`` elements; what is deeper belongs to the
+last of them but is still left out by its own elements' kind.
 
 Defined cases: a null or empty page has no text; a page without a host is compared with
 the other such pages; equal rows get equal results; markup that is never closed ends
@@ -34,7 +39,10 @@ from pyspark.sql import functions as F
 from .frames import unused, without
 
 SUPPORT = 0.1
-MOST_WORDS = 0.6
+MOST_WORDS = 0.9
+# Wording of the template: in at least this many pages of the host, and in this share of them.
+LEAST_PAGES = 3
+STATIC_SHARE = 0.5
 # Elements below this depth belong to their ancestor's token.
 DEPTH = 24
 
@@ -57,6 +65,9 @@ NAMES = frozenset(
     "toolbar skip copyright".split())
 OUTSIDE_NAMES = frozenset("header masthead topbar".split())
 COMMENT_NAMES = frozenset("comment comments reply replies".split())
+# In an article these say what an element is only at the end of its name.
+LAST_NAMES = frozenset("notice notices banner".split())
+SECTIONS = frozenset("html body div section center td main article".split())
 
 TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"<]*"|'[^'<]*')*+)>|</?[a-zA-Z][^>]*>""", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -67,7 +78,8 @@ def _element(tag: str, attributes: str, in_main: bool) -> str:
     """One element of a path. It begins with ``!`` if its content is no main text, with ``*`` if it is marked as main."""
     values = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes else {}
     names = re.sub(r"[0-9]+", "0", f"{values.get('class', '')} {values.get('id', '')}").split()
-    parts = {p.lower() for n in names for p in NAME_PART.findall(n)}
+    named = [[p.lower() for p in NAME_PART.findall(n)] for n in names]
+    parts = {p for own in named for p in own if not in_main or p not in LAST_NAMES or p == own[-1]}
     role = values.get("role", "").lower()
     hidden = "hidden" in values or values.get("aria-hidden", "").lower() == "true"
     frame = tag in ("html", "body", "main", "article")
@@ -78,29 +90,31 @@ def _element(tag: str, attributes: str, in_main: bool) -> str:
 
 
 class Page:
-    """Text pieces of a page in order: ``(path, block number, inside a link, text)``."""
+    """Text pieces of a page in order: ``(path, block number, inside a link, no main text, text)``."""
 
     def __init__(self, source: str):
         self.tokens: dict[tuple[str, ...], int] = {}
-        self.pieces: list[tuple[tuple[str, ...], int, bool, str]] = []
+        self.pieces: list[tuple[tuple[str, ...], int, bool, bool, str]] = []
         tags: list[str] = []
         path: list[str] = []
-        block, at, links = 0, 0, 0
+        block, at, links, outs, mains = 0, 0, 0, 0, 0
         fixed: tuple[str, ...] = ()
 
         def close(depth: int) -> None:
-            nonlocal fixed, links, block
-            for t in tags[depth:]:
+            nonlocal fixed, links, block, outs, mains
+            for t, p in zip(tags[depth:], path[depth:]):
                 links -= t == "a"
                 block += t in BLOCKS
+                outs -= p[0] == "!"
+                mains -= p[0] == "*"
             del tags[depth:], path[depth:]
             fixed = tuple(path[:DEPTH])
 
         def text(raw: str) -> None:
             if raw and not raw.isspace():
-                self.pieces.append((fixed, block, links > 0, references.unescape(raw)))
+                self.pieces.append((fixed, block, links > 0, outs > 0, references.unescape(raw)))
             elif raw:
-                self.pieces.append((fixed, block, links > 0, " "))
+                self.pieces.append((fixed, block, links > 0, outs > 0, " "))
 
         end = len(source)
         while at < end:
@@ -139,37 +153,37 @@ class Page:
                         break
             if tag in VOID:
                 if tag == "br":
-                    self.pieces.append((fixed, block, links > 0, " "))
+                    self.pieces.append((fixed, block, links > 0, outs > 0, " "))
                 continue
             if found[3].endswith("/") and tag not in BLOCKS and tag != "a":
                 continue
-            in_main = any(p[0] == "*" for p in path)
             tags.append(tag)
-            path.append(_element(tag, found[3], in_main))
+            path.append(_element(tag, found[3], mains > 0))
             links += tag == "a"
+            outs += path[-1][0] == "!"
+            mains += path[-1][0] == "*"
             if len(path) <= DEPTH:
                 fixed = tuple(path)
                 self.tokens[fixed] = self.tokens.get(fixed, 0) + 1
 
-    def words(self) -> dict[tuple[str, ...], int]:
-        """Words outside links and outside what is no main text, by path."""
-        out: dict[tuple[str, ...], int] = {}
-        for path, _, link, piece in self.pieces:
-            if not link and not any(p[0] == "!" for p in path):
-                n = len(piece.split())
-                if n:
-                    out[path] = out.get(path, 0) + n
+    def words(self) -> dict[tuple[str, ...], tuple[int, int]]:
+        """By path: words outside links and outside what is no main text, and a hash of them."""
+        out: dict[tuple[str, ...], tuple[int, int]] = {}
+        for path, _, link, no_text, piece in self.pieces:
+            if not link and not no_text and (words := piece.split()):
+                n, value = out.get(path, (0, 0))
+                out[path] = n + len(words), zlib.crc32(" ".join(words).encode("utf-8", "replace"), value)
         return out
 
-    def extract(self, slots: list[tuple[str, ...]]) -> str:
-        """Text of the slots, one line per block."""
+    def extract(self, slots: list[tuple[str, ...]], static: frozenset[tuple[str, ...]] = frozenset()) -> str:
+        """Text of the slots but for the wording of the template, one line per block."""
         blocks: dict[int, list[str]] = {}
         inside: dict[tuple[str, ...], bool] = {}
-        for path, block, _, piece in self.pieces:
+        for path, block, _, no_text, piece in self.pieces:
             keep = inside.get(path)
             if keep is None:
-                keep = inside[path] = any(path[:len(s)] == s for s in slots) and not any(p[0] == "!" for p in path)
-            if keep:
+                keep = inside[path] = path not in static and any(path[:len(s)] == s for s in slots)
+            if keep and not no_text:
                 blocks.setdefault(block, []).append(piece)
         lines = (" ".join("".join(b).split()) for b in blocks.values())
         return "\n".join(line for line in lines if line)
@@ -190,7 +204,13 @@ def article_slots(template: dict[tuple[str, ...], float], words: dict[tuple[str,
     total = sum(words.values())
     inside = {p: sum(n for q, n in words.items() if q[:len(p)] == p) for p in open_}
     good = [p for p in open_ if total and inside[p] >= MOST_WORDS * total]
-    return [max(good, key=lambda p: (len(p), inside[p], p))] if good else []
+    if not good:
+        return []
+    best = max(good, key=lambda p: (len(p), inside[p], p))
+    # A paragraph, list or heading is part of a text, so the slot is what encloses it.
+    while len(best) > 1 and best[:-1] in open_ and best[-1].split(".")[0] not in SECTIONS:
+        best = best[:-1]
+    return [best]
 
 
 def _host(url: str | None) -> str:
@@ -202,90 +222,104 @@ _SEPARATOR = "\x01"
 
 
 def token_counts(pages: DataFrame, url: str, html: str) -> DataFrame:
-    """``host, path``: pages with the token, its occurrences, their sum weighted by page, and words; pages are summed up in each task."""
+    """``host, path``: pages with the token, its occurrences, their sum weighted by page, words, and whether pages and texts differ.
+
+    Pages are summed up in each task.
+    """
     flush = 200_000
+    names = ["pages", "n", "vector", "words", "page_least", "page_most", "text_least", "text_most"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[str, str], list[int]] = {}
 
         def out() -> pa.RecordBatch:
             keys = list(sums)
-            columns = list(zip(*sums.values())) or [()] * 4
+            columns = list(zip(*sums.values())) or [()] * len(names)
             return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                                               *(pa.array(c, pa.int64()) for c in columns)], ["host", "path", "pages", "n", "vector", "words"])
+                                               *(pa.array(c, pa.int64()) for c in columns)], ["host", "path", *names])
 
         for batch in batches:
             for address, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 page, host = Page(source or ""), _host(address)
-                name = zlib.crc32(f"{address}\n{source}".encode())
+                name, content = zlib.crc32(f"{address}\n{source}".encode()), zlib.crc32((source or "").encode())
                 words = page.words()
                 for path, n in [((), 1), *page.tokens.items()]:
-                    row = sums.setdefault((host, _SEPARATOR.join(path)), [0, 0, 0, 0])
-                    row[0] += 1
-                    row[1] += n
-                    row[2] += n * name
-                    row[3] += words.get(path, 0)
+                    n_words, text = words.get(path, (0, 0))
+                    row = sums.get(key := (host, _SEPARATOR.join(path)))
+                    if row is None:
+                        sums[key] = [1, n, n * name, n_words, content, content, text, text]
+                    else:
+                        row[:] = (row[0] + 1, row[1] + n, row[2] + n * name, row[3] + n_words, min(row[4], content), max(row[5], content),
+                                  min(row[6], text), max(row[7], text))
                 if len(sums) > flush:
                     yield out()
                     sums.clear()
         yield out()
 
-    rows = pages.select(url, html).mapInArrow(run, "host string, path string, pages long, n long, vector long, words long")
-    return rows.groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("n").alias("n"),
-                                            F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"), F.sum("words").alias("words"))
+    rows = pages.select(url, html).mapInArrow(run, "host string, path string, " + ", ".join(f"{n} long" for n in names))
+    return rows.groupBy("host", "path").agg(
+        F.sum("pages").alias("pages"), F.sum("n").alias("n"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"), F.sum("words").alias("words"),
+        (F.min("page_least") != F.max("page_most")).alias("pages_differ"), (F.min("text_least") != F.max("text_most")).alias("texts_differ"))
 
 
 def templates(counts: DataFrame) -> DataFrame:
-    """``host, slots``: the article's slots of every host, from its valid equivalence classes."""
+    """``host, slots, static``: the article's slots of every host, from its valid equivalence classes, and the tokens with wording of the template."""
     whole = counts.where("path = ''").select("host", F.col("pages").alias("host_pages"))
     frequent = counts.where("path != ''").join(whole, "host").where(F.col("pages") >= F.col("host_pages") * SUPPORT)
-    classes = frequent.groupBy("host", "pages", "n", "vector").agg(F.collect_list(F.struct("path", "words")).alias("tokens"))
+    is_static = (F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= F.col("host_pages") * STATIC_SHARE) & F.col("pages_differ") & ~F.col("texts_differ")
+    classes = frequent.groupBy("host", "pages", "n", "vector").agg(F.collect_list(F.struct("path", "words", is_static.alias("static"))).alias("tokens"))
     by_host = classes.groupBy("host").agg(F.collect_list(F.struct("pages", "n", "tokens")).alias("classes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = []
+            slots, static = [], []
             for classes_ in batch.column(1).to_pylist():
-                every = {tuple(t["path"].split(_SEPARATOR)): (c, t["words"]) for c in classes_ for t in c["tokens"]}
+                every = {tuple(t["path"].split(_SEPARATOR)): (c, t) for c in classes_ for t in c["tokens"]}
                 valid = {p: float(c["pages"]) for p, (c, _) in every.items() if c["n"] == c["pages"]}
                 # Valid classes nest: a token counts if what encloses it is in the template too.
                 template: dict[tuple[str, ...], float] = {}
                 for p in sorted(valid, key=len):
                     if len(p) == 1 or p[:-1] in template:
                         template[p] = valid[p]
-                words = {p: float(w) for p, (_, w) in every.items() if w}
-                slots.append([_SEPARATOR.join(s) for s in article_slots(template, words)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots, pa.list_(pa.string()))], ["host", "slots"])
+                words = {p: float(t["words"]) for p, (_, t) in every.items() if t["words"] and not t["static"]}
+                found = article_slots(template, words)
+                slots.append([_SEPARATOR.join(s) for s in found])
+                # What is marked as the article is kept whole.
+                static.append([t["path"] for _, t in every.values() if t["static"] and t["words"] and not any(s[-1][0] == "*" for s in found)])
+            paths = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slots, paths), pa.array(static, paths)], ["host", "slots", "static"])
 
-    return by_host.mapInArrow(run, "host string, slots array<string>")
+    return by_host.mapInArrow(run, "host string, slots array<string>, static array<string>")
 
 
-def main_text(source: str | None, slots: list[str] | None) -> str:
-    """Text of a page by its host's slots or, where it has none of them, by its own."""
+def main_text(source: str | None, slots: list[str] | None, static: list[str] | None = None) -> str:
+    """Text of a page by its host's template or, where it has none of its slots, by its own."""
     page = Page(source or "")
     wanted = [t for s in slots or () if (t := tuple(s.split(_SEPARATOR))) in page.tokens]
     if not wanted:
         # Without a marked element that stands once, all marked ones; else the page is its own template.
         # Where nothing holds most of the words, all of the page that may be text is the slot.
-        wanted = article_slots({p: 1.0 for p, n in page.tokens.items() if n == 1 or p[-1][0] == "*"}, page.words()) or [()]
-    return page.extract(wanted)
+        words = {p: n for p, (n, _) in page.words().items()}
+        return page.extract(article_slots({p: 1.0 for p, n in page.tokens.items() if n == 1 or p[-1][0] == "*"}, words) or [()])
+    return page.extract(wanted, frozenset(tuple(s.split(_SEPARATOR)) for s in static or ()))
 
 
 def extract(pages: DataFrame, url: str = "url", html: str = "html", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """``pages`` without the html, with the main text and its length in code points; columns of these names are replaced."""
     found = templates(token_counts(pages, url, html))
     kept = without(pages, html, text, n_chars)
-    host, slots, source = (unused(pages, c) for c in ("_host", "_slots", "_html"))
+    host, slots, static, source = (unused(pages, c) for c in ("_host", "_slots", "_static", "_html"))
     after = F.when(F.contains(F.col(url), F.lit("://")), F.substr(F.col(url), F.length(F.substring_index(F.col(url), "://", 1)) + 4))
     own = F.coalesce(F.lower(F.regexp_extract(after, r"^([^/?#]*)", 1)), F.lit(""))
     rows = pages.select(*kept, F.col(html).alias(source), own.alias(host))
-    joined = rows.join(found.select(F.col("host").alias(host), F.col("slots").alias(slots)), host, "left").select(*kept, source, slots)
+    joined = rows.join(found.select(F.col("host").alias(host), F.col("slots").alias(slots), F.col("static").alias(static)), host, "left").select(
+        *kept, source, slots, static)
     fields = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = len(kept)
         for batch in batches:
-            texts = [main_text(h, s) for h, s in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist())]
+            texts = [main_text(*page) for page in zip(*(batch.column(n + i).to_pylist() for i in range(3)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                                              [*kept, text, n_chars])
 

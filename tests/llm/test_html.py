@@ -27,6 +27,10 @@ def content_div(inner, n):
     ("<article><p>post</p></article><article class='comment'><p>reply</p></article>", "post"),
     ("<article><table><tr><td>a<td>b<tr><td>c</table><p hidden>no</p><dl><dt>t<dd>d</dl></article>", "a\nb\nc\nt\nd"),
     ("<article>" + "<div>" * 500 + "deep" + "</div>" * 500 + "</article>", "deep"),
+    ("<main>" + "<div>" * 30 + "deep<aside>Side</aside><nav>Menu</nav>" + "</div>" * 30 + "</main>", "deep"),
+    (f"<div><h1>Title</h1><p>{'long words ' * 30}</p><ul><li>one<li>two</ul></div>", f"Title\n{'long words ' * 29}long words\none\ntwo"),
+    (f"<body><div class=a>{'intro ' * 35}</div><div class=b>{'rest ' * 65}</div></body>", f"{'intro ' * 34}intro\n{'rest ' * 64}rest"),
+    ("<article><p>x</p><div class='notice-board'>kept</div><div class='site-notice'>no</div></article>", "x\nkept"),
     ("<article><p title=\"a > b\">q</p><img alt='x'/><p>r</article>", "q\nr"),
 ])
 def test_single_pages(source, text):
@@ -57,3 +61,17 @@ def test_vectors_group_tokens_that_stand_together(spark):
     counts = html.token_counts(spark.createDataFrame(rows, "url string, html string"), "url", "html").collect()
     by_path = {r.path.split("\x01")[-1]: (r.pages, r.n, r.vector) for r in counts}
     assert by_path["ul"] == by_path["li"] != by_path["p"] and by_path["p"] == by_path["div"] and by_path["div"][:2] == (6, 6)
+
+
+def test_wording_of_the_template_is_left_out(spark):
+    """Words that all pages have are the template's; copies of a page say nothing about that, and a marked article is whole."""
+    def page(i):
+        return f"<div class=top>Welcome to our place on the web</div><div class=mid><h1>Title {i}</h1><p>{' '.join(f'w{i}x{j}' for j in range(30))}</p></div><div class=end>All rights</div>"
+
+    rows = [(i, f"http://h.net/{i}", page(i)) for i in range(6)] + [(10 + i, f"http://copies.net/{i}", page(1)) for i in range(4)]
+    rows += [(20 + i, f"http://marked.net/{i}", f"<article><h2>Summary</h2><p>text {i}</p></article>") for i in range(4)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(6):
+        assert got[i] == f"Title {i}\n{' '.join(f'w{i}x{j}' for j in range(30))}"
+    assert all(got[10 + i].split("\n")[1] == "Title 1" for i in range(4))
+    assert all(got[20 + i] == f"Summary\ntext {i}" for i in range(4))
