@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeworks.catalog import QUERIES
+from lakeworks.catalog.files import TABLES
 from lakeworks.functions import month_range
 from lakeworks.plans.pipelines import ingest_sales, raw_to_curated
 from lakeworks.session import size_shuffles
@@ -137,6 +139,15 @@ def test_reports_on_files(spark, facts, folder):
     assert layout.footer_report(spark, f"{folder}/t").where("ratio IS NULL").count() == 0
 
 
+def test_footers_of_a_table_in_several_files_add_up(spark, sf, folder):
+    for name in TABLES:
+        rows = spark.read.parquet(f"{sf}/{name}.parquet")
+        (rows.repartition(3) if name in ("orders", "documents") else rows.coalesce(1)).write.parquet(f"{folder}/{name}.parquet")
+    report = QUERIES["footer_report"](spark, folder).collect()
+    assert len(report) == len(TABLES) and all(r["shrunk"] for r in report)
+    assert {r["name"]: r["num_rows"] for r in report} == {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in TABLES}
+
+
 def test_compaction_and_export(spark, facts, folder):
     facts.repartition(20).write.parquet(f"{folder}/many")
     writers.compact(spark, [f"{folder}/many"], f"{folder}/few")
