@@ -129,5 +129,5 @@ def stream_quality_gate(spark, sf):
                                        "event_type", "value", "props")
     jobs.stream_quality_gate(checked, EVENTS, f"{root}/valid", f"{root}/rejected", f"{root}/checkpoint")
     good, bad = jobs.gate_result(spark, EVENTS, f"{root}/valid", f"{root}/rejected")
-    parts = [rows.agg(F.lit(p).alias("part"), F.count("*").alias("rows")) for p, rows in (("valid", good), ("rejected", bad))]
-    return parts[0].unionByName(parts[1])
+    parts = [rows.groupBy(F.lit(p).alias("part")).agg(F.count("*").alias("rows")) for p, rows in (("valid", good), ("rejected", bad))]
+    return parts[0].unionByName(parts[1])  # a part without rows has no group, as in SQL

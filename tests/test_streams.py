@@ -1,8 +1,11 @@
 import datetime as dt
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakeworks.catalog import QUERIES
 from lakeworks.operators.marts import daily_event_metrics
 from lakeworks.plans.pipelines import event_run, multi_source_run, quality_pipeline
 from lakeworks.quality.rules import RuleLog
@@ -103,6 +106,14 @@ def test_without_an_order_repeated_keys_have_no_owner(spark, folder, files):
     assert [r["user_id"] for r in good.collect()] == [2] and sorted(r["user_id"] for r in bad.collect()) == [1, 1, 3, 3]
 
 
+def test_a_part_without_rows_is_not_listed(spark, sf, folder):
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    both = events.unionByName(events.withColumn("event_id", F.col("event_id") + 1_000_000))  # no minute has one event only
+    both.coalesce(1).write.parquet(f"{folder}/all")
+    os.rename(glob.glob(f"{folder}/all/*.parquet")[0], f"{folder}/events.parquet")
+    assert [tuple(r) for r in QUERIES["stream_quality_gate"](spark, folder).collect()] == [("rejected", both.count())]
+
+
 def test_daily_metrics_stream_emits_closed_days(spark, folder):
     land(spark, f"{folder}/raw", [(u, "purchase", f"2024-01-0{d}T10:00:00", 2.0) for d in (1, 2, 3, 4) for u in range(d)])
     events = jobs.file_stream(spark, f"{folder}/raw", RAW).withColumn("event_ts", F.col("timestamp").cast("timestamp_ntz"))
