@@ -137,3 +137,32 @@ def test_cells_change_the_work_and_not_the_answer(spark, spread):
     visits = {r["q"]: r["rows_met"] / r["rows"] for r in ret.cell_visits(index, queries, 12, ["id"], "q", cells=32).collect()}
     if spread < 1:
         assert visits["q0"] < 0.3  # two thirds and more are never compared
+
+
+@pytest.mark.parametrize("task_bytes, few", [(32 << 20, 8), (400, 10 ** 6), (400, 8), (2000, 0)])
+def test_batch_search_in_tasks_of_bounded_size(spark, monkeypatch, task_bytes, few):
+    monkeypatch.setattr(ret, "TASK_BYTES", task_bytes)
+    monkeypatch.setattr(ret, "FEW", few)
+    draw = np.random.default_rng(5)
+    data = {i: [float(x) for x in draw.integers(-3, 4, 4)] for i in range(90)}
+    data |= {90 + i: data[3] for i in range(60)} | {150: None, 151: [0.0] * 4, 152: [1.0, 2.0]}  # a large group of copies
+    df = spark.createDataFrame(list(data.items()), "id long, embedding array<float>").repartition(3)
+    asked = df.withColumnRenamed("id", "q").where("q % 2 = 0 OR q = 151")
+
+    def cosine(a, b):
+        if a is None or b is None or len(a) != len(b) or not any(a) or not any(b):
+            return 0.0
+        return round(float(np.dot(a, b) / np.sqrt(np.dot(a, a) * np.dot(b, b))), 12)
+
+    want = sorted((q, rank + 1, i) for q in data if q % 2 == 0 or q == 151
+                  for rank, i in enumerate(sorted(data, key=lambda i: (-cosine(data[q], data[i]), i))[:5]))
+    exact = ret.topk_cosine_batch(df, asked, 5, ["id"], "q", block_rows=16, cells=8)
+    assert sorted((r["q"], r["rank"], r["id"]) for r in exact.collect()) == want
+    every = ret.topk_ann_batch(df, asked, 5, ["id"], "q", probes=16, cells=8, block_rows=16)
+    assert sorted((r["q"], r["rank"], r["id"]) for r in every.collect()) == want
+    # A task passes on k rows of a query, however many blocks it multiplies.
+    placed, found = ret.with_cells(df, ["id"], "embedding", 8)
+    visits = ret._visits(asked, "q", "embedding", found, 5, 16)
+    passed = ret._scanned(placed, visits, found, 5, ["id"], "q", "embedding", 4, asked.count())
+    parts = 3 if asked.count() <= task_bytes // 32 and few * asked.count() <= len(data) else -(-len(data) // (task_bytes // 32))
+    assert passed.groupBy("q").count().agg(F.max("count")).first()[0] <= 5 * parts
