@@ -124,7 +124,7 @@ def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, reje
     batches. With an ``order`` the first of the rows that pass the other checks owns a key (missing values first; equal rows by
     their values, then by arrival) and the others are rejected. Without one all rows of a repeated key are rejected, as
     ``TableSchema`` does. A batch looks its keys up in ``index``, files by hash of the key, and reads only the buckets that its own keys
-    fall into. What a later batch changes for rows of earlier ones is not rewritten: ``gate_result`` reads both parts with
+    fall into, and of them what lies in the range of its keys. What a later batch changes for rows of earlier ones is not rewritten: ``gate_result`` reads both parts with
     such changes made. Each batch owns directories that a retry overwrites, and looks only at those of earlier
     batches. An empty part gets a file too, so both folders can be read from the first batch on.
     """
@@ -134,6 +134,7 @@ def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, reje
 
     def step(batch: DataFrame, batch_id: int) -> None:
         marked = by_row.marked(batch).persist()  # both halves come from one run of the checks
+        held = [marked]
         good, bad = by_row.parts(marked, batch.columns)
         if unique:
             place = F.struct(*order, F.to_json(F.struct(*batch.columns)).alias("values"), F.lit(batch_id).alias("batch"),
@@ -141,19 +142,23 @@ def stream_quality_gate(events: DataFrame, schema: TableSchema, valid: str, reje
             good, asked = good.withColumn(PLACE, place), marked.withColumn(PLACE, place)
             repeated = []
             for i, c in enumerate(unique):
-                firsts = _firsts(good if order else asked, c, f"{index}/{c}", batch_id)
+                firsts = _firsts(good if order else asked, c, f"{index}/{c}", batch_id).persist()  # for the index and for both halves
+                held.append(firsts)
                 fresh = firsts.where(F.col("_known").isNull() | (F.col("_least") < F.col("_known"))) if order else firsts
-                (fresh.select("key", F.col("_least").alias(PLACE), "n", _bucket("key").alias("bucket"))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{index}/{c}/batch_id={batch_id}"))
+                # A bucket is written by one task, so a batch adds at most BUCKETS files, sorted so that a scan can skip parts of them.
+                (fresh.select("key", F.col("_least").alias(PLACE), "n", _bucket("key").alias("bucket")).repartition("bucket")
+                 .sortWithinPartitions("bucket", "key").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{index}/{c}/batch_id={batch_id}"))
                 own = firsts.select(F.col("key").alias(f"_key{i}"), F.least("_least", "_known").alias(f"_first{i}"), F.expr("n + coalesce(_n, 0)").alias(f"_n{i}"))
                 good = good.join(own, F.col(c) == F.col(f"_key{i}"), "left")
                 repeated.append(_lost(c, i, bool(order)))
-            good = good.select(*batch.columns, PLACE, F.array_compact(F.array(*repeated)).alias("reasons"))
+            good = good.select(*batch.columns, PLACE, F.array_compact(F.array(*repeated)).alias("reasons")).persist()
+            held.append(good)
             late = good.where(F.size("reasons") > 0).drop(PLACE)
             good, bad = good.where(F.size("reasons") == 0).drop("reasons"), bad.unionByName(late)
         for part, path in ((good, valid), (bad, rejected)):
             part.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        marked.unpersist()
+        for frame in held:
+            frame.unpersist()
 
     return _run(events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint), wait)
 
@@ -175,10 +180,15 @@ def _firsts(rows: DataFrame, column: str, index: str, batch_id: int) -> DataFram
     place = rows.schema[PLACE].dataType
     if not path_exists(spark, index):
         return own.withColumns({"_known": F.lit(None).cast(place), "_n": F.lit(0).cast("long")})
-    touched = [r[0] for r in own.select(_bucket("key")).distinct().collect()]  # at most BUCKETS numbers
-    types = StructType([StructField("key", rows.schema[column].dataType), StructField(PLACE, place), StructField("n", LongType()),
+    # Of the index only the buckets of the batch's keys (at most BUCKETS numbers) between the least and the greatest of them.
+    touched, least, greatest = own.agg(F.collect_set(_bucket("key")), F.min("key"), F.max("key")).first()
+    if not touched:
+        return own.withColumns({"_known": F.lit(None).cast(place), "_n": F.lit(0).cast("long")})
+    kind = rows.schema[column].dataType
+    least, greatest = (F.lit(bytes(x) if isinstance(x, bytearray) else x).cast(kind) for x in (least, greatest))
+    types = StructType([StructField("key", kind), StructField(PLACE, place), StructField("n", LongType()),
                         StructField("bucket", IntegerType()), StructField("batch_id", IntegerType())])
-    known = spark.read.schema(types).parquet(index).where((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched))
+    known = spark.read.schema(types).parquet(index).where((F.col("batch_id") < batch_id) & F.col("bucket").isin(touched) & F.col("key").between(least, greatest))
     return own.join(known.groupBy("key").agg(F.min(PLACE).alias("_known"), F.sum("n").alias("_n")), "key", "left")
 
 

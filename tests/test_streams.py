@@ -95,6 +95,24 @@ def test_a_batch_reads_only_its_own_buckets(spark, folder):
     assert good.count() == 500 and bad.count() == 1
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "binary", "double"])
+def test_a_batch_adds_a_file_a_bucket_to_the_index(spark, folder, kind):
+    schema = TableSchema({"k": Rule(kind, unique=True)})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks are as many as the shuffle has
+    try:
+        for first in (0, 2000, 1000):
+            spark.range(first, first + 2000).select(F.col("id").cast("string").cast(kind).alias("k"), "id").coalesce(1).write.mode("append").parquet(f"{folder}/raw")
+            jobs.stream_quality_gate(jobs.file_stream(spark, f"{folder}/raw", f"k {kind}, id bigint"), schema, f"{folder}/ok", f"{folder}/bad", f"{folder}/cp",
+                                     order=["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    for batch in range(3):
+        assert len(glob.glob(f"{folder}/ok-keys/k/batch_id={batch}/bucket=*/*.parquet")) <= jobs.BUCKETS
+    good, bad = jobs.gate_result(spark, schema, f"{folder}/ok", f"{folder}/bad", order=["id"])
+    assert good.select("k").distinct().count() == good.count() == 4000
+    assert sorted(r["id"] for r in bad.collect()) == list(range(1000, 3000))
+
+
 @pytest.mark.parametrize("files", [1, 1000])
 def test_without_an_order_repeated_keys_have_no_owner(spark, folder, files):
     schema = TableSchema({"user_id": Rule("bigint", unique=True), "event_type": Rule("string", isin=["click"])})
