@@ -317,7 +317,7 @@ def _scanned(index: DataFrame, visits: DataFrame, cells: Cells, k: int, key: Seq
         before += n
     parts = max(1, -(-total // held))
     tasks = index.sparkSession.sparkContext.defaultParallelism
-    shares = max(1, -(-asked // held), min(-(-4 * tasks // parts), -(-asked // block_rows)))
+    shares = max(1, -(-asked // held), min(-(-2 * tasks // parts), -(-asked // (4 * block_rows))))
     own = F.col("cell") - OTHER_LENGTH
     place = F.get(F.lit(starts).cast("array<bigint>"), own) + F.pmod(F.xxhash64(*key), F.get(F.lit(sizes).cast("array<bigint>"), own))
     deal = F.sequence(F.lit(0), F.lit(shares - 1))
