@@ -216,6 +216,9 @@ def monthly_trip_stats(df: DataFrame, ts: str, distance: str, amount: str, start
             .orderBy("month"))
 
 
+ZONE_ROWS = 250_000  # trips that a task of a zone summary ranks, but for a zone and period that has more
+
+
 def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amount: str = "clean_amount",
                  distance: str = "clean_distance", approximate: bool = False) -> DataFrame:
     """Trips, revenue, mean distance and median fare per period and zone.
@@ -235,8 +238,10 @@ def zone_summary(df: DataFrame, period: Column, zone: str = "pickup_zone", amoun
     else:
         counts = (keyed.groupBy(*keys, "c").agg(rows().alias("n"), F.sum("d").alias("d"), F.count("d").alias("nd"))
                   .withColumn("v", F.when(F.col("c").isNull(), 0).otherwise(F.col("n"))))
+        # As many tasks as keep the rows of one about the same; a count by size alone lets the planner merge too many.
+        tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ZONE_ROWS))
         zone_rows = Window.partitionBy(*keys)
-        placed = (counts.withColumn("upto", F.sum("v").over(zone_rows.orderBy("c").rowsBetween(Window.unboundedPreceding, 0)))
+        placed = (counts.repartition(tasks, *keys).withColumn("upto", F.sum("v").over(zone_rows.orderBy("c").rowsBetween(Window.unboundedPreceding, 0)))
                   .withColumn("all", F.sum("v").over(zone_rows)))
 
         def holds(rank: Column) -> Column:

@@ -164,3 +164,12 @@ def test_gaps_shuffle_the_events_once(spark, visits):
 
     text = plan_text(windows.previous_event(visits, "user_id", "event_time", "session_id"), "simple")
     assert text.count("Exchange hashpartitioning") <= 3 and "Broadcast" not in text
+
+
+def test_zone_summaries_have_tasks_by_the_number_of_trips(spark, monkeypatch):
+    monkeypatch.setattr(marts, "ZONE_ROWS", 50)
+    rows = [(dt.datetime(2024, 1, 1 + i % 9), i % 37, float(i % 11), float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "pickup_date timestamp_ntz, pickup_zone long, clean_amount double, clean_distance double")
+    out = marts.daily_zone_summary(df)
+    assert out.rdd.getNumPartitions() == 40  # none is merged with another
+    assert out.agg(F.sum("trip_count")).first()[0] == 2000
