@@ -93,6 +93,15 @@ def test_bucketed_join_needs_no_shuffle(spark, facts):
     assert "SortMergeJoin" in text and "Exchange" not in text and joined.count() == 300
 
 
+def test_buckets_grow_with_the_table_and_are_a_file_each(spark, facts, folder):
+    facts.repartition(6).write.parquet(f"{folder}/raw")
+    size = sum(os.path.getsize(f) for f in glob.glob(f"{folder}/raw/*.parquet"))
+    assert layout.bucket_count(spark, f"{folder}/raw") == 8
+    assert layout.bucket_count(spark, f"{folder}/raw", bucket_bytes=size // 12) in (12, 13)
+    layout.save_bucketed(facts.repartition(6), "facts_by_size", "id", 12, path=f"{folder}/t")
+    assert len(glob.glob(f"{folder}/t/*.parquet")) == 12 and spark.table("facts_by_size").count() == 300
+
+
 def test_single_file_of_a_small_table(spark, facts, folder):
     layout.write_single(facts, f"{folder}/one")
     assert len(glob.glob(f"{folder}/one/*.parquet")) == 1
