@@ -129,7 +129,8 @@ def embed_chunks(spark, sf):
 def embed_ngrams(spark, sf):
     """All cells that are not zero of the default embedding of all chunks."""
     index = retrieval.build_doc_index(table(spark, sf, "documents"), "doc_id", "text", WORDS, dim=DIM)
-    cells = index.select("doc_id", "chunk_no", F.posexplode("embedding").alias("cell", "n")).where("n <> 0")
+    # An outer one, as no embedding is empty: otherwise the planner asks for its size first, which computes it again.
+    cells = index.select("doc_id", "chunk_no", F.posexplode_outer("embedding").alias("cell", "n")).where("n <> 0")
     return cells.withColumn("n", F.col("n").cast("double"))
 
 

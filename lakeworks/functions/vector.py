@@ -36,26 +36,27 @@ def hashed_ngrams(text: str | Column, dim: int = 384, n: int = 3) -> Column:
     """
 
     def codes(chars: Column) -> Column:
-        def gram(i: Column) -> Column:
-            code = F.lit(0).cast("bigint")
-            for k in range(n):
+        def gram(c: Column, i: Column) -> Column:
+            code = c.cast("bigint")
+            for k in range(1, n):
                 # Bounded below 2^52: three characters of 21 bits and the step stay exact in 64 bits.
-                code = (code * 65_599 + F.ascii(F.get(chars, i + k))) % 1_000_000_007
+                code = (code * 65_599 + F.get(chars, i + k)) % 1_000_000_007
             return (code % dim).cast("int")
-        return F.transform(F.sequence(F.lit(0), F.size(chars) - n), gram)
+        return F.transform(F.slice(chars, F.lit(1), F.size(chars) - (n - 1)), gram)
 
     def counted(cells: Column) -> Column:
         last = F.size(cells) - 1
         ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.get(cells, i) != F.get(cells, i + 1)))
         # Each cell has one marker, so there are exactly ``dim`` runs.
-        return _bound(ends, lambda e: F.transform(e, lambda x, d: (x - F.coalesce(F.get(e, d - 1), F.lit(-1)) - 1).cast("float")))
+        return bound(ends, lambda e: F.transform(e, lambda x, d: (x - F.coalesce(F.get(e, d - 1), F.lit(-1)) - 1).cast("float")))
 
     markers = F.sequence(F.lit(0), F.lit(dim - 1))
-    split = F.filter(F.split(F.coalesce(as_col(text), F.lit("")), ""), lambda c: c != "")
-    found = _bound(split, lambda chars: F.when(F.size(chars) >= n, codes(chars)).otherwise(F.array().cast("array<int>")))
-    return _bound(F.sort_array(F.concat(found, markers)), counted)
+    # Every character becomes a number once, and not once a gram. The code of the empty string that a split may leave is dropped.
+    split = F.transform(F.filter(F.split(F.coalesce(as_col(text), F.lit("")), ""), lambda c: c != ""), F.ascii)
+    found = bound(split, lambda chars: F.when(F.size(chars) >= n, codes(chars)).otherwise(F.array().cast("array<int>")))
+    return bound(F.sort_array(F.concat(found, markers)), counted)
 
 
-def _bound(value: Column, use) -> Column:
+def bound(value: Column, use) -> Column:
     """``use(value)`` with the value computed once, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))

@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions import round_to
-from ..functions.vector import dot, hashed_ngrams, norm
+from ..functions.vector import bound, dot, hashed_ngrams, norm
 from ..session import cut_lineage
 from .clean import render_text, sample_rows
 
@@ -422,11 +422,13 @@ def chunk_documents(docs: DataFrame, doc: str, text: str, size: int = 200, overl
         raise ValueError("overlap must be smaller than the chunk")
     step = size - overlap
     words = F.filter(F.split(text, WHITE_SPACE), lambda w: w != "")
-    last = F.greatest(F.ceil((F.size("_w") - overlap) / F.lit(step)) - 1, F.lit(0))
-    pieces = F.transform(F.sequence(F.lit(0), last.cast("int")),
-                         lambda i: F.array_join(F.slice("_w", i * step + 1, F.lit(size)), " "))
-    return (docs.select(doc, words.alias("_w")).where(F.size("_w") > 0)
-            .select(doc, F.posexplode(pieces).alias("chunk_no", "chunk")))
+
+    def pieces(w):
+        last = F.greatest(F.ceil((F.size(w) - overlap) / F.lit(step)) - 1, F.lit(0))
+        return F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), last.cast("int")), lambda i: F.array_join(F.slice(w, i * step + 1, F.lit(size)), " ")))
+
+    # The words are bound, so a text is split once and not once a chunk; an outer explode does not ask for the size first.
+    return docs.select(doc, F.posexplode_outer(bound(words, pieces)).alias("chunk_no", "chunk")).where("chunk IS NOT NULL")
 
 
 def build_doc_index(docs: DataFrame, doc: str, text: str, size: int = 200, overlap: int = 0,

@@ -108,3 +108,9 @@ def test_runs_form_no_pairs(spark, sf):
 def test_batch_search_joins_cells_and_pairs_no_blocks(spark, sf, name):
     text = plan(spark, sf, name)
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "cell" in text
+
+
+def test_texts_are_split_once_and_embedded_once(spark, sf):
+    text = plan_text(QUERIES["embed_ngrams"](spark, sf), "simple")
+    # Once into words and once into characters; an inferred size filter or a word list named per chunk repeats them.
+    assert text.count("split(") == 2 and "size(transform" not in text
