@@ -24,6 +24,7 @@ import struct
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,8 @@ LONGEST, MERGED, GATHERED = 40, 1 << 14, 1 << 18
 # Bytes of text that are handled at once: the more, the fewer segments are looked up again.
 SLICE = 2 << 20
 NO_PAIR = 1 << 62
+# A multiplicative hash of pairs of ids.
+HASH, HASH_SHIFT, HASH_MASK = 0x9E3779B97F4A7C15 - (1 << 64), 40, (1 << 20) - 1
 
 
 def byte_letters() -> dict[int, str]:
@@ -72,6 +75,18 @@ def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, codes: n
     return b"".join(parts)
 
 
+def blocks(words: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Words up to ``LONGEST`` bytes, those of like length together: their numbers, their bytes as columns, their lengths."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    order = order[(sizes[order] > 0) & (sizes[order] <= LONGEST)]
+    for at in range(0, len(order), MERGED):
+        some = order[at:at + MERGED]
+        width, numbers = int(sizes[some[-1]]), some.tolist()
+        letters = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in numbers]), np.uint8).reshape(len(some), width)
+        yield numbers, np.ascontiguousarray(letters.T), sizes[some]
+
+
 class Merges:
     """The vocabulary: ids of bytes, ranked merges of id pairs, special tokens, bytes of ids."""
 
@@ -89,7 +104,12 @@ class Merges:
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.letter_ids = np.array(self.byte_ids, np.int64)
         self.pair_keys = np.array(sorted(self.pairs) or [-2], np.int64)
-        self.pair_values = np.array([self.pairs.get(k, NO_PAIR) for k in self.pair_keys.tolist()], np.int64)
+        values = np.array([self.pairs.get(k, NO_PAIR) for k in self.pair_keys.tolist()], np.int64)
+        # The place of a pair goes between its rank and its new id: so the least of a word is the leftmost of the lowest rank.
+        self.pair_values = np.where(values == NO_PAIR, NO_PAIR, values >> 20 << 26 | values & 0xFFFFF)
+        self.marks = np.zeros(HASH_MASK + 1, bool)  # pairs whose mark is missing are none
+        self.marks[self.pair_keys * HASH >> HASH_SHIFT & HASH_MASK] = True
+        self.letter_pairs = self._looked_up(np.repeat(self.letter_ids, 256), np.tile(self.letter_ids, 256), np.zeros(1 << 16, np.int64)).reshape(256, 256)
         # The bytes of all ids in one block.
         self.lengths, self.starts = (np.zeros(max(self.bytes_of) + 1, np.int64) for _ in range(2))
         for i, b in self.bytes_of.items():
@@ -121,51 +141,55 @@ class Merges:
         return ids
 
     def merge_many(self, words: list[bytes]) -> list[bytes]:
-        """``merge`` of many words, packed (little-endian, 32 bits an id): a step merges one pair of every word that has one."""
+        """``merge`` of many words, packed (little-endian, 32 bits an id): a step merges one pair of every word that has one.
+
+        A word is a column. Merged letters stay where they are and are passed over, so a step touches only what it changes.
+        """
         out: list[bytes] = [b""] * len(words)
-        short = sorted((i for i, w in enumerate(words) if 0 < len(w) <= LONGEST), key=lambda i: len(words[i]))
         for i in (i for i, w in enumerate(words) if len(w) > LONGEST):
             out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
-        for at in range(0, len(short), MERGED):
-            some = short[at:at + MERGED]
-            sizes = np.array([len(words[i]) for i in some])
-            width, rows = int(sizes[-1]), np.arange(len(some))
-            letters = np.frombuffer(b"".join([words[i].ljust(width, b"\0") for i in some]), np.uint8).reshape(len(some), width)
-            merged, lengths = np.zeros((len(some), width), "<u4"), np.zeros(len(some), np.int64)
-            ids = np.where(np.arange(width) < sizes[:, None], self.letter_ids[letters], -1)
-            found = np.full((len(rows), width), NO_PAIR)
-            found[:, :-1] = self._looked_up(ids[:, :-1], ids[:, 1:])
-            while len(rows):
-                at_best = found.argmin(axis=1)
-                best = found[np.arange(len(rows)), at_best]
-                open_ = best != NO_PAIR
-                if not open_.all():
-                    merged[rows[~open_]], lengths[rows[~open_]] = ids[~open_], sizes[~open_]
-                    rows, sizes, ids, found, at_best, best = (x[open_] for x in (rows, sizes, ids, found, at_best, best))
-                    if not len(rows):
-                        break
-                # The pair's second id goes; what follows moves up.
-                each, columns = np.arange(len(rows)), np.arange(width)
-                ids = np.take_along_axis(ids, np.minimum(columns + (columns > at_best[:, None]), width - 1), 1)
-                ids[:, -1] = -1
-                ids[each, at_best] = best & 0xFFFFF
-                sizes = sizes - 1
-                found = np.take_along_axis(found, np.minimum(columns + (columns >= at_best[:, None]), width - 1), 1)
-                found[:, -1] = NO_PAIR
-                for left in (at_best - 1, at_best):
-                    fit = (left >= 0) & (left + 1 < sizes)
-                    new = self._looked_up(ids[each, np.maximum(left, 0)], ids[each, np.minimum(left + 1, width - 1)])
-                    found[each[fit], left[fit]] = new[fit]
-            data = merged.tobytes()
-            for k, (i, n) in enumerate(zip(some, lengths.tolist())):
-                out[i] = data[4 * width * k:4 * (width * k + n)]
+        for some, letters, sizes in blocks(words):
+            width, n = letters.shape
+            # One place more than letters, which stands for what is before the first and after the last one.
+            places = np.arange(width + 1)[:, None]
+            inside = places < sizes
+            ids, found = np.full((width + 1, n), -1), np.full((width + 1, n), NO_PAIR)
+            ids[:width][inside[:width]] = self.letter_ids[letters[inside[:width]]]
+            values = self.letter_pairs[letters[:-1], letters[1:]]
+            found[:width - 1] = np.where(inside[1:width] & (values != NO_PAIR), values | places[:width - 1] << 20, NO_PAIR)
+            after = np.where(places + 1 < sizes, places + 1, width)
+            before = np.repeat((places - 1) % (width + 1), n, axis=1)
+            ids, after, before, flat = ids.ravel(), after.ravel(), before.ravel(), found.ravel()
+            while True:
+                best = found[:width].min(axis=0)
+                rows = np.flatnonzero(best != NO_PAIR)
+                if not len(rows):
+                    break
+                best = best[rows]
+                new, at = best & 0xFFFFF, best >> 20 & 63
+                left = at * n + rows
+                right = after[left] * n + rows
+                following, previous = after[right], before[left]
+                next_, last = following * n + rows, previous * n + rows
+                ids[left], ids[right], flat[right] = new, -1, NO_PAIR
+                after[left], before[next_] = following, at
+                flat[last] = self._looked_up(ids[last], new, previous)
+                flat[left] = self._looked_up(new, ids[next_], at)
+            ids = ids.reshape(width + 1, n).T
+            left_over = ids >= 0
+            data, cuts = ids[left_over].astype("<u4").tobytes(), np.cumsum(np.append(0, 4 * left_over.sum(axis=1))).tolist()
+            for i, a, b in zip(some, cuts, cuts[1:]):
+                out[i] = data[a:b]
         return out
 
-    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank and new id of pairs, in one number; NO_PAIR where there is none."""
-        asked = np.where((left >= 0) & (right >= 0), left << 20 | right, -1)
+    def _looked_up(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank, place and new id of pairs, in one number; NO_PAIR where there is none."""
+        out, asked = np.full(len(left), NO_PAIR), left << 20 | right
+        maybe = np.flatnonzero(self.marks[asked * HASH >> HASH_SHIFT & HASH_MASK] & (left >= 0) & (right >= 0))
+        asked = asked[maybe]
         at = np.minimum(np.searchsorted(self.pair_keys, asked), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == asked, self.pair_values[at], NO_PAIR)
+        out[maybe] = np.where(self.pair_keys[at] == asked, self.pair_values[at] | place[maybe] << 20, NO_PAIR)
+        return out
 
     def decode_many(self, packed: list[bytes]) -> list[str]:
         """Texts of packed ids; bytes that are no text become replacement characters."""
@@ -271,6 +295,11 @@ class Lexicon:
         self.first, self.targets, self.skips, self.final, self.offsets, self.ids = blocks
         self.labels_at = at * 4
         self.start = len(self.final) - 1
+        # Arcs by source and label, which is the order they are kept in.
+        sources = np.repeat(np.arange(len(self.final)), np.diff(np.asarray(self.first, np.int64)))
+        self.arcs = np.append(sources << 8 | np.frombuffer(self.map, np.uint8, len(sources), self.labels_at), -1)
+        self.arc_targets, self.arc_skips = (np.append(np.asarray(b, np.int64), 0) for b in (self.targets, self.skips))
+        self.accepts = np.asarray(self.final, bool)
 
     def find(self, word: bytes) -> list[int] | None:
         """Ids of the word, or None if it is not in the lexicon."""
@@ -284,6 +313,31 @@ class Lexicon:
             state = self.targets[arc]
         return self.ids[self.offsets[rank]:self.offsets[rank + 1]].tolist() if self.final[state] else None
 
+    def find_many(self, words: list[bytes]) -> list[bytes | None]:
+        """``find`` of many words, packed: a step follows one arc of every word that is still on a path."""
+        out: list[bytes | None] = [None] * len(words)
+        for i in (i for i, w in enumerate(words) if not 0 < len(w) <= LONGEST):
+            ids = self.find(words[i])
+            out[i] = None if ids is None else np.array(ids, "<u4").tobytes()
+        for some, letters, sizes in blocks(words):
+            state, rank, on = np.full(len(some), self.start), np.zeros(len(some), np.int64), np.arange(len(some))
+            ended = []
+            for depth, row in enumerate(letters):
+                short = sizes[on] <= depth
+                if short.any():
+                    ended.append(on[short])
+                    on = on[~short]
+                asked = state[on] << 8 | row[on]
+                at = np.searchsorted(self.arcs[:-1], asked)
+                fits = self.arcs[at] == asked
+                on, at = on[fits], at[fits]
+                state[on] = self.arc_targets[at]
+                rank[on] += self.arc_skips[at]
+            for i in np.concatenate([*ended, on]).tolist():
+                if self.accepts[state[i]]:
+                    out[some[i]] = self.ids[self.offsets[rank[i]]:self.offsets[rank[i] + 1]].tobytes()
+        return out
+
 
 # Fixed value: the characters with the Unicode property White_Space.
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -294,7 +348,9 @@ UNEVEN_RE2 = r"(?:\A|[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028
 
 
 # Latin letters: a segment of these alone, or with one closing mark, needs no pattern to be cut.
-PLAIN = re.compile("(?: ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,]?)").fullmatch
+_LATIN = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+"
+PLAIN = re.compile(f"(?: ?{_LATIN})([.,]?)").fullmatch
+LETTERS = re.compile(_LATIN).match
 
 
 class _Memory(dict):
@@ -321,6 +377,18 @@ class _Memory(dict):
             self.clear()
         self[text] = packed
 
+    def keep_many(self, found: dict[str, bytes]) -> None:
+        """``keep`` of short texts, as many as fit."""
+        if len(self) + len(found) > REMEMBERED // 2:
+            self.older = dict(self)
+            self.clear()
+        self.update(islice(found.items(), REMEMBERED // 2))
+
+    def known(self, text: str) -> bytes | None:
+        """What is remembered for the text."""
+        packed = self.get(text)
+        return self.older.get(text) if packed is None else packed
+
 
 class _Encoder:
     """Texts to ids as bytes (little-endian, 32 bits each)."""
@@ -352,7 +420,7 @@ class _Encoder:
         cuts, segments = parts.offsets.to_numpy(), parts.values.dictionary_encode()
         codes = segments.indices.to_numpy().astype(np.int64)
         firsts = parts.values.take(pa.array(cuts[:-1])).to_pylist()
-        table = self._spaced(segments.dictionary.to_pylist())
+        table = self._spaced(segments.dictionary.to_numpy(zero_copy_only=False).tolist())
         codes[cuts[:-1]] = np.arange(len(table), len(table) + len(rows))
         table += map(self.whole.__getitem__, firsts)
         sizes = np.array([len(p) >> 2 for p in table])
@@ -364,34 +432,53 @@ class _Encoder:
         return out
 
     def _spaced(self, segments: list[str]) -> list[bytes]:
-        """Packed ids of segments after a space; the unseen words of all of them are merged at once."""
-        spaced, words = self.spaced, self.words
+        """Packed ids of segments after a space; the unseen words of all of them are looked up and merged at once.
+
+        A word after a space is remembered as the segment that it is.
+        """
+        spaced, words, cut = self.spaced, self.words, self.merges.cut
         out = list(map(spaced.get, segments))
-        new, parts, unseen = [], [], {}
-        for i, packed in enumerate(out):
-            if packed is None:
-                segment = segments[i]
-                if segment in spaced.older or not 0 < len(segment) < 64:
-                    out[i] = spaced[segment]
-                    continue
-                core, mark = (segment[:-1], segment[-1]) if segment[-1] in ".," else (segment, "")
-                if core.isascii() and core.isalpha():
-                    own = (" " + core, mark) if mark else (" " + core,)
-                else:
-                    own = self.merges.cut(" " + segment)
-                new.append(i)
-                parts.append(own)
-                for word in own:
-                    if word not in words and word not in unseen:
-                        packed = words.older.get(word)
-                        unseen[word] = self._listed(word) if packed is None else packed
+        older, kept = spaced.older, {}
+        unseen: dict[str, bytes | None] = {}
+        alone, joined = [], []
+        for i in [i for i, packed in enumerate(out) if packed is None]:
+            segment = segments[i]
+            packed = older.get(segment)
+            if packed is not None:
+                out[i] = kept[segment] = packed
+                continue
+            if not 0 < len(segment) < 64:
+                out[i] = spaced[segment]
+                continue
+            end = letters.end() if (letters := LETTERS(segment)) else 0
+            if end == len(segment):
+                alone.append(i)
+                unseen[" " + segment] = None
+                continue
+            # What follows Latin letters and is no letter starts a pre-token.
+            own = [" " + segment[:end], *cut(segment[end:])] if end and segment[end].isascii() else cut(" " + segment)
+            joined.append((i, own))
+            for word in own:
+                if word not in unseen:
+                    packed = spaced.known(word[1:]) if word[0] == " " else words.known(word)
+                    unseen[word] = packed
         left = [word for word, packed in unseen.items() if packed is None]
-        unseen |= zip(left, self.merges.merge_many([word.encode() for word in left]))
-        for i, own in zip(new, parts):
-            out[i] = b"".join([unseen[w] if w in unseen else words[w] for w in own]) if len(own) > 1 else unseen.get(own[0]) or words[own[0]]
-            spaced.keep(segments[i], out[i])
-        for word, packed in unseen.items():
-            words.keep(word, packed)
+        unseen |= zip(left, self._made([word.encode() for word in left]))
+        for i in alone:
+            segment = segments[i]
+            out[i] = kept[segment] = unseen[" " + segment]
+        for i, own in joined:
+            out[i] = kept[segments[i]] = b"".join([unseen[word] for word in own])
+        spaced.keep_many(kept)
+        words.keep_many({word: unseen[word] for _, own in joined for word in own if word[0] != " " and len(word) <= 64})
+        return out
+
+    def _made(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words: those of the lexicon are found there, the others are merged."""
+        out = self.lexicon.find_many(words) if self.lexicon else [None] * len(words)
+        left = [i for i, packed in enumerate(out) if packed is None]
+        for i, packed in zip(left, self.merges.merge_many([words[i] for i in left])):
+            out[i] = packed
         return out
 
     def _listed(self, word: str) -> bytes | None:

@@ -349,6 +349,32 @@ def test_lexicon_is_minimal_and_exact(tmp_path):
     assert len(lexicon.final) <= 9
 
 
+def test_unseen_words_are_looked_up_and_merged_together(tmp_path, monkeypatch):
+    with open(TOKENIZER, "rb") as f:
+        merges = bpe.Merges(f.read())
+    draw = random.Random(8)
+    words = list(dict.fromkeys("".join(draw.choices("etaoinsrhé\u00df漢'&.\n7", k=draw.randrange(1, 30))) for _ in range(3000)))
+    packed = [np.array(merges.merge(w.encode()), "<u4").tobytes() for w in words]
+    assert merges.merge_many([w.encode() for w in words]) == packed
+    listed = {(" " + w).encode(): merges.merge((" " + w).encode()) for w in words[:500] if w.isalpha()}
+    (tmp_path / "lexicon").write_bytes(bpe.compile_lexicon(listed))
+    lexicon = bpe.Lexicon(str(tmp_path / "lexicon"))
+    asked = [(" " + w).encode() for w in words] + [b"", *(w[:-1] for w in listed)]
+    assert [None if p is None else np.frombuffer(p, "<u4").tolist() for p in lexicon.find_many(asked)] == [lexicon.find(w) for w in asked]
+
+    def alone(*_):
+        raise AssertionError("a word at a time")
+
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = ["The " + " ".join(w for w in words[i::100] if "\n" not in w) for i in range(100)]
+    encoder = bpe._Encoder(merges, lexicon)
+    encoder.whole["The"]
+    monkeypatch.setattr(lexicon, "find", alone)
+    monkeypatch.setattr(merges, "merge", alone)
+    found = [np.frombuffer(p, "<u4").tolist() for p in encoder.encode_many(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # --- 10: quality ---
 
 def graded(n=400):
