@@ -26,6 +26,19 @@ DIGITS = 12  # similarities equal to this many decimals are a tie, which the key
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
+class _WordCells(dict):
+    """Word to its cell, made when it is first asked for; a cache of bounded size."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        cell = self[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        return cell
+
+
 class HashedWords:
     """Encoder in Python: counts of blank-separated words hashed into ``dim`` cells.
 
@@ -34,21 +47,20 @@ class HashedWords:
     """
 
     def __init__(self, dim: int = 384):
-        self.dim, self._cell = dim, {}
+        self.dim, self._cells = dim, _WordCells(dim)
 
     def cell(self, word: str) -> int:
-        if word not in self._cell:
-            if len(self._cell) >= 1_000_000:  # a cache of bounded size
-                self._cell.clear()
-            self._cell[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
-        return self._cell[word]
+        return self._cells[word]
 
     def __call__(self, texts: Sequence[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.dim), dtype=np.float32)
-        for i, text in enumerate(texts):
-            cells = [self.cell(w) for w in (text or "").split(" ") if w]
-            out[i] = np.bincount(cells, minlength=self.dim) if cells else 0
-        return out
+        cells, sizes = [], []
+        for text in texts:
+            before = len(cells)
+            cells.extend(map(self._cells.__getitem__, filter(None, (text or "").split(" "))))
+            sizes.append(len(cells) - before)
+        # The cells of all texts are counted at once: those of a text have a range of their own.
+        own = np.repeat(np.arange(len(sizes)) * self.dim, sizes) + np.array(cells, np.int64)
+        return np.bincount(own, minlength=len(sizes) * self.dim).reshape(len(sizes), self.dim).astype(np.float32)
 
 
 def embed(df: DataFrame, text: str, encoder: Callable[[], Encoder] | None = None, dim: int = 384,
@@ -62,17 +74,17 @@ def embed(df: DataFrame, text: str, encoder: Callable[[], Encoder] | None = None
     if encoder is None:
         return df.withColumn(name, hashed_ngrams(text, dim))
 
-    @F.pandas_udf("array<float>")
-    def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = encoder()
         for texts in parts:
-            rows = []
+            flat = [np.zeros(0, np.float32)]
             for at in range(0, len(texts), batch):
-                vectors = np.asarray(model(texts.iloc[at:at + batch].tolist()), dtype=np.float32)
+                vectors = np.asarray(model(texts.slice(at, batch).to_pylist()), dtype=np.float32)
                 if vectors.shape[1] != dim:
                     raise ValueError(f"encoder gave {vectors.shape[1]} numbers per text, expected {dim}")
-                rows.extend(vectors)
-            yield pd.Series(rows, index=texts.index, dtype=object)
+                flat.append(vectors.ravel())
+            yield pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32) * dim, np.concatenate(flat))
 
     return df.withColumn(name, encode(F.col(text)))
 

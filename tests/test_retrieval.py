@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -95,6 +96,17 @@ def test_hashed_words():
     assert (a == b).all() and a.sum() == 3 and empty.sum() == 0
 
 
+def test_words_of_a_batch_are_counted_at_once(monkeypatch):
+    texts = ["pump  too hot ", None, "hot hot é 漢字", "", "a b c " * 500]
+    cell = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 7
+    want = [[sum(cell(w) == c for w in (t or "").split()) for c in range(7)] for t in texts]
+    calls, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *a, **k: calls.append(1) or count(*a, **k))
+    found = ret.HashedWords(7)(texts)
+    assert found.tolist() == want and found.dtype == np.float32 and len(calls) == 1
+    assert ret.HashedWords(7)([]).shape == (0, 7)
+
+
 def test_retrieval_finds_the_passage(spark, folder):
     docs = spark.createDataFrame([(1, "the valve leaks oil when cold"), (2, "vibration above ten suggests bearing wear"),
                                   (3, "pumps run hotter in building three")], "id int, text string")
